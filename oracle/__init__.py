@@ -1,0 +1 @@
+"""Independent DuckDB SQL for every registered query (the correctness oracle)."""
