@@ -121,3 +121,124 @@ def urine_output(outputevents: DataFrame) -> DataFrame:
         .otherwise(F.col("value"))
     return (outputevents.where(F.col("itemid").isin(I.URINE_OUTPUT))
             .groupBy("stay_id", "charttime").agg(F.sum(v).alias("urineoutput")))
+
+
+@concept(group="measurement")
+def blood_differential(labevents: DataFrame) -> DataFrame:
+    """C17: WBC differential by specimen; #/uL counts / 1000; missing absolute
+    counts imputed from percentages when WBC > 0 and the percentages sum > 0."""
+    v, item = F.col("valuenum"), F.col("itemid")
+    specs = {"wbc": ItemSpec(I.DIFF_WBC)}
+    for name, (k_items, n_items) in I.DIFF_ABS.items():
+        expr = F.when(item.isin(k_items), v)
+        if n_items:
+            expr = expr.when(item.isin(n_items), v / F.lit(1000.0))
+        specs[name] = F.max(expr)
+    for name, ids in {**I.DIFF_PCT, **I.DIFF_OTHER}.items():
+        specs[name] = ItemSpec(ids)
+    specs["_impute"] = (
+        (F.max(F.when(item.isin(I.DIFF_WBC), v)) > 0)
+        & (F.sum(F.when(item.isin(I.DIFF_IMPUTE_PCT_ITEMS), v)) > 0))
+    extra = [i for k, n in I.DIFF_ABS.values() for i in k + n] + [I.DIFF_GRANULOCYTE_COUNT]
+    pre = v.isNotNull() & (v >= 0)
+    x = pivot_items(labevents, LAB_KEYS, specs, extra_aggs=_lab_ids(), prefilter=pre, extra_ids=extra)
+    abs_cols = []
+    for name in I.DIFF_ABS:
+        pct = F.col(name.replace("_abs", ""))
+        imputed = F.when(F.col(name).isNull() & pct.isNotNull() & F.col("_impute"),
+                         pct * F.col("wbc") / F.lit(100)).otherwise(F.col(name))
+        abs_cols.append(round_numeric(imputed, 4).alias(name))
+    return x.select("subject_id", "hadm_id", "charttime", "specimen_id", "wbc", *abs_cols,
+                    *I.DIFF_PCT, *I.DIFF_OTHER)
+
+
+@concept(group="measurement")
+def bg(labevents: DataFrame, chartevents: DataFrame) -> DataFrame:
+    """Blood gases with the latest cleaned charted FiO2 within 4 h before.
+
+    One row per (subject, charttime) among specimens with a pO2; when several
+    specimens share that time the lowest specimen_id is kept.  The look-back
+    is an as-of join (P06) on subject_id.  (The reference also looks up the
+    latest SpO2 within 2 h but never outputs it; it cannot change the rows.)
+    """
+    v, item = F.col("valuenum"), F.col("itemid")
+    specs = {
+        "specimen": ItemSpec([I.BG_SPECIMEN], value="value"),
+        **{name: ItemSpec([itemid], hi=hi, strict_hi=False) for name, (itemid, hi) in I.BG_NUMERIC.items()},
+        "fio2": F.max(F.when(item == I.BG_FIO2, F.when((v > 20) & (v <= 100), v)
+                             .when((v > 0.2) & (v <= 1.0), v * F.lit(100.0)))),
+        "comments": ItemSpec([I.BG_COMMENTS], value="value"),
+    }
+    piv = pivot_items(labevents, LAB_KEYS, specs, extra_ids=[I.BG_FIO2],
+                      extra_aggs=_lab_ids() + [F.max("storetime").alias("storetime")])
+    from ..operators.temporal import asof_within, top1
+    gas = top1(piv.where(F.col("po2").isNotNull()), ["subject_id", "charttime"], [F.col("specimen_id")])
+    fio2 = (chartevents.where((item == I.CHART_FIO2) & (v > 0) & (v <= 100))
+            .groupBy("subject_id", "charttime")
+            .agg(F.max(F.when((v > 0.2) & (v <= 1), v * F.lit(100.0)).when((v > 1) & (v < 20), None)
+                       .when((v >= 20) & (v <= 100), v)).alias("fio2_chartevents"))
+            .where(F.col("fio2_chartevents") > 0))
+    x = asof_within(gas, fio2, "subject_id", "charttime", "charttime", 4 * 3600, ["fio2_chartevents"])
+    po2, pco2 = F.col("po2"), F.col("pco2")
+    fio2_any = F.coalesce(F.col("fio2"), F.col("fio2_chartevents"))
+    aado2_calc = F.when(po2.isNull() | pco2.isNull(), None).otherwise(
+        (fio2_any / F.lit(100.0)) * F.lit(713.0) - (pco2 / F.lit(0.8)) - po2)
+    ratio = F.when(po2.isNull(), None).otherwise(F.lit(100.0) * po2 / fio2_any)
+    return x.select(
+        "subject_id", "hadm_id", "charttime", "specimen", "so2", "po2", "pco2",
+        "fio2_chartevents", "fio2", "aado2", aado2_calc.alias("aado2_calc"),
+        ratio.alias("pao2fio2ratio"), "ph", "baseexcess", "bicarbonate", "totalco2", "hematocrit",
+        "hemoglobin", "carboxyhemoglobin", "methemoglobin", "chloride", "calcium", "temperature",
+        "potassium", "sodium", "lactate", "glucose")
+
+
+@concept(group="measurement")
+def gcs(chartevents: DataFrame) -> DataFrame:
+    """Glasgow coma scale with carry-forward of the previous row (< 6 h).
+
+    Verbal 'No Response-ETT' scores 0 and sets ``gcs_unable``; the total is 15
+    when the verbal is 0 now (or missing now and 0 before); after an ETT
+    verbal the missing components take normal values, otherwise the previous
+    row's, then normal values.
+    """
+    item, v = F.col("itemid"), F.col("valuenum")
+    ett = (item == I.GCS_VERBAL) & (F.col("value") == "No Response-ETT")
+    specs = {
+        "gcsmotor": ItemSpec([I.GCS_MOTOR]),
+        "gcsverbal": F.max(F.when(ett, F.lit(0.0)).when(item == I.GCS_VERBAL, v)),
+        "gcseyes": ItemSpec([I.GCS_EYES]),
+        "endotrachflag": F.max(F.when(ett, 1).otherwise(0)),
+    }
+    base = pivot_items(chartevents, ["subject_id", "stay_id", "charttime"], specs,
+                       extra_ids=[I.GCS_VERBAL])
+    from ..operators.windows import carry_previous
+    x = carry_previous(base, "stay_id", [F.col("charttime"), F.col("subject_id")], "charttime",
+                       ["gcsmotor", "gcsverbal", "gcseyes"], 6 * 3600)
+    m, vb, e = F.col("gcsmotor"), F.col("gcsverbal"), F.col("gcseyes")
+    pm, pv, pe = F.col("prev_gcsmotor"), F.col("prev_gcsverbal"), F.col("prev_gcseyes")
+    total = (F.when(vb == 0, F.lit(15.0))
+             .when(vb.isNull() & (pv == 0), F.lit(15.0))
+             .when(pv == 0, F.coalesce(m, F.lit(6.0)) + F.coalesce(vb, F.lit(5.0)) + F.coalesce(e, F.lit(4.0)))
+             .otherwise(F.coalesce(m, pm, F.lit(6.0)) + F.coalesce(vb, pv, F.lit(5.0))
+                        + F.coalesce(e, pe, F.lit(4.0))))
+    return x.select("subject_id", "stay_id", "charttime", total.alias("gcs"),
+                    F.coalesce(m, pm).alias("gcs_motor"), F.coalesce(vb, pv).alias("gcs_verbal"),
+                    F.coalesce(e, pe).alias("gcs_eyes"), F.col("endotrachflag").alias("gcs_unable"))
+
+
+@concept(group="measurement")
+def height(chartevents: DataFrame) -> DataFrame:
+    """Heights in cm; the cm item is preferred over inches x 2.54 at the same
+    (subject, charttime); keeps 120 < h < 230.  Reproduces Q1: ids and time come
+    from the cm side only, so inch-only rows carry NULL subject / stay / time."""
+    v = F.col("valuenum")
+    cm = chartevents.where(v.isNotNull() & (F.col("itemid") == I.HEIGHT_CM)).select(
+        "subject_id", "stay_id", "charttime", round_numeric(v, 2).alias("height"))
+    inch = chartevents.where(v.isNotNull() & (F.col("itemid") == I.HEIGHT_IN)).select(
+        "subject_id", "stay_id", "charttime", round_numeric(v * F.lit(2.54), 2).alias("height"))
+    j = cm.alias("h1").join(inch.alias("h2"), (F.col("h1.subject_id") == F.col("h2.subject_id"))
+                            & (F.col("h1.charttime") == F.col("h2.charttime")), "full")
+    h = F.coalesce(F.col("h1.height"), F.col("h2.height"))
+    return j.select(F.col("h1.subject_id").alias("subject_id"), F.col("h1.stay_id").alias("stay_id"),
+                    F.col("h1.charttime").alias("charttime"), h.alias("height")) \
+        .where(F.col("height").isNotNull() & (F.col("height") > 120) & (F.col("height") < 230))

@@ -57,6 +57,7 @@ DIFF_PCT = {"basophils": [51146], "eosinophils": [51200], "lymphocytes": [51244,
 DIFF_OTHER = {"atypical_lymphocytes": [51143], "bands": [51144],
               "immature_granulocytes": [52135], "metamyelocytes": [51251], "nrbc": [51257]}
 DIFF_IMPUTE_PCT_ITEMS = [51146, 51200, 51244, 51245, 51254, 51256]
+DIFF_GRANULOCYTE_COUNT = 51218  # read (selects specimens) but not output
 
 # blood gas (labevents) name: (itemid, upper clip or None); text items separate
 BG_SPECIMEN = 52033
