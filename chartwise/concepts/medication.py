@@ -71,3 +71,72 @@ def neuroblock(inputevents: DataFrame) -> DataFrame:
     return inputevents.where(F.col("itemid").isin(I.NEUROBLOCK) & F.col("rate").isNotNull()).select(
         "stay_id", "orderid", F.col("rate").alias("drug_rate"), F.col("amount").alias("drug_amount"),
         "starttime", "endtime")
+
+
+# ---------------------------------------------------------------- drug classes
+from ..config import drugs as D  # noqa: E402
+from ..functions.text import contains_any  # noqa: E402
+from ..operators.temporal import contains_join  # noqa: E402
+
+
+def match_keywords(rx: DataFrame, col: str, words, case: str = "upper",
+                   dictionary_filter=None, keys=("drug",)) -> DataFrame:
+    """Classify the distinct values of ``keys`` once (any keyword as a
+    substring), then keep the rows whose keys are in that dictionary.
+
+    The dictionary is as small as the drug vocabulary; the join back is a
+    left-semi join (rows cannot multiply), and AQE broadcasts it when its
+    runtime size is under the broadcast threshold.
+    """
+    src = rx if dictionary_filter is None else rx.where(dictionary_filter)
+    norm = F.upper(F.col(col)) if case == "upper" else F.lower(F.col(col))
+    dictionary = src.select(*keys).distinct().where(contains_any(norm, words))
+    return rx.join(dictionary, list(keys), "left_semi")
+
+
+def _drug_class(prescriptions: DataFrame, words, name: str) -> DataFrame:
+    x = match_keywords(prescriptions, "drug", words, "upper")
+    return x.select("subject_id", "hadm_id", F.col("drug").alias(name), "starttime", "stoptime")
+
+
+@concept(group="medication")
+def acei(prescriptions: DataFrame) -> DataFrame:
+    """ACE inhibitor prescriptions."""
+    return _drug_class(prescriptions, D.ACEI, "acei")
+
+
+@concept(group="medication")
+def arb(prescriptions: DataFrame) -> DataFrame:
+    """Angiotensin receptor blocker prescriptions."""
+    return _drug_class(prescriptions, D.ARB, "arb")
+
+
+@concept(group="medication")
+def nsaid(prescriptions: DataFrame) -> DataFrame:
+    """NSAID prescriptions."""
+    return _drug_class(prescriptions, D.NSAID, "nsaid")
+
+
+@concept(group="medication")
+def antibiotic(prescriptions: DataFrame, icustays: DataFrame) -> DataFrame:
+    """Systemic antibiotic prescriptions with the ICU stay they start in.
+
+    The (drug, route) dictionary excludes BASE drug types, eye / ear / topical
+    routes and creams / gels / desensitisation; prescriptions are then matched
+    on (drug, route) only, so an excluded row sharing a pair re-enters (Q11).
+    A NULL route never matches.  The stay is attached when the start lies in
+    [intime, outtime).
+    """
+    route, drug = F.col("route"), F.lower(F.col("drug"))
+    keep = (~F.col("drug_type").isin(D.ANTIBIOTIC_EXCLUDED_DRUG_TYPES)
+            & ~route.isin(D.ANTIBIOTIC_EXCLUDED_ROUTES)
+            & ~contains_any(F.lower(route), D.ANTIBIOTIC_EXCLUDED_ROUTE_WORDS)
+            & ~contains_any(drug, D.ANTIBIOTIC_EXCLUDED_DRUG_WORDS))
+    abx = match_keywords(prescriptions, "drug", D.ANTIBIOTIC, "lower", keep, keys=("drug", "route"))
+    ie = icustays.select("hadm_id", "stay_id", F.col("intime").alias("starttime"),
+                         F.col("outtime").alias("endtime"))
+    j = contains_join(abx, ie, "hadm_id", "starttime", closed="left", how="left")
+    return j.select(F.col("p.subject_id").alias("subject_id"), F.col("p.hadm_id").alias("hadm_id"),
+                    F.col("i.stay_id").alias("stay_id"), F.col("p.drug").alias("antibiotic"),
+                    F.col("p.route").alias("route"), F.col("p.starttime").alias("starttime"),
+                    F.col("p.stoptime").alias("stoptime"))
