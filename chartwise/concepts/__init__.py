@@ -1,2 +1,2 @@
 """Derived-table functions, one per concept; importing registers them."""
-from . import demographics, measurement, medication, firstday, treatment, comorbidity  # noqa: F401
+from . import demographics, measurement, medication, firstday, treatment, comorbidity, organfailure  # noqa: F401

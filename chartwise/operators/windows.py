@@ -129,3 +129,40 @@ def hours_between_ceil(start: Column, end: Column) -> Column:
 
 __all__ = ["carry_previous", "lookback", "to_validity", "hourly_spine", "align_times", "episodes",
            "bucket_to_spine", "segment_bounds", "hours", "hours_between_ceil"]
+
+
+def boundary_hour_sums(df: DataFrame, key: str, time_col: str, values: Sequence[str],
+                       max_hour_diffs: Mapping[str, int]) -> DataFrame:
+    """Per row, sums of ``values`` over rows of the same key with t' <= t
+    and at most ``d`` hour boundaries between t' and t (one output per suffix).
+
+    Equivalent to the reference's self range-join filtered on
+    ``DATETIME_DIFF(t, t', HOUR) <= d`` but linear: the rows of the d previous
+    whole hours come from an hourly pre-aggregate with a range frame over the
+    hour index, the current hour from a running sum (peers included).  A sum
+    is NULL when no non-NULL value contributes, as SQL's SUM.
+    """
+    hour = F.floor(epoch_seconds(F.col(time_col)) / 3600).cast("long")
+    x = df.withColumn("_h", hour)
+    w_in = (Window.partitionBy(key, "_h").orderBy(time_col)
+            .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    for v in values:
+        x = x.withColumn(f"_cs_{v}", F.sum(v).over(w_in)).withColumn(f"_cc_{v}", F.count(v).over(w_in))
+    hourly = x.groupBy(key, "_h").agg(*[F.sum(v).alias(f"_hs_{v}") for v in values],
+                                      *[F.count(v).alias(f"_hc_{v}") for v in values])
+    prev_cols = []
+    for suffix, d in max_hour_diffs.items():
+        w_prev = Window.partitionBy(key).orderBy("_h").rangeBetween(-d, -1)
+        for v in values:
+            prev_cols += [F.sum(f"_hs_{v}").over(w_prev).alias(f"_ps_{v}_{suffix}"),
+                          F.sum(f"_hc_{v}").over(w_prev).alias(f"_pc_{v}_{suffix}")]
+    prev = hourly.select(key, "_h", *prev_cols)
+    x = x.join(prev, [key, "_h"], "left")
+    outs = []
+    for suffix in max_hour_diffs:
+        for v in values:
+            total = F.col(f"_cs_{v}") + F.coalesce(F.col(f"_ps_{v}_{suffix}"), F.lit(0))
+            cnt = F.col(f"_cc_{v}") + F.coalesce(F.col(f"_pc_{v}_{suffix}"), F.lit(0))
+            outs.append(F.when(cnt > 0, total).alias(f"{v}_{suffix}"))
+    helper = [c for c in x.columns if c.startswith("_")]
+    return x.select(*[c for c in x.columns if c not in helper], *outs)
