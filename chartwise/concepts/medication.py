@@ -140,3 +140,44 @@ def antibiotic(prescriptions: DataFrame, icustays: DataFrame) -> DataFrame:
                     F.col("i.stay_id").alias("stay_id"), F.col("p.drug").alias("antibiotic"),
                     F.col("p.route").alias("route"), F.col("p.starttime").alias("starttime"),
                     F.col("p.stoptime").alias("stoptime"))
+
+
+# ---------------------------------------------------------------- timelines
+from ..functions.numeric import round_numeric  # noqa: E402
+from ..operators.windows import segment_intervals  # noqa: E402
+
+
+@concept(group="medication")
+def vasoactive_agent(dobutamine: DataFrame, dopamine: DataFrame, epinephrine: DataFrame,
+                     norepinephrine: DataFrame, phenylephrine: DataFrame, vasopressin: DataFrame,
+                     milrinone: DataFrame) -> DataFrame:
+    """Consecutive segments between all infusion start / end times per stay,
+    with the rate of every drug infusion containing the segment (P15; Q8)."""
+    frames = {"dobutamine": dobutamine, "dopamine": dopamine, "epinephrine": epinephrine,
+              "norepinephrine": norepinephrine, "phenylephrine": phenylephrine,
+              "vasopressin": vasopressin, "milrinone": milrinone}
+    seg = segment_intervals(frames, "stay_id", "vaso_rate")
+    return seg.select("stay_id", "starttime", "endtime", "dopamine", "epinephrine", "norepinephrine",
+                      "phenylephrine", "vasopressin", "dobutamine", "milrinone")
+
+
+def linear_dose(terms) -> "F.Column":
+    """Weighted sum with NULL terms counted as 0 (terms already weighted)."""
+    out = None
+    for t in terms:
+        c = F.coalesce(t, F.lit(0.0))
+        out = c if out is None else out + c
+    return out
+
+
+@concept(group="medication")
+def norepinephrine_equivalent_dose(vasoactive_agent: DataFrame) -> DataFrame:
+    """Norepinephrine-equivalent dose of each segment with any vasopressor:
+    nor + epi + phe / 10 + dop / 100 + vas * 2.5 / 60 (units/hour), rounded to 4."""
+    c = F.col
+    dose = linear_dose([c("norepinephrine"), c("epinephrine"), c("phenylephrine") / F.lit(10.0),
+                        c("dopamine") / F.lit(100.0), c("vasopressin") * F.lit(2.5) / F.lit(60.0)])
+    any_drug = (c("norepinephrine").isNotNull() | c("epinephrine").isNotNull() | c("phenylephrine").isNotNull()
+                | c("dopamine").isNotNull() | c("vasopressin").isNotNull())
+    return vasoactive_agent.where(any_drug).select(
+        "stay_id", "starttime", "endtime", round_numeric(dose, 4).alias("norepinephrine_equivalent_dose"))

@@ -166,3 +166,38 @@ def boundary_hour_sums(df: DataFrame, key: str, time_col: str, values: Sequence[
             outs.append(F.when(cnt > 0, total).alias(f"{v}_{suffix}"))
     helper = [c for c in x.columns if c.startswith("_")]
     return x.select(*[c for c in x.columns if c not in helper], *outs)
+
+
+def segment_intervals(frames: Mapping[str, DataFrame], key: str, value_col: str,
+                      start_col: str = "starttime", end_col: str = "endtime") -> DataFrame:
+    """Timeline segmentation with per-source values.
+
+    All distinct start / end times of all sources (NULL included, ordered
+    first) become numbered boundaries per key; consecutive boundaries form
+    segments [t_k, t_k+1].  Each source interval is mapped to the ordinals of
+    its start and end by equi-joins and exploded to the segment ordinals it
+    contains, then every source is LEFT-joined on (key, ordinal).  Work is
+    linear in (segments + matched segment x interval pairs) - no range join;
+    several intervals of one source covering a segment multiply its rows, as
+    the reference's containment joins do.
+    """
+    pts = None
+    for f in frames.values():
+        x = f.select(key, F.col(start_col).alias("_t")).union(f.select(key, F.col(end_col).alias("_t")))
+        pts = x if pts is None else pts.union(x)
+    pts = pts.distinct()
+    w = Window.partitionBy(key).orderBy(F.col("_t").asc_nulls_first())
+    pts = pts.select(key, "_t", F.row_number().over(w).alias("_k"), F.lead("_t").over(w).alias("_next"))
+    out = pts.where(F.col("_next").isNotNull()).select(
+        key, "_k", F.col("_t").alias(start_col), F.col("_next").alias(end_col))
+    ords = pts.where(F.col("_t").isNotNull()).select(key, "_t", "_k")
+    for name, f in frames.items():
+        s = ords.select(key, F.col("_t").alias("_s"), F.col("_k").alias("_ks"))
+        e = ords.select(key, F.col("_t").alias("_e"), F.col("_k").alias("_ke"))
+        iv = (f.select(key, F.col(start_col).alias("_s"), F.col(end_col).alias("_e"),
+                       F.col(value_col).alias(name))
+              .join(s, [key, "_s"], "inner").join(e, [key, "_e"], "inner"))
+        covered = iv.select(key, name, F.explode(
+            F.when(F.col("_ke") - 1 >= F.col("_ks"), F.sequence("_ks", F.col("_ke") - 1))).alias("_k"))
+        out = out.join(covered, [key, "_k"], "left")
+    return out.drop("_k")
