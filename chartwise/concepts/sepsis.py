@@ -84,3 +84,33 @@ def suspicion_of_infection(antibiotic: DataFrame, microbiologyevents: DataFrame)
         F.coalesce("last72_charttime", "next24_charttime").alias("culture_time"),
         F.coalesce("last72_specimen", "next24_specimen").alias("specimen"),
         F.coalesce("last72_positiveculture", "next24_positiveculture").alias("positive_culture"))
+
+
+@concept(group="sepsis")
+def sepsis3(sofa: DataFrame, suspicion_of_infection: DataFrame) -> DataFrame:
+    """The earliest suspected infection per stay with a SOFA >= 2 hour
+    ending in [suspicion - 48 h, suspicion + 24 h] (``sepsis3`` is always TRUE, Q15).
+
+    SOFA rows end on whole hours, so each suspicion is exploded to the (at most
+    73) whole hours of its window and equi-joined on (stay, endtime).
+    """
+    s = sofa.where(F.col("sofa_24hours") >= 2).select(
+        "stay_id", "endtime", F.col("respiration_24hours").alias("respiration"),
+        F.col("coagulation_24hours").alias("coagulation"), F.col("liver_24hours").alias("liver"),
+        F.col("cardiovascular_24hours").alias("cardiovascular"), F.col("cns_24hours").alias("cns"),
+        F.col("renal_24hours").alias("renal"), F.col("sofa_24hours").alias("sofa_score"))
+    st = F.col("suspected_infection_time")
+    lo = (F.ceil(epoch_seconds(st - hours(48)) / 3600)).cast("long")
+    hi = (F.floor(epoch_seconds(st + hours(24)) / 3600)).cast("long")
+    soi = suspicion_of_infection.where(F.col("stay_id").isNotNull() & st.isNotNull()).select(
+        "subject_id", "stay_id", "ab_id", "antibiotic_time", "culture_time", "suspected_infection",
+        "suspected_infection_time", F.explode(F.sequence(lo, hi)).alias("_h"))
+    s = s.withColumn("_h", (epoch_seconds("endtime") / 3600).cast("long"))
+    j = soi.join(s, ["stay_id", "_h"], "inner")
+    best = top1(j, ["stay_id"], [F.col("suspected_infection_time"), F.col("antibiotic_time").asc_nulls_first(),
+                                 F.col("culture_time").asc_nulls_first(), F.col("endtime"), F.col("ab_id")])
+    return best.select(
+        "subject_id", "stay_id", "antibiotic_time", "culture_time", "suspected_infection_time",
+        F.col("endtime").alias("sofa_time"), "sofa_score", "respiration", "coagulation", "liver",
+        "cardiovascular", "cns", "renal",
+        ((F.col("sofa_score") >= 2) & (F.col("suspected_infection") == 1)).alias("sepsis3"))
