@@ -165,3 +165,14 @@ def override_by_interval(points: DataFrame, intervals: DataFrame, key: str, time
 def seconds_between(a: Column, b: Column) -> Column:
     """a - b in whole seconds (zone-free inputs)."""
     return epoch_seconds(a) - epoch_seconds(b)
+
+
+def text_event_window(anchor: DataFrame, events: DataFrame, key: str, match: Column,
+                      lo: Column, hi: Column, before_seconds: int, after_seconds: int) -> DataFrame:
+    """Per key, [first matching event - before, last matching event + after],
+    over events in [lo, hi] of the anchor (``a``/``e`` aliases)."""
+    j = anchor.alias("a").join(events.alias("e"), (F.col(f"a.{key}") == F.col(f"e.{key}"))
+                               & (F.col("e.charttime") >= lo) & (F.col("e.charttime") <= hi), "inner")
+    return j.where(match).groupBy(F.col(f"a.{key}").alias(key)).agg(
+        F.min(F.col("e.charttime") - F.make_dt_interval(secs=F.lit(before_seconds))).alias("starttime"),
+        F.max(F.col("e.charttime") + F.make_dt_interval(secs=F.lit(after_seconds))).alias("endtime"))
