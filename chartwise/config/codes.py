@@ -132,3 +132,32 @@ CHARLSON = {
 # Charlson age points: upper bounds (inclusive) of age bands, points by band
 CHARLSON_AGE_BANDS = [(50, 0), (60, 1), (70, 2), (80, 3)]
 CHARLSON_AGE_ELSE = 4
+
+# SAPS-II chronic disease classes (checked in order: aids 17, hem 10, mets 9)
+SAPSII_COMORBIDITY = {
+    "aids": [
+        (9, 3, "between", ("042", "044")),
+        (10, 3, "between", ("B20", "B22")),
+        (10, 3, "in", ["B24"]),
+    ],
+    "hem": [
+        (9, 5, "between", ("20000", "20238")),
+        (9, 5, "between", ("20240", "20248")),
+        (9, 5, "between", ("20250", "20302")),
+        (9, 5, "between", ("20310", "20312")),
+        (9, 5, "between", ("20302", "20382")),
+        (9, 5, "between", ("20400", "20522")),
+        (9, 5, "between", ("20580", "20702")),
+        (9, 5, "between", ("20720", "20892")),
+        (9, 4, "in", ["2386", "2733"]),
+        (10, 3, "between", ("C81", "C96")),
+    ],
+    "mets": [
+        (9, 4, "between", ("1960", "1991")),
+        (9, 5, "between", ("20970", "20975")),
+        (9, 5, "in", ["20979", "78951"]),
+        (10, 3, "between", ("C77", "C79")),
+        (10, 4, "in", ["C800"]),
+    ],
+}
+SAPSII_COMORBIDITY_POINTS = [("aids", 17), ("hem", 10), ("mets", 9)]
