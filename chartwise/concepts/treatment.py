@@ -11,7 +11,7 @@ from ..config import treatment as T
 from ..functions.time import boundary_diff
 from ..operators.pivot import ItemSpec, pivot_items
 from ..operators.temporal import contains_join, override_by_interval, top1
-from ..operators.windows import align_times
+from ..operators.windows import align_times, state_episodes
 from ..plans.registry import concept
 
 
@@ -109,25 +109,7 @@ def ventilation(ventilator_setting: DataFrame, oxygen_delivery: DataFrame) -> Da
                  _ventilation_status(F.col("o2_delivery_device_1"), F.col("ventilator_mode"),
                                      F.col("ventilator_mode_hamilton")).alias("status")) \
         .where(F.col("status").isNotNull())
-    w = Window.partitionBy("stay_id").orderBy("charttime")
-    w_state = Window.partitionBy("stay_id", "status").orderBy("charttime")
-    x = x.select("stay_id", "charttime", "status",
-                 F.lag("charttime").over(w_state).alias("t_lag"),
-                 F.lead("charttime").over(w).alias("t_lead"),
-                 F.lag("status").over(w).alias("status_lag"))
-    new = (F.col("status_lag").isNull()
-           | (boundary_diff("HOUR", F.col("charttime"), F.col("t_lag")) >= T.VENT_GAP_HOURS)
-           | (F.col("status_lag") != F.col("status")))
-    x = x.withColumn("seq", F.sum(F.when(new, 1).otherwise(0)).over(
-        w.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
-    end = F.when(F.col("t_lead").isNull()
-                 | (boundary_diff("HOUR", F.col("t_lead"), F.col("charttime")) >= T.VENT_GAP_HOURS),
-                 F.col("charttime")).otherwise(F.col("t_lead"))
-    ep = x.groupBy("stay_id", "seq").agg(F.min("charttime").alias("starttime"), F.max(end).alias("endtime"),
-                                         F.max("status").alias("ventilation_status"),
-                                         F.max("charttime").alias("_last"))
-    return ep.where(F.col("starttime") != F.col("_last")) \
-        .select("stay_id", "starttime", "endtime", "ventilation_status")
+    return state_episodes(x, "stay_id", "charttime", "status", T.VENT_GAP_HOURS, "ventilation_status")
 
 
 @concept(group="treatment")

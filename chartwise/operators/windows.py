@@ -201,3 +201,35 @@ def segment_intervals(frames: Mapping[str, DataFrame], key: str, value_col: str,
             F.when(F.col("_ke") - 1 >= F.col("_ks"), F.sequence("_ks", F.col("_ke") - 1))).alias("_k"))
         out = out.join(covered, [key, "_k"], "left")
     return out.drop("_k")
+
+
+def state_episodes(df: DataFrame, key: str, time_col: str, state_col: str, gap_hours: int,
+                   out_state: str = "state") -> DataFrame:
+    """Sessionise a (key, time, state) series into episodes.
+
+    A new episode starts at the first row, on a change of state, or when
+    >= ``gap_hours`` hour boundaries passed since the previous row of the same
+    state; an episode ends at the next row's time unless that is >= gap hours
+    away (then at its own last time); episodes with a single time are dropped.
+    Input rows must be unique per (key, time).  Windows only (lag / lead /
+    running sum) and one grouping - no self-join.
+    """
+    from ..functions.time import boundary_diff
+
+    t = F.col(time_col)
+    w = Window.partitionBy(key).orderBy(time_col)
+    w_state = Window.partitionBy(key, state_col).orderBy(time_col)
+    x = df.select(key, time_col, state_col,
+                  F.lag(time_col).over(w_state).alias("_t_lag"),
+                  F.lead(time_col).over(w).alias("_t_lead"),
+                  F.lag(state_col).over(w).alias("_s_lag"))
+    new = (F.col("_s_lag").isNull()
+           | (boundary_diff("HOUR", t, F.col("_t_lag")) >= gap_hours)
+           | (F.col("_s_lag") != F.col(state_col)))
+    x = x.withColumn("_seq", F.sum(F.when(new, 1).otherwise(0)).over(
+        w.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
+    end = F.when(F.col("_t_lead").isNull() | (boundary_diff("HOUR", F.col("_t_lead"), t) >= gap_hours), t) \
+        .otherwise(F.col("_t_lead"))
+    ep = x.groupBy(key, "_seq").agg(F.min(time_col).alias("starttime"), F.max(end).alias("endtime"),
+                                    F.max(state_col).alias(out_state), F.max(time_col).alias("_last"))
+    return ep.where(F.col("starttime") != F.col("_last")).select(key, "starttime", "endtime", out_state)

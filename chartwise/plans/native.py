@@ -1,16 +1,381 @@
-"""Operator queries on the supplied tables (P01-P38), registered by name."""
+"""Operator queries on the supplied tables (P01-P38), registered by name.
+
+Each reusable operator of :mod:`chartwise.operators` is exercised directly on
+``events`` (and ``orders`` / ``lineitem`` / ``part`` / ``customer``), so its
+work grows with the input.  Event times are truncated to the minute so that
+epoch-second frames and interval joins agree exactly with the SQL oracle;
+ties at one minute are broken by ``event_id``.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions.numeric import round_numeric
+from ..functions.text import contains_any
+from ..functions.time import ceil_hour, days, hours, trunc_ntz
+from ..operators import pivot as P
+from ..operators import scores as S
+from ..operators import temporal as TJ
+from ..operators import windows as W
+from ..operators.codes import code_flags, hierarchical_weight
+from ..sources.parquet import read_table
 
 NATIVE: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
+# FIXED VALUES for the operator demonstrations (not clinical data)
+PART_KEYWORDS = ["red", "bolt", "steel"]
+SEGMENT_SYNONYMS = [(["AUTOMOBILE", "MACHINERY"], "INDUSTRIAL"), (["HOUSEHOLD", "FURNITURE"], "HOME")]
+PART_RULES = {
+    "brand_1x": [(1, 7, "in", ["Brand#1"])],
+    "type_a_to_m": [(1, 1, "between", ("A", "M"))],
+}
+PROPS_PATTERN = '"k": 1'
+
 
 def native(name: str):
     def deco(fn):
         NATIVE[name] = fn
         return fn
     return deco
+
+
+def events_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = read_table(spark, sf_dir, "events")
+    return e.select("event_id", "user_id", "event_type", "value", "props",
+                    trunc_ntz("MINUTE", F.col("ts")).alias("t"))
+
+
+@native("daily_event_pivot")
+def daily_event_pivot(spark, sf_dir):
+    """Events per user x day pivoted by type with clips and a scaled unit."""
+    e = events_minute(spark, sf_dir).withColumn("day", trunc_ntz("DAY", F.col("t")))
+    specs = {
+        "click_max": P.ItemSpec(["click"], value="value", agg="max", lo=0, hi=300),
+        "view_avg": P.ItemSpec(["view"], value="value", agg="avg", hi=200, strict_hi=False),
+        "purchase_cents": P.ItemSpec(["purchase"], value="value", agg="sum",
+                                     transform=lambda v: v * F.lit(100.0)),
+        "signup_min": P.ItemSpec(["signup"], value="value", agg="min"),
+        "error_max": P.ItemSpec(["error"], value="value", agg="max", lo=10, hi=300, strict_hi=False),
+    }
+    return P.pivot_items(e, ["user_id", "day"], specs, item_col="event_type")
+
+
+@native("first_signup_window")
+def first_signup_window(spark, sf_dir):
+    """Events in [first signup - 6 h, first signup + 1 d] per user."""
+    e = events_minute(spark, sf_dir)
+    anchor = e.where(F.col("event_type") == "signup").groupBy("user_id").agg(F.min("t").alias("anchor_time"))
+    return TJ.agg_in_window(anchor, e, "user_id", "t", F.col("a.anchor_time") - hours(6),
+                            F.col("a.anchor_time") + days(1),
+                            [F.min("e.value").alias("value_min"), F.max("e.value").alias("value_max"),
+                             F.avg("e.value").alias("value_avg"), F.sum("e.value").alias("value_sum")],
+                            ["user_id", "anchor_time"])
+
+
+def _order_intervals(spark, sf_dir):
+    o = read_table(spark, sf_dir, "orders")
+    start = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval((F.col("o_orderkey") % 30).cast("int"))
+    end = start + days(1) + F.make_dt_interval(F.lit(0), (F.col("o_orderkey") % 24).cast("int"))
+    return o.select("o_orderkey", F.col("o_custkey").alias("user_id"), start.alias("starttime"), end.alias("endtime"))
+
+
+@native("order_window_events")
+def order_window_events(spark, sf_dir):
+    """Events of the order's customer inside [start, end] with the three
+    closure modes as flags.  Orders are exploded to the (<= 3) days they span so
+    the join is an equi-join on (user, day) plus the containment test."""
+    e = events_minute(spark, sf_dir).withColumn("_d", F.to_date("t"))
+    iv = _order_intervals(spark, sf_dir)
+    iv = iv.select("*", F.explode(F.sequence(F.to_date("starttime"), F.to_date("endtime"))).alias("_d"))
+    j = e.join(iv, ["user_id", "_d"], "inner")
+    t, s, en = F.col("t"), F.col("starttime"), F.col("endtime")
+    j = j.where(TJ.between_closed(t, s, en, "both"))
+    return j.select("o_orderkey", "event_id", "user_id", "t",
+                    TJ.between_closed(t, s, en, "left").alias("in_left_closed"),
+                    TJ.between_closed(t, s, en, "right").alias("in_right_closed"),
+                    TJ.between_closed(t, s, en, "neither").alias("in_open"))
+
+
+@native("asof_view_before_purchase")
+def asof_view_before_purchase(spark, sf_dir):
+    """The latest view of the same user within 2 h before each purchase."""
+    e = events_minute(spark, sf_dir)
+    purchases = e.where(F.col("event_type") == "purchase").select("user_id", "event_id", "t")
+    views = e.where(F.col("event_type") == "view").select(
+        "user_id", F.col("t").alias("view_time"), F.col("event_id").alias("view_id"),
+        F.col("value").alias("view_value"))
+    return TJ.asof_within(purchases, views, "user_id", "t", "view_time", 2 * 3600,
+                          ["view_id", "view_value"], tiebreak=[F.col("view_id")])
+
+
+@native("purchase_error_match")
+def purchase_error_match(spark, sf_dir):
+    """P07 + P26: earliest error in the 72 h before each purchase (errors with an
+    even value in cents are date-only: error day in [purchase day - 3, day])."""
+    e = events_minute(spark, sf_dir)
+    pur = e.where(F.col("event_type") == "purchase").select("user_id", "event_id", "t",
+                                                            trunc_ntz("DAY", F.col("t")).alias("day"))
+    err = e.where(F.col("event_type") == "error").select(
+        "user_id", F.col("event_id").alias("error_id"), F.col("t").alias("error_time"),
+        (F.round(F.col("value") * 100).cast("long") % 2 == 0).alias("date_only"))
+    timed = TJ.match_window(pur, err.where(~F.col("date_only")), "user_id", F.col("a.t"), F.col("b.error_time"),
+                            72 * 3600, 0, ["event_id"], [F.col("b.error_time"), F.col("b.error_id")], how="inner")
+    timed = timed.where(F.col("b.error_time") < F.col("a.t")).select(
+        F.col("a.event_id").alias("event_id"), F.col("b.error_id").alias("error_id"),
+        F.col("b.error_time").alias("match_time"))
+    dated = TJ.match_window(pur, err.where(F.col("date_only")).withColumn("eday", trunc_ntz("DAY", F.col("error_time"))),
+                            "user_id", F.col("a.day"), F.col("b.eday"), 3 * 86400, 0, ["event_id"],
+                            [F.col("b.eday"), F.col("b.error_id")], how="inner") \
+        .select(F.col("a.event_id").alias("event_id"), F.col("b.error_id").alias("error_id"),
+                F.col("b.eday").alias("match_time"))
+    both = timed.unionByName(dated)
+    best = TJ.top1(both, ["event_id"], [F.col("match_time"), F.col("error_id")])
+    return pur.select("user_id", "event_id", "t").join(best, "event_id", "left")
+
+
+def _episodes(e):
+    per_t = e.groupBy("user_id", "t").agg(F.max("event_type").alias("state"))
+    return W.state_episodes(per_t, "user_id", "t", "state", 14)
+
+
+@native("event_type_episodes")
+def event_type_episodes(spark, sf_dir):
+    """Episodes of an equal event type with a 14 h gap limit."""
+    return _episodes(events_minute(spark, sf_dir))
+
+
+@native("episode_first_day_flag")
+def episode_first_day_flag(spark, sf_dir):
+    """Did any episode (P14) start in, end in or span the user's first day."""
+    e = events_minute(spark, sf_dir)
+    first = e.groupBy("user_id").agg(F.min("t").alias("first_time"))
+    return TJ.overlap_flag(first, _episodes(e), "user_id", F.col("a.first_time"),
+                           F.col("a.first_time") + days(1), ["user_id"], "touches_first_day")
+
+
+@native("lookback_min_48h")
+def lookback_min_48h(spark, sf_dir):
+    """Minimum value of the user's strictly earlier events in the last 48 h."""
+    e = events_minute(spark, sf_dir).select("user_id", "event_id", "t", "value")
+    return W.lookback(e, "user_id", "t", {"value_min_48h": F.min("value")}, 48 * 3600, False)
+
+
+@native("trailing_sums")
+def trailing_sums(spark, sf_dir):
+    """P10: trailing 6 / 12 / 24 h value sums per user (current minute included)."""
+    e = events_minute(spark, sf_dir).select("user_id", "event_id", "t", "value")
+    for h in (6, 12, 24):
+        e = W.lookback(e, "user_id", "t", {f"value_sum_{h}h": F.sum("value")}, h * 3600, True)
+    return e
+
+
+@native("boundary_hour_sums")
+def boundary_hour_sums(spark, sf_dir):
+    """Sums over earlier-or-equal events at most 5 / 11 hour boundaries back."""
+    e = events_minute(spark, sf_dir).select("user_id", "event_id", "t", "value")
+    return W.boundary_hour_sums(e, "user_id", "t", ["value"], {"6hr": 5, "12hr": 11})
+
+
+@native("hourly_spine_minmax")
+def hourly_spine_minmax(spark, sf_dir):
+    """P17 + P12: hourly spine per user (24 h lead-in) with min / max value per hour."""
+    from ..functions.time import boundary_diff
+    e = events_minute(spark, sf_dir)
+    span = e.groupBy("user_id").agg(F.min("t").alias("t0"), F.max("t").alias("t1"))
+    spine = W.hourly_spine(span, "user_id", F.col("t0"), boundary_diff("HOUR", F.col("t1"), F.col("t0")), 24)
+    return W.bucket_to_spine(spine, e, "user_id", "t", [F.min("value").alias("value_min"),
+                                                          F.max("value").alias("value_max")])
+
+
+@native("carry_previous_value")
+def carry_previous_value(spark, sf_dir):
+    """The previous event's value of the same user when less than 6 h older."""
+    e = events_minute(spark, sf_dir).select("user_id", "event_id", "t", "value")
+    return W.carry_previous(e, "user_id", [F.col("t"), F.col("event_id")], "t", ["value"], 6 * 3600)
+
+
+def _type_intervals(e):
+    return e.select("user_id", "event_type", F.col("t").alias("starttime"),
+                    (F.col("t") + F.make_dt_interval(F.lit(0), F.lit(0), F.floor("value").cast("int")))
+                    .alias("endtime"), "value")
+
+
+@native("event_type_segments")
+def event_type_segments(spark, sf_dir):
+    """Per user, segments between all interval ends of five event types with
+    the value of each type's interval containing the segment."""
+    iv = _type_intervals(events_minute(spark, sf_dir))
+    frames = {t: iv.where(F.col("event_type") == t) for t in ["click", "error", "purchase", "signup", "view"]}
+    return W.segment_intervals(frames, "user_id", "value")
+
+
+@native("union_event_times")
+def union_event_times(spark, sf_dir):
+    """Union of click and view times per user with each type's value there."""
+    e = events_minute(spark, sf_dir)
+    c = e.where(F.col("event_type") == "click").groupBy("user_id", "t").agg(F.max("value").alias("click_value"))
+    v = e.where(F.col("event_type") == "view").groupBy("user_id", "t").agg(F.max("value").alias("view_value"))
+    tm = W.align_times([c, v], "user_id", "t")
+    return tm.join(c, ["user_id", "t"], "left").join(v, ["user_id", "t"], "left")
+
+
+@native("value_validity")
+def value_validity(spark, sf_dir):
+    """Signup values as validity intervals [t, next t), the last one ending 2 h
+    after the user's last event; a leading gap from the user's first event is
+    back-filled with the first value."""
+    e = events_minute(spark, sf_dir)
+    span = e.groupBy("user_id").agg(F.min("t").alias("t0"), F.max("t").alias("t1"))
+    obs = e.where(F.col("event_type") == "signup").select("user_id", F.col("t").alias("starttime"), "value",
+                                                          "event_id").join(span, "user_id")
+    order = [F.col("starttime"), F.col("event_id")]
+    x = W.to_validity(obs, "user_id", "starttime", order, F.col("t1") + hours(2))
+    first = TJ.top1(x, ["user_id"], order)
+    fix = first.where(F.col("t0") < F.col("starttime")).select(
+        "user_id", F.col("t0").alias("starttime"), F.col("starttime").alias("endtime"), "value")
+    return x.select("user_id", "starttime", "endtime", "value").unionByName(fix)
+
+
+@native("lineitem_ladders")
+def lineitem_ladders(spark, sf_dir):
+    """Threshold ladders on per-order quantity / price extremes,
+    the furthest-from-normal choice, a two-dimensional discount x tax table,
+    hierarchical weights, a NULL-as-normal total and its logistic."""
+    li = read_table(spark, sf_dir, "lineitem")
+    o = li.groupBy("l_orderkey").agg(
+        F.min("l_quantity").alias("qty_min"), F.max("l_quantity").alias("qty_max"),
+        F.max("l_discount").alias("disc_max"), F.max("l_tax").alias("tax_max"),
+        F.max(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).alias("returned"),
+        F.max(F.when(F.col("l_linestatus") == "O", 1).otherwise(0)).alias("open_line"))
+    c = F.col
+
+    def qty_ladder(x):
+        return S.ladder([(x < 5, 4), (x < 15, 2), (x < 35, 0), (x < 45, 1)], x.isNull(), default=3)
+
+    o = o.withColumn("qty_score", S.worst_of(c("qty_min"), c("qty_max"), 25.0, qty_ladder(c("qty_min")),
+                                             qty_ladder(c("qty_max"))))
+    d, t = c("disc_max"), c("tax_max")
+    o = o.withColumn("disc_tax_score", F.when(d.isNull() | t.isNull(), None)
+                     .when(d < 0.03, F.when(t < 0.04, 0).otherwise(2))
+                     .when(d < 0.07, F.when(t < 0.02, 1).when(t < 0.06, 3).otherwise(5))
+                     .otherwise(F.when(t < 0.04, 4).otherwise(6)))
+    o = o.withColumn("status_weight", hierarchical_weight(c("open_line"), c("returned"), 1, 3))
+    o = o.withColumn("total", S.total([c("qty_score"), c("disc_tax_score"), c("status_weight")]))
+    return o.withColumn("prob", S.logistic(F.lit(-3.0) + F.lit(0.25) * c("total")))
+
+
+@native("order_part_flags")
+def order_part_flags(spark, sf_dir):
+    """P23 + P27: per order, part brand / type rule flags and the customer's
+    market segment merged by synonyms."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    part = read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_type")
+    dx = li.join(part, "l_partkey", "inner").select(
+        F.col("l_orderkey").alias("o_orderkey"), F.lit(1).alias("v"), "p_brand", "p_type")
+    brand = dx.select("o_orderkey", F.col("p_brand").alias("code"), "v")
+    ptype = dx.select("o_orderkey", F.col("p_type").alias("code"), "v")
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    cust = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
+    from ..concepts.treatment import map_labels
+    base = orders.join(cust, "o_custkey", "left").select(
+        "o_orderkey", map_labels(F.col("c_mktsegment"), SEGMENT_SYNONYMS).alias("segment_group"))
+    x = code_flags(base, brand, "o_orderkey", {"brand_1x": PART_RULES["brand_1x"]}, "code", "v")
+    return code_flags(x, ptype, "o_orderkey", {"type_a_to_m": PART_RULES["type_a_to_m"]}, "code", "v")
+
+
+@native("part_name_keywords")
+def part_name_keywords(spark, sf_dir):
+    """Line items whose part name contains a keyword (distinct names
+    classified once, semi-join back)."""
+    from ..concepts.medication import match_keywords
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    part = read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
+    x = li.join(part, "l_partkey", "inner")
+    return match_keywords(x, "p_name", PART_KEYWORDS, case="lower", keys=("p_name",))
+
+
+@native("props_pattern_window")
+def props_pattern_window(spark, sf_dir):
+    """Per user, first matching event - 1 h .. last + 4 h, over events in the
+    user's first day whose props text contains a pattern."""
+    e = events_minute(spark, sf_dir)
+    first = e.groupBy("user_id").agg(F.min("t").alias("first_time"))
+    return TJ.text_event_window(first, e.withColumn("charttime", F.col("t")), "user_id",
+                                F.col("e.props").contains(PROPS_PATTERN), F.col("a.first_time"),
+                                F.col("a.first_time") + days(1), 3600, 4 * 3600)
+
+
+@native("top_event_per_user")
+def top_event_per_user(spark, sf_dir):
+    """P25: each user's highest-value event (ties: earliest, then lowest id)."""
+    e = events_minute(spark, sf_dir).select("user_id", "event_id", "event_type", "value", "t")
+    return TJ.top1(e, ["user_id"], [F.col("value").desc(), F.col("t"), F.col("event_id")])
+
+
+@native("first_four_event_types")
+def first_four_event_types(spark, sf_dir):
+    """The first four event types of each user x day as columns."""
+    e = events_minute(spark, sf_dir).withColumn("day", trunc_ntz("DAY", F.col("t")))
+    return P.pivot_ordinal(e, ["user_id", "day"], [F.col("t"), F.col("event_id")], "event_type", 4, "type_")
+
+
+def _daily(spark, sf_dir):
+    e = events_minute(spark, sf_dir).withColumn("day", trunc_ntz("DAY", F.col("t")))
+    return e.groupBy("user_id", "day").agg(
+        F.sum(F.when(F.col("event_type") == "purchase", F.col("value"))).alias("purchase_total"),
+        F.avg(F.when(F.col("event_type") == "click", F.col("value"))).alias("click_pct"),
+        F.max(F.when(F.col("event_type") == "view", F.col("value"))).alias("view_max"),
+        F.max(F.when(F.col("event_type") == "click", F.col("value"))).alias("click_max"),
+        F.max(F.when(F.col("event_type") == "purchase", F.col("value"))).alias("purchase_max"))
+
+
+@native("daily_ratio_and_dose")
+def daily_ratio_and_dose(spark, sf_dir):
+    """P31 + P34 + P36: per user x day, an absolute value imputed from a
+    percentage of a total when missing, and a weighted NULL-as-0 sum rounded
+    as a decimal."""
+    d = _daily(spark, sf_dir)
+    c = F.col
+    imputed = P.impute_from_ratio(c("purchase_total"), c("click_pct") / F.lit(5.0), c("view_max"),
+                                  c("purchase_total") > 0)
+    from ..concepts.medication import linear_dose
+    dose = linear_dose([c("click_max"), c("view_max") / F.lit(10.0), c("purchase_max") * F.lit(2.5) / F.lit(60.0)])
+    return d.select("user_id", "day", round_numeric(imputed, 4).alias("view_imputed"),
+                    round_numeric(dose, 4).alias("weighted_dose"))
+
+
+@native("merge_click_view")
+def merge_click_view(spark, sf_dir):
+    """Full outer merge of click and view values per (user, minute),
+    click preferred."""
+    e = events_minute(spark, sf_dir)
+    c = e.where(F.col("event_type") == "click").groupBy("user_id", "t").agg(F.max("value").alias("value"))
+    v = e.where(F.col("event_type") == "view").groupBy("user_id", "t").agg(F.max("value").alias("value"))
+    return TJ.merge_sources(c, v, ["user_id", "t"], ["value"])
+
+
+@native("interval_override")
+def interval_override(spark, sf_dir):
+    """Error points united with purchase interval starts; a containing
+    purchase interval's value overrides the point's."""
+    e = events_minute(spark, sf_dir)
+    pts = e.where(F.col("event_type") == "error").select("user_id", "t", "value")
+    iv = _type_intervals(e.where(F.col("event_type") == "purchase")).select("user_id", "starttime", "endtime", "value")
+    return TJ.override_by_interval(pts, iv, "user_id", "t", ["value"])
+
+
+@native("build_chain")
+def build_chain(spark, sf_dir):
+    """Build chartevents -> vitalsign -> first_day_vitalsign through the
+    registry with the shared node materialised, and return the last node."""
+    from ..sources import Sources
+    from .registry import build
+    out = build(Sources.from_events(spark, sf_dir), ["vitalsign", "first_day_vitalsign"])
+    return out["first_day_vitalsign"]
+
+
+_ = (ceil_hour, contains_any, Window)

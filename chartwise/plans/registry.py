@@ -108,7 +108,9 @@ def build(sources, targets: Iterable[str] | None = None, sink: str | None = None
     _load_all()
     targets = list(targets) if targets is not None else sorted(REGISTRY)
     order = dependencies(targets)
-    consumers: dict[str, int] = {n: 0 for n in order}
+    # a node is worth materialising when it is read twice: by two consumers, or
+    # returned to the caller and also consumed downstream
+    consumers: dict[str, int] = {n: (1 if n in targets else 0) for n in order}
     for n in order:
         for i in REGISTRY[n].inputs:
             if i in consumers:
