@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import adapters
 from .parquet import read_table, SUPPLIED_TABLES
+from .store import source_key, stored
 
 BASE_TABLES = (
     "patients", "admissions", "diagnoses_icd", "labevents", "prescriptions",
@@ -54,8 +55,13 @@ class Sources:
         return cls(spark, {k: (lambda v=v: v) for k, v in tables.items()})
 
     @classmethod
-    def from_events(cls, spark: SparkSession, sf_dir: str) -> "Sources":
-        """MIMIC-shaped adapter views over ``{sf_dir}/events.parquet``."""
+    def from_events(cls, spark: SparkSession, sf_dir: str, materialize: bool = True) -> "Sources":
+        """MIMIC-shaped adapter views over ``{sf_dir}/events.parquet``.
+
+        With ``materialize`` (default) each view is written once per session to
+        the shared store (clustered by itemid, see :mod:`.store`) and read back,
+        as a deployment would hold its base tables.
+        """
         holder: dict[str, DataFrame] = {}
 
         def events():
@@ -90,6 +96,22 @@ class Sources:
             "services": lambda: adapters.services(users()),
             "diagnoses_icd": lambda: adapters.diagnoses_icd(users()),
         }
+        if materialize:
+            key = source_key(sf_dir, ["events.parquet"])
+            for name in list(factories):
+                cluster, order = _LAYOUT.get(name, ((), ()))
+                factories[name] = (lambda n=name, f=factories[name], c=cluster, o=order:
+                                   stored(spark, key, n, f, c, o))
         for name in SUPPLIED_TABLES:
             factories.setdefault(name, (lambda n=name: read_table(spark, sf_dir, n)))
         return cls(spark, factories)
+
+
+# physical layout of the stored views: (range-cluster columns, sort columns)
+_LAYOUT = {
+    "chartevents": (("itemid",), ("itemid", "stay_id", "charttime")),
+    "labevents": (("itemid",), ("itemid", "subject_id", "charttime")),
+    "outputevents": (("itemid",), ("itemid", "stay_id", "charttime")),
+    "inputevents": (("itemid",), ("itemid", "stay_id", "starttime")),
+    "procedureevents": (("itemid",), ("itemid", "stay_id", "starttime")),
+}

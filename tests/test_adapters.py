@@ -10,7 +10,7 @@ from .helpers import table_rows
 
 @pytest.mark.parametrize("name", BASE_TABLES)
 def test_adapter_matches_duckdb(spark, duck, name):
-    src = Sources.from_events(spark, SF_SMALL)
+    src = Sources.from_events(spark, SF_SMALL, materialize=False)
     sdf = src[name].toPandas()
     ddf = duck.execute(OA.prefix() + f" SELECT * FROM {name}").df()
     assert table_rows(sdf) == table_rows(ddf)
