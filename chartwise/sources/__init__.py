@@ -56,7 +56,7 @@ class Sources:
 
     @classmethod
     def from_events(cls, spark: SparkSession, sf_dir: str, materialize: bool = True) -> "Sources":
-        """MIMIC-shaped adapter views over ``{sf_dir}/events.parquet``.
+        """EHR-shaped adapter views over ``{sf_dir}/events.parquet``.
 
         With ``materialize`` (default) each view is written once per session to
         the shared store (clustered by itemid, see :mod:`.store`) and read back,

@@ -1,4 +1,4 @@
-"""MIMIC-shaped base tables derived from the supplied ``events`` table.
+"""EHR-shaped base tables derived from the supplied ``events`` table.
 
 Every table is a narrow, shuffle-free transformation of ``events`` (or of its
 distinct users), so its size grows linearly with the input:

@@ -1,7 +1,7 @@
 """Generation spec for the adapter views (test inputs, not clinical rules).
 
 The clinical base tables are credentialed, so the supplied ``events`` table is
-reshaped into MIMIC-style tables by deterministic arithmetic that both Spark
+reshaped into EHR-style tables by deterministic arithmetic that both Spark
 and DuckDB evaluate bit-identically (integer ``%`` on non-negative values,
 one double expression evaluated in the same order).  This module is the single
 source of the generation constants; ``chartwise.sources.adapters`` turns it

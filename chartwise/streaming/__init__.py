@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The derived tables are defined over complete tables (first-day windows,
+trailing 24-row maxima, look-backs of up to 7 days over the whole stay);
+nothing in them is an incremental or stateful stream operator, so no
+Structured Streaming operator is provided.  Incremental refresh is done by
+re-running :func:`chartwise.plans.registry.build` for the affected targets.
+"""

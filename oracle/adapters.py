@@ -1,4 +1,4 @@
-"""DuckDB CTE prefix that derives the MIMIC-shaped base tables from ``events``.
+"""DuckDB CTE prefix that derives the EHR-shaped base tables from ``events``.
 
 Mirror of :mod:`chartwise.sources.adapters` (same constants from
 :mod:`chartwise.sources.fixture_spec`, same expression order so doubles are
