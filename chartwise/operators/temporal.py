@@ -50,18 +50,33 @@ def agg_in_window(anchor: DataFrame, events: DataFrame, on: str | Sequence[str],
     return a.join(e, cond, "left").groupBy(*[F.col(f"a.{g}").alias(g) for g in group_by]).agg(*aggs)
 
 
+def _bucket(ts: Column, bucket_seconds: int) -> Column:
+    return F.floor(epoch_seconds(ts) / F.lit(bucket_seconds)).cast("long")
+
+
 def contains_join(points: DataFrame, intervals: DataFrame, on: str | Sequence[str],
                   time_col: str, start_col: str = "starttime", end_col: str = "endtime",
-                  closed: str = "both", how: str = "left") -> DataFrame:
-    """Attach the interval(s) containing each point (``p``/``i`` aliases)."""
-    p, i = points.alias("p"), intervals.alias("i")
-    cond = None
-    for k in _cols(on):
-        c = F.col(f"p.{k}") == F.col(f"i.{k}")
-        cond = c if cond is None else cond & c
+                  closed: str = "both", how: str = "left", bucket_seconds: int = 86400) -> DataFrame:
+    """Attach the interval(s) containing each point (``p``/``i`` aliases).
+
+    Bucketed equi-join: each interval is exploded to the time buckets (default:
+    days) it overlaps and each point carries its own bucket, so the join key is
+    (key, bucket) plus the exact containment test.  A point matches an
+    interval through exactly one bucket (no duplicates); a long series of one
+    key is spread over many buckets instead of one sort-merge group compared
+    pairwise.  ``closed`` is both / left / right / neither.
+    """
+    keys = _cols(on)
+    p = points.withColumn("_bk", _bucket(F.col(time_col), bucket_seconds)).alias("p")
+    b0, b1 = _bucket(F.col(start_col), bucket_seconds), _bucket(F.col(end_col), bucket_seconds)
+    i = intervals.withColumn("_bk", F.explode(F.when(b1 >= b0, F.sequence(b0, b1)))).alias("i")
+    cond = F.col("p._bk") == F.col("i._bk")
+    for k in keys:
+        cond = cond & (F.col(f"p.{k}") == F.col(f"i.{k}"))
     cond = cond & between_closed(F.col(f"p.{time_col}"), F.col(f"i.{start_col}"),
                                  F.col(f"i.{end_col}"), closed)
-    return p.join(i, cond, how)
+    j = p.join(i, cond, how)
+    return j.drop(F.col("p._bk")) if how in ("left_semi", "left_anti") else j.drop(F.col("p._bk"), F.col("i._bk"))
 
 
 def asof_within(left: DataFrame, right: DataFrame, on: str | Sequence[str], left_time: str,
@@ -101,19 +116,40 @@ def asof_within(left: DataFrame, right: DataFrame, on: str | Sequence[str], left
 
 def match_window(a: DataFrame, b: DataFrame, on: str | Sequence[str], a_time: Column,
                  b_time: Column, before_seconds: int | None, after_seconds: int | None,
-                 a_id: Sequence[str], order: Sequence[Column], how: str = "left") -> DataFrame:
+                 a_id: Sequence[str], order: Sequence[Column], how: str = "left",
+                 bucket_seconds: int = 86400) -> DataFrame:
     """For each ``a`` row, the first ``b`` row (by ``order``) whose time is in
-    [a_time - before, a_time + after] (``a``/``b`` aliases)."""
+    [a_time - before, a_time + after] (``a``/``b`` aliases).
+
+    With both bounds given the window is bounded, so ``a`` rows are exploded to
+    the time buckets their window covers and the join is an equi-join on
+    (key, bucket) plus the window test - no pairwise comparison of a whole key.
+    """
+    keys = _cols(on)
+    bounded = before_seconds is not None and after_seconds is not None
+    a2, b2 = a, b
+    if bounded:
+        lo = a_time - F.make_dt_interval(secs=F.lit(before_seconds))
+        hi = a_time + F.make_dt_interval(secs=F.lit(after_seconds))
+        a2 = a.alias("a").select("*", F.explode(F.sequence(_bucket(lo, bucket_seconds), _bucket(hi, bucket_seconds)))
+                                 .alias("_bk"))
+        b2 = b.alias("b").select("*", _bucket(b_time, bucket_seconds).alias("_bk"))
     cond = None
-    for k in _cols(on):
+    for k in keys:
         c = F.col(f"a.{k}") == F.col(f"b.{k}")
         cond = c if cond is None else cond & c
+    if bounded:
+        cond = cond & (F.col("a._bk") == F.col("b._bk"))
     if before_seconds is not None:
         cond = cond & (b_time >= a_time - F.make_dt_interval(secs=F.lit(before_seconds)))
     if after_seconds is not None:
         cond = cond & (b_time <= a_time + F.make_dt_interval(secs=F.lit(after_seconds)))
-    j = a.alias("a").join(b.alias("b"), cond, how)
-    w = Window.partitionBy(*[F.col(f"a.{c}") for c in a_id]).orderBy(*order)
+    j = a2.alias("a").join(b2.alias("b"), cond, how)
+    if bounded:
+        j = j.drop(F.col("a._bk"), F.col("b._bk"))
+    # with buckets a left join leaves unmatched rows per bucket: rank matches first
+    first = [F.col(f"b.{keys[0]}").isNull().asc()] if bounded and how == "left" else []
+    w = Window.partitionBy(*[F.col(f"a.{c}") for c in a_id]).orderBy(*first, *order)
     return j.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 

@@ -67,3 +67,25 @@ def test_hourly_spine_empty_range(spark):
     assert sp.where("k = 1").count() == 27 and sp.where("k = 2").count() == 0
     first = sp.where("k = 1 and hr = 0").first()
     assert first["endtime"] == h(1)
+
+
+def test_match_window_left_prefers_matches_across_buckets(spark):
+    from chartwise.operators.temporal import match_window
+    a = spark.createDataFrame([(1, 10, h(30))], "k long, aid long, t timestamp_ntz")
+    b = spark.createDataFrame([(1, 7, h(29)), (1, 8, h(2))], "k long, bid long, bt timestamp_ntz")
+    out = match_window(a, b, "k", F.col("a.t"), F.col("b.bt"), 72 * 3600, 0, ["aid"],
+                       [F.col("b.bt"), F.col("b.bid")], how="left")
+    got = out.select("b.bid").collect()
+    assert [r[0] for r in got] == [8]
+    none = match_window(a, b.where("bid = 0"), "k", F.col("a.t"), F.col("b.bt"), 3600, 0, ["aid"],
+                        [F.col("b.bt")], how="left")
+    assert none.count() == 1
+
+
+def test_contains_join_bucketed_no_duplicates(spark):
+    pts = spark.createDataFrame([(1, h(1)), (1, h(30)), (1, h(80)), (None, h(1))], "k long, t timestamp_ntz")
+    iv = spark.createDataFrame([(1, h(0), h(50)), (1, h(29), h(31))],
+                               "k long, starttime timestamp_ntz, endtime timestamp_ntz")
+    j = contains_join(pts, iv, "k", "t", closed="both", how="left")
+    assert j.count() == 5   # h1 -> 1, h30 -> 2, h80 -> none (1 row), NULL key -> 1 row
+    assert contains_join(pts, iv, "k", "t", how="left_anti").count() == 2
