@@ -144,18 +144,24 @@ LAB_GROUPS = [
 def first_day_lab(icustays: DataFrame, complete_blood_count: DataFrame, chemistry: DataFrame,
                   blood_differential: DataFrame, coagulation: DataFrame,
                   enzyme: DataFrame) -> DataFrame:
-    """Five separate first-day aggregations by subject, joined back by stay.
-
-    Aggregating each panel before joining avoids multiplying rows across
-    panels and keeps each generated aggregate narrow (codegen method limit).
-    """
+    """Min / max of 43 labs from five panels in the first-day window (by
+    subject), one row per stay.  The panels are unioned (never joined to each
+    other), so rows cannot multiply, and one window join + one aggregate
+    replace five."""
     panels = {"complete_blood_count": complete_blood_count, "chemistry": chemistry,
               "blood_differential": blood_differential, "coagulation": coagulation,
               "enzyme": enzyme}
     start, end = _fd_window()
-    out = icustays.select("subject_id", "stay_id")
+    # one tagged union of the panels -> one window join and one aggregate (each
+    # output column only ever holds values of its own panel, so MIN/MAX are the
+    # same as five separate aggregations)
+    rows = None
+    aggs = []
     for name, cols, rename in LAB_GROUPS:
-        agg = agg_in_window(icustays, panels[name], "subject_id", "charttime", start, end,
-                            _min_max(cols, rename), ["stay_id"])
-        out = out.join(agg, "stay_id", "left")
-    return out.select("subject_id", "stay_id", *[c for c in out.columns if c not in ("subject_id", "stay_id")])
+        sel = panels[name].select("subject_id", "charttime",
+                                  *[F.col(c).alias(f"{name}__{c}") for c in cols])
+        rows = sel if rows is None else rows.unionByName(sel, allowMissingColumns=True)
+        for c in cols:
+            n = rename.get(c, c)
+            aggs += [F.min(f"e.{name}__{c}").alias(f"{n}_min"), F.max(f"e.{name}__{c}").alias(f"{n}_max")]
+    return agg_in_window(icustays, rows, "subject_id", "charttime", start, end, aggs, STAY)
