@@ -15,7 +15,7 @@ from ..plans.registry import concept
 
 def _age(admittime, anchor_age, anchor_year):
     """anchor_age + year boundaries from Jan 1 of anchor_year to admittime."""
-    return anchor_age + (F.year(admittime) - anchor_year)
+    return (anchor_age + (F.year(admittime) - anchor_year)).cast("long")
 
 
 @concept(group="demographics")
@@ -40,8 +40,8 @@ def icustay_detail(icustays: DataFrame, admissions: DataFrame, patients: DataFra
          .join(pat, F.col("ie.subject_id") == F.col("pat.subject_id"), "inner"))
     w_hosp = Window.partitionBy(F.col("adm.subject_id")).orderBy(F.col("adm.admittime"))
     w_icu = Window.partitionBy(F.col("ie.hadm_id")).orderBy(F.col("ie.intime"))
-    hosp_seq = F.dense_rank().over(w_hosp)
-    icu_seq = F.dense_rank().over(w_icu)
+    hosp_seq = F.dense_rank().over(w_hosp).cast("long")
+    icu_seq = F.dense_rank().over(w_icu).cast("long")
     return j.select(
         F.col("ie.subject_id").alias("subject_id"), F.col("ie.hadm_id").alias("hadm_id"),
         F.col("ie.stay_id").alias("stay_id"), "pat.gender", "pat.dod",

@@ -64,7 +64,7 @@ def suspicion_of_infection(antibiotic: DataFrame, microbiologyevents: DataFrame)
     ab = antibiotic.select("subject_id", "hadm_id", "stay_id", "antibiotic",
                            F.col("starttime").alias("antibiotic_time"),
                            trunc_ntz("DAY", F.col("starttime")).alias("antibiotic_date"),
-                           F.row_number().over(w).alias("ab_id"))
+                           F.row_number().over(w).cast("long").alias("ab_id"))
     org_ok = (F.col("org_name").isNotNull() & (F.col("org_itemid") != NEGATIVE_ORG_ITEMID)
               & (F.col("org_name") != ""))
     me = microbiologyevents.groupBy("micro_specimen_id").agg(
