@@ -178,7 +178,8 @@ def bg(labevents: DataFrame, chartevents: DataFrame) -> DataFrame:
             .agg(F.max(F.when((v > 0.2) & (v <= 1), v * F.lit(100.0)).when((v > 1) & (v < 20), None)
                        .when((v >= 20) & (v <= 100), v)).alias("fio2_chartevents"))
             .where(F.col("fio2_chartevents") > 0))
-    x = asof_within(gas, fio2, "subject_id", "charttime", "charttime", 4 * 3600, ["fio2_chartevents"])
+    x = asof_within(gas, fio2, "subject_id", "charttime", "charttime", 4 * 3600, ["fio2_chartevents"],
+                    left_id=["subject_id", "charttime"])
     po2, pco2 = F.col("po2"), F.col("pco2")
     fio2_any = F.coalesce(F.col("fio2"), F.col("fio2_chartevents"))
     aado2_calc = F.when(po2.isNull() | pco2.isNull(), None).otherwise(

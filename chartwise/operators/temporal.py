@@ -81,9 +81,49 @@ def contains_join(points: DataFrame, intervals: DataFrame, on: str | Sequence[st
 
 def asof_within(left: DataFrame, right: DataFrame, on: str | Sequence[str], left_time: str,
                 right_time: str, tolerance_seconds: int, values: Sequence[str],
-                tiebreak: Sequence[Column] = ()) -> DataFrame:
+                tiebreak: Sequence[Column] = (), left_id: Sequence[str] | None = None,
+                bucket_seconds: int = 86400) -> DataFrame:
     """For each left row, the values of the latest right row in [t - tol, t].
 
+    With ``left_id`` (columns identifying a left row) the look-back is a
+    bucketed equi-join: left rows are exploded to the (1-2) time buckets their
+    window touches, joined on (key, bucket) with the window as residual, and
+    the latest candidate per left row wins (ties: larger ``tiebreak``).  Work
+    per left row is bounded by the right rows of its window, and a long series
+    is spread over buckets, not sorted as one partition.  Without ``left_id``
+    the union / running ``last`` formulation below is used.
+    """
+    if left_id is not None:
+        return _asof_bucketed(left, right, _cols(on), left_time, right_time, tolerance_seconds, values,
+                              tiebreak, list(left_id), bucket_seconds)
+    return _asof_running(left, right, on, left_time, right_time, tolerance_seconds, values, tiebreak)
+
+
+def _asof_bucketed(left, right, keys, left_time, right_time, tol, values, tiebreak, left_id, bucket_seconds):
+    lt = F.col(left_time)
+    lo = lt - F.make_dt_interval(secs=F.lit(tol))
+    l2 = left.select("*", F.explode(F.sequence(_bucket(lo, bucket_seconds), _bucket(lt, bucket_seconds)))
+                     .alias("_bk")).alias("l")
+    r2 = right.select(*keys, F.col(right_time).alias("_rt"), *[F.col(v).alias(f"_v_{v}") for v in values],
+                      *[tb.alias(f"_tb{j}") for j, tb in enumerate(tiebreak)],
+                      _bucket(F.col(right_time), bucket_seconds).alias("_bk")).alias("r")
+    cond = F.col("l._bk") == F.col("r._bk")
+    for k in keys:
+        cond = cond & (F.col(f"l.{k}") == F.col(f"r.{k}"))
+    cond = cond & (F.col("r._rt") <= F.col(f"l.{left_time}")) & (F.col("r._rt") >= lo)
+    j = l2.join(r2, cond, "left")
+    order = [F.col("r._rt").desc_nulls_last(), *[F.col(f"r._tb{j}").desc_nulls_last() for j in range(len(tiebreak))]]
+    w = Window.partitionBy(*[F.col(f"l.{c}") for c in left_id]).orderBy(*order)
+    best = j.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
+    return best.select(*[F.col(f"l.{c}").alias(c) for c in left.columns],
+                       *[F.col(f"r._v_{v}").alias(v) for v in values])
+
+
+def _asof_running(left: DataFrame, right: DataFrame, on: str | Sequence[str], left_time: str,
+                  right_time: str, tolerance_seconds: int, values: Sequence[str],
+                  tiebreak: Sequence[Column] = ()) -> DataFrame:
+    """P06 without a left identity: running ``last`` over the union.
+
     Implemented without a range join: left and right rows are unioned per key
     and ordered by time (right rows first at equal time, then ``tiebreak``
     ascending so the last one wins), a running ``last(ignorenulls)`` carries

@@ -109,7 +109,7 @@ def asof_view_before_purchase(spark, sf_dir):
         "user_id", F.col("t").alias("view_time"), F.col("event_id").alias("view_id"),
         F.col("value").alias("view_value"))
     return TJ.asof_within(purchases, views, "user_id", "t", "view_time", 2 * 3600,
-                          ["view_id", "view_value"], tiebreak=[F.col("view_id")])
+                          ["view_id", "view_value"], tiebreak=[F.col("view_id")], left_id=["event_id"])
 
 
 @native("purchase_error_match")

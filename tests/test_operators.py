@@ -89,3 +89,14 @@ def test_contains_join_bucketed_no_duplicates(spark):
     j = contains_join(pts, iv, "k", "t", closed="both", how="left")
     assert j.count() == 5   # h1 -> 1, h30 -> 2, h80 -> none (1 row), NULL key -> 1 row
     assert contains_join(pts, iv, "k", "t", how="left_anti").count() == 2
+
+
+def test_asof_bucketed_matches_running(spark):
+    left = spark.createDataFrame([(1, 1, h(4)), (1, 2, h(10)), (2, 3, h(1)), (1, 4, h(24) + timedelta(minutes=30))],
+                                 "k long, id long, t timestamp_ntz")
+    right = spark.createDataFrame([(1, h(0), 5.0, 1), (1, h(4), 7.0, 2), (1, h(4), 8.0, 3), (1, h(23), 9.0, 4),
+                                   (2, h(3), 1.0, 5)], "k long, rt timestamp_ntz, v double, rid long")
+    a = asof_within(left, right, "k", "t", "rt", 2 * 3600, ["v"], tiebreak=[F.col("rid")])
+    b = asof_within(left, right, "k", "t", "rt", 2 * 3600, ["v"], tiebreak=[F.col("rid")], left_id=["id"])
+    assert rows(a, ["id", "v"]) == rows(b, ["id", "v"])
+    assert dict((r["id"], r["v"]) for r in b.collect()) == {1: 8.0, 2: None, 3: None, 4: 9.0}
