@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import ensure_checkpoint_dir
 
 LAYOUT_VERSION = "1"
+_LOCK = threading.Lock()  # one writer per stored table within a driver
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -46,12 +48,13 @@ def stored(spark: SparkSession, key: str, name: str, build: Callable[[], DataFra
     """Return ``build()`` as a stored parquet table, writing it on first use."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/chartwise-store/{key}/{name}"
-    if not _exists(spark, f"{path}/_SUCCESS"):
-        df = build()
-        if cluster_by:
-            n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-            df = df.repartitionByRange(n, *cluster_by)
-        if sort_by:
-            df = df.sortWithinPartitions(*sort_by)
-        df.write.mode("overwrite").parquet(path)
+    with _LOCK:
+        if not _exists(spark, f"{path}/_SUCCESS"):
+            df = build()
+            if cluster_by:
+                n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+                df = df.repartitionByRange(n, *cluster_by)
+            if sort_by:
+                df = df.sortWithinPartitions(*sort_by)
+            df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
