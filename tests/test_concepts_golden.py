@@ -134,3 +134,60 @@ def test_kdigo_creatinine_lookback_is_strictly_earlier(spark):
     out = {r["charttime"]: (r["creat_low_past_48hr"], r["creat_low_past_7day"])
            for r in ctx(spark, icustays=ie, labevents=le).table("kdigo_creatinine").collect()}
     assert out == {h(1): (None, None), h(49): (1.0, 1.0), h(50): (2.0, 1.0)}
+
+
+def test_weight_durations_admit_start_and_backfill(spark):
+    ie = spark.createDataFrame([(1, 101, 11, h(10), h(40)), (2, 102, 21, h(10), h(40))],
+                               "subject_id long, hadm_id long, stay_id long, intime timestamp_ntz, outtime timestamp_ntz")
+    rows = [
+        (1, 11, h(12), 226512, "80", 80.0),   # first admit weight -> starts at intime - 2 h
+        (1, 11, h(20), 224639, "78", 78.0),
+        (2, 21, h(15), 224639, "60", 60.0),   # daily only, after intime -> back-filled from intime - 2 h
+    ]
+    out = ctx(spark, chartevents=chart(spark, rows), icustays=ie).table("weight_durations").collect()
+    got = sorted((r["stay_id"], r["starttime"], r["endtime"], r["weight"]) for r in out)
+    assert got == [(11, h(8), h(20), 80.0), (11, h(20), h(42), 78.0),
+                   (21, h(8), h(15), 60.0), (21, h(15), h(42), 60.0)]
+
+
+def test_vasoactive_segments_and_same_drug_overlap_q8(spark):
+    cols = "stay_id long, linkorderid long, vaso_rate double, vaso_amount double, starttime timestamp_ntz, endtime timestamp_ntz"
+    nor = spark.createDataFrame([(11, 1, 0.1, 1.0, h(0), h(4)), (11, 2, 0.2, 1.0, h(2), h(6))], cols)
+    epi = spark.createDataFrame([(11, 3, 0.05, 1.0, h(4), h(5))], cols)
+    empty = spark.createDataFrame([], cols)
+    from chartwise.concepts.medication import vasoactive_agent
+    seg = vasoactive_agent(empty, empty, epi, nor, empty, empty, empty).collect()
+    got = sorted((r["starttime"], r["endtime"], r["norepinephrine"], r["epinephrine"]) for r in seg)
+    assert got == [(h(0), h(2), 0.1, None),
+                   (h(2), h(4), 0.1, None), (h(2), h(4), 0.2, None),   # two infusions of one drug: two rows
+                   (h(4), h(5), 0.2, 0.05), (h(5), h(6), 0.2, None)]
+
+
+def test_suspicion_windows(spark):
+    ab = spark.createDataFrame([(1, 101, 11, "Vancomycin", "IV", h(100), h(110)),
+                                (1, 101, 11, "Cefepime", "IV", h(300), h(310)),
+                                (1, 101, 11, "Meropenem", "IV", h(500), h(510))],
+                               "subject_id long, hadm_id long, stay_id long, antibiotic string, route string, "
+                               "starttime timestamp_ntz, stoptime timestamp_ntz")
+    me = spark.createDataFrame([
+        (1, 1, 101, h(24), h(29), "BLOOD", 80002, "E COLI"),        # 71 h before the first antibiotic
+        (2, 1, 101, h(24), h(30), "URINE", None, "E COLI"),         # NULL org_itemid -> negative (Q25)
+        (3, 1, 101, h(312), None, "SPUTUM", None, None),            # date-only: day 13 = antibiotic day 12 + 1
+    ], "micro_specimen_id long, subject_id long, hadm_id long, chartdate timestamp_ntz, charttime timestamp_ntz, "
+       "spec_type_desc string, org_itemid int, org_name string")
+    from chartwise.concepts.sepsis import suspicion_of_infection
+    out = {r["antibiotic"]: r for r in suspicion_of_infection(ab, me).collect()}
+    assert out["Vancomycin"]["suspected_infection_time"] == h(29)
+    assert out["Vancomycin"]["positive_culture"] == 1 and out["Vancomycin"]["specimen"] == "BLOOD"
+    assert out["Cefepime"]["culture_time"] == h(312) and out["Cefepime"]["suspected_infection_time"] == h(300)
+    assert out["Meropenem"]["suspected_infection"] == 0 and out["Meropenem"]["suspected_infection_time"] is None
+
+
+def test_icustay_hourly_spine(spark):
+    times = spark.createDataFrame([(1, 101, 11, h(0, 30), h(2, 10)), (2, 102, 21, None, None)],
+                                  "subject_id long, hadm_id long, stay_id long, intime_hr timestamp_ntz, "
+                                  "outtime_hr timestamp_ntz")
+    from chartwise.concepts.demographics import icustay_hourly
+    sp = icustay_hourly(times).orderBy("hr").collect()
+    assert [r["hr"] for r in sp] == list(range(-24, 3))       # 2 hour boundaries crossed
+    assert sp[24]["endtime"] == h(1) and all(r["stay_id"] == 11 for r in sp)
