@@ -37,22 +37,33 @@ def _probe():
     return None
 
 
-def rounded(sql: str, digits: int) -> str:
-    """Wrap ``sql`` so DOUBLE/FLOAT columns are rounded (column types via DESCRIBE)."""
+def _double_columns(sql: str, name: str | None):
+    """DOUBLE output columns: from the generated map, else via DESCRIBE."""
     try:
-        con = _probe()
-        if con is None:
-            return sql
-        cols = con.execute(f"DESCRIBE {sql}").fetchall()
+        from .double_columns import DOUBLE_COLUMNS
+    except ImportError:
+        DOUBLE_COLUMNS = {}
+    if name in DOUBLE_COLUMNS:
+        return set(DOUBLE_COLUMNS[name]), None
+    con = _probe()
+    if con is None:
+        return None, None
+    cols = con.execute(f"DESCRIBE {sql}").fetchall()
+    return {c[0] for c in cols if c[1].upper() in ("DOUBLE", "FLOAT", "REAL")}, [c[0] for c in cols]
+
+
+def rounded(sql: str, digits: int, name: str | None = None) -> str:
+    """Wrap ``sql`` so DOUBLE/FLOAT columns are rounded; other columns pass through."""
+    try:
+        doubles, _ = _double_columns(sql, name)
     except Exception:
         return sql
-    sel = []
-    for name, typ, *_ in cols:
-        q = '"' + name.replace('"', '""') + '"'
-        if typ.upper() in ("DOUBLE", "FLOAT", "REAL"):
-            fine = "CAST(1000000000.0 AS DOUBLE)"
-            scale = f"CAST({10.0 ** digits!r} AS DOUBLE)"
-            sel.append(f"round((round({q} * {fine}) / {fine}) * {scale}) / {scale} AS {q}")
-        else:
-            sel.append(q)
-    return f"SELECT {', '.join(sel)} FROM (\n{sql}\n) AS _q"
+    if doubles is None:
+        return sql
+    if not doubles:
+        return sql
+    fine = "CAST(1000000000.0 AS DOUBLE)"
+    scale = f"CAST({10.0 ** digits!r} AS DOUBLE)"
+    repl = ", ".join(
+        f'round((round("{c}" * {fine}) / {fine}) * {scale}) / {scale} AS "{c}"' for c in sorted(doubles))
+    return f"SELECT * REPLACE ({repl}) FROM (\n{sql}\n) AS _q"
