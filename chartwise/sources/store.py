@@ -22,6 +22,7 @@ from ..session import ensure_checkpoint_dir
 
 LAYOUT_VERSION = "1"
 _LOCK = threading.Lock()  # one writer per stored table within a driver
+_READS: dict = {}
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -48,6 +49,9 @@ def stored(spark: SparkSession, key: str, name: str, build: Callable[[], DataFra
     """Return ``build()`` as a stored parquet table, writing it on first use."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/chartwise-store/{key}/{name}"
+    cache_key = (id(spark), path)
+    if cache_key in _READS:
+        return _READS[cache_key]
     with _LOCK:
         if not _exists(spark, f"{path}/_SUCCESS"):
             df = build()
@@ -57,4 +61,7 @@ def stored(spark: SparkSession, key: str, name: str, build: Callable[[], DataFra
             if sort_by:
                 df = df.sortWithinPartitions(*sort_by)
             df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+        # stored tables are immutable once written: reuse the scan (no re-listing
+        # or footer reads per query)
+        _READS[cache_key] = spark.read.parquet(path)
+    return _READS[cache_key]
