@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..config import items as I
 from ..functions.numeric import round_numeric
 from ..functions.time import boundary_diff, hours
-from ..operators.temporal import top1
+from ..operators.temporal import top1_agg
 from ..operators.windows import hourly_spine, to_validity
 from ..plans.registry import concept
 
@@ -100,7 +100,8 @@ def weight_durations(chartevents: DataFrame, icustays: DataFrame) -> DataFrame:
         .otherwise(F.col("charttime")).alias("starttime"))
     order = [F.col("starttime"), F.col("weight_type"), F.col("weight")]
     x = to_validity(x, "stay_id", "starttime", order, F.col("outtime") + hours(2))
-    first = top1(x, ["stay_id"], order)
+    first = top1_agg(x, ["stay_id"], [("starttime", "asc", None), ("weight_type", "asc", None),
+                                      ("weight", "asc", None)])
     fix = first.where(F.col("intime") < F.col("starttime")).select(
         "stay_id", (F.col("intime") - hours(2)).alias("starttime"), F.col("starttime").alias("endtime"),
         "weight", "weight_type")

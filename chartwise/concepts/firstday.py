@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import round_numeric
 from ..functions.time import days, hours
-from ..operators.temporal import agg_in_window, top1
+from ..operators.temporal import agg_in_window, top1_agg
 from ..plans.registry import concept
 
 STAY = ["subject_id", "stay_id"]
@@ -101,7 +101,7 @@ def first_day_gcs(icustays: DataFrame, gcs: DataFrame) -> DataFrame:
                  F.col("e.gcs").alias("gcs_min"), F.col("e.gcs_motor").alias("gcs_motor"),
                  F.col("e.gcs_verbal").alias("gcs_verbal"), F.col("e.gcs_eyes").alias("gcs_eyes"),
                  F.col("e.gcs_unable").alias("gcs_unable"), F.col("e.charttime").alias("_t"))
-    return top1(j, ["stay_id"], [F.col("gcs_min").asc_nulls_first(), F.col("_t")]).drop("_t")
+    return top1_agg(j, ["stay_id"], [("gcs_min", "asc", False), ("_t", "asc", False)]).drop("_t")
 
 
 def _bg_summary(icustays: DataFrame, bg: DataFrame, art_only: bool) -> DataFrame:

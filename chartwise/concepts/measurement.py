@@ -171,8 +171,8 @@ def bg(labevents: DataFrame, chartevents: DataFrame) -> DataFrame:
     }
     piv = pivot_items(labevents, LAB_KEYS, specs, extra_ids=[I.BG_FIO2],
                       extra_aggs=_lab_ids() + [F.max("storetime").alias("storetime")])
-    from ..operators.temporal import asof_within, top1
-    gas = top1(piv.where(F.col("po2").isNotNull()), ["subject_id", "charttime"], [F.col("specimen_id")])
+    from ..operators.temporal import asof_within, top1_agg
+    gas = top1_agg(piv.where(F.col("po2").isNotNull()), ["subject_id", "charttime"], [("specimen_id", "asc", None)])
     fio2 = (chartevents.where((item == I.CHART_FIO2) & (v > 0) & (v <= 100))
             .groupBy("subject_id", "charttime")
             .agg(F.max(F.when((v > 0.2) & (v <= 1), v * F.lit(100.0)).when((v > 1) & (v < 20), None)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import epoch_seconds, hours, trunc_ntz
-from ..operators.temporal import top1
+from ..operators.temporal import top1_agg
 from ..plans.registry import concept
 
 NEGATIVE_ORG_ITEMID = 90856  # FIXED VALUE: organism code of a cancelled culture
@@ -43,8 +43,8 @@ def _culture_matches(ab: DataFrame, me: DataFrame, timed_lo: int, timed_hi: int,
     cols = ["subject_id", "ab_id", "micro_specimen_id", "chartdate", "charttime", "positiveculture",
             "spec_type_desc"]
     both = jt.select(*cols).unionByName(jd.select(*cols))
-    best = top1(both, ["subject_id", "ab_id"],
-                [F.col("chartdate"), F.col("charttime").asc_nulls_last(), F.col("micro_specimen_id")])
+    best = top1_agg(both, ["subject_id", "ab_id"],
+                    [("chartdate", "asc", None), ("charttime", "asc", True), ("micro_specimen_id", "asc", None)])
     return best.select(
         "subject_id", "ab_id",
         F.coalesce(F.col("charttime"), F.col("chartdate").cast("timestamp_ntz")).alias(f"{prefix}_charttime"),
@@ -107,8 +107,8 @@ def sepsis3(sofa: DataFrame, suspicion_of_infection: DataFrame) -> DataFrame:
         "suspected_infection_time", F.explode(F.sequence(lo, hi)).alias("_h"))
     s = s.withColumn("_h", (epoch_seconds("endtime") / 3600).cast("long"))
     j = soi.join(s, ["stay_id", "_h"], "inner")
-    best = top1(j, ["stay_id"], [F.col("suspected_infection_time"), F.col("antibiotic_time").asc_nulls_first(),
-                                 F.col("culture_time").asc_nulls_first(), F.col("endtime"), F.col("ab_id")])
+    best = top1_agg(j, ["stay_id"], [("suspected_infection_time", "asc", None), ("antibiotic_time", "asc", None),
+                                     ("culture_time", "asc", None), ("endtime", "asc", None), ("ab_id", "asc", None)])
     return best.select(
         "subject_id", "stay_id", "antibiotic_time", "culture_time", "suspected_infection_time",
         F.col("endtime").alias("sofa_time"), "sofa_score", "respiration", "coagulation", "liver",

@@ -252,3 +252,38 @@ def text_event_window(anchor: DataFrame, events: DataFrame, key: str, match: Col
     return j.where(match).groupBy(F.col(f"a.{key}").alias(key)).agg(
         F.min(F.col("e.charttime") - F.make_dt_interval(secs=F.lit(before_seconds))).alias("starttime"),
         F.max(F.col("e.charttime") + F.make_dt_interval(secs=F.lit(after_seconds))).alias("endtime"))
+
+
+def top1_agg(df: DataFrame, by: Sequence[str], order: Sequence[tuple]) -> DataFrame:
+    """P25 as an aggregate: the first row per ``by`` under ``order``, computed by
+    ``min_by(row, order key)`` with map-side partial aggregation - a hot group is
+    reduced in pieces instead of being sorted by one task.
+
+    ``order`` items are ``(column, "asc" | "desc", nulls_last)``; ``nulls_last``
+    None means Spark's default (asc: NULLS FIRST, desc: NULLS LAST).  Descending
+    keys must be numeric, date or timestamp (encoded by negation).
+    """
+    from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
+
+    comps = []
+    for name, direction, nulls_last in order:
+        c = F.col(name)
+        if direction == "asc":
+            if nulls_last:
+                comps.append(c.isNull())
+            comps.append(c)
+            continue
+        dt = df.schema[name].dataType
+        if isinstance(dt, NumericType):
+            neg = -c
+        elif isinstance(dt, (TimestampType, TimestampNTZType)):
+            neg = -F.unix_micros(c.cast("timestamp_ltz"))
+        elif isinstance(dt, DateType):
+            neg = -F.unix_date(c)
+        else:
+            raise TypeError(f"descending key {name} of type {dt} is not encodable")
+        comps += [c.isNull() if (nulls_last is None or nulls_last) else c.isNotNull(), neg]
+    key = F.struct(*[x.alias(f"_o{i}") for i, x in enumerate(comps)])
+    rest = [c for c in df.columns if c not in by]
+    out = df.groupBy(*by).agg(F.min_by(F.struct(*[F.col(c) for c in rest]), key).alias("_top"))
+    return out.select(*by, *[F.col(f"_top.{c}").alias(c) for c in rest]).select(*df.columns)

@@ -234,7 +234,7 @@ def value_validity(spark, sf_dir):
                                                           "event_id").join(span, "user_id")
     order = [F.col("starttime"), F.col("event_id")]
     x = W.to_validity(obs, "user_id", "starttime", order, F.col("t1") + hours(2))
-    first = TJ.top1(x, ["user_id"], order)
+    first = TJ.top1_agg(x, ["user_id"], [("starttime", "asc", None), ("event_id", "asc", None)])
     fix = first.where(F.col("t0") < F.col("starttime")).select(
         "user_id", F.col("t0").alias("starttime"), F.col("starttime").alias("endtime"), "value")
     return x.select("user_id", "starttime", "endtime", "value").unionByName(fix)
@@ -313,7 +313,7 @@ def props_pattern_window(spark, sf_dir):
 def top_event_per_user(spark, sf_dir):
     """P25: each user's highest-value event (ties: earliest, then lowest id)."""
     e = events_minute(spark, sf_dir).select("user_id", "event_id", "event_type", "value", "t")
-    return TJ.top1(e, ["user_id"], [F.col("value").desc(), F.col("t"), F.col("event_id")])
+    return TJ.top1_agg(e, ["user_id"], [("value", "desc", None), ("t", "asc", None), ("event_id", "asc", None)])
 
 
 @native("first_four_event_types")

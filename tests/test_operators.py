@@ -100,3 +100,17 @@ def test_asof_bucketed_matches_running(spark):
     b = asof_within(left, right, "k", "t", "rt", 2 * 3600, ["v"], tiebreak=[F.col("rid")], left_id=["id"])
     assert rows(a, ["id", "v"]) == rows(b, ["id", "v"])
     assert dict((r["id"], r["v"]) for r in b.collect()) == {1: 8.0, 2: None, 3: None, 4: 9.0}
+
+
+def test_top1_agg_matches_row_number(spark):
+    from chartwise.operators.temporal import top1, top1_agg
+    df = spark.createDataFrame([(1, None, h(1), 1), (1, 5.0, h(2), 2), (1, 5.0, h(0), 3), (2, None, None, 4),
+                                (2, None, h(3), 5), (3, -1.0, h(9), 6)], "k long, v double, t timestamp_ntz, id long")
+    cases = [
+        ([("v", "desc", None), ("t", "asc", None)], [F.col("v").desc_nulls_last(), F.col("t").asc_nulls_first()]),
+        ([("v", "asc", True), ("t", "desc", None)], [F.col("v").asc_nulls_last(), F.col("t").desc_nulls_last()]),
+        ([("v", "asc", None), ("t", "asc", True)], [F.col("v").asc_nulls_first(), F.col("t").asc_nulls_last()]),
+        ([("t", "desc", False), ("id", "asc", None)], [F.col("t").desc_nulls_first(), F.col("id")]),
+    ]
+    for spec, cols in cases:
+        assert rows(top1_agg(df, ["k"], spec)) == rows(top1(df, ["k"], cols)), spec
