@@ -107,11 +107,14 @@ class Sources:
         return cls(spark, factories)
 
 
-# physical layout of the stored views: (range-cluster columns, sort columns)
+# physical layout of the stored views: (range-partition columns, sort columns).
+# Range partitioning on the full sort key keeps the global itemid order (row
+# groups prune on itemid) while the sampler splits a hot item - one item can
+# be a large share of all rows - across many partitions.
 _LAYOUT = {
-    "chartevents": (("itemid",), ("itemid", "stay_id", "charttime")),
-    "labevents": (("itemid",), ("itemid", "subject_id", "charttime")),
-    "outputevents": (("itemid",), ("itemid", "stay_id", "charttime")),
-    "inputevents": (("itemid",), ("itemid", "stay_id", "starttime")),
-    "procedureevents": (("itemid",), ("itemid", "stay_id", "starttime")),
+    "chartevents": (("itemid", "stay_id", "charttime"), ("itemid", "stay_id", "charttime")),
+    "labevents": (("itemid", "subject_id", "charttime"), ("itemid", "subject_id", "charttime")),
+    "outputevents": (("itemid", "stay_id", "charttime"), ("itemid", "stay_id", "charttime")),
+    "inputevents": (("itemid", "stay_id", "starttime"), ("itemid", "stay_id", "starttime")),
+    "procedureevents": (("itemid", "stay_id", "starttime"), ("itemid", "stay_id", "starttime")),
 }

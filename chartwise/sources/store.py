@@ -5,7 +5,8 @@ folder named by ``spark.checkpoint.dir`` and read back, so every concept
 scans a stored table instead of re-deriving it.  EAV tables are range
 partitioned and sorted by ``itemid`` (then entity and time): a concept's
 ``itemid IN (...)`` filter is pushed to the scan and parquet row-group
-statistics skip the row groups of other items.  A ``_SUCCESS`` marker makes
+statistics skip the row groups of other items; the range partitioning uses the
+full sort key so one heavy item is split over many files and write tasks.  A ``_SUCCESS`` marker makes
 the write idempotent; the location is keyed by the source files' identity.
 """
 
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
 
-LAYOUT_VERSION = "1"
+LAYOUT_VERSION = "2"
 _LOCK = threading.Lock()  # one writer per stored table within a driver
 _READS: dict = {}
 
