@@ -11,7 +11,7 @@ from ..config import treatment as T
 from ..functions.time import boundary_diff
 from ..operators.pivot import ItemSpec, pivot_items
 from ..operators.temporal import contains_join, override_by_interval, top1
-from ..operators.windows import align_times, state_episodes
+from ..operators.windows import align_times, state_episodes_bucketed
 from ..plans.registry import concept
 
 
@@ -109,7 +109,7 @@ def ventilation(ventilator_setting: DataFrame, oxygen_delivery: DataFrame) -> Da
                  _ventilation_status(F.col("o2_delivery_device_1"), F.col("ventilator_mode"),
                                      F.col("ventilator_mode_hamilton")).alias("status")) \
         .where(F.col("status").isNotNull())
-    return state_episodes(x, "stay_id", "charttime", "status", T.VENT_GAP_HOURS, "ventilation_status")
+    return state_episodes_bucketed(x, "stay_id", "charttime", "status", T.VENT_GAP_HOURS, "ventilation_status")
 
 
 @concept(group="treatment")

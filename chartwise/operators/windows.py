@@ -261,3 +261,71 @@ def previous_within(df: DataFrame, key: str, time_col: str, cols: Sequence[str],
     best = j.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
     return best.select(*[F.col(f"l.{c}").alias(c) for c in df.columns],
                        *[F.col(f"r._rv_{c}").alias(f"{prefix}{c}") for c in cols])
+
+
+def _day_bucket(ts: Column, bucket_seconds: int) -> Column:
+    return F.floor(epoch_seconds(ts) / F.lit(bucket_seconds)).cast("long")
+
+
+def neighbours(df: DataFrame, key: str, time_col: str, cols: Sequence[str],
+               bucket_seconds: int = 86400) -> DataFrame:
+    """Previous / next row values per key (``prev_<c>`` / ``next_<c>``, time
+    included) without a per-key sort: ``lag`` / ``lead`` inside (key, bucket)
+    partitions, and across bucket borders the last / first row of the nearest
+    non-empty bucket, found by a window over per-bucket summaries (one row per
+    key and bucket).  Requires unique, non-NULL (key, time).
+    """
+    names = [time_col] + [c for c in cols if c != time_col]
+    x = df.withColumn("_b", _day_bucket(F.col(time_col), bucket_seconds))
+    w = Window.partitionBy(key, "_b").orderBy(time_col)
+    x = x.select("*", *[F.lag(c).over(w).alias(f"_ip_{c}") for c in names],
+                 *[F.lead(c).over(w).alias(f"_in_{c}") for c in names])
+    row = F.struct(*[F.col(c) for c in names])
+    summ = df.withColumn("_b", _day_bucket(F.col(time_col), bucket_seconds)).groupBy(key, "_b").agg(
+        F.max_by(row, F.col(time_col)).alias("_last"), F.min_by(row, F.col(time_col)).alias("_first"))
+    wb = Window.partitionBy(key).orderBy("_b")
+    summ = summ.select(key, "_b", F.lag("_last").over(wb).alias("_pl"), F.lead("_first").over(wb).alias("_nf"))
+    x = x.join(summ, [key, "_b"], "left")
+    first_in_bucket = F.col(f"_ip_{time_col}").isNull()
+    last_in_bucket = F.col(f"_in_{time_col}").isNull()
+    out = [F.when(first_in_bucket, F.col(f"_pl.{c}")).otherwise(F.col(f"_ip_{c}")).alias(f"prev_{c}") for c in names]
+    out += [F.when(last_in_bucket, F.col(f"_nf.{c}")).otherwise(F.col(f"_in_{c}")).alias(f"next_{c}") for c in names]
+    return x.select(*df.columns, *out)
+
+
+def running_sum(df: DataFrame, key: str, time_col: str, value: Column, name: str,
+                bucket_seconds: int = 86400) -> DataFrame:
+    """Running sum of ``value`` per key in time order (rows at the same time
+    included, as SQL's default RANGE frame) without a per-key sort: in-bucket
+    running sums plus the total of all earlier buckets of the key."""
+    x = df.withColumn("_b", _day_bucket(F.col(time_col), bucket_seconds)).withColumn("_v", value)
+    w = (Window.partitionBy(key, "_b").orderBy(time_col)
+         .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    x = x.withColumn("_in", F.sum("_v").over(w))
+    tot = x.groupBy(key, "_b").agg(F.sum("_v").alias("_bt"))
+    wb = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    tot = tot.select(key, "_b", F.coalesce(F.sum("_bt").over(wb), F.lit(0)).alias("_before"))
+    x = x.join(tot, [key, "_b"], "left")
+    return x.select(*df.columns, (F.col("_before") + F.col("_in")).alias(name))
+
+
+def state_episodes_bucketed(df: DataFrame, key: str, time_col: str, state_col: str, gap_hours: int,
+                            out_state: str = "state") -> DataFrame:
+    """P14 as :func:`state_episodes`, computed without any per-key sort.
+
+    With unique (key, time) the previous row of the same state matters only
+    when it is the immediately previous row, so the rule needs just the
+    previous / next row (:func:`neighbours`) and a running count of episode
+    starts (:func:`running_sum`) - both bucketed by day.
+    """
+    from ..functions.time import boundary_diff
+
+    t = F.col(time_col)
+    x = neighbours(df.select(key, time_col, state_col).where(t.isNotNull()), key, time_col, [state_col])
+    sp, tp, tn = F.col(f"prev_{state_col}"), F.col(f"prev_{time_col}"), F.col(f"next_{time_col}")
+    new = sp.isNull() | (sp != F.col(state_col)) | (boundary_diff("HOUR", t, tp) >= gap_hours)
+    x = running_sum(x, key, time_col, F.when(new, 1).otherwise(0), "_seq")
+    end = F.when(tn.isNull() | (boundary_diff("HOUR", tn, t) >= gap_hours), t).otherwise(tn)
+    ep = x.groupBy(key, "_seq").agg(F.min(time_col).alias("starttime"), F.max(end).alias("endtime"),
+                                    F.max(state_col).alias(out_state), F.max(time_col).alias("_last"))
+    return ep.where(F.col("starttime") != F.col("_last")).select(key, "starttime", "endtime", out_state)

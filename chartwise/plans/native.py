@@ -139,7 +139,7 @@ def purchase_error_match(spark, sf_dir):
 
 def _episodes(e):
     per_t = e.groupBy("user_id", "t").agg(F.max("event_type").alias("state"))
-    return W.state_episodes(per_t, "user_id", "t", "state", 14)
+    return W.state_episodes_bucketed(per_t, "user_id", "t", "state", 14)
 
 
 @native("event_type_episodes")

@@ -114,3 +114,30 @@ def test_top1_agg_matches_row_number(spark):
     ]
     for spec, cols in cases:
         assert rows(top1_agg(df, ["k"], spec)) == rows(top1(df, ["k"], cols)), spec
+
+
+def test_bucketed_neighbours_and_episodes_match_windows(spark):
+    import random
+
+    from pyspark.sql import Window
+
+    from chartwise.operators.windows import (neighbours, running_sum, state_episodes,
+                                             state_episodes_bucketed)
+    rnd = random.Random(7)
+    data, t = [], {}
+    for k in range(1, 4):
+        cur = h(0)
+        for _ in range(60):
+            cur = cur + timedelta(minutes=rnd.choice([5, 30, 200, 900, 2000]))
+            data.append((k, cur, rnd.choice(["a", "b"])))
+    df = spark.createDataFrame(data, "k long, t timestamp_ntz, s string")
+    w = Window.partitionBy("k").orderBy("t")
+    ref = df.select("k", "t", F.lag("t").over(w).alias("prev_t"), F.lag("s").over(w).alias("prev_s"),
+                    F.lead("t").over(w).alias("next_t"))
+    got = neighbours(df, "k", "t", ["s"]).select("k", "t", "prev_t", "prev_s", "next_t")
+    assert rows(got) == rows(ref)
+    rs = running_sum(df, "k", "t", F.when(F.col("s") == "a", 1).otherwise(0), "n")
+    ref_rs = df.select("k", "t", F.sum(F.when(F.col("s") == "a", 1).otherwise(0)).over(
+        w.rangeBetween(Window.unboundedPreceding, Window.currentRow)).alias("n"))
+    assert rows(rs.select("k", "t", "n")) == rows(ref_rs)
+    assert rows(state_episodes_bucketed(df, "k", "t", "s", 14)) == rows(state_episodes(df, "k", "t", "s", 14))
