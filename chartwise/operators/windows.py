@@ -186,11 +186,18 @@ def segment_intervals(frames: Mapping[str, DataFrame], key: str, value_col: str,
         x = f.select(key, F.col(start_col).alias("_t")).union(f.select(key, F.col(end_col).alias("_t")))
         pts = x if pts is None else pts.union(x)
     pts = pts.distinct()
-    w = Window.partitionBy(key).orderBy(F.col("_t").asc_nulls_first())
-    pts = pts.select(key, "_t", F.row_number().over(w).alias("_k"), F.lead("_t").over(w).alias("_next"))
-    out = pts.where(F.col("_next").isNotNull()).select(
-        key, "_k", F.col("_t").alias(start_col), F.col("_next").alias(end_col))
-    ords = pts.where(F.col("_t").isNotNull()).select(key, "_t", "_k")
+    # ordinals = running count and segment ends = next boundary, both bucketed by
+    # day (no per-key sort); a NULL boundary sorts first, so it only opens the
+    # segment (NULL, first time), which no interval can contain
+    nonnull = pts.where(F.col("_t").isNotNull())
+    nb = running_sum(neighbours(nonnull, key, "_t", []), key, "_t", F.lit(1), "_k")
+    out = nb.where(F.col("next__t").isNotNull()).select(
+        key, "_k", F.col("_t").alias(start_col), F.col("next__t").alias(end_col))
+    firsts = nonnull.groupBy(key).agg(F.min("_t").alias(end_col))
+    null_seg = pts.where(F.col("_t").isNull()).select(key).distinct().join(firsts, key, "inner").select(
+        key, F.lit(0).cast("long").alias("_k"), F.lit(None).cast(pts.schema["_t"].dataType).alias(start_col), end_col)
+    out = out.unionByName(null_seg)
+    ords = nb.select(key, "_t", "_k")
     for name, f in frames.items():
         s = ords.select(key, F.col("_t").alias("_s"), F.col("_k").alias("_ks"))
         e = ords.select(key, F.col("_t").alias("_e"), F.col("_k").alias("_ke"))

@@ -141,3 +141,15 @@ def test_bucketed_neighbours_and_episodes_match_windows(spark):
         w.rangeBetween(Window.unboundedPreceding, Window.currentRow)).alias("n"))
     assert rows(rs.select("k", "t", "n")) == rows(ref_rs)
     assert rows(state_episodes_bucketed(df, "k", "t", "s", 14)) == rows(state_episodes(df, "k", "t", "s", 14))
+
+
+def test_segment_intervals_null_boundary_and_overlaps(spark):
+    from chartwise.operators.windows import segment_intervals
+    cols = "k long, starttime timestamp_ntz, endtime timestamp_ntz, v double"
+    a = spark.createDataFrame([(1, h(0), h(4), 1.0), (1, h(2), h(6), 2.0), (1, h(5), None, 9.0)], cols)
+    b = spark.createDataFrame([(1, h(4), h(5), 3.0)], cols)
+    seg = segment_intervals({"a": a, "b": b}, "k", "v").collect()
+    got = sorted(((r["starttime"] or T0 - timedelta(days=1)), r["endtime"], r["a"], r["b"]) for r in seg)
+    assert got == sorted([(T0 - timedelta(days=1), h(0), None, None),      # NULL boundary opens (NULL, first)
+                          (h(0), h(2), 1.0, None), (h(2), h(4), 1.0, None), (h(2), h(4), 2.0, None),
+                          (h(4), h(5), 2.0, 3.0), (h(5), h(6), 2.0, None)])
