@@ -238,11 +238,6 @@ def override_by_interval(points: DataFrame, intervals: DataFrame, key: str, time
                     *[F.coalesce(F.col(f"i.{v}"), F.col(f"p.{v}")).alias(v) for v in values])
 
 
-def seconds_between(a: Column, b: Column) -> Column:
-    """a - b in whole seconds (zone-free inputs)."""
-    return epoch_seconds(a) - epoch_seconds(b)
-
-
 def text_event_window(anchor: DataFrame, events: DataFrame, key: str, match: Column,
                       lo: Column, hi: Column, before_seconds: int, after_seconds: int) -> DataFrame:
     """Per key, [first matching event - before, last matching event + after],

@@ -122,13 +122,8 @@ def segment_bounds(frames: Sequence[DataFrame], key: str, start_col: str = "star
     return seg.where(F.col(end_col).isNotNull())
 
 
-def hours_between_ceil(start: Column, end: Column) -> Column:
-    """Hour boundaries crossed from ``start`` to ``end``."""
-    return (F.floor(epoch_seconds(end) / 3600) - F.floor(epoch_seconds(start) / 3600)).cast("long")
-
-
 __all__ = ["carry_previous", "lookback", "to_validity", "hourly_spine", "align_times", "episodes",
-           "bucket_to_spine", "segment_bounds", "hours", "hours_between_ceil"]
+           "bucket_to_spine", "segment_bounds", "hours"]
 
 
 def boundary_hour_sums(df: DataFrame, key: str, time_col: str, values: Sequence[str],
