@@ -50,7 +50,7 @@ def stored(spark: SparkSession, key: str, name: str, build: Callable[[], DataFra
     """Return ``build()`` as a stored parquet table, writing it on first use."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/chartwise-store/{key}/{name}"
-    cache_key = (id(spark), path)
+    cache_key = (spark.sparkContext.applicationId, path)
     if cache_key in _READS:
         return _READS[cache_key]
     with _LOCK:
