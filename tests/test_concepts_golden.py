@@ -191,3 +191,21 @@ def test_icustay_hourly_spine(spark):
     sp = icustay_hourly(times).orderBy("hr").collect()
     assert [r["hr"] for r in sp] == list(range(-24, 3))       # 2 hour boundaries crossed
     assert sp[24]["endtime"] == h(1) and all(r["stay_id"] == 11 for r in sp)
+
+
+def test_charlson_hierarchies_and_age_points(spark):
+    adm = spark.createDataFrame([(1, 101), (2, 102)], "subject_id long, hadm_id long")
+    dx = spark.createDataFrame([
+        (1, 101, "5712", 9), (1, 101, "4560", 9),     # mild + severe liver -> max(1, 3) = 3
+        (1, 101, "2500", 9), (1, 101, "E112", 10),    # diabetes without + with cc -> 2
+        (1, 101, "C78", 10), (1, 101, "C34", 10),     # cancer + metastatic -> 6
+        (2, 102, "I21", 10), (2, 102, "B20", 10),     # MI 1 + AIDS 6
+    ], "subject_id long, hadm_id long, icd_code string, icd_version int")
+    age = spark.createDataFrame([(101, 50), (102, 81)], "hadm_id long, age long")
+    from chartwise.concepts.comorbidity import charlson
+    out = {r["hadm_id"]: r for r in charlson(adm, dx, age).collect()}
+    a, b = out[101], out[102]
+    assert (a["mild_liver_disease"], a["severe_liver_disease"], a["age_score"]) == (1, 1, 0)
+    assert a["charlson_comorbidity_index"] == 3 + 2 + 6
+    assert (b["myocardial_infarct"], b["aids"], b["age_score"]) == (1, 1, 4)
+    assert b["charlson_comorbidity_index"] == 4 + 1 + 6
