@@ -97,7 +97,7 @@ class Sources:
             "diagnoses_icd": lambda: adapters.diagnoses_icd(users()),
         }
         if materialize:
-            key = source_key(sf_dir, ["events.parquet"])
+            key = source_key(spark, sf_dir, ["events.parquet"])
             for name in list(factories):
                 cluster, order = _LAYOUT.get(name, ((), ()))
                 factories[name] = (lambda n=name, f=factories[name], c=cluster, o=order:

@@ -13,7 +13,6 @@ the write idempotent; the location is keyed by the source files' identity.
 from __future__ import annotations
 
 import hashlib
-import os
 import threading
 from collections.abc import Callable, Sequence
 
@@ -33,15 +32,21 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def source_key(sf_dir: str, files: Sequence[str]) -> str:
-    """Identity of the inputs: path, size and modification time of each file."""
+def source_key(spark: SparkSession, sf_dir: str, files: Sequence[str]) -> str:
+    """Identity of the inputs: path, total length and latest modification time
+    of each input (file or directory), read through the Hadoop FileSystem API so
+    local, HDFS and object-store paths behave alike."""
     h = hashlib.sha1(LAYOUT_VERSION.encode())
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
     for f in files:
         path = f"{sf_dir.rstrip('/')}/{f}"
         h.update(path.encode())
-        if os.path.exists(path):
-            st = os.stat(path)
-            h.update(f"{st.st_size}:{int(st.st_mtime)}".encode())
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            summary = fs.getContentSummary(p)
+            h.update(f"{summary.getLength()}:{fs.getFileStatus(p).getModificationTime()}".encode())
     return h.hexdigest()[:16]
 
 
