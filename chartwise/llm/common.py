@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -43,11 +45,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Fewer rows per Arrow batch than Spark's default of 10,000, which long texts would make huge."""
+_SHIPPED: set[str] = set()
+
+
+def python_ready(spark: SparkSession) -> None:
+    """Before work in Python on executors: ship this subpackage's code to them (once per
+    application), and take fewer rows per Arrow batch than Spark's 10,000, which long texts make huge."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key, "10000") or 10000) > BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    here = Path(__file__).resolve().parent
+    target = os.path.join(tempfile.mkdtemp(prefix="chartwise-code-"), "chartwise_llm.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for f in [here.parent / "__init__.py", *sorted(here.glob("*.py"))]:
+            z.write(f, f.relative_to(here.parent.parent))
+    spark.sparkContext.addPyFile(target)
+    _SHIPPED.add(app)
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

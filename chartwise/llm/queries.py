@@ -4,15 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import decontaminate, secrets
 from . import exact_dedup as dedup
 from .common import read
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.span_digests(secrets.scan_secrets(read(spark, sf_dir, "documents")))
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination_digests(
+        decontaminate.find_contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op7_exact_dedup,)}
+QUERIES = {f.__name__: f for f in (op5_secret_scan, op6_decontaminate, op7_exact_dedup)}
 
 ORACLE_SQL = {
     "op7_exact_dedup": """
