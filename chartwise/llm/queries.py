@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, packing, quality, secrets, toxicity
+from . import decontaminate, language, ngram_join, packing, quality, secrets, toxicity
 from . import exact_dedup as dedup
 from .common import read
 
@@ -13,6 +13,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(read(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
@@ -38,7 +42,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op4_packing, op5_secret_scan, op6_decontaminate, op7_exact_dedup, op8_toxicity,
+QUERIES = {f.__name__: f for f in (op1_quality, op2_ngram_join, op4_packing, op5_secret_scan, op6_decontaminate, op7_exact_dedup, op8_toxicity,
                                       op10_language_id)}
 
 ORACLE_SQL = {
