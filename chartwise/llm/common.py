@@ -13,10 +13,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-#: rows of one Arrow batch: bounds a Python worker's memory when texts are long
-BATCH_ROWS = 256
-#: bytes of text that one vectorised step works on
-STEP_BYTES = 4 << 20
+#: bytes of one Arrow batch: bounds a Python worker's memory when texts are long
+BATCH_BYTES = 4 << 20
+#: rows and bytes of text that one vectorised step works on
+STEP_ROWS, STEP_BYTES = 256, 4 << 20
 
 _OWN_DIR: list[str] = []
 
@@ -50,10 +50,9 @@ _SHIPPED: set[str] = set()
 
 def python_ready(spark: SparkSession) -> None:
     """Before work in Python on executors: ship this subpackage's code to them (once per
-    application), and take fewer rows per Arrow batch than Spark's 10,000, which long texts make huge."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key, "10000") or 10000) > BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
+    application), and bound Arrow batches by bytes, which long texts would make huge."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.set(key, str(BATCH_BYTES))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
@@ -80,12 +79,12 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[bounds[0]:bounds[-1]], bounds - bounds[0]
 
 
-def row_steps(bounds: np.ndarray, most: int = STEP_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of whole rows of about ``most`` bytes each (a longer row stands alone)."""
+def row_steps(bounds: np.ndarray, most: int = STEP_BYTES, rows: int = STEP_ROWS) -> Iterator[tuple[int, int]]:
+    """Ranges of at most ``rows`` whole rows of about ``most`` bytes each (a longer row stands alone)."""
     first, n = 0, len(bounds) - 1
     while first < n:
         last = int(np.searchsorted(bounds, bounds[first] + most, side="right")) - 1
-        last = min(max(last, first + 1), n)
+        last = min(max(last, first + 1), first + rows, n)
         yield first, last
         first = last
 

@@ -51,34 +51,32 @@ _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD
 def shingle_sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
     """For each row, its distinct n-grams as ascending 56-bit hashes."""
     data, bounds = text_bytes(texts)
-    for begin in range(0, len(bounds) - 1, 1 << _ROW_BITS):
-        some = bounds[begin:begin + (1 << _ROW_BITS) + 1]
-        for first, last in row_steps(some):
-            b = some[first:last + 1] - some[first]
-            n = last - first
-            low = _LOWER[data[some[first]:some[last]]]
-            starts, ends, row = spans_of(~_SPACE[low], b)
-            h = hash_spans(low, starts, ends)
-            at = np.searchsorted(row, np.arange(n + 1))
-            size = np.diff(at)
-            if len(h) >= words:
-                gram = np.zeros(len(h) - words + 1, np.uint64)
-                for k in range(words):
-                    gram += h[k:len(h) - words + 1 + k] * _ODD[k % 8] + np.uint64(k)
-                whole = row[:len(gram)] == row[words - 1:]
-                key, of = mix(gram[whole]), row[:len(gram)][whole]
-            else:
-                key, of = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-            few = np.flatnonzero((size > 0) & (size < words))
-            if len(few):
-                short = np.array([(h[at[r]:at[r + 1]] * _ODD[:size[r]]).sum() + np.uint64(size[r] << 32) for r in few], np.uint64)
-                key, of = np.concatenate([key, mix(short)]), np.concatenate([of, few])
-            full = np.sort((of.astype(np.uint64) << np.uint64(64 - _ROW_BITS)) | (key >> np.uint64(_ROW_BITS)))
-            if len(full):
-                full = full[np.concatenate([[True], full[1:] != full[:-1]])]
-            cut = np.searchsorted(full, np.arange(1, n, dtype=np.uint64) << np.uint64(64 - _ROW_BITS))
-            for part in np.split(full & np.uint64((1 << (64 - _ROW_BITS)) - 1), cut):
-                yield part
+    for first, last in row_steps(bounds, rows=1 << _ROW_BITS):
+        b = bounds[first:last + 1] - bounds[first]
+        n = last - first
+        low = _LOWER[data[bounds[first]:bounds[last]]]
+        starts, ends, row = spans_of(~_SPACE[low], b)
+        h = hash_spans(low, starts, ends)
+        at = np.searchsorted(row, np.arange(n + 1))
+        size = np.diff(at)
+        if len(h) >= words:
+            gram = np.zeros(len(h) - words + 1, np.uint64)
+            for k in range(words):
+                gram += h[k:len(h) - words + 1 + k] * _ODD[k % 8] + np.uint64(k)
+            whole = row[:len(gram)] == row[words - 1:]
+            key, of = mix(gram[whole]), row[:len(gram)][whole]
+        else:
+            key, of = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        few = np.flatnonzero((size > 0) & (size < words))
+        if len(few):
+            short = np.array([(h[at[r]:at[r + 1]] * _ODD[:size[r]]).sum() + np.uint64(size[r] << 32) for r in few], np.uint64)
+            key, of = np.concatenate([key, mix(short)]), np.concatenate([of, few])
+        full = np.sort((of.astype(np.uint64) << np.uint64(64 - _ROW_BITS)) | (key >> np.uint64(_ROW_BITS)))
+        if len(full):
+            full = full[np.concatenate([[True], full[1:] != full[:-1]])]
+        cut = np.searchsorted(full, np.arange(1, n, dtype=np.uint64) << np.uint64(64 - _ROW_BITS))
+        for part in np.split(full & np.uint64((1 << (64 - _ROW_BITS)) - 1), cut):
+            yield part
 
 
 def _profiles(words: int):

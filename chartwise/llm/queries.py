@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, ngram_join, packing, quality, secrets, toxicity
+from . import decontaminate, language, ngram_join, packing, quality, secrets, suffix_dedup, toxicity
 from . import exact_dedup as dedup
 from .common import read
 
@@ -38,12 +38,16 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.cut_repeats(read(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(read(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op1_quality, op2_ngram_join, op4_packing, op5_secret_scan, op6_decontaminate, op7_exact_dedup, op8_toxicity,
-                                      op10_language_id)}
+                                      op9_suffix_dedup, op10_language_id)}
 
 ORACLE_SQL = {
     "op7_exact_dedup": """
