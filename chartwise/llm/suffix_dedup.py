@@ -96,8 +96,10 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             a = {k: v[order] for k, v in a.items()}
             again = np.zeros(len(order), bool)
             again[1:] = (a["key"][1:] == a["key"][:-1]) & (a["ctx"][1:] == a["ctx"][:-1])
+            # a repeat is settled here: a key of its own keeps it away from the gram's other holders
+            key = np.where(again, mix(a["key"] + own[order].view(np.uint64) * _STEP[5] + a["at"].astype(np.uint64)), a["key"])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(own[order]), pa.array(a["key"].view(np.int64)), pa.array(a["ctx"].view(np.int64)),
+                [pa.array(own[order]), pa.array(key.view(np.int64)), pa.array(a["ctx"].view(np.int64)),
                  *[pa.array(a[c].astype(np.int32)) for c in ("at", "lo", "hi")], pa.array(again)],
                 names=["id", "key", "ctx", "at", "lo", "hi", "repeat"])
 
@@ -118,7 +120,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
 
 
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in order of (key, ctx, repeat, id, at): repeats, and (wanted) the firsts of the classes of grams with several.
+    """Rows in order of (key, ctx, id, at): repeats, and (wanted) the firsts of the classes of grams with several.
 
     Of the gram at the end of a chunk only what the next chunk must know is held: its last class, whether it has
     had several, and its only class's first row while that may still be wanted.
@@ -127,7 +129,12 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     several = False
     for table in _chunks(batches, CHUNK_ROWS):
         c = {k: table.column(k).to_numpy() for k in ("key", "ctx", "id", "at", "lo", "hi", "repeat")}
+        settled = {k: v[c["repeat"]] for k, v in c.items()}
+        c = {k: v[~c["repeat"]] for k, v in c.items()}
         n = len(c["key"])
+        if not n:
+            yield _found(np.zeros(len(settled["key"]), bool), settled)
+            continue
         new_key = np.ones(n, bool)
         new_key[1:] = c["key"][1:] != c["key"][:-1]
         new_key[0] = key0 is None or c["key"][0] != key0
@@ -140,8 +147,8 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             classes[0] += 2 if several else 1
         first = np.flatnonzero(new_ctx & (classes[group] > 1))
         rest = np.flatnonzero(~new_ctx)
-        out = {k: np.concatenate([c[k][rest], c[k][first]]) for k in ("key", "id", "at", "lo", "hi")}
-        wanted = np.concatenate([np.zeros(len(rest), bool), np.ones(len(first), bool)])
+        out = {k: np.concatenate([settled[k], c[k][rest], c[k][first]]) for k in ("key", "id", "at", "lo", "hi")}
+        wanted = np.concatenate([np.zeros(len(settled["key"]) + len(rest), bool), np.ones(len(first), bool)])
         if pending is not None and not new_key[0] and classes[0] > 1:
             out = {k: np.append(v, pending[k]) for k, v in out.items()}
             wanted = np.append(wanted, True)
@@ -155,10 +162,14 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pending = {x: c[x][k] for x in ("key", "id", "at", "lo", "hi")}
         else:
             pending = None
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(wanted), pa.array(out["key"], pa.int64()), pa.array(out["id"], pa.int64()),
-             *[pa.array(out[x].astype(np.int32)) for x in ("at", "lo", "hi")]],
-            names=["wanted", "key", "id", "at", "lo", "hi"])
+        yield _found(wanted, out)
+
+
+def _found(wanted: np.ndarray, out: dict[str, np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(wanted), pa.array(out["key"], pa.int64()), pa.array(out["id"], pa.int64()),
+         *[pa.array(out[x].astype(np.int32)) for x in ("at", "lo", "hi")]],
+        names=["wanted", "key", "id", "at", "lo", "hi"])
 
 
 _PIECE = "core bigint, half int, id bigint, at int, l1 int, l2 int, left binary, right binary"
@@ -339,7 +350,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where(
         F.col("id").isNotNull() & (F.octet_length("text") >= LENGTH))
     rows = texts.mapInArrow(_anchor_rows, _ANCHOR)
-    found = stored(rows.repartition("key").sortWithinPartitions("key", "ctx", "repeat", "id", "at")
+    found = stored(rows.repartition("key").sortWithinPartitions("key", "ctx", "id", "at")
                    .mapInArrow(_classes, _FOUND), "suffix-classes")
     whole = found.where(~F.col("wanted")).select(
         "id", (F.col("at") - F.col("lo")).alias("start"), (F.col("at") - F.col("hi") + LENGTH).alias("end"))
