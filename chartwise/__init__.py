@@ -8,7 +8,6 @@ operators/  reusable DataFrame operators (pivot, windowed joins, episodes, ...)
 config/     item maps, thresholds and code lists (plain data)
 concepts/   one function per derived table, composed from operators
 plans/      dependency registry and the ``build`` entry point
-streaming/  empty by design (no stream operators in the reference)
 """
 
 __version__ = "0.1.0"

@@ -20,7 +20,7 @@ def map_labels(col: Column, synonyms) -> Column:
     out = None
     for variants, label in synonyms:
         out = F.when(col.isin(variants), F.lit(label)) if out is None else out.when(col.isin(variants), F.lit(label))
-    return out.otherwise(col)
+    return col if out is None else out.otherwise(col)
 
 
 def text_flag(item: Column, itemid: int, value: Column, one, zero=None) -> Column:

@@ -37,11 +37,8 @@ def logistic(logit: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-logit))
 
 
-def worst_of(v_min: Column, v_max: Column, normal: float, s_min: Column, s_max: Column) -> Column:
-    """The score of whichever extreme is further from ``normal``
-    (ties take the larger score); one side NULL -> the other."""
-    d_min = F.abs(v_min - F.lit(normal))
-    d_max = F.abs(v_max - F.lit(normal))
-    return (F.when(v_max.isNull(), s_min).when(v_min.isNull(), s_max)
-            .when(d_max > d_min, s_max).when(d_max < d_min, s_min)
-            .otherwise(F.greatest(s_min, s_max)))
+def worst_of(v_min: Column, v_max: Column, normal, s_min: Column, s_max: Column) -> Column:
+    """Score of the extreme further from ``normal``; equal distance -> larger score; NULL maximum -> NULL."""
+    d_max, d_min = F.abs(v_max - F.lit(normal)), F.abs(v_min - F.lit(normal))
+    return (F.when(v_max.isNull(), None).when(d_max > d_min, s_max).when(d_max < d_min, s_min)
+            .when(s_max >= s_min, s_max).when(s_max < s_min, s_min))

@@ -275,7 +275,8 @@ def neighbours(df: DataFrame, key: str, time_col: str, cols: Sequence[str],
     included) without a per-key sort: ``lag`` / ``lead`` inside (key, bucket)
     partitions, and across bucket borders the last / first row of the nearest
     non-empty bucket, found by a window over per-bucket summaries (one row per
-    key and bucket).  Requires unique, non-NULL (key, time).
+    key and bucket).  Requires unique (key, time) and non-NULL times; a NULL key is a
+    partition of its own.
     """
     names = [time_col] + [c for c in cols if c != time_col]
     x = df.withColumn("_b", _day_bucket(F.col(time_col), bucket_seconds))
@@ -286,8 +287,10 @@ def neighbours(df: DataFrame, key: str, time_col: str, cols: Sequence[str],
     summ = df.withColumn("_b", _day_bucket(F.col(time_col), bucket_seconds)).groupBy(key, "_b").agg(
         F.max_by(row, F.col(time_col)).alias("_last"), F.min_by(row, F.col(time_col)).alias("_first"))
     wb = Window.partitionBy(key).orderBy("_b")
-    summ = summ.select(key, "_b", F.lag("_last").over(wb).alias("_pl"), F.lead("_first").over(wb).alias("_nf"))
-    x = x.join(summ, [key, "_b"], "left")
+    summ = summ.select(F.col(key).alias("_k"), F.col("_b").alias("_sb"),
+                       F.lag("_last").over(wb).alias("_pl"), F.lead("_first").over(wb).alias("_nf"))
+    # NULL keys are one partition of their own, as in PARTITION BY
+    x = x.join(summ, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_b") == F.col("_sb")), "left")
     first_in_bucket = F.col(f"_ip_{time_col}").isNull()
     last_in_bucket = F.col(f"_in_{time_col}").isNull()
     out = [F.when(first_in_bucket, F.col(f"_pl.{c}")).otherwise(F.col(f"_ip_{c}")).alias(f"prev_{c}") for c in names]
@@ -306,8 +309,9 @@ def running_sum(df: DataFrame, key: str, time_col: str, value: Column, name: str
     x = x.withColumn("_in", F.sum("_v").over(w))
     tot = x.groupBy(key, "_b").agg(F.sum("_v").alias("_bt"))
     wb = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    tot = tot.select(key, "_b", F.coalesce(F.sum("_bt").over(wb), F.lit(0)).alias("_before"))
-    x = x.join(tot, [key, "_b"], "left")
+    tot = tot.select(F.col(key).alias("_k"), F.col("_b").alias("_sb"),
+                     F.coalesce(F.sum("_bt").over(wb), F.lit(0)).alias("_before"))
+    x = x.join(tot, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_b") == F.col("_sb")), "left")
     return x.select(*df.columns, (F.col("_before") + F.col("_in")).alias(name))
 
 

@@ -10,7 +10,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -35,22 +34,19 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint dir; set a scratch one only when unset (tests)."""
+    """Return the folder all executors share: ``spark.checkpoint.dir``; where that is unset, a
+    folder of the warehouse, which a cluster shares too."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    if not sc.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    path = tempfile.mkdtemp(prefix="chartwise-ckpt-")
-    sc.setCheckpointDir(path)
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        path = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_chartwise"
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
     return path
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "chartwise") -> SparkSession:
+              app_name: str = "chartwise", checkpoint_dir: str | None = None) -> SparkSession:
     """Builder used by tests, bench and the command line (local mode)."""
     master = master or os.environ.get("CHARTWISE_MASTER", "local[*]")
     builder = SparkSession.builder.master(master).appName(app_name)
@@ -58,9 +54,12 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         builder = builder.config(key, value)
     builder = (
         builder.config("spark.driver.memory", os.environ.get("CHARTWISE_DRIVER_MEM", "16g"))
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if shuffle_partitions:          # else Spark's setting; AQE joins small partitions
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)

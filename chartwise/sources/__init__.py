@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import adapters
 from .parquet import read_table, SUPPLIED_TABLES
-from .store import source_key, stored
+from .store import partitions_for, source_key, stored
 
 BASE_TABLES = (
     "patients", "admissions", "diagnoses_icd", "labevents", "prescriptions",
@@ -45,6 +45,11 @@ class Sources:
     def names(self):
         return sorted(self._factories)
 
+    def prepare(self) -> None:
+        """Write the stored tables now rather than when a plan first needs them."""
+        for name in self.names():
+            self[name]
+
     def override(self, name: str, df: DataFrame) -> None:
         """Replace a table (e.g. with a persisted, narrowed copy)."""
         self._factories[name] = lambda: df
@@ -98,10 +103,11 @@ class Sources:
         }
         if materialize:
             key = source_key(spark, sf_dir, ["events.parquet"])
+            partitions = partitions_for(spark, sf_dir, ["events.parquet"])
             for name in list(factories):
                 cluster, order = _LAYOUT.get(name, ((), ()))
                 factories[name] = (lambda n=name, f=factories[name], c=cluster, o=order:
-                                   stored(spark, key, n, f, c, o))
+                                   stored(spark, key, n, f, c, o, partitions))
         for name in SUPPLIED_TABLES:
             factories.setdefault(name, (lambda n=name: read_table(spark, sf_dir, n)))
         return cls(spark, factories)

@@ -6,23 +6,26 @@ scans a stored table instead of re-deriving it.  EAV tables are range
 partitioned and sorted by ``itemid`` (then entity and time): a concept's
 ``itemid IN (...)`` filter is pushed to the scan and parquet row-group
 statistics skip the row groups of other items; the range partitioning uses the
-full sort key so one heavy item is split over many files and write tasks.  A ``_SUCCESS`` marker makes
-the write idempotent; the location is keyed by the source files' identity.
+full sort key so one heavy item is split over many files and write tasks.  The
+location is keyed by the source files' identity and the code that derives the tables.
 """
 
 from __future__ import annotations
 
 import hashlib
 import threading
+import uuid
 from collections.abc import Callable, Sequence
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
 
 LAYOUT_VERSION = "2"
-_LOCK = threading.Lock()  # one writer per stored table within a driver
+_LOCK = threading.Lock()
 _READS: dict = {}
+_WRITING: dict = {}
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -50,23 +53,67 @@ def source_key(spark: SparkSession, sf_dir: str, files: Sequence[str]) -> str:
     return h.hexdigest()[:16]
 
 
+def partitions_for(spark: SparkSession, sf_dir: str, files: Sequence[str], bytes_each: int = 128 << 20) -> int | None:
+    """Range partitions for data derived from ``files``; None where the session's own number is enough
+    (AQE joins small partitions but cannot add any)."""
+    conf, jvm, size = spark._jsc.hadoopConfiguration(), spark._jvm, 0
+    for f in files:
+        p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{f}")
+        size += p.getFileSystem(conf).getContentSummary(p).getLength()
+    n = -(-size // bytes_each)
+    return n if n > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+
+
+def _code_version() -> str:
+    """Hash of the modules that define the stored tables: new code never reads old tables."""
+    here = Path(__file__).parent
+    h = hashlib.sha1()
+    for name in ("adapters.py", "fixture_spec.py", "store.py"):
+        h.update((here / name).read_bytes())
+    return h.hexdigest()[:8]
+
+
+def _publish(spark: SparkSession, written: str, path: str) -> None:
+    """Rename a finished table into place; one that another application published first stays."""
+    jvm = spark._jvm
+    source, target = jvm.org.apache.hadoop.fs.Path(written), jvm.org.apache.hadoop.fs.Path(path)
+    fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(target) and fs.rename(source, target):
+        return
+    fs.delete(source, True)
+    if not fs.exists(target):
+        raise OSError(f"cannot publish {path}")
+
+
 def stored(spark: SparkSession, key: str, name: str, build: Callable[[], DataFrame],
-           cluster_by: Sequence[str] = (), sort_by: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
-    """Return ``build()`` as a stored parquet table, writing it on first use."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/chartwise-store/{key}/{name}"
+           cluster_by: Sequence[str] = (), sort_by: Sequence[str] = (), partitions: int | None = None,
+           store_path: str | None = None) -> DataFrame:
+    """Return ``build()`` as a stored parquet table, written on first use and shared by later applications.
+
+    ``store_path`` (default: the shared folder) holds a folder per input identity and code version; it is
+    kept until someone deletes it.  Without ``partitions`` their number follows the data: AQE joins
+    the shuffle's partitions to its advisory size.  A table is written under a name of its own (hidden from readers)
+    and renamed when complete.
+    """
+    root = (store_path or ensure_checkpoint_dir(spark)).rstrip("/")
+    folder = f"{root}/chartwise-store/{key}-{_code_version()}"
+    path = f"{folder}/{name}"
     cache_key = (spark.sparkContext.applicationId, path)
-    if cache_key in _READS:
-        return _READS[cache_key]
     with _LOCK:
+        known = _READS.get(cache_key)
+        writing = _WRITING.setdefault(cache_key, threading.Lock())
+    if known is not None:
+        return known
+    with writing:                   # one writer per table; other tables go on
         if not _exists(spark, f"{path}/_SUCCESS"):
             df = build()
             if cluster_by:
-                n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-                df = df.repartitionByRange(n, *cluster_by)
+                df = df.repartitionByRange(*([partitions] if partitions else []), *cluster_by)
             if sort_by:
                 df = df.sortWithinPartitions(*sort_by)
-            df.write.mode("overwrite").parquet(path)
+            written = f"{folder}/_{name}-{uuid.uuid4().hex}"
+            df.write.parquet(written)
+            _publish(spark, written, path)
         # stored tables are immutable once written: reuse the scan (no re-listing
         # or footer reads per query)
         _READS[cache_key] = spark.read.parquet(path)

@@ -209,3 +209,46 @@ def test_charlson_hierarchies_and_age_points(spark):
     assert a["charlson_comorbidity_index"] == 3 + 2 + 6
     assert (b["myocardial_infarct"], b["aids"], b["age_score"]) == (1, 1, 4)
     assert b["charlson_comorbidity_index"] == 4 + 1 + 6
+
+
+def test_infusion_hours_need_both_times(spark):
+    from chartwise.concepts.score import _infusion_hours
+
+    bounds = spark.sql("select 1 as stay_id, timestamp_ntz'2020-01-01 00:00:00' as _lo, timestamp_ntz'2020-01-01 05:00:00' as _hi")
+    infusions = spark.sql("""
+        select 1 as stay_id, 'rate_x' as _drug, 2.0d as vaso_rate, timestamp_ntz'2020-01-01 01:30:00' as starttime,
+               cast(null as timestamp_ntz) as endtime
+        union all select 1, 'rate_x', 3.0d, cast(null as timestamp_ntz), timestamp_ntz'2020-01-01 04:30:00'
+        union all select 1, 'rate_x', 5.0d, timestamp_ntz'2020-01-01 00:30:00', timestamp_ntz'2020-01-01 02:00:00'""")
+    got = sorted((r._h % 24, r.rate_x) for r in _infusion_hours(bounds, infusions, [("rate_x", None)]).collect())
+    assert got == [(1, 5.0), (2, 5.0)]
+
+
+def test_worst_of_needs_a_maximum(spark):
+    from pyspark.sql import functions as F
+
+    from chartwise.operators.scores import worst_of
+
+    df = spark.sql("select cast(null as double) as hi, 1.0d as lo, 8 as s_lo, cast(null as int) as s_hi "
+                   "union all select 9.0d, 4.0d, 1, 3")
+    got = [r[0] for r in df.select(worst_of(F.col("lo"), F.col("hi"), 5.0, F.col("s_lo"), F.col("s_hi"))).collect()]
+    assert got == [None, 3]
+
+
+def test_neighbours_and_running_sum_of_null_keys(spark):
+    from pyspark.sql import functions as F
+
+    from chartwise.operators.windows import neighbours, running_sum
+
+    df = spark.sql("select cast(null as int) as k, timestamp_ntz'2020-01-01 10:00:00' as t, 1 as v "
+                   "union all select cast(null as int), timestamp_ntz'2020-01-02 10:00:00', 2")
+    assert [r.prev_v for r in neighbours(df, "k", "t", ["v"]).orderBy("t").collect()] == [None, 1]
+    assert [r.s for r in running_sum(df, "k", "t", F.col("v"), "s").orderBy("t").collect()] == [1, 3]
+
+
+def test_map_labels_without_synonyms(spark):
+    from pyspark.sql import functions as F
+
+    from chartwise.concepts.treatment import map_labels
+
+    assert spark.range(1).select(map_labels(F.lit("a"), [])).first()[0] == "a"
