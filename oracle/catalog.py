@@ -6,7 +6,7 @@ import functools
 import os
 
 from . import compose
-from . import measurement, firstday, demographics, treatment, scores, sepsis  # noqa: F401  (register CTEs)
+from . import measurement, firstday, demographics, treatment, scores, kidney, organ, sepsis  # noqa: F401  (register CTEs)
 from . import native
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
