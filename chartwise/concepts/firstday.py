@@ -1,8 +1,8 @@
 """First-day summaries (C06-C15): one row per ICU stay, all stays kept.
 
 Each is P04 ``agg_in_window``: a LEFT join of the stay anchor to an upstream
-concept on an id plus the first-day time window, then an aggregate grouped by
-the stay.  The grouping keys contain the join key, so there is one shuffle.
+concept on an id, a day and the first-day time window, then an aggregate grouped by
+the stay.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import round_numeric
 from ..functions.time import days, hours
-from ..operators.temporal import agg_in_window, top1_agg
+from ..operators.temporal import agg_in_window
 from ..plans.registry import concept
 
 STAY = ["subject_id", "stay_id"]
@@ -94,14 +94,13 @@ def first_day_rrt(icustays: DataFrame, rrt: DataFrame) -> DataFrame:
 def first_day_gcs(icustays: DataFrame, gcs: DataFrame) -> DataFrame:
     """The lowest GCS row in the first-day window (ties: earliest charttime)."""
     start, end = _fd_window()
-    a, g = icustays.alias("a"), gcs.alias("e")
-    j = a.join(g, (F.col("a.stay_id") == F.col("e.stay_id"))
-               & (F.col("e.charttime") >= start) & (F.col("e.charttime") <= end), "left")
-    j = j.select(F.col("a.subject_id").alias("subject_id"), F.col("a.stay_id").alias("stay_id"),
-                 F.col("e.gcs").alias("gcs_min"), F.col("e.gcs_motor").alias("gcs_motor"),
-                 F.col("e.gcs_verbal").alias("gcs_verbal"), F.col("e.gcs_eyes").alias("gcs_eyes"),
-                 F.col("e.gcs_unable").alias("gcs_unable"), F.col("e.charttime").alias("_t"))
-    return top1_agg(j, ["stay_id"], [("gcs_min", "asc", False), ("_t", "asc", False)]).drop("_t")
+    cols = {"gcs_min": "gcs", "gcs_motor": "gcs_motor", "gcs_verbal": "gcs_verbal", "gcs_eyes": "gcs_eyes",
+            "gcs_unable": "gcs_unable"}
+    row = F.struct(*[F.col(f"e.{c}").alias(n) for n, c in cols.items()])
+    # days without an event come last
+    order = F.struct(F.col("e.stay_id").isNull(), F.col("e.gcs"), F.col("e.charttime"))
+    best = agg_in_window(icustays, gcs, "stay_id", "charttime", start, end, [F.min_by(row, order).alias("_g")], STAY)
+    return best.select(*STAY, *[F.col(f"_g.{n}").alias(n) for n in cols])
 
 
 def _bg_summary(icustays: DataFrame, bg: DataFrame, art_only: bool) -> DataFrame:

@@ -36,20 +36,29 @@ def agg_in_window(anchor: DataFrame, events: DataFrame, on: str | Sequence[str],
 
     ``start``/``end`` are expressions over the anchor (e.g.
     ``F.col("a.intime") - hours(6)``); anchors without events are kept with
-    NULL aggregates.  Grouping keys include the join key, so the aggregate
-    reuses the join's partitioning (no second shuffle).
+    NULL aggregates.  The join key is (key, day), so a long series is spread
+    over its days, and the aggregate is partial before its shuffle.  An anchor
+    has a row without an event for each empty day: ``aggs`` must pass over NULLs.
     """
-    a, e = anchor.alias("a"), events.alias("e")
-    cond = None
+    a, e = _by_day(anchor, start, end).alias("a"), events.withColumn("_bk", _bucket(F.col(time_col), DAY)).alias("e")
+    cond = F.col("a._bk") == F.col("e._bk")
     for k in _cols(on):
-        c = F.col(f"a.{k}") == F.col(f"e.{k}")
-        cond = c if cond is None else cond & c
+        cond = cond & (F.col(f"a.{k}") == F.col(f"e.{k}"))
     cond = cond & between_closed(F.col(f"e.{time_col}"), start, end, closed)
     if extra_on is not None:
         cond = cond & extra_on
     return a.join(e, cond, "left").groupBy(*[F.col(f"a.{g}").alias(g) for g in group_by]).agg(*aggs)
 
 
+DAY = 86400
+
+
+def _by_day(anchor: DataFrame, start: Column, end: Column) -> DataFrame:
+    """Anchor rows (``a`` alias) once for each day ``_bk`` that [start, end] touches; once without a day if none."""
+    b0, b1 = _bucket(start, DAY), _bucket(end, DAY)
+    return anchor.alias("a").select("a.*", F.explode_outer(F.when(b1 >= b0, F.sequence(b0, b1))).alias("_bk"))
+
+
 def _bucket(ts: Column, bucket_seconds: int) -> Column:
     return F.floor(epoch_seconds(ts) / F.lit(bucket_seconds)).cast("long")
 
@@ -200,11 +209,22 @@ def overlap_flag(anchor: DataFrame, intervals: DataFrame, on: str, w_start: Colu
 
     The three-way OR equals ``start <= w_end AND end >= w_start`` for intervals
     with start <= end, and for intervals with start > end the branches are
-    kept literally.
+    kept literally.  Anchors meet intervals by (key, day): the days of an interval
+    are those between its ends that the key's anchors reach, so a mistyped end
+    adds none, and its first and last day where an end is missing or before the start.
     """
     s, e = F.col(f"i.{start_col}"), F.col(f"i.{end_col}")
     hit = ((s >= w_start) & (s <= w_end)) | ((e >= w_start) & (e <= w_end)) | ((s <= w_start) & (e >= w_end))
-    j = anchor.alias("a").join(intervals.alias("i"), (F.col(f"a.{on}") == F.col(f"i.{on}")) & hit, "left")
+    days = _by_day(anchor, w_start, w_end)
+    reach = days.where(F.col("_bk").isNotNull()).groupBy(F.col(on).alias("_rk")).agg(F.min("_bk").alias("_r0"), F.max("_bk").alias("_r1"))
+    b0, b1 = _bucket(F.col(start_col), DAY), _bucket(F.col(end_col), DAY)
+    lo, hi = F.greatest(b0, F.col("_r0")), F.least(b1, F.col("_r1"))
+    iv = intervals.join(reach, F.col(on) == F.col("_rk")).select(
+        on, start_col, end_col,
+        F.explode(F.when(F.col(start_col) <= F.col(end_col), F.when(lo <= hi, F.sequence(lo, hi)))
+                  .otherwise(F.array_distinct(F.array_compact(F.array(b0, b1))))).alias("_bk"))
+    j = days.alias("a").join(iv.alias("i"), (F.col(f"a.{on}") == F.col(f"i.{on}"))
+                             & (F.col("a._bk") == F.col("i._bk")) & hit, "left")
     return j.groupBy(*[F.col(f"a.{g}").alias(g) for g in group_by]).agg(
         F.max(F.when(F.col(f"i.{on}").isNotNull(), 1).otherwise(0)).alias(name))
 
@@ -242,8 +262,10 @@ def text_event_window(anchor: DataFrame, events: DataFrame, key: str, match: Col
                       lo: Column, hi: Column, before_seconds: int, after_seconds: int) -> DataFrame:
     """Per key, [first matching event - before, last matching event + after],
     over events in [lo, hi] of the anchor (``a``/``e`` aliases)."""
-    j = anchor.alias("a").join(events.alias("e"), (F.col(f"a.{key}") == F.col(f"e.{key}"))
-                               & (F.col("e.charttime") >= lo) & (F.col("e.charttime") <= hi), "inner")
+    e = events.withColumn("_bk", _bucket(F.col("charttime"), DAY)).alias("e")
+    j = _by_day(anchor, lo, hi).alias("a").join(
+        e, (F.col(f"a.{key}") == F.col(f"e.{key}")) & (F.col("a._bk") == F.col("e._bk"))
+        & (F.col("e.charttime") >= lo) & (F.col("e.charttime") <= hi), "inner")
     return j.where(match).groupBy(F.col(f"a.{key}").alias(key)).agg(
         F.min(F.col("e.charttime") - F.make_dt_interval(secs=F.lit(before_seconds))).alias("starttime"),
         F.max(F.col("e.charttime") + F.make_dt_interval(secs=F.lit(after_seconds))).alias("endtime"))
