@@ -213,10 +213,8 @@ def gcs(chartevents: DataFrame) -> DataFrame:
     base = pivot_items(chartevents, ["subject_id", "stay_id", "charttime"], specs,
                        extra_ids=[I.GCS_VERBAL])
     from ..operators.windows import previous_within
-    # rows are unique per (stay, charttime): the previous row counts only if it is
-    # < 6 h old, so a bounded, bucketed look-back replaces a per-stay window
-    x = previous_within(base, "stay_id", "charttime", ["gcsmotor", "gcsverbal", "gcseyes"], 6 * 3600,
-                        row_id=["subject_id", "stay_id", "charttime"])
+    # rows are unique per (stay, charttime): the previous row counts only if it is < 6 h old
+    x = previous_within(base, "stay_id", "charttime", ["gcsmotor", "gcsverbal", "gcseyes"], 6 * 3600)
     m, vb, e = F.col("gcsmotor"), F.col("gcsverbal"), F.col("gcseyes")
     pm, pv, pe = F.col("prev_gcsmotor"), F.col("prev_gcsverbal"), F.col("prev_gcseyes")
     total = (F.when(vb == 0, F.lit(15.0))

@@ -238,31 +238,17 @@ def state_episodes(df: DataFrame, key: str, time_col: str, state_col: str, gap_h
 
 
 def previous_within(df: DataFrame, key: str, time_col: str, cols: Sequence[str], max_gap_seconds: int,
-                    row_id: Sequence[str], prefix: str = "prev_", bucket_seconds: int = 86400) -> DataFrame:
-    """P13 without a per-key window: values of the latest strictly earlier row of
-    the same key when it is less than ``max_gap_seconds`` older.
-
-    Equals ``carry_previous`` when (key, time) is unique: the immediately
-    previous row counts only if it is recent, and then it is the latest row of
-    the bounded look-back.  Rows are exploded to the buckets of their look-back
-    and self-joined on (key, bucket), so a long series is split by bucket and
-    each row only meets the rows of its own window.  ``row_id`` identifies a row.
+                    prefix: str = "prev_", bucket_seconds: int = 86400) -> DataFrame:
+    """P13 without a per-key window: values of the previous row of the same key
+    when it is less than ``max_gap_seconds`` older; NULL keys get no previous.
+
+    Equals ``carry_previous`` when (key, time) is unique, by :func:`neighbours`:
+    a long series is split by bucket and each row meets only its previous row.
     """
-    t = F.col(time_col)
-    lo = t - F.make_dt_interval(secs=F.lit(max_gap_seconds))
-    bk = lambda c: F.floor(epoch_seconds(c) / F.lit(bucket_seconds)).cast("long")
-    left = df.select("*", F.explode(F.sequence(bk(lo), bk(t))).alias("_bk")).alias("l")
-    right = df.where(F.col(key).isNotNull()).select(
-        F.col(key).alias("_rk"), t.alias("_rt"), *[F.col(c).alias(f"_rv_{c}") for c in cols],
-        bk(t).alias("_bk")).alias("r")
-    cond = ((F.col(f"l.{key}") == F.col("r._rk")) & (F.col("l._bk") == F.col("r._bk"))
-            & (F.col("r._rt") < F.col(f"l.{time_col}"))
-            & (F.col("r._rt") > F.col(f"l.{time_col}") - F.make_dt_interval(secs=F.lit(max_gap_seconds))))
-    j = left.join(right, cond, "left")
-    w = Window.partitionBy(*[F.col(f"l.{c}") for c in row_id]).orderBy(F.col("r._rt").desc_nulls_last())
-    best = j.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
-    return best.select(*[F.col(f"l.{c}").alias(c) for c in df.columns],
-                       *[F.col(f"r._rv_{c}").alias(f"{prefix}{c}") for c in cols])
+    x = neighbours(df, key, time_col, cols, bucket_seconds)
+    recent = F.col(key).isNotNull() & (F.col(f"prev_{time_col}")
+                                       > F.col(time_col) - F.make_dt_interval(secs=F.lit(max_gap_seconds)))
+    return x.select(*df.columns, *[F.when(recent, F.col(f"prev_{c}")).alias(f"{prefix}{c}") for c in cols])
 
 
 def _day_bucket(ts: Column, bucket_seconds: int) -> Column:

@@ -153,3 +153,47 @@ def test_segment_intervals_null_boundary_and_overlaps(spark):
     assert got == sorted([(T0 - timedelta(days=1), h(0), None, None),      # NULL boundary opens (NULL, first)
                           (h(0), h(2), 1.0, None), (h(2), h(4), 1.0, None), (h(2), h(4), 2.0, None),
                           (h(4), h(5), 2.0, 3.0), (h(5), h(6), 2.0, None)])
+
+
+def test_agg_in_window_by_day_keeps_anchors_and_counts_events_once(spark):
+    from chartwise.operators.temporal import agg_in_window
+
+    anchor = spark.createDataFrame([(1, h(20), h(60)), (2, h(1), h(2)), (3, None, None), (4, h(9), h(2))],
+                                   "k long, lo timestamp_ntz, hi timestamp_ntz")
+    events = spark.createDataFrame([(1, h(20), 1.0), (1, h(30), 2.0), (1, h(60), 4.0), (1, h(61), 8.0), (2, None, 9.0),
+                                    (3, h(1), 1.0), (4, h(5), 1.0), (None, h(1), 1.0)], "k long, t timestamp_ntz, v double")
+    for closed, total in (("both", "7"), ("left", "3"), ("right", "6"), ("neither", "2")):
+        out = agg_in_window(anchor, events, "k", "t", F.col("a.lo"), F.col("a.hi"), [F.sum("e.v").alias("s")], ["k"], closed)
+        assert rows(out, ["k", "s"]) == [("1", total), ("2", None), ("3", None), ("4", None)], closed
+
+
+def test_overlap_flag_by_day_matches_the_three_tests(spark):
+    from chartwise.operators.temporal import overlap_flag
+
+    far = datetime(2999, 1, 1)
+    anchor = spark.createDataFrame([(k, h(10), h(60)) for k in range(9)], "k long, lo timestamp_ntz, hi timestamp_ntz")
+    iv = spark.createDataFrame([
+        (0, h(0), far), (1, h(61), far), (2, h(0), h(9)), (3, h(12), None), (4, None, h(12)), (5, None, None),
+        (6, h(70), h(50)), (7, h(70), h(0)), (8, h(60), h(61))], "k long, starttime timestamp_ntz, endtime timestamp_ntz")
+    out = overlap_flag(anchor, iv, "k", F.col("a.lo"), F.col("a.hi"), ["k"], "hit")
+    assert rows(out, ["k", "hit"]) == [(str(k), str(v)) for k, v in enumerate((1, 0, 0, 1, 1, 0, 1, 0, 1))]
+
+
+def test_text_event_window_spans_days(spark):
+    from chartwise.operators.temporal import text_event_window
+
+    anchor = spark.createDataFrame([(1, h(0), h(50)), (2, h(0), h(50))], "k long, lo timestamp_ntz, hi timestamp_ntz")
+    events = spark.createDataFrame([(1, h(1), "x"), (1, h(30), "x"), (1, h(49), "y"), (1, h(51), "x"), (2, h(3), "y")],
+                                   "k long, charttime timestamp_ntz, value string")
+    out = text_event_window(anchor, events, "k", F.col("e.value") == "x", F.col("a.lo"), F.col("a.hi"), 3600, 7200)
+    assert rows(out, ["k", "starttime", "endtime"]) == [("1", str(h(0)), str(h(32)))]
+
+
+def test_previous_within_matches_carry_previous(spark):
+    from chartwise.operators.windows import previous_within
+
+    df = spark.createDataFrame([(k, h(t), float(t)) for k in (1, 2, None) for t in (0, 5, 11, 23, 25, 49, 200)],
+                               "k long, t timestamp_ntz, v double")
+    expected = carry_previous(df, "k", [F.col("t")], "t", ["v"], 6 * 3600)
+    assert rows(previous_within(df.where("k IS NOT NULL"), "k", "t", ["v"], 6 * 3600)) == rows(expected.where("k IS NOT NULL"))
+    assert previous_within(df, "k", "t", ["v"], 6 * 3600).where("k IS NULL AND prev_v IS NOT NULL").count() == 0
