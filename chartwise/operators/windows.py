@@ -6,8 +6,8 @@ window partition holds one entity's rows, so memory per task is bounded by
 the longest single series, never by the table; the self-joins and range joins
 of the reference are replaced by frames over epoch seconds:
 
-* P09 ``lookback_min``  - ``rangeBetween(-span, -1)`` instead of a self-join
-* P10 ``trailing``      - ``rangeBetween(-span, 0)``
+* P09 ``lookback_min``  - ``rangeBetween(-span, -1)`` by time bucket instead of a self-join
+* P10 ``trailing``      - ``rangeBetween(-span, 0)`` by time bucket
 * P12 ``bucket_to_spine`` - equi-join on (id, ceil-hour) instead of a range join
 * P13 ``carry_previous`` - ``lag`` instead of a ``rn = rn + 1`` self-join
 
@@ -51,14 +51,21 @@ def lookback(df: DataFrame, key: str | Sequence[str], time_col: str,
     [t - span, t] (``include_current``) or [t - span, t - 1 s] (strictly earlier).
 
     ``aggs`` maps output name -> aggregate over the input columns, e.g.
-    ``{"creat_low_past_48hr": F.min("creat")}``.  One sort per key serves
-    every frame of the same partitioning.
+    ``{"creat_low_past_48hr": F.min("creat")}``.  Time is cut in buckets of at
+    least the span; a row is sent to its own bucket and the next one, where it is
+    only looked back at, so a long series is split and each frame is whole.
+    Rows without a time see one another only.
     """
     keys = _cols(key)
     secs = epoch_seconds(F.col(time_col))
-    w = (Window.partitionBy(*keys).orderBy(secs)
+    own = F.floor(secs / F.lit(max(span_seconds, 86400))).cast("long")
+    x = df.withColumn("_own", own)
+    x = x.withColumn("_bk", F.explode(F.when(F.col("_own").isNull(), F.array(F.col("_own")))
+                                      .otherwise(F.array(F.col("_own"), F.col("_own") + 1))))
+    w = (Window.partitionBy(*keys, "_bk").orderBy(secs)
          .rangeBetween(-span_seconds, 0 if include_current else -1))
-    return df.select("*", *[a.over(w).alias(n) for n, a in aggs.items()])
+    x = x.select("*", *[a.over(w).alias(n) for n, a in aggs.items()])
+    return x.where(F.col("_own").eqNullSafe(F.col("_bk"))).drop("_own", "_bk")
 
 
 def to_validity(df: DataFrame, key: str, start_col: str, order: Sequence[Column],

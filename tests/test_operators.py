@@ -197,3 +197,18 @@ def test_previous_within_matches_carry_previous(spark):
     expected = carry_previous(df, "k", [F.col("t")], "t", ["v"], 6 * 3600)
     assert rows(previous_within(df.where("k IS NOT NULL"), "k", "t", ["v"], 6 * 3600)) == rows(expected.where("k IS NOT NULL"))
     assert previous_within(df, "k", "t", ["v"], 6 * 3600).where("k IS NULL AND prev_v IS NOT NULL").count() == 0
+
+
+def test_lookback_by_bucket_matches_one_window_a_key(spark):
+    from pyspark.sql import Window
+
+    df = spark.createDataFrame([(k, None if t is None else h(t), float(n)) for k in (1, 2)
+                                for n, t in enumerate((0, 5, 23, 24, 47, 48, 49, 72, 72, 96, 400, None))],
+                               "k long, t timestamp_ntz, v double")
+    secs = F.unix_seconds(F.col("t").cast("timestamp_ltz"))
+    for current in (True, False):
+        for span in (3600, 86400, 2 * 86400):
+            w = Window.partitionBy("k").orderBy(secs).rangeBetween(-span, 0 if current else -1)
+            expected = df.select("*", F.sum("v").over(w).alias("s"), F.min("v").over(w).alias("m"))
+            out = lookback(df, "k", "t", {"s": F.sum("v"), "m": F.min("v")}, span, current)
+            assert rows(out) == rows(expected), (span, current)
