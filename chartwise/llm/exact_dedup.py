@@ -8,7 +8,8 @@ AQE may split when a length or a prefix is hot; texts are never shuffled.
 
 Defined results: a null text counts as empty; texts are equal when identical after lower-casing
 A-Z only; of equal texts the row with the largest id stays (null ids rank lowest); rows that
-repeat an id count in ``group_size`` and share the id's fate; an empty table gives no rows;
+repeat an id with the same text count in ``group_size`` and share its fate, with another text they are judged by that;
+an empty table gives no rows;
 other columns, whatever their names, are not read.
 """
 
@@ -57,6 +58,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_last_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    gone = exact_dedup(docs, id_col, text_col).where(~F.col("kept")).select(F.col(id_col).alias("__gone"))
-    return docs.join(gone.distinct(), F.col(id_col).eqNullSafe(F.col("__gone")), "left_anti")
+    """The rows of ``docs`` that stay, with all their columns.  A row goes by its id and its text: another text with the same id,
+    or without one, is a document of its own."""
+    gone = exact_dedup(docs, id_col, text_col).where(~F.col("kept")).select(
+        F.col(id_col).alias("__gone"), F.col("text_sha256").alias("__sha")).distinct()
+    sha = F.sha2(lower_az(F.coalesce(F.col(text_col), F.lit(""))), 256)
+    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("__gone")) & (sha == F.col("__sha")), "left_anti")

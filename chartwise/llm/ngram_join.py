@@ -278,7 +278,13 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
                      percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` without those whose component has a smaller id."""
-    gone = ngram_components(docs, id_col, text_col, words, percent).where(
-        F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("__gone")), "left_anti")
+    """The rows of ``docs`` without those whose component has a smaller id.  A node is an id with its text (a 64-bit hash), so
+    another text with the same id is a document of its own; rows without an id stay."""
+    node = F.when(F.col(id_col).isNotNull(), F.xxhash64(F.col(id_col), F.col(text_col)))
+    rows = docs.select(node.alias("node"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    part = ngram_components(rows, "node", "text", words, percent).where("node is not null").distinct()
+    part = stored(part.join(rows.select("node", "id").distinct(), "node"), "ngram-parts")
+    least = part.where(F.col("node") != F.col("component_id")).select("component_id").distinct().join(
+        part, "component_id").groupBy("component_id").agg(F.min("id").alias("least"))
+    gone = part.join(least, "component_id").where("id != least").select(F.col("node").alias("__gone"))
+    return docs.join(gone, node == F.col("__gone"), "left_anti")

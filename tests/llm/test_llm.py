@@ -361,3 +361,15 @@ def test_pipeline_stages_against_plain_versions(spark):
         docs = spark.createDataFrame(out.collect(), out.schema)
     packed = pipeline.STAGES[-1][1](spark, docs, SF_SMALL)
     assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in docs.collect()}
+
+
+def test_stages_keep_clean_rows_with_null_and_repeated_ids(spark):
+    words = lambda k: " ".join(f"w{k}x{j}" for j in range(60))
+    rows = [(1, words(1)), (None, words(1)), (None, words(2)), (None, None), (7, words(3)), (9, words(3)), (7, words(4)),
+            (None, words(5)), (9, words(6))]
+    left = sorted(map(str, ((r.doc_id, r.text) for r in exact_dedup.keep_last_copies(frame(spark, rows)).collect())))
+    assert left == sorted(map(str, [rows[k] for k in (0, 2, 3, 5, 6, 7, 8)]))
+    rows = [(3, words(1)), (7, words(1) + " more"), (7, words(2)), (7, words(2)), (8, words(2) + " more"), (9, words(4)),
+            (9, words(2) + " less"), (None, words(1)), (None, words(5)), (10, None), (11, None)]
+    left = sorted(map(str, ((r.doc_id, r.text) for r in ngram_join.keep_one_of_each(frame(spark, rows)).collect())))
+    assert left == sorted(map(str, [rows[k] for k in (0, 2, 3, 5, 7, 8, 9, 10)]))
