@@ -373,3 +373,20 @@ def test_stages_keep_clean_rows_with_null_and_repeated_ids(spark):
             (9, words(2) + " less"), (None, words(1)), (None, words(5)), (10, None), (11, None)]
     left = sorted(map(str, ((r.doc_id, r.text) for r in ngram_join.keep_one_of_each(frame(spark, rows)).collect())))
     assert left == sorted(map(str, [rows[k] for k in (0, 2, 3, 5, 7, 8, 9, 10)]))
+
+
+def test_packing_blocks_stay_small_when_nothing_fills(spark, monkeypatch):
+    dealt, plain = [], packing._pack_blocks
+
+    def spy(items, blocks, capacity, level):
+        dealt.append((items.count(), blocks))
+        return plain(items, blocks, capacity, level)
+
+    monkeypatch.setattr(packing, "_pack_blocks", spy)
+    lengths = [904] * 500 + [1100] * 101
+    pieces = spark.createDataFrame([(i, 0, 0, n, 0) for i, n in enumerate(lengths)],
+                                   "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
+    out = packing.pack_pieces(pieces, block=64).toPandas()
+    assert all(n <= 64 * blocks for n, blocks in dealt) and dealt[-1][1] == 1
+    assert sorted(out.doc_id) == list(range(601)) and out.groupby("sequence_id").length.sum().max() <= 2048
+    assert out.sequence_id.nunique() <= 303                      # 101 pairs of unequal lengths, the rest in equal pairs: 301
