@@ -11,8 +11,9 @@
 
 Every repeated string of ``LENGTH`` bytes is found, whatever its place; strings are judged on the input.
 
-Defined results: a null text is empty; a text of fewer than ``LENGTH`` bytes keeps all; documents are told apart by id, and
-rows that repeat an id with the same text get equal results; rows without an id are left whole; an empty table gives no rows; other columns are not read.
+Defined results: a null text is empty; a text of fewer than ``LENGTH`` bytes keeps all; documents are told apart by id, so
+of the rows that repeat one none is earlier than another at the same start: rows with the same text get equal results, which are
+those of one such row, and each text of an id is cut by spans of its own (rows go by id and a 64-bit hash of the text); rows without an id are left whole; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -82,29 +83,36 @@ def anchors(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
     return {"row": row[begin], "at": at - bounds[row[begin]], "lo": at - begin, "hi": at - last, "key": h[at], "ctx": ctx}
 
 
-_ANCHOR = "id bigint, key bigint, ctx bigint, at int, lo int, hi int, repeat boolean"
+_ANCHOR = "id bigint, doc bigint, key bigint, ctx bigint, at int, lo int, hi int, repeat boolean"
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids = batch.column("id").to_numpy()
+        ids, docs = batch.column("id").to_numpy(), batch.column("doc").to_numpy()
         data, bounds = text_bytes(batch.column("text"))
         for first, last in row_steps(bounds):
             a = anchors(data[bounds[first]:bounds[last]], bounds[first:last + 1] - bounds[first])
-            own = ids[first + a["row"]]
-            order = np.lexsort((a["at"], own, a["ctx"], a["key"]))
+            a |= {"id": ids[first + a["row"]], "doc": docs[first + a["row"]]}
+            order = np.lexsort((a["doc"], a["at"], a["id"], a["ctx"], a["key"]))
             a = {k: v[order] for k, v in a.items()}
-            again = np.zeros(len(order), bool)
-            again[1:] = (a["key"][1:] == a["key"][:-1]) & (a["ctx"][1:] == a["ctx"][:-1])
+            new = np.ones(len(order), bool)
+            new[1:] = (a["key"][1:] != a["key"][:-1]) | (a["ctx"][1:] != a["ctx"][:-1])
+            # a row given twice is one
+            once = new.copy()
+            once[1:] |= (a["id"][1:] != a["id"][:-1]) | (a["at"][1:] != a["at"][:-1]) | (a["doc"][1:] != a["doc"][:-1])
+            a, new = {k: v[once] for k, v in a.items()}, new[once]
+            head = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+            again = (a["id"] != a["id"][head]) | (a["at"] != a["at"][head])
             # a repeat is settled here: a key of its own keeps it away from the gram's other holders
-            key = np.where(again, mix(a["key"] + own[order].view(np.uint64) * _STEP[5] + a["at"].astype(np.uint64)), a["key"])
+            own = mix(a["id"].view(np.uint64)) + a["doc"].view(np.uint64)
+            key = np.where(again, mix(a["key"] + own * _STEP[5] + a["at"].astype(np.uint64)), a["key"])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(own[order]), pa.array(key.view(np.int64)), pa.array(a["ctx"].view(np.int64)),
+                [pa.array(a["id"]), pa.array(a["doc"]), pa.array(key.view(np.int64)), pa.array(a["ctx"].view(np.int64)),
                  *[pa.array(a[c].astype(np.int32)) for c in ("at", "lo", "hi")], pa.array(again)],
-                names=["id", "key", "ctx", "at", "lo", "hi", "repeat"])
+                names=["id", "doc", "key", "ctx", "at", "lo", "hi", "repeat"])
 
 
-_FOUND = "wanted boolean, key bigint, id bigint, at int, lo int, hi int"
+_FOUND = "wanted boolean, key bigint, id bigint, doc bigint, at int, lo int, hi int"
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
@@ -120,15 +128,18 @@ def _chunks(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
 
 
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in order of (key, ctx, id, at): repeats, and (wanted) the firsts of the classes of grams with several.
+    """Rows in order of (key, ctx, id, at, doc): repeats, and (wanted) the firsts of the classes of grams with several.
 
-    Of the gram at the end of a chunk only what the next chunk must know is held: its last class, whether it has
-    had several, and its only class's first row while that may still be wanted.
+    Rows with the id and the place of their class's first row are firsts too, no repeats; each doc is one of them once.
+    Of the gram at the end of a chunk only what the next chunk must know is held: its last class and that class's first and
+    last row, whether it has had several, and its only class's firsts while they may still be wanted.  The latter are of one
+    id and place; above ``CHUNK_ROWS`` of them they are passed on as wanted, which costs work but changes no result.
     """
-    key0 = ctx0 = pending = None
+    key0 = ctx0 = pending = lead = tail = None
     several = False
     for table in _chunks(batches, CHUNK_ROWS):
-        c = {k: table.column(k).to_numpy() for k in ("key", "ctx", "id", "at", "lo", "hi", "repeat")}
+        c = {k: table.column(k).to_numpy() for k in table.column_names}
+        c.setdefault("doc", c["id"])
         settled = {k: v[c["repeat"]] for k, v in c.items()}
         c = {k: v[~c["repeat"]] for k, v in c.items()}
         n = len(c["key"])
@@ -141,45 +152,60 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new_ctx = new_key.copy()
         new_ctx[1:] |= c["ctx"][1:] != c["ctx"][:-1]
         new_ctx[0] |= ctx0 is None or c["ctx"][0] != ctx0
+        head = np.maximum.accumulate(np.where(new_ctx, np.arange(n), -1))
+        lead_id = np.where(head < 0, lead[0] if lead else 0, c["id"][head])
+        lead_at = np.where(head < 0, lead[1] if lead else 0, c["at"][head])
+        is_first = (c["id"] == lead_id) & (c["at"] == lead_at)
+        twice = np.zeros(n, bool)                                    # the same row, from another task
+        twice[1:] = ~new_ctx[1:] & (c["id"][1:] == c["id"][:-1]) & (c["at"][1:] == c["at"][:-1]) & (c["doc"][1:] == c["doc"][:-1])
+        twice[0] = not new_ctx[0] and tail == (c["id"][0], c["at"][0], c["doc"][0])
         group = np.cumsum(new_key) - (1 if new_key[0] else 0)        # 0: the held gram goes on
         classes = np.bincount(group[new_ctx], minlength=int(group[-1]) + 1)
         if not new_key[0]:
             classes[0] += 2 if several else 1
-        first = np.flatnonzero(new_ctx & (classes[group] > 1))
-        rest = np.flatnonzero(~new_ctx)
-        out = {k: np.concatenate([settled[k], c[k][rest], c[k][first]]) for k in ("key", "id", "at", "lo", "hi")}
-        wanted = np.concatenate([np.zeros(len(settled["key"]) + len(rest), bool), np.ones(len(first), bool)])
+        first = np.flatnonzero(is_first & ~twice & (classes[group] > 1))
+        rest = np.flatnonzero(~is_first & ~twice)
+        names = ("key", "id", "doc", "at", "lo", "hi")
+        parts = [({k: settled[k] for k in names}, False), ({k: c[k][rest] for k in names}, False), ({k: c[k][first] for k in names}, True)]
         if pending is not None and not new_key[0] and classes[0] > 1:
-            out = {k: np.append(v, pending[k]) for k, v in out.items()}
-            wanted = np.append(wanted, True)
+            parts.append((pending, True))
             pending = None
         if new_key.any():
             pending = None
         key0, ctx0, several = c["key"][-1], c["ctx"][-1], bool(classes[group[-1]] > 1)
-        if not several:
-            if new_key.any():
-                k = int(np.flatnonzero(new_key)[-1])
-                pending = {x: c[x][k] for x in ("key", "id", "at", "lo", "hi")}
-        else:
+        lead, tail = (lead_id[-1], lead_at[-1]), (c["id"][-1], c["at"][-1], c["doc"][-1])
+        if several:
             pending = None
-        yield _found(wanted, out)
+        else:
+            own = np.flatnonzero((group == group[-1]) & is_first & ~twice)
+            more = {k: c[k][own] for k in names}
+            pending = more if pending is None else {k: np.concatenate([pending[k], more[k]]) for k in names}
+            if len(pending["key"]) > CHUNK_ROWS and len(pending["key"]) > 1:
+                parts.append((pending, True))
+                pending, several = None, True
+        yield _found(np.concatenate([np.full(len(p["key"]), w) for p, w in parts]),
+                     {k: np.concatenate([p[k] for p, _ in parts]) for k in names})
 
 
 def _found(wanted: np.ndarray, out: dict[str, np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(wanted), pa.array(out["key"], pa.int64()), pa.array(out["id"], pa.int64()),
+        [pa.array(wanted), *[pa.array(out[x], pa.int64()) for x in ("key", "id", "doc")],
          *[pa.array(out[x].astype(np.int32)) for x in ("at", "lo", "hi")]],
-        names=["wanted", "key", "id", "at", "lo", "hi"])
+        names=["wanted", "key", "id", "doc", "at", "lo", "hi"])
 
 
-_PIECE = "core bigint, half int, id bigint, at int, l1 int, l2 int, left binary, right binary"
+_PIECE = "core bigint, half int, id bigint, doc bigint, at int, l1 int, l2 int, left binary, right binary"
 
 
 def _cut_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Halves of the wanted contexts.  ``left`` runs from the core outwards, ``right`` likewise."""
+    last = None
     for batch in batches:
-        out: list[list] = [[] for _ in range(8)]
-        for own, text, wanted in zip(*(batch.column(k).to_pylist() for k in ("id", "text", "wanted"))):
+        out: list[list] = [[] for _ in range(9)]
+        for own, doc, text, wanted in zip(*(batch.column(k).to_pylist() for k in ("id", "doc", "text", "wanted"))):
+            if (own, doc) == last:                              # the same row again
+                continue
+            last = own, doc
             raw = text.encode()
             for w in wanted:
                 a = w["at"]
@@ -188,13 +214,13 @@ def _cut_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     if l1 > l2:
                         continue
                     core = hashlib.blake2b(raw[a - h0:a - h1 + LENGTH], digest_size=8, salt=w["key"].to_bytes(8, "little", signed=True)).digest()
-                    for column, value in zip(out, (int.from_bytes(core, "little", signed=True), half, own, a, l1, l2,
+                    for column, value in zip(out, (int.from_bytes(core, "little", signed=True), half, own, doc, a, l1, l2,
                                                    raw[a - l2:a - h0][::-1], raw[a - h1 + LENGTH:a - l1 + LENGTH])):
                         column.append(value)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(v, t) for v, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(),
+            [pa.array(v, t) for v, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(),
                                                   pa.binary(), pa.binary()))],
-            names=["core", "half", "id", "at", "l1", "l2", "left", "right"])
+            names=["core", "half", "id", "doc", "at", "l1", "l2", "left", "right"])
 
 
 def _shared_extent(group: np.ndarray, side: list[bytes]) -> np.ndarray:
@@ -215,10 +241,11 @@ def _shared_extent(group: np.ndarray, side: list[bytes]) -> np.ndarray:
 
 
 def _equal_windows(rows: list[tuple]) -> dict[int, list[int]]:
-    """``rows``: (number, group, half, l1, l2, left, right) in order of (group, id, at).  For each row, the windows
-    that an earlier row of its group has too, found as neighbours in the suffix order of all pieces."""
+    """``rows``: (number, group, half, l1, l2, left, right), numbered in order of (group, id, at), equal ones by the same number of
+    their place.  For each row (by its place in ``rows``), the windows that an earlier row of its group has too, found as neighbours in the suffix order of all pieces."""
     parts, owner, place = [], [], []
-    for number, group, half, l1, l2, left, right in rows:
+    numbers = np.array([r[0] for r in rows])
+    for at, (_, group, half, l1, l2, left, right) in enumerate(rows):
         symbols = np.empty(len(left) + len(right) + 2, np.int64)
         symbols[:len(left)] = np.frombuffer(left, np.uint8)[::-1]
         symbols[len(left)] = 256 + group                         # the core as one symbol of its group
@@ -228,7 +255,7 @@ def _equal_windows(rows: list[tuple]) -> dict[int, list[int]]:
         parts.append(symbols)
         starts = np.full(len(symbols), -1, np.int64)
         starts[:l2 - l1 + 1] = np.arange(l2, l1 - 1, -1)
-        owner.append(np.full(len(symbols), number, np.int64))
+        owner.append(np.full(len(symbols), at, np.int64))
         place.append(starts)
     half = rows[0][2]
     width = HALVES[half][1] - HALVES[half][0] + 1                # symbols of a window
@@ -239,17 +266,17 @@ def _equal_windows(rows: list[tuple]) -> dict[int, list[int]]:
     window = text[order[:, None] + np.arange(width)]
     same = (window[1:] == window[:-1]).all(axis=1)
     block = np.concatenate([[0], np.cumsum(~same)])
-    number = owner_of[order]
+    number = numbers[owner_of[order]]
     least = np.full(block[-1] + 1, np.iinfo(np.int64).max)
     np.minimum.at(least, block, number)
     found: dict[int, list[int]] = {}
     for k in np.flatnonzero(number != least[block]):
-        found.setdefault(int(number[k]), []).append(int(l_of[order[k]]))
+        found.setdefault(int(owner_of[order[k]]), []).append(int(l_of[order[k]]))
     return found
 
 
 def _shared_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in order of (core, half, id, at): spans of windows that an earlier piece of the same core has too."""
+    """Rows in order of (core, half, id, at, doc): spans of windows that an earlier piece of the same core has too."""
     held = None
     chunks = _chunks(batches, CHUNK_ROWS)
     while True:
@@ -267,13 +294,17 @@ def _shared_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _solve(table: pa.Table) -> pa.RecordBatch:
-    c = {k: table.column(k).to_numpy() for k in ("core", "half", "id", "at", "l1", "l2")}
+    c = {k: table.column(k).to_numpy() for k in ("core", "half", "id", "doc", "at", "l1", "l2")}
     n = len(c["core"])
     new = np.ones(n, bool)
     new[1:] = (c["core"][1:] != c["core"][:-1]) | (c["half"][1:] != c["half"][:-1])
     group = np.cumsum(new) - 1
     keep = np.flatnonzero(np.bincount(group)[group] > 1)
-    spans: list[tuple[int, int, int]] = []
+    spans: list[tuple[int, int, int, int]] = []
+
+    def add(k: int, low: int, high: int) -> None:
+        spans.append((int(c["id"][k]), int(c["doc"][k]), int(c["at"][k]) - high, int(c["at"][k]) - low + LENGTH))
+
     if len(keep):
         small = table.take(pa.array(keep))
         left, right = small.column("left").to_pylist(), small.column("right").to_pylist()
@@ -282,15 +313,22 @@ def _solve(table: pa.Table) -> pa.RecordBatch:
         h1 = np.array([h[1] for h in HALVES])[c["half"]]
         far_left, far_right = _shared_extent(group, left), _shared_extent(group, right)
         l1, l2 = np.maximum(c["l1"], h1 - far_right), np.minimum(c["l2"], h0 + far_left)
+        step = np.ones(len(group), bool)                        # rows of one id and place have one number
+        step[1:] = (group[1:] != group[:-1]) | (c["id"][1:] != c["id"][:-1]) | (c["at"][1:] != c["at"][:-1])
+        number = np.cumsum(step)
         seen: dict[tuple, int] = {}
+        twins: dict[int, list[int]] = {}
         rows: dict[int, list[tuple]] = {0: [], 1: []}
         for k in np.flatnonzero(l1 <= l2).tolist():
             a, b, g = int(l1[k]), int(l2[k]), int(group[k])
             piece = (g, a, b, left[k][:b - int(h0[k])], right[k][:int(h1[k]) - a])
-            if seen.setdefault(piece, k) != k:                  # equal after trimming: a repeat as a whole
-                spans.append((int(c["id"][k]), int(c["at"][k]) - b, int(c["at"][k]) - a + LENGTH))
+            head = seen.setdefault(piece, k)
+            if number[head] != number[k]:                       # equal after trimming: a repeat as a whole
+                add(k, a, b)
+            elif head != k:                                     # another text of the same id: as its first
+                twins.setdefault(head, []).append(k)
             else:
-                rows[int(c["half"][k])].append((k, g, int(c["half"][k]), *piece[1:]))
+                rows[int(c["half"][k])].append((int(number[k]), g, int(c["half"][k]), *piece[1:], k))
         for some in rows.values():
             alone = {}
             for r in some:
@@ -303,11 +341,13 @@ def _solve(table: pa.Table) -> pa.RecordBatch:
                     g = some[end][1]
                     size += len(some[end][5]) + len(some[end][6]) + 2
                     end += 1
-                for k, ls in _equal_windows(some[begin:end]).items():
-                    spans.append((int(c["id"][k]), int(c["at"][k]) - max(ls), int(c["at"][k]) - min(ls) + LENGTH))
+                for at, ls in _equal_windows([r[:-1] for r in some[begin:end]]).items():
+                    k = some[begin + at][-1]
+                    for twin in (k, *twins.get(k, ())):
+                        add(twin, min(ls), max(ls))
                 begin = end
-    return pa.RecordBatch.from_arrays([pa.array([s[k] for s in spans], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.int32()))],
-                                      names=["id", "start", "end"])
+    return pa.RecordBatch.from_arrays([pa.array([s[k] for s in spans], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))],
+                                      names=["id", "doc", "start", "end"])
 
 
 def _merged(spans: list[dict]) -> list[tuple[int, int]]:
@@ -345,27 +385,28 @@ def _cut(with_kept: bool):
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, start, end): byte spans of repeated strings; spans of one document may overlap."""
+    """(id, doc, start, end): byte spans of repeated strings, ``doc`` the hash of the text; spans of one text may overlap."""
     python_ready(docs.sparkSession)
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where(
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("doc")).where(
         F.col("id").isNotNull() & (F.octet_length("text") >= LENGTH))
     rows = texts.mapInArrow(_anchor_rows, _ANCHOR)
-    found = stored(rows.repartition("key").sortWithinPartitions("key", "ctx", "id", "at")
+    found = stored(rows.repartition("key").sortWithinPartitions("key", "ctx", "id", "at", "doc")
                    .mapInArrow(_classes, _FOUND), "suffix-classes")
     whole = found.where(~F.col("wanted")).select(
-        "id", (F.col("at") - F.col("lo")).alias("start"), (F.col("at") - F.col("hi") + LENGTH).alias("end"))
-    wanted = found.where("wanted").groupBy("id").agg(F.collect_list(F.struct("key", "at", "lo", "hi")).alias("wanted"))
-    pieces = texts.join(wanted, "id").mapInArrow(_cut_pieces, _PIECE)
-    partly = (pieces.repartition("core").sortWithinPartitions("core", "half", "id", "at")
-              .mapInArrow(_shared_windows, "id bigint, start int, end int"))
+        "id", "doc", (F.col("at") - F.col("lo")).alias("start"), (F.col("at") - F.col("hi") + LENGTH).alias("end"))
+    wanted = found.where("wanted").groupBy("id", "doc").agg(F.collect_set(F.struct("key", "at", "lo", "hi")).alias("wanted"))
+    pieces = texts.join(wanted, ["id", "doc"]).mapInArrow(_cut_pieces, _PIECE)
+    partly = (pieces.repartition("core").sortWithinPartitions("core", "half", "id", "at", "doc")
+              .mapInArrow(_shared_windows, "id bigint, doc bigint, start int, end int"))
     return stored(whole.unionByName(partly), "suffix-spans")
 
 
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_kept: bool = False) -> DataFrame:
     """Per row: id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the ``kept`` bytes."""
-    spans = repeated_spans(docs, id_col, text_col).groupBy("id").agg(
-        F.collect_list(F.struct("start", "end")).alias("spans"))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(spans, "id", "left")
+    spans = repeated_spans(docs, id_col, text_col).groupBy("id", "doc").agg(
+        F.collect_set(F.struct("start", "end")).alias("spans"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("doc")).join(
+        spans, ["id", "doc"], "left")
     schema = T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("n_bytes", T.LongType()),
                            T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()),
                            T.StructField("kept_sha256", T.StringType())])

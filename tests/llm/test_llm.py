@@ -390,3 +390,33 @@ def test_packing_blocks_stay_small_when_nothing_fills(spark, monkeypatch):
     assert all(n <= 64 * blocks for n, blocks in dealt) and dealt[-1][1] == 1
     assert sorted(out.doc_id) == list(range(601)) and out.groupby("sequence_id").length.sum().max() <= 2048
     assert out.sequence_id.nunique() <= 303                      # 101 pairs of unequal lengths, the rest in equal pairs: 301
+
+
+def repeated_bytes_of_rows(rows, length=100):
+    """A byte goes if its string also starts earlier: in a smaller id, or further left in the same one."""
+    least = {}
+    for i, t in rows:
+        raw = t.encode()
+        for p in range(len(raw) - length + 1):
+            least[raw[p:p + length]] = min(least.get(raw[p:p + length], (i, p)), (i, p))
+    out = []
+    for i, t in rows:
+        raw = t.encode()
+        cut = bytearray(len(raw))
+        for p in range(len(raw) - length + 1):
+            if least[raw[p:p + length]] < (i, p):
+                cut[p:p + length] = b"\x01" * length
+        out.append((i, len(raw), sum(cut), brute.sha(bytes(b for b, c in zip(raw, cut) if not c))))
+    return sorted(out)
+
+
+def test_suffix_dedup_of_repeated_ids(spark):
+    rng = random.Random(11)
+    own = lambda k, a="abcdef ": "".join(rng.choice(a) for _ in range(k))
+    passage, start = own(240), own(170)
+    rows = [(1, own(300))] * 2 + [(2, own(80) + passage)] * 3 + [(3, passage + own(90))] * 2 + [(4, "xy" * 200)] * 2
+    rows += [(5, start + own(120)), (5, start + own(120)), (5, own(60) + start), (6, own(40) + start[20:] + own(60)), (7, own(99))]
+    rows += [(8, passage[60:] + own(50)), (8, passage[60:] + own(50)), (8, passage[60:] + own(50))]
+    rng.shuffle(rows)
+    out = suffix_dedup.cut_repeats(frame(spark, rows).repartition(3)).collect()
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.kept_sha256) for r in out) == repeated_bytes_of_rows(rows)
