@@ -7,6 +7,8 @@
 3. Windows.  Firsts of different classes of one gram may still share windows.  Their contexts are cut from the texts
    in halves, keyed by the bytes that all windows of the half share, trimmed to what occurs twice, and
    suffix-sorted by linear grouping (``suffix_groups``): windows that are equal are neighbours in the suffix order.
+   The pieces of a core with more than ``MANY`` of them are not held: they are read as a stream and sent on as windows, keyed
+   by their bytes on both sides of the core; of equal windows a chunk of the stream sends the first only.
 4. The spans found are gathered by document and cut.
 
 Every repeated string of ``LENGTH`` bytes is found, whatever its place; strings are judged on the input.
@@ -34,6 +36,7 @@ LENGTH, GRAM = 100, 32
 WINDOWS = LENGTH - GRAM + 1                     # windows that a gram can be in
 HALVES = ((0, (WINDOWS - 1) // 2), ((WINDOWS - 1) // 2 + 1, WINDOWS - 1))    # by the gram's place in the window
 CHUNK_ROWS, CHUNK_SYMBOLS = 50_000, 200_000
+MANY = 8_192                                    # pieces of one core that are suffix-sorted together
 _SIDE = HALVES[0][1]                            # most bytes of a half on either side of its core
 _PLACE = np.uint64((1 << 28) - 1)
 _rng = np.random.default_rng(99)
@@ -275,22 +278,91 @@ def _equal_windows(rows: list[tuple]) -> dict[int, list[int]]:
     return found
 
 
+_SPAN = "core bigint, l int, win bigint, id bigint, doc bigint, start int, end int"
+
+
 def _shared_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in order of (core, half, id, at, doc): spans of windows that an earlier piece of the same core has too."""
-    held = None
-    chunks = _chunks(batches, CHUNK_ROWS)
-    while True:
-        table = next(chunks, None)
-        if table is None:
-            if held is not None and held.num_rows:
-                yield _solve(held)
-            return
+    """Rows in order of (core, half, id, at, doc): spans of windows that an earlier piece of the same core has too, and (``win``
+    is not null) the windows of cores with more than ``MANY`` pieces, still to be compared.  Held are at most that many."""
+    held, hot = None, None
+    for table in _chunks(batches, CHUNK_ROWS):
         table = pa.concat_tables([held, table]) if held is not None else table
         core = table.column("core").to_numpy()
-        cut = int(np.searchsorted(core, core[-1]))             # the last core may go on
-        held = table.slice(cut)
-        if cut:
-            yield _solve(table.slice(0, cut))
+        cuts = np.concatenate([[0], np.flatnonzero(core[1:] != core[:-1]) + 1, [len(core)]])
+        size = np.diff(cuts)
+        many = (size > MANY) | ((core[cuts[:-1]] == hot) if hot is not None else False)
+        hot = core[-1] if many[-1] else None
+        end = len(core) if many[-1] else int(cuts[-2])         # the last core may go on
+        held = table.slice(end)
+        few = np.flatnonzero(np.repeat(~many, size)[:end])
+        if len(few):
+            yield _solve(table.take(pa.array(few)) if many.any() else table.slice(0, end))
+        for k in np.flatnonzero(many):
+            yield from _windows(table.slice(int(cuts[k]), int(size[k])))
+    if held is not None and held.num_rows:
+        yield _solve(held)
+
+
+def _windows(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Pieces of one core as windows: spans of those that earlier pieces of the table have too, and the others by their bytes."""
+    c = {k: table.column(k).to_numpy() for k in ("core", "half", "id", "doc", "at", "l1", "l2")}
+    m = len(c["core"])
+    sides = []                                                 # hash of a side's first k bytes, for each k
+    for name, odd in (("left", _STEP[0]), ("right", _STEP[1])):
+        side = table.column(name).to_pylist()
+        size = np.fromiter(map(len, side), np.int64, m)
+        flat = np.frombuffer(b"".join(side), np.uint8)
+        k = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
+        value = np.zeros((m, 1 + _SIDE), np.uint64)
+        value[np.repeat(np.arange(m), size), k + 1] = mix(_BYTE[flat] + k.astype(np.uint64) * odd)
+        sides.append(np.cumsum(value, axis=1, dtype=np.uint64))
+    n = (c["l2"] - c["l1"] + 1).astype(np.int64)
+    row = np.repeat(np.arange(m), n)
+    l = c["l1"][row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    h0, h1 = (np.array([h[k] for h in HALVES])[c["half"][row]] for k in (0, 1))
+    win = mix(mix(sides[0][row, l - h0]) * _STEP[2] + sides[1][row, h1 - l])
+    start = c["at"][row] - l
+    order = np.lexsort((c["doc"][row], start, c["id"][row], win, l))
+    row, l, win, start = row[order], l[order], win[order], start[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (l[1:] != l[:-1]) | (win[1:] != win[:-1])
+    head = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+    later = (c["id"][row] != c["id"][row[head]]) | (start != start[head])
+    low, high = np.full(m, LENGTH), np.full(m, -1)             # a piece's windows overlap: one span
+    np.minimum.at(low, row[later], l[later])
+    np.maximum.at(high, row[later], l[later])
+    some = np.flatnonzero(high >= 0)
+    yield _spans(None, c["id"][some], c["doc"][some], c["at"][some] - high[some], c["at"][some] - low[some] + LENGTH)
+    row, l, win, start = row[~later], l[~later], win[~later], start[~later]
+    for k in range(0, len(row), CHUNK_ROWS):
+        x = slice(k, k + CHUNK_ROWS)
+        yield _spans((c["core"][row[x]], l[x], win[x].view(np.int64)), c["id"][row[x]], c["doc"][row[x]], start[x], start[x] + LENGTH)
+
+
+def _spans(key, ids, docs, start, end) -> pa.RecordBatch:
+    key = key or [pa.nulls(len(ids))] * 3
+    return pa.RecordBatch.from_arrays([pa.array(v, t) if not isinstance(v, pa.Array) else v.cast(t) for v, t in zip(
+        (*key, ids, docs, start, end), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()))],
+        names=["core", "l", "win", "id", "doc", "start", "end"])
+
+
+def _later_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Windows in order of (core, l, win, id, start): the spans of all but those with the id and place of the first.  One
+    window's first is held, whatever their number."""
+    lead = None
+    for batch in batches:
+        key = [batch.column(k).to_numpy() for k in ("core", "l", "win")]
+        ids, start = batch.column("id").to_numpy(), batch.column("start").to_numpy()
+        if not len(ids):
+            continue
+        new = np.ones(len(ids), bool)
+        new[1:] = np.any([k[1:] != k[:-1] for k in key], axis=0)
+        new[0] = lead is None or lead[0] != tuple(k[0] for k in key)
+        head = np.maximum.accumulate(np.where(new, np.arange(len(ids)), -1))
+        lead_id = np.where(head < 0, lead[1] if lead else 0, ids[head])
+        lead_start = np.where(head < 0, lead[2] if lead else 0, start[head])
+        lead = tuple(k[-1] for k in key), lead_id[-1], lead_start[-1]
+        yield batch.select(["id", "doc", "start", "end"]).filter(pa.array((ids != lead_id) | (start != lead_start)))
 
 
 def _solve(table: pa.Table) -> pa.RecordBatch:
@@ -346,8 +418,7 @@ def _solve(table: pa.Table) -> pa.RecordBatch:
                     for twin in (k, *twins.get(k, ())):
                         add(twin, min(ls), max(ls))
                 begin = end
-    return pa.RecordBatch.from_arrays([pa.array([s[k] for s in spans], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))],
-                                      names=["id", "doc", "start", "end"])
+    return _spans(None, *([s[k] for s in spans] for k in range(4)))
 
 
 def _merged(spans: list[dict]) -> list[tuple[int, int]]:
@@ -396,9 +467,12 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "id", "doc", (F.col("at") - F.col("lo")).alias("start"), (F.col("at") - F.col("hi") + LENGTH).alias("end"))
     wanted = found.where("wanted").groupBy("id", "doc").agg(F.collect_set(F.struct("key", "at", "lo", "hi")).alias("wanted"))
     pieces = texts.join(wanted, ["id", "doc"]).mapInArrow(_cut_pieces, _PIECE)
-    partly = (pieces.repartition("core").sortWithinPartitions("core", "half", "id", "at", "doc")
-              .mapInArrow(_shared_windows, "id bigint, doc bigint, start int, end int"))
-    return stored(whole.unionByName(partly), "suffix-spans")
+    partly = stored(pieces.repartition("core").sortWithinPartitions("core", "half", "id", "at", "doc")
+                    .mapInArrow(_shared_windows, _SPAN), "suffix-windows")
+    late = (partly.where("win is not null").repartition("core", "l", "win").sortWithinPartitions("core", "l", "win", "id", "start", "doc")
+            .mapInArrow(_later_windows, "id bigint, doc bigint, start int, end int"))
+    settled = partly.where("win is null").select("id", "doc", "start", "end")
+    return stored(whole.unionByName(settled).unionByName(late), "suffix-spans")
 
 
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_kept: bool = False) -> DataFrame:

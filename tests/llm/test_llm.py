@@ -420,3 +420,62 @@ def test_suffix_dedup_of_repeated_ids(spark):
     rng.shuffle(rows)
     out = suffix_dedup.cut_repeats(frame(spark, rows).repartition(3)).collect()
     assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.kept_sha256) for r in out) == repeated_bytes_of_rows(rows)
+
+
+def test_shared_windows_hold_no_hot_core():
+    """A core with any number of pieces is never held or suffix-sorted whole, and gives the spans that sorting it gives."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    side = lambda k: bytes((97 + (rng.random(k) < 0.06)).astype(np.uint8))
+    rows = []
+    for core, n in ((1, 30), (2, 900), (3, 2), (4, 300)):
+        for i in range(n):
+            half = int(rng.integers(0, 2))
+            h0, h1 = suffix_dedup.HALVES[half]
+            l1, l2 = sorted(int(x) for x in rng.integers(h0, h1 + 1, 2))
+            rows.append((core, half, i // 2, int(rng.integers(0, 9)), 200 + i % 3, l1, l2, side(l2 - h0), side(h1 - l1)))
+    rows.sort(key=lambda r: (*r[:3], r[4], r[3]))
+    names = ["core", "half", "id", "doc", "at", "l1", "l2", "left", "right"]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), *[pa.int32()] * 3, *[pa.binary()] * 2]
+    table = pa.table([pa.array(list(x), t) for x, t in zip(zip(*rows), types)], names=names)
+
+    def covered(chunk, many):
+        most, plain = [0], suffix_dedup._solve
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(suffix_dedup, "CHUNK_ROWS", chunk)
+            patch.setattr(suffix_dedup, "MANY", many)
+            patch.setattr(suffix_dedup, "_solve", lambda t: (most.append(max(np.unique(t.column("core").to_numpy(), return_counts=True)[1])), plain(t))[1])
+            out = pa.Table.from_batches(list(suffix_dedup._shared_windows(iter(table.to_batches(max_chunksize=chunk)))))
+            open_ = out.filter(out.column("win").is_valid()).sort_by([(k, "ascending") for k in ("core", "l", "win", "id", "start", "doc")])
+            late = [b for b in suffix_dedup._later_windows(iter(open_.to_batches(max_chunksize=13)))]
+        bytes_of = {}
+        for r in [*out.filter(out.column("win").is_null()).to_pylist(), *(r for b in late for r in b.to_pylist())]:
+            bytes_of.setdefault((r["id"], r["doc"]), set()).update(range(r["start"], r["end"]))
+        return bytes_of, max(most)
+
+    whole, most = covered(5000, 5000)
+    assert most == 900 and whole
+    for chunk, many in ((7, 20), (64, 100), (5000, 1)):
+        got_, most = covered(chunk, many)
+        assert got_ == whole and most <= many
+
+
+def test_suffix_dedup_with_hot_cores(spark, monkeypatch):
+    """Pieces of all cores as windows."""
+    rng = random.Random(21)
+    passage = "".join(rng.choice("abcd ") for _ in range(180))
+    rows = [(k, "".join(rng.choice("wx") for _ in range(90)) + passage[k % 4:180 - k % 7] + "".join(rng.choice("yz") for _ in range(90))) for k in range(60)]
+    plain = suffix_dedup._shared_windows
+    many = suffix_dedup.MANY
+
+    def all_hot(batches):
+        suffix_dedup.MANY = 1
+        try:
+            yield from plain(batches)
+        finally:
+            suffix_dedup.MANY = many
+
+    monkeypatch.setattr(suffix_dedup, "_shared_windows", all_hot)
+    out = suffix_dedup.cut_repeats(frame(spark, rows))
+    assert got(out, ["n_bytes", "n_removed", "n_spans", "kept_sha256"]) == brute.repeated_bytes(rows)
