@@ -8,9 +8,11 @@ such boxes prune, and only pairs that survive are verified on the whole sets.
 Where trees are built: two documents that link share most of their n-grams, so they share some
 of their ``KEYS`` smallest hashes; documents that share one meet in that hash's tree.  An n-gram of a
 passage that many documents share (more than ``HOT`` holders) makes a tree only of documents that
-have fewer than ``LEAST`` other hashes among their smallest; the others meet in small trees
-just as surely (a pair is missed with odds of (1 - threshold) ** LEAST, under 2e-10 at 0.85, like a hash collision;
-a set of up to ``KEYS`` n-grams has all of them as keys).  Small trees are one leaf and emit the few pairs whose bound allows a
+have fewer than ``LEAST`` other hashes among their smallest; the others must meet in small trees.  That loses links: other
+hashes include those that no other document has, so a document with a tail of its own beside a passage that is shared by more than
+``HOT`` different sets may be in no tree at all.  With u the tail's share of its n-grams (at most 1 - threshold for a link
+to the bare passage) the odds are P(Bin(KEYS, u) >= LEAST): 6e-5 at u = 0.15, 1e-3 at u = 0.2, and then all its links are lost
+(a set of up to ``KEYS`` n-grams has all of them as keys).  Small trees are one leaf and emit the few pairs whose bound allows a
 link; large trees verify in place and emit only links that join two parts, at most one a document.  A tree of more
 than ``TILE`` documents is cut into tiles, and pairs of tiles are tasks of their own.
 
