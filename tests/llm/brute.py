@@ -105,3 +105,39 @@ def exact_groups(docs):
 
 def held_out(i, parts, remainder):
     return zlib.crc32(str(i).encode()) % parts == remainder
+
+
+def edits(word, letters):
+    """All words one edit from ``word``."""
+    for k in range(len(word) + 1):
+        for c in letters:
+            yield word[:k] + c + word[k:]
+            if k < len(word):
+                yield word[:k] + c + word[k + 1:]
+        if k < len(word):
+            yield word[:k] + word[k + 1:]
+
+
+def spelling(docs, factor=10):
+    """word: (form, root, n, n_near, form_n)"""
+    n = {}
+    for i, t in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", t or ""):
+            w = lower_az(run)
+            h = zlib.crc32(f"{'' if i is None else i}:{w}".encode())
+            if h % 31 == 0:
+                w = w[:h % len(w)] + w[h % len(w) + 1:]
+            n[w] = n.get(w, 0) + 1
+    n = {w: c for w, c in n.items() if len(w) >= 7 and c >= 2}
+    letters = sorted(set("".join(n)))
+    near = {w: {x for x in edits(w, letters) if x in n and x != w} for w in n}
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda x: (-n[x], x), default=None)
+        form[w] = best if best is not None and n[best] >= factor * n[w] else None
+
+    def root(w):
+        while form[w] is not None:
+            w = form[w]
+        return w
+    return {w: (form[w], root(w), n[w], len(near[w]), n.get(form[w])) for w in n}
