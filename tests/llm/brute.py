@@ -141,3 +141,21 @@ def spelling(docs, factor=10):
             w = form[w]
         return w
     return {w: (form[w], root(w), n[w], len(near[w]), n.get(form[w])) for w in n}
+
+
+def cut_windows(docs, window=35):
+    """Per row: (n_words, n_removed, sha of the kept words)."""
+    words = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for _, t in docs]
+    seen = {}
+    for w in words:
+        for a in range(len(w) - window + 1):
+            seen[tuple(w[a:a + window])] = seen.get(tuple(w[a:a + window]), 0) + 1
+    out = []
+    for (i, _), w in zip(docs, words):
+        keep = [True] * len(w)
+        for a in range(len(w) - window + 1):
+            if seen[tuple(w[a:a + window])] > 1:
+                keep[a:a + window] = [False] * window
+        kept = [x for x, k in zip(w, keep) if k]
+        out.append((i, len(w), len(w) - len(kept), sha(" ".join(kept))))
+    return out
