@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, language, ngram_join, packing, quality, secrets, spelling, suffix_dedup, toxicity, window_dedup
+from . import chat_format, conversation_repair, decontaminate, language, ngram_join, packing, quality, secrets, spelling, suffix_dedup, toxicity, window_dedup
 from . import exact_dedup as dedup
 from .common import read
 
@@ -67,8 +67,14 @@ def op12_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_dedup.cut_repeated_windows(read(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations")
+    return conversation_repair.repair_conversations(conversation_repair.damage(rows), ids=rows)
+
+
 QUERIES = {f.__name__: f for f in (op1_quality, op2_ngram_join, op3_chat_format, op4_packing, op5_secret_scan, op6_decontaminate, op7_exact_dedup, op8_toxicity,
-                                      op9_suffix_dedup, op10_language_id, op11_spelling, op12_window_dedup)}
+                                      op9_suffix_dedup, op10_language_id, op11_spelling, op12_window_dedup,
+                                      op13_conversation_repair)}
 
 ORACLE_SQL = {
     "op3_chat_format": """

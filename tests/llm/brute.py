@@ -159,3 +159,61 @@ def cut_windows(docs, window=35):
         kept = [x for x, k in zip(w, keep) if k]
         out.append((i, len(w), len(w) - len(kept), sha(" ".join(kept))))
     return out
+
+
+def damaged(rows):
+    """rows of (conv, turn, role, text) after damage"""
+    out = []
+    for c, t, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        kind = zlib.crc32(f"{' ' if c is None else c}:{' ' if t is None else t}".encode()) % 20
+        if kind == 0:
+            continue
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        out += [(c, t, "user" if kind == 4 else role, text)] * (2 if kind == 3 else 1)
+    return out
+
+
+def cheapest_edits(rows):
+    """(cost, audit, repaired rows) by trying all edits, cheapest and least first; rows are (role, text, must go, truncated)."""
+    import heapq
+    heap, seen = [(0, "", 0, "", ())], set()
+    while heap:
+        cost, audit, k, roles, kept = heapq.heappop(heap)
+        state = roles[-1:]
+        if (k, state, bool(roles)) in seen:
+            continue
+        seen.add((k, state, bool(roles)))
+        if k == len(rows) and re.fullmatch("(s?(ua)+)?", roles):
+            return cost, audit, kept
+        goes = lambda i: i in {"": "su", "s": "u", "u": "a", "a": "u"}[state]
+        for role in ("user", "assistant"):
+            if goes(role[0]):
+                heapq.heappush(heap, (cost + 2, audit + "I", k, roles + role[0], (*kept, (role, ""))))
+        if k < len(rows):
+            role, text, must, cut = rows[k]
+            heapq.heappush(heap, (cost + 3, audit + "D", k + 1, roles, kept))
+            if not must:
+                if role[:1] and goes(role[:1]):
+                    heapq.heappush(heap, (cost + cut, audit + "K", k + 1, roles + role[0], (*kept, (role, text))))
+                for to in ("user", "assistant"):
+                    if goes(to[0]):
+                        heapq.heappush(heap, (cost + 2 + cut, audit + "R", k + 1, roles + to[0], (*kept, (to, text))))
+
+
+def conversation(rows):
+    """Result of one conversation of (turn, role, text) rows."""
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
+    t = [r[0] for r in rows if r[0] is not None]
+    counts, todo, seen = [0, 0, 0], [], set()
+    for _, role, text in rows:
+        solid = re.findall(r"[^\x20\x09-\x0D]", text)
+        fault = 0 if not solid else 1 if (role, text) in seen else 2 if solid[-1] not in ".!?" else 3
+        seen.add((role, text))
+        if fault < 3:
+            counts[fault] += 1
+        todo.append((role, text, fault < 2, fault == 2))
+    pairs = [a[1][:1] + b[1][:1] for a, b in zip(rows, rows[1:])]
+    cost, audit, kept = cheapest_edits(todo)
+    return (max(t) - min(t) + 1 - len(set(t)) if t else 0, *counts, sum(p not in ("su", "ua", "au") for p in pairs), cost, audit,
+            sha("\n".join(f"{r}:{x}" for r, x in kept)))
