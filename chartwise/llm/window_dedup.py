@@ -279,8 +279,9 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         "least < most").select("anchor", "window")
     masks = windows.join(again, ["anchor", "window"], "left_semi").groupBy("anchor", "stretch").agg(
         F.expr("bit_or(shiftleft(1L, place))").alias("mask"))
-    settled = classes.join(masks, ["anchor", "stretch"], "left").where("members > 1 or mask is not null").select(
-        "anchor", "stretch", F.when(F.col("members") == 1, F.col("mask")).alias("mask"))
+    # stored, so that the join with all stretches reads two shuffles and a class with very many members can be split
+    settled = stored(classes.join(masks, ["anchor", "stretch"], "left").where("members > 1 or mask is not null").select(
+        "anchor", "stretch", F.when(F.col("members") == 1, F.col("mask")).alias("mask")), "window-settled")
     return rows.drop("windows").join(settled, ["anchor", "stretch"]).select("id", "doc", "start", "n", "mask")
 
 
