@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..config import items as I
 from ..functions.numeric import round_numeric
 from ..functions.time import boundary_diff, hours
-from ..operators.temporal import top1_agg
+from ..operators.matching import day_bucket
+from ..operators.ordering import ordinal
 from ..operators.windows import hourly_spine, to_validity
 from ..plans.registry import concept
 
@@ -91,18 +92,13 @@ def weight_durations(chartevents: DataFrame, icustays: DataFrame) -> DataFrame:
         .select("stay_id", "charttime",
                 F.when(F.col("itemid") == I.WEIGHT_ADMIT, F.lit("admit")).otherwise(F.lit("daily"))
                 .alias("weight_type"), v.alias("weight"))
-    w_rn = Window.partitionBy("stay_id", "weight_type").orderBy("charttime", "weight")
-    wt = wt.withColumn("rn", F.row_number().over(w_rn))
+    wt = wt.withColumn("_series", F.struct("stay_id", "weight_type"))
+    wt = ordinal(wt, "_series", day_bucket(F.col("charttime")), [F.col("charttime"), F.col("weight")], "rn")
     ie = icustays.select("stay_id", "intime", "outtime")
+    first = (F.col("weight_type") == "admit") & (F.col("rn") == 1)
     x = wt.join(ie, "stay_id", "inner").select(
         "stay_id", "intime", "outtime", "weight_type", "weight",
-        F.when((F.col("weight_type") == "admit") & (F.col("rn") == 1), F.col("intime") - hours(2))
-        .otherwise(F.col("charttime")).alias("starttime"))
-    order = [F.col("starttime"), F.col("weight_type"), F.col("weight")]
-    x = to_validity(x, "stay_id", "starttime", order, F.col("outtime") + hours(2))
-    first = top1_agg(x, ["stay_id"], [("starttime", "asc", None), ("weight_type", "asc", None),
-                                      ("weight", "asc", None)])
-    fix = first.where(F.col("intime") < F.col("starttime")).select(
-        "stay_id", (F.col("intime") - hours(2)).alias("starttime"), F.col("starttime").alias("endtime"),
-        "weight", "weight_type")
-    return x.select("stay_id", "starttime", "endtime", "weight", "weight_type").unionByName(fix)
+        F.when(first, F.col("intime") - hours(2)).otherwise(F.col("charttime")).alias("starttime"))
+    x = to_validity(x, "stay_id", "starttime", ["weight_type", "weight"], F.col("outtime") + hours(2),
+                    gap_start=F.col("intime") - hours(2), gap_from=F.col("intime"))
+    return x.select("stay_id", "starttime", "endtime", "weight", "weight_type")

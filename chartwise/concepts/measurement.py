@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from ..config import items as I
 from ..functions.numeric import round_numeric
+from ..operators.matching import asof_within
+from ..operators.ordering import top1_agg
 from ..operators.pivot import ItemSpec, pivot_items
+from ..operators.windows import carry_previous
 from ..plans.registry import concept
 
 LAB_KEYS = ["specimen_id"]
@@ -171,15 +174,13 @@ def bg(labevents: DataFrame, chartevents: DataFrame) -> DataFrame:
     }
     piv = pivot_items(labevents, LAB_KEYS, specs, extra_ids=[I.BG_FIO2],
                       extra_aggs=_lab_ids() + [F.max("storetime").alias("storetime")])
-    from ..operators.temporal import asof_within, top1_agg
     gas = top1_agg(piv.where(F.col("po2").isNotNull()), ["subject_id", "charttime"], [("specimen_id", "asc", None)])
     fio2 = (chartevents.where((item == I.CHART_FIO2) & (v > 0) & (v <= 100))
             .groupBy("subject_id", "charttime")
             .agg(F.max(F.when((v > 0.2) & (v <= 1), v * F.lit(100.0)).when((v > 1) & (v < 20), None)
                        .when((v >= 20) & (v <= 100), v)).alias("fio2_chartevents"))
             .where(F.col("fio2_chartevents") > 0))
-    x = asof_within(gas, fio2, "subject_id", "charttime", "charttime", 4 * 3600, ["fio2_chartevents"],
-                    left_id=["subject_id", "charttime"])
+    x = asof_within(gas, fio2, "subject_id", "charttime", "charttime", 4 * 3600, ["fio2_chartevents"])
     po2, pco2 = F.col("po2"), F.col("pco2")
     fio2_any = F.coalesce(F.col("fio2"), F.col("fio2_chartevents"))
     aado2_calc = F.when(po2.isNull() | pco2.isNull(), None).otherwise(
@@ -212,9 +213,8 @@ def gcs(chartevents: DataFrame) -> DataFrame:
     }
     base = pivot_items(chartevents, ["subject_id", "stay_id", "charttime"], specs,
                        extra_ids=[I.GCS_VERBAL])
-    from ..operators.windows import previous_within
     # rows are unique per (stay, charttime): the previous row counts only if it is < 6 h old
-    x = previous_within(base, "stay_id", "charttime", ["gcsmotor", "gcsverbal", "gcseyes"], 6 * 3600)
+    x = carry_previous(base, "stay_id", "charttime", ["gcsmotor", "gcsverbal", "gcseyes"], 6 * 3600)
     m, vb, e = F.col("gcsmotor"), F.col("gcsverbal"), F.col("gcseyes")
     pm, pv, pe = F.col("prev_gcsmotor"), F.col("prev_gcsverbal"), F.col("prev_gcseyes")
     total = (F.when(vb == 0, F.lit(15.0))

@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..config import drugs as D
 from ..config import items as I
+from ..functions.numeric import round_numeric
+from ..functions.text import contains_any
+from ..operators.codes import match_keywords
+from ..operators.matching import contains_join
+from ..operators.scores import linear_dose
+from ..operators.windows import segment_intervals
 from ..plans.registry import concept
 
 
@@ -73,32 +80,6 @@ def neuroblock(inputevents: DataFrame) -> DataFrame:
         "starttime", "endtime")
 
 
-# ---------------------------------------------------------------- drug classes
-from ..config import drugs as D  # noqa: E402
-from ..functions.text import contains_any  # noqa: E402
-from ..operators.temporal import contains_join  # noqa: E402
-
-
-def match_keywords(rx: DataFrame, col: str, words, case: str = "upper",
-                   dictionary_filter=None, keys=("drug",)) -> DataFrame:
-    """Classify the distinct values of ``keys`` once (any keyword as a
-    substring), then keep the rows whose keys are in that dictionary.
-
-    The dictionary is as small as the drug vocabulary; the join back is a
-    left-semi join (rows cannot multiply), and AQE broadcasts it when its
-    runtime size is under the broadcast threshold.
-    """
-    src = rx if dictionary_filter is None else rx.where(dictionary_filter)
-    norm = F.upper(F.col(col)) if case == "upper" else F.lower(F.col(col))
-    dictionary = src.select(*keys).distinct().where(contains_any(norm, words))
-    return rx.join(dictionary, list(keys), "left_semi")
-
-
-def _drug_class(prescriptions: DataFrame, words, name: str) -> DataFrame:
-    x = match_keywords(prescriptions, "drug", words, "upper")
-    return x.select("subject_id", "hadm_id", F.col("drug").alias(name), "starttime", "stoptime")
-
-
 @concept(group="medication")
 def acei(prescriptions: DataFrame) -> DataFrame:
     """ACE inhibitor prescriptions."""
@@ -142,11 +123,6 @@ def antibiotic(prescriptions: DataFrame, icustays: DataFrame) -> DataFrame:
                     F.col("p.stoptime").alias("stoptime"))
 
 
-# ---------------------------------------------------------------- timelines
-from ..functions.numeric import round_numeric  # noqa: E402
-from ..operators.windows import segment_intervals  # noqa: E402
-
-
 @concept(group="medication")
 def vasoactive_agent(dobutamine: DataFrame, dopamine: DataFrame, epinephrine: DataFrame,
                      norepinephrine: DataFrame, phenylephrine: DataFrame, vasopressin: DataFrame,
@@ -161,15 +137,6 @@ def vasoactive_agent(dobutamine: DataFrame, dopamine: DataFrame, epinephrine: Da
                       "phenylephrine", "vasopressin", "dobutamine", "milrinone")
 
 
-def linear_dose(terms) -> "F.Column":
-    """Weighted sum with NULL terms counted as 0 (terms already weighted)."""
-    out = None
-    for t in terms:
-        c = F.coalesce(t, F.lit(0.0))
-        out = c if out is None else out + c
-    return out
-
-
 @concept(group="medication")
 def norepinephrine_equivalent_dose(vasoactive_agent: DataFrame) -> DataFrame:
     """Norepinephrine-equivalent dose of each segment with any vasopressor:

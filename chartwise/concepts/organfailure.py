@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import items as I
 from ..functions.numeric import round_numeric
 from ..functions.time import boundary_diff, days, epoch_seconds, hours
-from ..operators.temporal import contains_join
-from ..operators.windows import align_times, boundary_hour_sums, lookback
+from ..operators.matching import contains_join
+from ..operators.windows import align_times, boundary_hour_sums, lookback_axis, neighbours
 from ..plans.registry import concept
 
 CREATININE = 50912
@@ -23,13 +23,12 @@ def kdigo_creatinine(icustays: DataFrame, labevents: DataFrame) -> DataFrame:
     Stays without creatinine keep one NULL-time row (Q23)."""
     le = labevents.where((F.col("itemid") == CREATININE) & F.col("valuenum").isNotNull()
                          & (F.col("valuenum") <= 150))
-    j = icustays.alias("ie").join(le.alias("le"), (F.col("ie.subject_id") == F.col("le.subject_id"))
-                                  & (F.col("le.charttime") >= F.col("ie.intime") - days(7))
-                                  & (F.col("le.charttime") <= F.col("ie.outtime")), "left")
-    cr = j.groupBy(F.col("ie.hadm_id").alias("hadm_id"), F.col("ie.stay_id").alias("stay_id"),
-                   F.col("le.charttime").alias("charttime")).agg(F.avg("le.valuenum").alias("creat"))
-    cr = lookback(cr, "stay_id", "charttime", {"creat_low_past_48hr": F.min("creat")}, 48 * 3600, False)
-    cr = lookback(cr, "stay_id", "charttime", {"creat_low_past_7day": F.min("creat")}, 7 * 86400, False)
+    near = icustays.select("subject_id", "stay_id", (F.col("intime") - days(7)).alias("starttime"), F.col("outtime").alias("endtime"))
+    j = contains_join(le.select("subject_id", "charttime", "valuenum"), near, "subject_id", "charttime", how="inner")
+    cr = j.groupBy(F.col("i.stay_id").alias("stay_id"), F.col("p.charttime").alias("charttime")).agg(F.avg("p.valuenum").alias("creat"))
+    cr = icustays.select("hadm_id", "stay_id").join(cr, "stay_id", "left")
+    cr = lookback_axis(cr, "stay_id", epoch_seconds("charttime"), {
+        "creat_low_past_48hr": (F.min("creat"), 48 * 3600, False), "creat_low_past_7day": (F.min("creat"), 7 * 86400, False)})
     # a NULL time has no earlier rows (the reference's self-join cannot match it)
     nt = F.col("charttime").isNull()
     return cr.select("hadm_id", "stay_id", "charttime", "creat",
@@ -43,18 +42,16 @@ def kdigo_uo(icustays: DataFrame, urine_output: DataFrame, weight_durations: Dat
     since admission); rates per kg per hour when enough hours are covered
     (6 h rate only for 6 <= hours < 12, Q9).  Weight on [start, end) (Q7)."""
     x = icustays.select("stay_id", "intime").join(urine_output, "stay_id", "inner")
-    w = Window.partitionBy("stay_id").orderBy("charttime")
-    prev = F.lag("charttime").over(w)
+    x = neighbours(x, "stay_id", "charttime", [])
+    prev = F.col("prev_charttime")
     x = x.select("stay_id", "charttime", "urineoutput",
                  (epoch_seconds("charttime") - epoch_seconds("intime")).alias("secs"),
                  F.coalesce((epoch_seconds("charttime") - epoch_seconds(prev)) / F.lit(3600.0), F.lit(1.0))
                  .alias("hrs"))
-    outs = []
+    frames = {}
     for h in (6, 12, 24):
-        fr = Window.partitionBy("stay_id").orderBy("secs").rangeBetween(-h * 3600, 0)
-        outs += [F.sum("urineoutput").over(fr).alias(f"urineoutput_{h}hr"),
-                 F.sum("hrs").over(fr).alias(f"uo_tm_{h}hr")]
-    x = x.select("stay_id", "charttime", *outs)
+        frames |= {f"urineoutput_{h}hr": (F.sum("urineoutput"), h * 3600, True), f"uo_tm_{h}hr": (F.sum("hrs"), h * 3600, True)}
+    x = lookback_axis(x, "stay_id", F.col("secs"), frames).select("stay_id", "charttime", *frames)
     wd = weight_durations.select("stay_id", "starttime", "endtime", "weight")
     j = contains_join(x, wd, "stay_id", "charttime", closed="left", how="left")
 
@@ -87,20 +84,21 @@ def urine_output_rate(icustays: DataFrame, chartevents: DataFrame, urine_output:
                  & (hr.charttime < F.add_months(ie.outtime, 1)), "inner") \
         .groupBy(ie.stay_id).agg(F.min(hr.charttime).alias("intime_hr"))
     x = tm.join(urine_output, "stay_id", "inner")
-    w = Window.partitionBy("stay_id").orderBy("charttime")
-    prev = F.lag("charttime").over(w)
+    x = neighbours(x, "stay_id", "charttime", [])
+    prev = F.col("prev_charttime")
     x = x.select("stay_id", "charttime", "urineoutput",
                  F.when(prev.isNull(), boundary_diff("MINUTE", F.col("charttime"), F.col("intime_hr")))
                  .otherwise(boundary_diff("MINUTE", F.col("charttime"), prev)).alias("tm_since_last_uo"))
     x = boundary_hour_sums(x, "stay_id", "charttime", ["urineoutput", "tm_since_last_uo"],
                            {"6hr": 5, "12hr": 11})
-    fr24 = Window.partitionBy("stay_id").orderBy(epoch_seconds("charttime")).rangeBetween(-23 * 3600, 0)
+    x = lookback_axis(x, "stay_id", epoch_seconds("charttime"), {
+        "urineoutput_24hr": (F.sum("urineoutput"), 23 * 3600, True), "tm_24hr": (F.sum("tm_since_last_uo"), 23 * 3600, True)})
     x = x.select("stay_id", "charttime", F.col("urineoutput").alias("uo"),
                  F.col("urineoutput_6hr"), F.col("urineoutput_12hr"),
-                 F.sum("urineoutput").over(fr24).alias("urineoutput_24hr"),
+                 F.col("urineoutput_24hr"),
                  (F.col("tm_since_last_uo_6hr") / F.lit(60.0)).alias("tm6"),
                  (F.col("tm_since_last_uo_12hr") / F.lit(60.0)).alias("tm12"),
-                 (F.sum("tm_since_last_uo").over(fr24) / F.lit(60.0)).alias("tm24"))
+                 (F.col("tm_24hr") / F.lit(60.0)).alias("tm24"))
     wd = weight_durations.where(F.col("weight") > 0).select("stay_id", "starttime", "endtime", "weight")
     j = contains_join(x, wd, "stay_id", "charttime", closed="right", how="left")
 
@@ -163,11 +161,10 @@ def kdigo_stages(icustays: DataFrame, kdigo_creatinine: DataFrame, kdigo_uo: Dat
     stage = F.greatest(F.coalesce("aki_stage_creat", F.lit(0)), F.coalesce("aki_stage_uo", F.lit(0)),
                        F.coalesce("aki_stage_crrt", F.lit(0)))
     secs = epoch_seconds("charttime") - epoch_seconds("intime")
-    smooth = Window.partitionBy("subject_id").orderBy(secs).rangeBetween(-21600, 0)
+    j = lookback_axis(j.withColumn("aki_stage", stage), "subject_id", secs, {"aki_stage_smoothed": (F.max("aki_stage"), 21600, True)})
     return j.select("subject_id", "hadm_id", "stay_id", "charttime", "creat_low_past_7day",
                     "creat_low_past_48hr", "creat", "aki_stage_creat", "uo_rt_6hr", "uo_rt_12hr",
-                    "uo_rt_24hr", "aki_stage_uo", "aki_stage_crrt", stage.alias("aki_stage"),
-                    F.max(stage).over(smooth).alias("aki_stage_smoothed"))
+                    "uo_rt_24hr", "aki_stage_uo", "aki_stage_crrt", "aki_stage", "aki_stage_smoothed")
 
 
 @concept(group="measurement")

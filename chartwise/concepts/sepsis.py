@@ -2,69 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.time import epoch_seconds, hours, trunc_ntz
-from ..operators.temporal import top1_agg
+from ..functions.time import epoch_seconds, hours
+from ..operators.matching import date_or_time, day_bucket, first_in_windows
+from ..operators.ordering import ordinal, top1_agg
 from ..plans.registry import concept
 
 NEGATIVE_ORG_ITEMID = 90856  # FIXED VALUE: organism code of a cancelled culture
 
 
-def _day_index(ts):
-    return F.floor(epoch_seconds(ts) / 86400).cast("long")
-
-
-def _culture_matches(ab: DataFrame, me: DataFrame, timed_lo: int, timed_hi: int,
-                     before: bool, date_lo: int, date_hi: int, prefix: str) -> DataFrame:
-    """P07 + P26: earliest culture per antibiotic in a window around it.
-
-    Timed cultures: ``before`` -> charttime in [t - 72 h, t); else (t, t + 24 h].
-    Date-only cultures: chartdate in [date + date_lo, date + date_hi] days.
-    Each antibiotic is exploded to the few candidate days so both branches are
-    equi-joins on (subject, day) with a residual time test - no per-patient
-    pairwise join, however many cultures a patient has.
-    """
-    a_t, a_d = F.col("antibiotic_time"), F.col("antibiotic_date")
-    abk = ab.select("subject_id", "ab_id", "antibiotic_time", "antibiotic_date")
-    timed = abk.select("*", F.explode(F.sequence(_day_index(a_t) + timed_lo, _day_index(a_t) + timed_hi))
-                       .alias("_day"))
-    me_t = me.where(F.col("charttime").isNotNull()).withColumn("_day", _day_index(F.col("charttime")))
-    jt = timed.join(me_t, ["subject_id", "_day"], "inner")
-    ct = F.col("charttime")
-    if before:
-        jt = jt.where((a_t > ct) & (a_t <= ct + hours(72)))
-    else:
-        jt = jt.where((a_t >= ct - hours(24)) & (a_t < ct))
-    dated = abk.select("*", F.explode(F.sequence(F.to_date(a_d) + date_lo, F.to_date(a_d) + date_hi))
-                       .alias("chartdate"))
-    jd = dated.join(me.where(F.col("charttime").isNull()), ["subject_id", "chartdate"], "inner")
-    cols = ["subject_id", "ab_id", "micro_specimen_id", "chartdate", "charttime", "positiveculture",
-            "spec_type_desc"]
-    both = jt.select(*cols).unionByName(jd.select(*cols))
-    best = top1_agg(both, ["subject_id", "ab_id"],
-                    [("chartdate", "asc", None), ("charttime", "asc", True), ("micro_specimen_id", "asc", None)])
-    return best.select(
-        "subject_id", "ab_id",
-        F.coalesce(F.col("charttime"), F.col("chartdate").cast("timestamp_ntz")).alias(f"{prefix}_charttime"),
-        F.col("positiveculture").alias(f"{prefix}_positiveculture"),
-        F.col("spec_type_desc").alias(f"{prefix}_specimen"))
-
-
 @concept(group="sepsis")
 def suspicion_of_infection(antibiotic: DataFrame, microbiologyevents: DataFrame) -> DataFrame:
     """Each antibiotic with the culture that makes it a suspected infection:
     a culture up to 72 h (date-only: 3 days) before, else up to 24 h (1 day)
     after; the earliest qualifying culture each way; culture-first wins."""
-    w = Window.partitionBy("subject_id").orderBy(
-        F.col("starttime").asc_nulls_first(), F.col("stoptime").asc_nulls_first(),
-        F.col("antibiotic").asc_nulls_first(), F.col("stay_id").asc_nulls_first(),
-        F.col("route").asc_nulls_first())
-    ab = antibiotic.select("subject_id", "hadm_id", "stay_id", "antibiotic",
-                           F.col("starttime").alias("antibiotic_time"),
-                           trunc_ntz("DAY", F.col("starttime")).alias("antibiotic_date"),
-                           F.row_number().over(w).cast("long").alias("ab_id"))
+    order = ["starttime", "stoptime", "antibiotic", "stay_id", "route"]
+    ab = ordinal(antibiotic.select("subject_id", "hadm_id", *order), "subject_id", day_bucket(F.col("starttime")),
+                 [F.col(c).asc_nulls_first() for c in order], "ab_id")
+    ab = ab.select("subject_id", "hadm_id", "stay_id", "antibiotic", F.col("starttime").alias("antibiotic_time"), "ab_id")
     org_ok = (F.col("org_name").isNotNull() & (F.col("org_itemid") != NEGATIVE_ORG_ITEMID)
               & (F.col("org_name") != ""))
     me = microbiologyevents.groupBy("micro_specimen_id").agg(
@@ -72,18 +29,24 @@ def suspicion_of_infection(antibiotic: DataFrame, microbiologyevents: DataFrame)
         F.to_date(F.max("chartdate")).alias("chartdate"), F.max("charttime").alias("charttime"),
         F.max("spec_type_desc").alias("spec_type_desc"),
         F.max(F.when(org_ok, 1).otherwise(0)).alias("positiveculture"))
-    last72 = _culture_matches(ab, me, -3, 0, True, -3, 0, "last72")
-    next24 = _culture_matches(ab, me, 0, 1, False, 0, 1, "next24")
-    x = ab.join(next24, ["subject_id", "ab_id"], "left").join(last72, ["subject_id", "ab_id"], "left")
+    me = me.select("*", F.coalesce("charttime", F.col("chartdate").cast("timestamp_ntz")).alias("culture"),
+                   F.col("positiveculture").alias("positive"), F.col("spec_type_desc").alias("specimen"))
+    t, dated = F.col("antibiotic_time"), F.col("charttime").isNull()
+    day = F.col("chartdate")
+    # the culture before the antibiotic by up to 72 h (or 3 days), or after it by up to 24 h (or a day)
+    looks = (date_or_time("last72", t, F.col("charttime"), dated, 72 * 3600, 0, 3, 0, strict_after=True, b_day=day)
+             + date_or_time("next24", t, F.col("charttime"), dated, 0, 24 * 3600, 0, 1, strict_before=True, b_day=day))
+    x = first_in_windows(ab, me, "subject_id", ["subject_id", "ab_id"], looks,
+                         [("chartdate", "asc", None), ("charttime", "asc", True), ("micro_specimen_id", "asc", None)],
+                         ["culture", "positive", "specimen"])
     none = F.col("last72_specimen").isNull() & F.col("next24_specimen").isNull()
     return x.select(
         "subject_id", "stay_id", "hadm_id", "ab_id", "antibiotic", "antibiotic_time",
         F.when(none, 0).otherwise(1).alias("suspected_infection"),
-        F.when(none, None).otherwise(F.coalesce("last72_charttime", "antibiotic_time"))
-        .alias("suspected_infection_time"),
-        F.coalesce("last72_charttime", "next24_charttime").alias("culture_time"),
+        F.when(none, None).otherwise(F.coalesce("last72_culture", "antibiotic_time")).alias("suspected_infection_time"),
+        F.coalesce("last72_culture", "next24_culture").alias("culture_time"),
         F.coalesce("last72_specimen", "next24_specimen").alias("specimen"),
-        F.coalesce("last72_positiveculture", "next24_positiveculture").alias("positive_culture"))
+        F.coalesce("last72_positive", "next24_positive").alias("positive_culture"))
 
 
 @concept(group="sepsis")

@@ -3,34 +3,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import items as I
 from ..config import treatment as T
 from ..functions.time import boundary_diff
 from ..operators.pivot import ItemSpec, pivot_items
-from ..operators.temporal import contains_join, override_by_interval, top1
-from ..operators.windows import align_times, state_episodes_bucketed
+from ..operators.codes import map_labels, text_flag
+from ..operators.matching import contains_join
+from ..operators.ordering import top_n
+from ..operators.temporal import override_by_interval
+from ..operators.windows import align_times, state_episodes
 from ..plans.registry import concept
 
 
-def map_labels(col: Column, synonyms) -> Column:
-    """Replace any synonym by its canonical label, else keep the value."""
-    out = None
-    for variants, label in synonyms:
-        out = F.when(col.isin(variants), F.lit(label)) if out is None else out.when(col.isin(variants), F.lit(label))
-    return col if out is None else out.otherwise(col)
-
-
-def text_flag(item: Column, itemid: int, value: Column, one, zero=None) -> Column:
-    """P27 text -> 0/1 flag for one item (NULL when neither list matches)."""
-    out = F.when((item == itemid) & value.isin(one), 1)
-    if zero is not None:
-        out = out.when((item == itemid) & value.isin(zero), 0)
-    return out
-
-
 @concept(group="measurement")
 def ventilator_setting(chartevents: DataFrame) -> DataFrame:
     """Ventilator settings per (subject, charttime); FiO2 fraction -> percent,
@@ -63,12 +50,11 @@ def oxygen_delivery(chartevents: DataFrame) -> DataFrame:
     flows = chartevents.where(F.col("value").isNotNull()
                               & F.col("itemid").isin(I.O2_FLOW, I.O2_FLOW_ALT, I.O2_FLOW_ADDITIONAL)) \
         .select("subject_id", "stay_id", "charttime", item.alias("itemid"), "value", "valuenum", "storetime")
-    flows = top1(flows, ["subject_id", "charttime", "itemid"],
-                 [F.col("storetime").desc(), F.col("valuenum").desc(), F.col("value").desc()])
+    flows = top_n(flows, ["subject_id", "charttime", "itemid"],
+                  [F.col("storetime").desc(), F.col("valuenum").desc(), F.col("value").desc()], 1)
     dev = chartevents.where(F.col("itemid") == I.O2_DEVICE).select(
-        "subject_id", "stay_id", "charttime", F.col("value").alias("o2_device"),
-        F.row_number().over(Window.partitionBy("subject_id", "charttime", "itemid")
-                            .orderBy(F.col("value").asc_nulls_first())).alias("rn"))
+        "subject_id", "stay_id", "charttime", F.col("value").alias("o2_device"))
+    dev = top_n(dev, ["subject_id", "charttime"], [F.col("o2_device").asc_nulls_first()], 4, "rn")
     j = flows.alias("c").join(dev.alias("o"), (F.col("c.subject_id") == F.col("o.subject_id"))
                               & (F.col("c.charttime") == F.col("o.charttime")), "left")
     rn = F.col("o.rn")
@@ -109,7 +95,7 @@ def ventilation(ventilator_setting: DataFrame, oxygen_delivery: DataFrame) -> Da
                  _ventilation_status(F.col("o2_delivery_device_1"), F.col("ventilator_mode"),
                                      F.col("ventilator_mode_hamilton")).alias("status")) \
         .where(F.col("status").isNotNull())
-    return state_episodes_bucketed(x, "stay_id", "charttime", "status", T.VENT_GAP_HOURS, "ventilation_status")
+    return state_episodes(x, "stay_id", "charttime", "status", T.VENT_GAP_HOURS, "ventilation_status")
 
 
 @concept(group="treatment")

@@ -1,5 +1,5 @@
-"""Score operators (P19-P21, P28): threshold ladders, NULL-as-normal totals,
-logistic probabilities, furthest-from-normal choice."""
+"""Score operators (P19-P21, P28, P34): threshold ladders, NULL-as-normal totals,
+logistic probabilities, furthest-from-normal choice, weighted doses."""
 
 from __future__ import annotations
 
@@ -42,3 +42,12 @@ def worst_of(v_min: Column, v_max: Column, normal, s_min: Column, s_max: Column)
     d_max, d_min = F.abs(v_max - F.lit(normal)), F.abs(v_min - F.lit(normal))
     return (F.when(v_max.isNull(), None).when(d_max > d_min, s_max).when(d_max < d_min, s_min)
             .when(s_max >= s_min, s_max).when(s_max < s_min, s_min))
+
+
+def linear_dose(terms) -> Column:
+    """Weighted sum with NULL terms counted as 0 (terms already weighted)."""
+    out = None
+    for t in terms:
+        c = F.coalesce(t, F.lit(0.0))
+        out = c if out is None else out + c
+    return out

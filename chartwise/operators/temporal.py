@@ -1,32 +1,23 @@
-"""Time-window joins and aggregations.
+"""Time-window aggregations, overlap flags and merges.
 
-Every range join here carries an equality key (stay, subject or admission),
-so Spark plans a hash / sort-merge join on the key with the time bounds as a
-residual filter; AQE splits skewed key partitions.  None of them is a cross
-join and none enumerates pairs beyond the rows a window actually contains.
+Anchors meet events by (key, day): every join here carries an equality key, none enumerates pairs beyond the rows a window's
+days contain.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.time import epoch_seconds
+from .matching import between_closed, contains_join, day_bucket
 
 
 def _cols(xs):
     return [xs] if isinstance(xs, str) else list(xs)
 
 
-def between_closed(t: Column, start: Column, end: Column, closed: str = "both") -> Column:
-    """start <= t <= end with ``closed`` in both/left/right/neither."""
-    lo = t >= start if closed in ("both", "left") else t > start
-    hi = t <= end if closed in ("both", "right") else t < end
-    return lo & hi
-
-
 def agg_in_window(anchor: DataFrame, events: DataFrame, on: str | Sequence[str],
                   time_col: str, start: Column, end: Column, aggs: Sequence[Column],
                   group_by: Sequence[str], closed: str = "both",
@@ -40,7 +31,7 @@ def agg_in_window(anchor: DataFrame, events: DataFrame, on: str | Sequence[str],
     over its days, and the aggregate is partial before its shuffle.  An anchor
     has a row without an event for each empty day: ``aggs`` must pass over NULLs.
     """
-    a, e = _by_day(anchor, start, end).alias("a"), events.withColumn("_bk", _bucket(F.col(time_col), DAY)).alias("e")
+    a, e = _by_day(anchor, start, end).alias("a"), events.withColumn("_bk", day_bucket(F.col(time_col))).alias("e")
     cond = F.col("a._bk") == F.col("e._bk")
     for k in _cols(on):
         cond = cond & (F.col(f"a.{k}") == F.col(f"e.{k}"))
@@ -50,158 +41,12 @@ def agg_in_window(anchor: DataFrame, events: DataFrame, on: str | Sequence[str],
     return a.join(e, cond, "left").groupBy(*[F.col(f"a.{g}").alias(g) for g in group_by]).agg(*aggs)
 
 
-DAY = 86400
-
-
 def _by_day(anchor: DataFrame, start: Column, end: Column) -> DataFrame:
     """Anchor rows (``a`` alias) once for each day ``_bk`` that [start, end] touches; once without a day if none."""
-    b0, b1 = _bucket(start, DAY), _bucket(end, DAY)
+    b0, b1 = day_bucket(start), day_bucket(end)
     return anchor.alias("a").select("a.*", F.explode_outer(F.when(b1 >= b0, F.sequence(b0, b1))).alias("_bk"))
 
 
-def _bucket(ts: Column, bucket_seconds: int) -> Column:
-    return F.floor(epoch_seconds(ts) / F.lit(bucket_seconds)).cast("long")
-
-
-def contains_join(points: DataFrame, intervals: DataFrame, on: str | Sequence[str],
-                  time_col: str, start_col: str = "starttime", end_col: str = "endtime",
-                  closed: str = "both", how: str = "left", bucket_seconds: int = 86400) -> DataFrame:
-    """Attach the interval(s) containing each point (``p``/``i`` aliases).
-
-    Bucketed equi-join: each interval is exploded to the time buckets (default:
-    days) it overlaps and each point carries its own bucket, so the join key is
-    (key, bucket) plus the exact containment test.  A point matches an
-    interval through exactly one bucket (no duplicates); a long series of one
-    key is spread over many buckets instead of one sort-merge group compared
-    pairwise.  ``closed`` is both / left / right / neither.
-    """
-    keys = _cols(on)
-    p = points.withColumn("_bk", _bucket(F.col(time_col), bucket_seconds)).alias("p")
-    b0, b1 = _bucket(F.col(start_col), bucket_seconds), _bucket(F.col(end_col), bucket_seconds)
-    i = intervals.withColumn("_bk", F.explode(F.when(b1 >= b0, F.sequence(b0, b1)))).alias("i")
-    cond = F.col("p._bk") == F.col("i._bk")
-    for k in keys:
-        cond = cond & (F.col(f"p.{k}") == F.col(f"i.{k}"))
-    cond = cond & between_closed(F.col(f"p.{time_col}"), F.col(f"i.{start_col}"),
-                                 F.col(f"i.{end_col}"), closed)
-    j = p.join(i, cond, how)
-    return j.drop(F.col("p._bk")) if how in ("left_semi", "left_anti") else j.drop(F.col("p._bk"), F.col("i._bk"))
-
-
-def asof_within(left: DataFrame, right: DataFrame, on: str | Sequence[str], left_time: str,
-                right_time: str, tolerance_seconds: int, values: Sequence[str],
-                tiebreak: Sequence[Column] = (), left_id: Sequence[str] | None = None,
-                bucket_seconds: int = 86400) -> DataFrame:
-    """For each left row, the values of the latest right row in [t - tol, t].
-
-    With ``left_id`` (columns identifying a left row) the look-back is a
-    bucketed equi-join: left rows are exploded to the (1-2) time buckets their
-    window touches, joined on (key, bucket) with the window as residual, and
-    the latest candidate per left row wins (ties: larger ``tiebreak``).  Work
-    per left row is bounded by the right rows of its window, and a long series
-    is spread over buckets, not sorted as one partition.  Without ``left_id``
-    the union / running ``last`` formulation below is used.
-    """
-    if left_id is not None:
-        return _asof_bucketed(left, right, _cols(on), left_time, right_time, tolerance_seconds, values,
-                              tiebreak, list(left_id), bucket_seconds)
-    return _asof_running(left, right, on, left_time, right_time, tolerance_seconds, values, tiebreak)
-
-
-def _asof_bucketed(left, right, keys, left_time, right_time, tol, values, tiebreak, left_id, bucket_seconds):
-    lt = F.col(left_time)
-    lo = lt - F.make_dt_interval(secs=F.lit(tol))
-    l2 = left.select("*", F.explode(F.sequence(_bucket(lo, bucket_seconds), _bucket(lt, bucket_seconds)))
-                     .alias("_bk")).alias("l")
-    r2 = right.select(*keys, F.col(right_time).alias("_rt"), *[F.col(v).alias(f"_v_{v}") for v in values],
-                      *[tb.alias(f"_tb{j}") for j, tb in enumerate(tiebreak)],
-                      _bucket(F.col(right_time), bucket_seconds).alias("_bk")).alias("r")
-    cond = F.col("l._bk") == F.col("r._bk")
-    for k in keys:
-        cond = cond & (F.col(f"l.{k}") == F.col(f"r.{k}"))
-    cond = cond & (F.col("r._rt") <= F.col(f"l.{left_time}")) & (F.col("r._rt") >= lo)
-    j = l2.join(r2, cond, "left")
-    order = [F.col("r._rt").desc_nulls_last(), *[F.col(f"r._tb{j}").desc_nulls_last() for j in range(len(tiebreak))]]
-    w = Window.partitionBy(*[F.col(f"l.{c}") for c in left_id]).orderBy(*order)
-    best = j.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
-    return best.select(*[F.col(f"l.{c}").alias(c) for c in left.columns],
-                       *[F.col(f"r._v_{v}").alias(v) for v in values])
-
-
-def _asof_running(left: DataFrame, right: DataFrame, on: str | Sequence[str], left_time: str,
-                  right_time: str, tolerance_seconds: int, values: Sequence[str],
-                  tiebreak: Sequence[Column] = ()) -> DataFrame:
-    """P06 without a left identity: running ``last`` over the union.
-
-    Implemented without a range join: left and right rows are unioned per key
-    and ordered by time (right rows first at equal time, then ``tiebreak``
-    ascending so the last one wins), a running ``last(ignorenulls)`` carries
-    the latest right row forward, and a tolerance test keeps it only when it
-    is recent enough.  One sort per key, linear in rows, no pair enumeration.
-    Output: all left columns plus ``values`` (NULL when nothing qualifies).
-    """
-    keys = _cols(on)
-    r_payload = F.struct(F.col(right_time).alias("_rt"), *[F.col(v) for v in values])
-    l_payload = F.struct(*[F.col(c) for c in left.columns])
-    r = right.select(*keys, F.col(right_time).alias("_t"), F.lit(0).alias("_side"),
-                     *[tb.alias(f"_tb{j}") for j, tb in enumerate(tiebreak)],
-                     r_payload.alias("_r"))
-    r_type = r.schema["_r"].dataType
-    l = left.select(*keys, F.col(left_time).alias("_t"), F.lit(1).alias("_side"),
-                    *[F.lit(None).cast(r.schema[f"_tb{j}"].dataType).alias(f"_tb{j}")
-                      for j in range(len(tiebreak))],
-                    F.lit(None).cast(r_type).alias("_r"), l_payload.alias("_l"))
-    r = r.withColumn("_l", F.lit(None).cast(l.schema["_l"].dataType))
-    w = (Window.partitionBy(*keys)
-         .orderBy(F.col("_t"), F.col("_side"),
-                  *[F.col(f"_tb{j}").asc_nulls_first() for j in range(len(tiebreak))])
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    u = (l.unionByName(r)
-         .withColumn("_last", F.last("_r", ignorenulls=True).over(w))
-         .where(F.col("_side") == 1))
-    ok = F.col("_last._rt") >= F.col("_t") - F.make_dt_interval(secs=F.lit(tolerance_seconds))
-    return u.select("_l.*", *[F.when(ok, F.col(f"_last.{v}")).alias(v) for v in values])
-
-
-def match_window(a: DataFrame, b: DataFrame, on: str | Sequence[str], a_time: Column,
-                 b_time: Column, before_seconds: int | None, after_seconds: int | None,
-                 a_id: Sequence[str], order: Sequence[Column], how: str = "left",
-                 bucket_seconds: int = 86400) -> DataFrame:
-    """For each ``a`` row, the first ``b`` row (by ``order``) whose time is in
-    [a_time - before, a_time + after] (``a``/``b`` aliases).
-
-    With both bounds given the window is bounded, so ``a`` rows are exploded to
-    the time buckets their window covers and the join is an equi-join on
-    (key, bucket) plus the window test - no pairwise comparison of a whole key.
-    """
-    keys = _cols(on)
-    bounded = before_seconds is not None and after_seconds is not None
-    a2, b2 = a, b
-    if bounded:
-        lo = a_time - F.make_dt_interval(secs=F.lit(before_seconds))
-        hi = a_time + F.make_dt_interval(secs=F.lit(after_seconds))
-        a2 = a.alias("a").select("*", F.explode(F.sequence(_bucket(lo, bucket_seconds), _bucket(hi, bucket_seconds)))
-                                 .alias("_bk"))
-        b2 = b.alias("b").select("*", _bucket(b_time, bucket_seconds).alias("_bk"))
-    cond = None
-    for k in keys:
-        c = F.col(f"a.{k}") == F.col(f"b.{k}")
-        cond = c if cond is None else cond & c
-    if bounded:
-        cond = cond & (F.col("a._bk") == F.col("b._bk"))
-    if before_seconds is not None:
-        cond = cond & (b_time >= a_time - F.make_dt_interval(secs=F.lit(before_seconds)))
-    if after_seconds is not None:
-        cond = cond & (b_time <= a_time + F.make_dt_interval(secs=F.lit(after_seconds)))
-    j = a2.alias("a").join(b2.alias("b"), cond, how)
-    if bounded:
-        j = j.drop(F.col("a._bk"), F.col("b._bk"))
-    # with buckets a left join leaves unmatched rows per bucket: rank matches first
-    first = [F.col(f"b.{keys[0]}").isNull().asc()] if bounded and how == "left" else []
-    w = Window.partitionBy(*[F.col(f"a.{c}") for c in a_id]).orderBy(*first, *order)
-    return j.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
-
-
 def overlap_flag(anchor: DataFrame, intervals: DataFrame, on: str, w_start: Column,
                  w_end: Column, group_by: Sequence[str], name: str,
                  start_col: str = "starttime", end_col: str = "endtime") -> DataFrame:
@@ -217,7 +62,7 @@ def overlap_flag(anchor: DataFrame, intervals: DataFrame, on: str, w_start: Colu
     hit = ((s >= w_start) & (s <= w_end)) | ((e >= w_start) & (e <= w_end)) | ((s <= w_start) & (e >= w_end))
     days = _by_day(anchor, w_start, w_end)
     reach = days.where(F.col("_bk").isNotNull()).groupBy(F.col(on).alias("_rk")).agg(F.min("_bk").alias("_r0"), F.max("_bk").alias("_r1"))
-    b0, b1 = _bucket(F.col(start_col), DAY), _bucket(F.col(end_col), DAY)
+    b0, b1 = day_bucket(F.col(start_col)), day_bucket(F.col(end_col))
     lo, hi = F.greatest(b0, F.col("_r0")), F.least(b1, F.col("_r1"))
     iv = intervals.join(reach, F.col(on) == F.col("_rk")).select(
         on, start_col, end_col,
@@ -229,12 +74,6 @@ def overlap_flag(anchor: DataFrame, intervals: DataFrame, on: str, w_start: Colu
         F.max(F.when(F.col(f"i.{on}").isNotNull(), 1).otherwise(0)).alias(name))
 
 
-def top1(df: DataFrame, by: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """P25: the first row per ``by`` under ``order`` (ROW_NUMBER() = 1)."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
-
-
 def merge_sources(a: DataFrame, b: DataFrame, on: Sequence[str], prefer: Sequence[str]) -> DataFrame:
     """FULL OUTER JOIN on ``on`` then COALESCE(a.x, b.x) for ``prefer`` columns."""
     cond = None
@@ -262,45 +101,10 @@ def text_event_window(anchor: DataFrame, events: DataFrame, key: str, match: Col
                       lo: Column, hi: Column, before_seconds: int, after_seconds: int) -> DataFrame:
     """Per key, [first matching event - before, last matching event + after],
     over events in [lo, hi] of the anchor (``a``/``e`` aliases)."""
-    e = events.withColumn("_bk", _bucket(F.col("charttime"), DAY)).alias("e")
+    e = events.withColumn("_bk", day_bucket(F.col("charttime"))).alias("e")
     j = _by_day(anchor, lo, hi).alias("a").join(
         e, (F.col(f"a.{key}") == F.col(f"e.{key}")) & (F.col("a._bk") == F.col("e._bk"))
         & (F.col("e.charttime") >= lo) & (F.col("e.charttime") <= hi), "inner")
     return j.where(match).groupBy(F.col(f"a.{key}").alias(key)).agg(
         F.min(F.col("e.charttime") - F.make_dt_interval(secs=F.lit(before_seconds))).alias("starttime"),
         F.max(F.col("e.charttime") + F.make_dt_interval(secs=F.lit(after_seconds))).alias("endtime"))
-
-
-def top1_agg(df: DataFrame, by: Sequence[str], order: Sequence[tuple]) -> DataFrame:
-    """P25 as an aggregate: the first row per ``by`` under ``order``, computed by
-    ``min_by(row, order key)`` with map-side partial aggregation - a hot group is
-    reduced in pieces instead of being sorted by one task.
-
-    ``order`` items are ``(column, "asc" | "desc", nulls_last)``; ``nulls_last``
-    None means Spark's default (asc: NULLS FIRST, desc: NULLS LAST).  Descending
-    keys must be numeric, date or timestamp (encoded by negation).
-    """
-    from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
-
-    comps = []
-    for name, direction, nulls_last in order:
-        c = F.col(name)
-        if direction == "asc":
-            if nulls_last:
-                comps.append(c.isNull())
-            comps.append(c)
-            continue
-        dt = df.schema[name].dataType
-        if isinstance(dt, NumericType):
-            neg = -c
-        elif isinstance(dt, (TimestampType, TimestampNTZType)):
-            neg = -F.unix_micros(c.cast("timestamp_ltz"))
-        elif isinstance(dt, DateType):
-            neg = -F.unix_date(c)
-        else:
-            raise TypeError(f"descending key {name} of type {dt} is not encodable")
-        comps += [c.isNull() if (nulls_last is None or nulls_last) else c.isNotNull(), neg]
-    key = F.struct(*[x.alias(f"_o{i}") for i, x in enumerate(comps)])
-    rest = [c for c in df.columns if c not in by]
-    out = df.groupBy(*by).agg(F.min_by(F.struct(*[F.col(c) for c in rest]), key).alias("_top"))
-    return out.select(*by, *[F.col(f"_top.{c}").alias(c) for c in rest]).select(*df.columns)

@@ -1,78 +1,90 @@
 """Per-entity time-series operators.
 
-All of them are window functions partitioned by an entity key (stay,
-subject) and ordered by time, or equi-joins on (entity, whole hour).  A
-window partition holds one entity's rows, so memory per task is bounded by
-the longest single series, never by the table; the self-joins and range joins
-of the reference are replaced by frames over epoch seconds:
-
-* P09 ``lookback_min``  - ``rangeBetween(-span, -1)`` by time bucket instead of a self-join
-* P10 ``trailing``      - ``rangeBetween(-span, 0)`` by time bucket
-* P12 ``bucket_to_spine`` - equi-join on (id, ceil-hour) instead of a range join
-* P13 ``carry_previous`` - ``lag`` instead of a ``rn = rn + 1`` self-join
+A series is never sorted by one task: rows are windowed inside (key, bucket) partitions, and what crosses a
+bucket's border comes from halo rows (frames), or from one summary row per key and bucket (neighbours, running
+counts).
 
-NULL entity keys are excluded by the callers before windowing where the
-reference's joins would drop them (a window would otherwise treat NULL as
-one partition).
+* P09 / P10 ``lookback``, ``lookback_axis`` - ``rangeBetween`` inside (key, bucket); a bucket also gets the rows of the one
+  before it that its frames can reach; the axis may be time, seconds since an event, or a dense ordinal (ROWS frames)
+* P12 ``bucket_to_spine`` - equi-join on (id, ceil-hour) instead of a range join
+* P13 ``carry_previous``, P14 ``state_episodes``, P16 ``to_validity`` - by ``neighbours`` and ``running_sum``
+* P15 ``segment_intervals`` - one pass over the tagged ends of all sources
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.time import ceil_hour, epoch_seconds, hours
+from ..functions.time import boundary_diff, ceil_hour, epoch_seconds
+from . import ordering
+from .matching import DAY, day_bucket
 
 
 def _cols(xs):
     return [xs] if isinstance(xs, str) else list(xs)
 
 
-def carry_previous(df: DataFrame, key: str | Sequence[str], order: Sequence[Column],
-                   time_col: str, cols: Sequence[str], max_gap_seconds: int,
-                   prefix: str = "prev_") -> DataFrame:
-    """Values of the immediately preceding row of the same key, only if it
-    is strictly less than ``max_gap_seconds`` older; NULL keys get no previous."""
-    keys = _cols(key)
-    w = Window.partitionBy(*keys).orderBy(*order)
-    prev_t = F.lag(time_col).over(w)
-    recent = prev_t > F.col(time_col) - F.make_dt_interval(secs=F.lit(max_gap_seconds))
-    has_key = F.lit(True)
-    for k in keys:
-        has_key = has_key & F.col(k).isNotNull()
-    return df.select("*", *[F.when(has_key & recent, F.lag(c).over(w)).alias(f"{prefix}{c}") for c in cols])
+def carry_previous(df: DataFrame, key: str, time_col: str, cols: Sequence[str], max_gap_seconds: int,
+                   ties: Sequence[str] = (), prefix: str = "prev_") -> DataFrame:
+    """Values of the immediately preceding row of the same key (equal times in the order of ``ties``), only if it is
+    strictly less than ``max_gap_seconds`` older; NULL keys get no previous."""
+    order = [(c, "asc", None) for c in (time_col, *ties)]
+    names = [time_col, *[c for c in cols if c != time_col]]
+    x = ordering.neighbours(df, key, day_bucket(F.col(time_col)), order, names)
+    recent = F.col(key).isNotNull() & (F.col(f"prev_{time_col}")
+                                       > F.col(time_col) - F.make_dt_interval(secs=F.lit(max_gap_seconds)))
+    return x.select(*df.columns, *[F.when(recent, F.col(f"prev_{c}")).alias(f"{prefix}{c}") for c in cols])
 
 
-def lookback(df: DataFrame, key: str | Sequence[str], time_col: str,
-             aggs: Mapping[str, Column], span_seconds: int, include_current: bool) -> DataFrame:
-    """Aggregate over rows of the same key whose time lies in
-    [t - span, t] (``include_current``) or [t - span, t - 1 s] (strictly earlier).
-
-    ``aggs`` maps output name -> aggregate over the input columns, e.g.
-    ``{"creat_low_past_48hr": F.min("creat")}``.  Time is cut in buckets of at
-    least the span; a row is sent to its own bucket and the next one, where it is
-    only looked back at, so a long series is split and each frame is whole.
-    Rows without a time see one another only.
+def lookback_axis(df: DataFrame, key: str | Sequence[str], axis: Column,
+                  frames: Mapping[str, tuple[Column, int, bool]], least_bucket: int = 0) -> DataFrame:
+    """P09/P10 on any integer axis: for each output name an (aggregate, span, include_current) over the rows of the same key
+    whose axis value lies in [x - span, x], or [x - span, x - 1] without the current value.
+
+    All frames share one pass.  The axis is cut in buckets of four times the longest span; a row whose position may still be looked back at from the
+    next bucket is sent there too, so a long series is split, each frame is whole, and about a
+    quarter of the rows travels twice.  Rows without an axis value see one another only.
     """
-    keys = _cols(key)
-    secs = epoch_seconds(F.col(time_col))
-    own = F.floor(secs / F.lit(max(span_seconds, 86400))).cast("long")
-    x = df.withColumn("_own", own)
-    x = x.withColumn("_bk", F.explode(F.when(F.col("_own").isNull(), F.array(F.col("_own")))
-                                      .otherwise(F.array(F.col("_own"), F.col("_own") + 1))))
-    w = (Window.partitionBy(*keys, "_bk").orderBy(secs)
-         .rangeBetween(-span_seconds, 0 if include_current else -1))
-    x = x.select("*", *[a.over(w).alias(n) for n, a in aggs.items()])
-    return x.where(F.col("_own").eqNullSafe(F.col("_bk"))).drop("_own", "_bk")
+    keys, longest = _cols(key), max(span for _, span, _ in frames.values())
+    width = max(4 * longest, least_bucket, 1)
+    x = df.withColumn("_x", axis.cast("long"))
+    own = F.floor(F.col("_x") / F.lit(width)).cast("long")
+    reaches = F.pmod(F.col("_x"), F.lit(width)) >= width - longest
+    x = x.withColumn("_own", own).withColumn("_bk", F.explode(
+        F.when(reaches, F.array(own, own + 1)).otherwise(F.array(own))))
+    w = Window.partitionBy(*keys, "_bk").orderBy("_x")
+    x = x.select("*", *[agg.over(w.rangeBetween(-span, 0 if now else -1)).alias(name) for name, (agg, span, now) in frames.items()])
+    return x.where(F.col("_own").eqNullSafe(F.col("_bk"))).drop("_own", "_bk", "_x")
 
 
-def to_validity(df: DataFrame, key: str, start_col: str, order: Sequence[Column],
-                default_end: Column, end_col: str = "endtime") -> DataFrame:
-    """Observation -> [start, next start) with ``default_end`` for the last."""
-    w = Window.partitionBy(key).orderBy(*order)
-    return df.withColumn(end_col, F.coalesce(F.lead(start_col).over(w), default_end))
+def lookback(df: DataFrame, key: str | Sequence[str], time_col: str,
+             aggs: Mapping[str, Column], span_seconds: int, include_current: bool) -> DataFrame:
+    """``aggs`` (name -> aggregate) over rows of the same key whose time lies in [t - span, t]
+    (``include_current``) or [t - span, t - 1 s] (strictly earlier)."""
+    return lookback_axis(df, key, epoch_seconds(F.col(time_col)),
+                         {n: (a, span_seconds, include_current) for n, a in aggs.items()}, DAY)
+
+
+def to_validity(df: DataFrame, key: str, start_col: str, ties: Sequence[str], default_end: Column, end_col: str = "endtime",
+                gap_start: Column | None = None, gap_from: Column | None = None) -> DataFrame:
+    """Observation -> [start, next start) with ``default_end`` for the last; equal starts in the order of ``ties``.
+
+    With ``gap_start`` the first row of a key whose ``gap_from`` (default: ``gap_start``) precedes its start adds a row
+    [gap_start, start) that holds its values."""
+    x = ordering.neighbours(df, key, day_bucket(F.col(start_col)), [(c, "asc", None) for c in (start_col, *ties)], [start_col])
+    end = F.coalesce(F.col(f"next_{start_col}"), default_end)
+    if gap_start is None:
+        return x.select(*df.columns, end.alias(end_col))
+    gap_from = gap_start if gap_from is None else gap_from
+    first = F.col(f"prev_{start_col}").isNull() & (gap_from < F.col(start_col))
+    own = F.struct(F.col(start_col).alias("_s"), end.alias("_e"))
+    gap = F.struct(gap_start.alias("_s"), F.col(start_col).alias("_e"))
+    x = x.withColumn("_v", F.explode(F.when(first, F.array(own, gap)).otherwise(F.array(own))))
+    return x.select(*[F.col("_v._s").alias(c) if c == start_col else F.col(c) for c in df.columns], F.col("_v._e").alias(end_col))
 
 
 def hourly_spine(stays: DataFrame, key: str, start: Column, n_hours: Column,
@@ -94,14 +106,6 @@ def align_times(frames: Sequence[DataFrame], key: str, time_col: str) -> DataFra
     return out.distinct()
 
 
-def episodes(df: DataFrame, key: str, time_col: str, state_col: str, new_episode: Column,
-             episode_col: str = "episode") -> DataFrame:
-    """Running count of ``new_episode`` flags per key (the episode id)."""
-    w = (Window.partitionBy(key).orderBy(time_col)
-         .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    return df.withColumn(episode_col, F.sum(F.when(new_episode, 1).otherwise(0)).over(w))
-
-
 def bucket_to_spine(spine: DataFrame, events: DataFrame, key: str, time_col: str,
                     aggs: Sequence[Column]) -> DataFrame:
     """Aggregate events in (endtime - 1 h, endtime] per spine row.
@@ -115,24 +119,6 @@ def bucket_to_spine(spine: DataFrame, events: DataFrame, key: str, time_col: str
     return spine.join(agg, [key, "endtime"], "left")
 
 
-def segment_bounds(frames: Sequence[DataFrame], key: str, start_col: str = "starttime",
-                   end_col: str = "endtime") -> DataFrame:
-    """P15 (first half): distinct boundaries of all intervals -> consecutive
-    segments [t_i, t_{i+1}) per key (the last boundary opens no segment)."""
-    pts = None
-    for f in frames:
-        x = f.select(key, F.col(start_col).alias("_t")).union(f.select(key, F.col(end_col).alias("_t")))
-        pts = x if pts is None else pts.union(x)
-    pts = pts.distinct()
-    w = Window.partitionBy(key).orderBy("_t")
-    seg = pts.select(key, F.col("_t").alias(start_col), F.lead("_t").over(w).alias(end_col))
-    return seg.where(F.col(end_col).isNotNull())
-
-
-__all__ = ["carry_previous", "lookback", "to_validity", "hourly_spine", "align_times", "episodes",
-           "bucket_to_spine", "segment_bounds", "hours"]
-
-
 def boundary_hour_sums(df: DataFrame, key: str, time_col: str, values: Sequence[str],
                        max_hour_diffs: Mapping[str, int]) -> DataFrame:
     """Per row, sums of ``values`` over rows of the same key with t' <= t
@@ -152,13 +138,11 @@ def boundary_hour_sums(df: DataFrame, key: str, time_col: str, values: Sequence[
         x = x.withColumn(f"_cs_{v}", F.sum(v).over(w_in)).withColumn(f"_cc_{v}", F.count(v).over(w_in))
     hourly = x.groupBy(key, "_h").agg(*[F.sum(v).alias(f"_hs_{v}") for v in values],
                                       *[F.count(v).alias(f"_hc_{v}") for v in values])
-    prev_cols = []
+    frames = {}
     for suffix, d in max_hour_diffs.items():
-        w_prev = Window.partitionBy(key).orderBy("_h").rangeBetween(-d, -1)
         for v in values:
-            prev_cols += [F.sum(f"_hs_{v}").over(w_prev).alias(f"_ps_{v}_{suffix}"),
-                          F.sum(f"_hc_{v}").over(w_prev).alias(f"_pc_{v}_{suffix}")]
-    prev = hourly.select(key, "_h", *prev_cols)
+            frames |= {f"_ps_{v}_{suffix}": (F.sum(f"_hs_{v}"), d, False), f"_pc_{v}_{suffix}": (F.sum(f"_hc_{v}"), d, False)}
+    prev = lookback_axis(hourly, key, F.col("_h"), frames, 24).select(key, "_h", *frames)
     x = x.join(prev, [key, "_h"], "left")
     outs = []
     for suffix in max_hour_diffs:
@@ -174,129 +158,67 @@ def segment_intervals(frames: Mapping[str, DataFrame], key: str, value_col: str,
                       start_col: str = "starttime", end_col: str = "endtime") -> DataFrame:
     """Timeline segmentation with per-source values.
 
-    All distinct start / end times of all sources (NULL included, ordered
-    first) become numbered boundaries per key; consecutive boundaries form
-    segments [t_k, t_k+1].  Each source interval is mapped to the ordinals of
-    its start and end by equi-joins and exploded to the segment ordinals it
-    contains, then every source is LEFT-joined on (key, ordinal).  Work is
-    linear in (segments + matched segment x interval pairs) - no range join;
-    several intervals of one source covering a segment multiply its rows, as
-    the reference's containment joins do.
-    """
-    pts = None
-    for f in frames.values():
-        x = f.select(key, F.col(start_col).alias("_t")).union(f.select(key, F.col(end_col).alias("_t")))
-        pts = x if pts is None else pts.union(x)
-    pts = pts.distinct()
-    # ordinals = running count and segment ends = next boundary, both bucketed by
-    # day (no per-key sort); a NULL boundary sorts first, so it only opens the
-    # segment (NULL, first time), which no interval can contain
-    nonnull = pts.where(F.col("_t").isNotNull())
-    nb = running_sum(neighbours(nonnull, key, "_t", []), key, "_t", F.lit(1), "_k")
-    out = nb.where(F.col("next__t").isNotNull()).select(
-        key, "_k", F.col("_t").alias(start_col), F.col("next__t").alias(end_col))
-    firsts = nonnull.groupBy(key).agg(F.min("_t").alias(end_col))
-    null_seg = pts.where(F.col("_t").isNull()).select(key).distinct().join(firsts, key, "inner").select(
-        key, F.lit(0).cast("long").alias("_k"), F.lit(None).cast(pts.schema["_t"].dataType).alias(start_col), end_col)
-    out = out.unionByName(null_seg)
-    ords = nb.select(key, "_t", "_k")
-    for name, f in frames.items():
-        s = ords.select(key, F.col("_t").alias("_s"), F.col("_k").alias("_ks"))
-        e = ords.select(key, F.col("_t").alias("_e"), F.col("_k").alias("_ke"))
-        iv = (f.select(key, F.col(start_col).alias("_s"), F.col(end_col).alias("_e"),
-                       F.col(value_col).alias(name))
-              .join(s, [key, "_s"], "inner").join(e, [key, "_e"], "inner"))
-        covered = iv.select(key, name, F.explode(
-            F.when(F.col("_ke") - 1 >= F.col("_ks"), F.sequence("_ks", F.col("_ke") - 1))).alias("_k"))
-        out = out.join(covered, [key, "_k"], "left")
-    return out.drop("_k")
-
-
-def state_episodes(df: DataFrame, key: str, time_col: str, state_col: str, gap_hours: int,
-                   out_state: str = "state") -> DataFrame:
-    """Sessionise a (key, time, state) series into episodes.
-
-    A new episode starts at the first row, on a change of state, or when
-    >= ``gap_hours`` hour boundaries passed since the previous row of the same
-    state; an episode ends at the next row's time unless that is >= gap hours
-    away (then at its own last time); episodes with a single time are dropped.
-    Input rows must be unique per (key, time).  Windows only (lag / lead /
-    running sum) and one grouping - no self-join.
-    """
-    from ..functions.time import boundary_diff
-
-    t = F.col(time_col)
-    w = Window.partitionBy(key).orderBy(time_col)
-    w_state = Window.partitionBy(key, state_col).orderBy(time_col)
-    x = df.select(key, time_col, state_col,
-                  F.lag(time_col).over(w_state).alias("_t_lag"),
-                  F.lead(time_col).over(w).alias("_t_lead"),
-                  F.lag(state_col).over(w).alias("_s_lag"))
-    new = (F.col("_s_lag").isNull()
-           | (boundary_diff("HOUR", t, F.col("_t_lag")) >= gap_hours)
-           | (F.col("_s_lag") != F.col(state_col)))
-    x = x.withColumn("_seq", F.sum(F.when(new, 1).otherwise(0)).over(
-        w.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
-    end = F.when(F.col("_t_lead").isNull() | (boundary_diff("HOUR", F.col("_t_lead"), t) >= gap_hours), t) \
-        .otherwise(F.col("_t_lead"))
-    ep = x.groupBy(key, "_seq").agg(F.min(time_col).alias("starttime"), F.max(end).alias("endtime"),
-                                    F.max(state_col).alias(out_state), F.max(time_col).alias("_last"))
-    return ep.where(F.col("starttime") != F.col("_last")).select(key, "starttime", "endtime", out_state)
-
-
-def previous_within(df: DataFrame, key: str, time_col: str, cols: Sequence[str], max_gap_seconds: int,
-                    prefix: str = "prev_", bucket_seconds: int = 86400) -> DataFrame:
-    """P13 without a per-key window: values of the previous row of the same key
-    when it is less than ``max_gap_seconds`` older; NULL keys get no previous.
-
-    Equals ``carry_previous`` when (key, time) is unique, by :func:`neighbours`:
-    a long series is split by bucket and each row meets only its previous row.
+    All distinct start / end times of all sources (NULL included, ordered first) become numbered boundaries per key;
+    consecutive boundaries form segments [t_k, t_k+1].  The intervals of all sources are one tagged set.  A key's boundaries
+    of a day are one sorted array with the number of earlier ones and the day's successor; an interval's two ends look up
+    their numbers there (one join), and it gives a row for each segment it contains, and the segments that its ends open.
+    One grouping by segment gathers the sources' values; several intervals of one source covering a segment multiply
+    its rows, as the reference's containment joins do.  Work is linear in ends and covered segments.
     """
-    x = neighbours(df, key, time_col, cols, bucket_seconds)
-    recent = F.col(key).isNotNull() & (F.col(f"prev_{time_col}")
-                                       > F.col(time_col) - F.make_dt_interval(secs=F.lit(max_gap_seconds)))
-    return x.select(*df.columns, *[F.when(recent, F.col(f"prev_{c}")).alias(f"{prefix}{c}") for c in cols])
-
-
-def _day_bucket(ts: Column, bucket_seconds: int) -> Column:
-    return F.floor(epoch_seconds(ts) / F.lit(bucket_seconds)).cast("long")
+    tagged = reduce(DataFrame.unionByName, [
+        f.select(F.col(key).alias("_key"), F.lit(name).alias("_src"), F.col(start_col).alias("_s"), F.col(end_col).alias("_e"),
+                 F.col(value_col).alias("_v")) for name, f in frames.items()])
+    ends = tagged.select("*", F.explode(F.array(F.struct(F.lit(True).alias("starts"), F.col("_s").alias("t")),
+                                                F.struct(F.lit(False).alias("starts"), F.col("_e").alias("t")))).alias("_end"))
+    day = day_bucket(F.col("_end.t"))
+    days = ends.groupBy(F.col("_key").alias("_dk"), day.alias("_db")).agg(F.array_sort(F.collect_set("_end.t")).alias("_times"))
+    by_day = Window.partitionBy("_dk").orderBy(F.col("_db").asc_nulls_first())
+    days = days.select("_dk", "_db", "_times", F.lead(F.get("_times", F.lit(0))).over(by_day).alias("_after"), F.coalesce(
+        F.sum(F.size("_times")).over(by_day.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    met = ends.withColumn("_b", day).join(days, F.col("_key").eqNullSafe(F.col("_dk")) & F.col("_b").eqNullSafe(F.col("_db")))
+    place = F.array_position("_times", F.col("_end.t"))
+    # a NULL end is before all others and only opens the segment (NULL, first time), which no interval contains
+    number = F.when(F.col("_end.t").isNull(), 0).otherwise(F.col("_before") + place)
+    end = F.struct(number.alias("k"), F.col("_end.t").alias("start"),
+                   F.when(F.col("_end.t").isNull(), F.col("_after")).otherwise(
+                       F.coalesce(F.get("_times", place.cast("int")), "_after")).alias("end"))
+    pairs = met.groupBy("_key", "_src", "_s", "_e", "_v").agg(
+        F.max(F.when(F.col("_end.starts"), end)).alias("a"), F.max(F.when(~F.col("_end.starts"), end)).alias("z"),
+        F.count(F.when(F.col("_end.starts"), 1)).alias("copies"))
+    covers = F.col("_key").isNotNull() & F.col("_s").isNotNull() & F.col("_e").isNotNull() & (F.col("a.k") < F.col("z.k"))
+    none = F.lit(None)
+    opened = [F.struct(F.col(f"{x}.k").cast("long").alias("k"), F.col(f"{x}.start").alias("start"), F.col(f"{x}.end").alias("end"),
+                       F.lit(False).alias("held")) for x in ("a", "z")]
+    held = F.transform(F.sequence(F.col("a.k"), F.col("z.k") - 1), lambda k: F.struct(
+        k.cast("long").alias("k"), none.cast(tagged.schema["_s"].dataType).alias("start"), none.cast(tagged.schema["_s"].dataType).alias("end"),
+        F.lit(True).alias("held")))
+    rows = pairs.select("_key", "_src", "_v", "copies", F.explode(
+        F.concat(F.array(*opened), F.when(covers, held).otherwise(F.slice(F.array(*opened), 1, 0)))).alias("_x"))
+    values = F.struct(F.col("_v").alias("v"), F.col("copies").alias("n"))
+    seg = rows.groupBy("_key", F.col("_x.k").alias("_k")).agg(
+        F.max("_x.start").alias(start_col), F.max("_x.end").alias(end_col),
+        *[F.collect_list(F.when(F.col("_x.held") & (F.col("_src") == name), values)).alias(name) for name in frames]).where(
+        F.col(end_col).isNotNull())
+    for name in frames:
+        each = F.flatten(F.transform(name, lambda x: F.array_repeat(x["v"], x["n"].cast("int"))))
+        seg = seg.withColumn(name, F.explode_outer(each))
+    return seg.select(F.col("_key").alias(key), start_col, end_col, *frames)
 
 
 def neighbours(df: DataFrame, key: str, time_col: str, cols: Sequence[str],
-               bucket_seconds: int = 86400) -> DataFrame:
-    """Previous / next row values per key (``prev_<c>`` / ``next_<c>``, time
-    included) without a per-key sort: ``lag`` / ``lead`` inside (key, bucket)
-    partitions, and across bucket borders the last / first row of the nearest
-    non-empty bucket, found by a window over per-bucket summaries (one row per
-    key and bucket).  Requires unique (key, time) and non-NULL times; a NULL key is a
-    partition of its own.
-    """
+               bucket_seconds: int = DAY) -> DataFrame:
+    """Previous / next row values per key (``prev_<c>`` / ``next_<c>``, time included) in the order of time, bucketed by day
+    (:func:`ordering.neighbours`); equal times of a key are open."""
     names = [time_col] + [c for c in cols if c != time_col]
-    x = df.withColumn("_b", _day_bucket(F.col(time_col), bucket_seconds))
-    w = Window.partitionBy(key, "_b").orderBy(time_col)
-    x = x.select("*", *[F.lag(c).over(w).alias(f"_ip_{c}") for c in names],
-                 *[F.lead(c).over(w).alias(f"_in_{c}") for c in names])
-    row = F.struct(*[F.col(c) for c in names])
-    summ = df.withColumn("_b", _day_bucket(F.col(time_col), bucket_seconds)).groupBy(key, "_b").agg(
-        F.max_by(row, F.col(time_col)).alias("_last"), F.min_by(row, F.col(time_col)).alias("_first"))
-    wb = Window.partitionBy(key).orderBy("_b")
-    summ = summ.select(F.col(key).alias("_k"), F.col("_b").alias("_sb"),
-                       F.lag("_last").over(wb).alias("_pl"), F.lead("_first").over(wb).alias("_nf"))
-    # NULL keys are one partition of their own, as in PARTITION BY
-    x = x.join(summ, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_b") == F.col("_sb")), "left")
-    first_in_bucket = F.col(f"_ip_{time_col}").isNull()
-    last_in_bucket = F.col(f"_in_{time_col}").isNull()
-    out = [F.when(first_in_bucket, F.col(f"_pl.{c}")).otherwise(F.col(f"_ip_{c}")).alias(f"prev_{c}") for c in names]
-    out += [F.when(last_in_bucket, F.col(f"_nf.{c}")).otherwise(F.col(f"_in_{c}")).alias(f"next_{c}") for c in names]
-    return x.select(*df.columns, *out)
+    return ordering.neighbours(df, key, day_bucket(F.col(time_col), bucket_seconds), [(time_col, "asc", None)], names)
 
 
 def running_sum(df: DataFrame, key: str, time_col: str, value: Column, name: str,
-                bucket_seconds: int = 86400) -> DataFrame:
+                bucket_seconds: int = DAY) -> DataFrame:
     """Running sum of ``value`` per key in time order (rows at the same time
     included, as SQL's default RANGE frame) without a per-key sort: in-bucket
     running sums plus the total of all earlier buckets of the key."""
-    x = df.withColumn("_b", _day_bucket(F.col(time_col), bucket_seconds)).withColumn("_v", value)
+    x = df.withColumn("_b", day_bucket(F.col(time_col), bucket_seconds)).withColumn("_v", value)
     w = (Window.partitionBy(key, "_b").orderBy(time_col)
          .rangeBetween(Window.unboundedPreceding, Window.currentRow))
     x = x.withColumn("_in", F.sum("_v").over(w))
@@ -308,17 +230,16 @@ def running_sum(df: DataFrame, key: str, time_col: str, value: Column, name: str
     return x.select(*df.columns, (F.col("_before") + F.col("_in")).alias(name))
 
 
-def state_episodes_bucketed(df: DataFrame, key: str, time_col: str, state_col: str, gap_hours: int,
-                            out_state: str = "state") -> DataFrame:
-    """P14 as :func:`state_episodes`, computed without any per-key sort.
+def state_episodes(df: DataFrame, key: str, time_col: str, state_col: str, gap_hours: int,
+                   out_state: str = "state") -> DataFrame:
+    """Sessionise a (key, time, state) series into episodes.
 
-    With unique (key, time) the previous row of the same state matters only
-    when it is the immediately previous row, so the rule needs just the
-    previous / next row (:func:`neighbours`) and a running count of episode
-    starts (:func:`running_sum`) - both bucketed by day.
+    A new episode starts at the first row, on a change of state, or when >= ``gap_hours`` hour boundaries passed since the
+    previous row of the same state; an episode ends at the next row's time unless that is >= gap hours away (then at its own
+    last time); episodes with a single time are dropped.  Input rows must be unique per (key, time): then the previous row of
+    the same state matters only when it is the previous row, so the rule needs the previous / next row
+    (:func:`neighbours`) and a running count of episode starts (:func:`running_sum`), both bucketed by day.
     """
-    from ..functions.time import boundary_diff
-
     t = F.col(time_col)
     x = neighbours(df.select(key, time_col, state_col).where(t.isNotNull()), key, time_col, [state_col])
     sp, tp, tn = F.col(f"prev_{state_col}"), F.col(f"prev_{time_col}"), F.col(f"next_{time_col}")

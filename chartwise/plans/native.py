@@ -11,17 +11,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import round_numeric
-from ..functions.text import contains_any
-from ..functions.time import ceil_hour, days, hours, trunc_ntz
+from ..functions.time import days, hours, trunc_ntz
+from ..operators import matching as M
+from ..operators import ordering as O
 from ..operators import pivot as P
 from ..operators import scores as S
 from ..operators import temporal as TJ
 from ..operators import windows as W
-from ..operators.codes import code_flags, hierarchical_weight
+from ..operators.codes import code_flags, hierarchical_weight, map_labels, match_keywords
 from ..sources.parquet import read_table
 
 NATIVE: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,18 +87,13 @@ def _order_intervals(spark, sf_dir):
 @native("order_window_events")
 def order_window_events(spark, sf_dir):
     """Events of the order's customer inside [start, end] with the three
-    closure modes as flags.  Orders are exploded to the (<= 3) days they span so
-    the join is an equi-join on (user, day) plus the containment test."""
-    e = events_minute(spark, sf_dir).withColumn("_d", F.to_date("t"))
-    iv = _order_intervals(spark, sf_dir)
-    iv = iv.select("*", F.explode(F.sequence(F.to_date("starttime"), F.to_date("endtime"))).alias("_d"))
-    j = e.join(iv, ["user_id", "_d"], "inner")
-    t, s, en = F.col("t"), F.col("starttime"), F.col("endtime")
-    j = j.where(TJ.between_closed(t, s, en, "both"))
-    return j.select("o_orderkey", "event_id", "user_id", "t",
-                    TJ.between_closed(t, s, en, "left").alias("in_left_closed"),
-                    TJ.between_closed(t, s, en, "right").alias("in_right_closed"),
-                    TJ.between_closed(t, s, en, "neither").alias("in_open"))
+    closure modes as flags."""
+    j = M.contains_join(events_minute(spark, sf_dir), _order_intervals(spark, sf_dir), "user_id", "t", how="inner")
+    t, s, en = F.col("p.t"), F.col("i.starttime"), F.col("i.endtime")
+    return j.select("i.o_orderkey", "p.event_id", "p.user_id", "p.t",
+                    M.between_closed(t, s, en, "left").alias("in_left_closed"),
+                    M.between_closed(t, s, en, "right").alias("in_right_closed"),
+                    M.between_closed(t, s, en, "neither").alias("in_open"))
 
 
 @native("asof_view_before_purchase")
@@ -108,8 +104,8 @@ def asof_view_before_purchase(spark, sf_dir):
     views = e.where(F.col("event_type") == "view").select(
         "user_id", F.col("t").alias("view_time"), F.col("event_id").alias("view_id"),
         F.col("value").alias("view_value"))
-    return TJ.asof_within(purchases, views, "user_id", "t", "view_time", 2 * 3600,
-                          ["view_id", "view_value"], tiebreak=[F.col("view_id")], left_id=["event_id"])
+    return M.asof_within(purchases, views, "user_id", "t", "view_time", 2 * 3600,
+                         ["view_id", "view_value"], tiebreak=[F.col("view_id")])
 
 
 @native("purchase_error_match")
@@ -117,29 +113,21 @@ def purchase_error_match(spark, sf_dir):
     """P07 + P26: earliest error in the 72 h before each purchase (errors with an
     even value in cents are date-only: error day in [purchase day - 3, day])."""
     e = events_minute(spark, sf_dir)
-    pur = e.where(F.col("event_type") == "purchase").select("user_id", "event_id", "t",
-                                                            trunc_ntz("DAY", F.col("t")).alias("day"))
-    err = e.where(F.col("event_type") == "error").select(
+    purchases = e.where(F.col("event_type") == "purchase").select("user_id", "event_id", "t")
+    errors = e.where(F.col("event_type") == "error").select(
         "user_id", F.col("event_id").alias("error_id"), F.col("t").alias("error_time"),
         (F.round(F.col("value") * 100).cast("long") % 2 == 0).alias("date_only"))
-    timed = TJ.match_window(pur, err.where(~F.col("date_only")), "user_id", F.col("a.t"), F.col("b.error_time"),
-                            72 * 3600, 0, ["event_id"], [F.col("b.error_time"), F.col("b.error_id")], how="inner")
-    timed = timed.where(F.col("b.error_time") < F.col("a.t")).select(
-        F.col("a.event_id").alias("event_id"), F.col("b.error_id").alias("error_id"),
-        F.col("b.error_time").alias("match_time"))
-    dated = TJ.match_window(pur, err.where(F.col("date_only")).withColumn("eday", trunc_ntz("DAY", F.col("error_time"))),
-                            "user_id", F.col("a.day"), F.col("b.eday"), 3 * 86400, 0, ["event_id"],
-                            [F.col("b.eday"), F.col("b.error_id")], how="inner") \
-        .select(F.col("a.event_id").alias("event_id"), F.col("b.error_id").alias("error_id"),
-                F.col("b.eday").alias("match_time"))
-    both = timed.unionByName(dated)
-    best = TJ.top1(both, ["event_id"], [F.col("match_time"), F.col("error_id")])
-    return pur.select("user_id", "event_id", "t").join(best, "event_id", "left")
+    errors = errors.withColumn("match_time", F.when(F.col("date_only"), trunc_ntz("DAY", F.col("error_time"))).otherwise(F.col("error_time")))
+    looks = M.date_or_time("match", F.col("t"), F.col("error_time"), F.col("date_only"), before=72 * 3600, after=0, days_before=3,
+                           days_after=0, strict_after=True)
+    found = M.first_in_windows(purchases, errors, "user_id", ["event_id"], looks,
+                               [("match_time", "asc", None), ("error_id", "asc", None)], ["error_id", "match_time"])
+    return found.select("event_id", "user_id", "t", F.col("match_error_id").alias("error_id"), F.col("match_match_time").alias("match_time"))
 
 
 def _episodes(e):
     per_t = e.groupBy("user_id", "t").agg(F.max("event_type").alias("state"))
-    return W.state_episodes_bucketed(per_t, "user_id", "t", "state", 14)
+    return W.state_episodes(per_t, "user_id", "t", "state", 14)
 
 
 @native("event_type_episodes")
@@ -195,7 +183,7 @@ def hourly_spine_minmax(spark, sf_dir):
 def carry_previous_value(spark, sf_dir):
     """The previous event's value of the same user when less than 6 h older."""
     e = events_minute(spark, sf_dir).select("user_id", "event_id", "t", "value")
-    return W.carry_previous(e, "user_id", [F.col("t"), F.col("event_id")], "t", ["value"], 6 * 3600)
+    return W.carry_previous(e, "user_id", "t", ["value"], 6 * 3600, ties=["event_id"])
 
 
 def _type_intervals(e):
@@ -232,12 +220,8 @@ def value_validity(spark, sf_dir):
     span = e.groupBy("user_id").agg(F.min("t").alias("t0"), F.max("t").alias("t1"))
     obs = e.where(F.col("event_type") == "signup").select("user_id", F.col("t").alias("starttime"), "value",
                                                           "event_id").join(span, "user_id")
-    order = [F.col("starttime"), F.col("event_id")]
-    x = W.to_validity(obs, "user_id", "starttime", order, F.col("t1") + hours(2))
-    first = TJ.top1_agg(x, ["user_id"], [("starttime", "asc", None), ("event_id", "asc", None)])
-    fix = first.where(F.col("t0") < F.col("starttime")).select(
-        "user_id", F.col("t0").alias("starttime"), F.col("starttime").alias("endtime"), "value")
-    return x.select("user_id", "starttime", "endtime", "value").unionByName(fix)
+    x = W.to_validity(obs, "user_id", "starttime", ["event_id"], F.col("t1") + hours(2), gap_start=F.col("t0"))
+    return x.select("user_id", "starttime", "endtime", "value")
 
 
 @native("lineitem_ladders")
@@ -280,7 +264,6 @@ def order_part_flags(spark, sf_dir):
     ptype = dx.select("o_orderkey", F.col("p_type").alias("code"), "v")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     cust = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
-    from ..concepts.treatment import map_labels
     base = orders.join(cust, "o_custkey", "left").select(
         "o_orderkey", map_labels(F.col("c_mktsegment"), SEGMENT_SYNONYMS).alias("segment_group"))
     x = code_flags(base, brand, "o_orderkey", {"brand_1x": PART_RULES["brand_1x"]}, "code", "v")
@@ -291,7 +274,6 @@ def order_part_flags(spark, sf_dir):
 def part_name_keywords(spark, sf_dir):
     """Line items whose part name contains a keyword (distinct names
     classified once, semi-join back)."""
-    from ..concepts.medication import match_keywords
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
     part = read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
     x = li.join(part, "l_partkey", "inner")
@@ -313,14 +295,14 @@ def props_pattern_window(spark, sf_dir):
 def top_event_per_user(spark, sf_dir):
     """P25: each user's highest-value event (ties: earliest, then lowest id)."""
     e = events_minute(spark, sf_dir).select("user_id", "event_id", "event_type", "value", "t")
-    return TJ.top1_agg(e, ["user_id"], [("value", "desc", None), ("t", "asc", None), ("event_id", "asc", None)])
+    return O.top1_agg(e, ["user_id"], [("value", "desc", None), ("t", "asc", None), ("event_id", "asc", None)])
 
 
 @native("first_four_event_types")
 def first_four_event_types(spark, sf_dir):
     """The first four event types of each user x day as columns."""
     e = events_minute(spark, sf_dir).withColumn("day", trunc_ntz("DAY", F.col("t")))
-    return P.pivot_ordinal(e, ["user_id", "day"], [F.col("t"), F.col("event_id")], "event_type", 4, "type_")
+    return O.pivot_ordinal(e, ["user_id", "day"], [F.col("t"), F.col("event_id")], "event_type", 4, "type_")
 
 
 def _daily(spark, sf_dir):
@@ -342,8 +324,7 @@ def daily_ratio_and_dose(spark, sf_dir):
     c = F.col
     imputed = P.impute_from_ratio(c("purchase_total"), c("click_pct") / F.lit(5.0), c("view_max"),
                                   c("purchase_total") > 0)
-    from ..concepts.medication import linear_dose
-    dose = linear_dose([c("click_max"), c("view_max") / F.lit(10.0), c("purchase_max") * F.lit(2.5) / F.lit(60.0)])
+    dose = S.linear_dose([c("click_max"), c("view_max") / F.lit(10.0), c("purchase_max") * F.lit(2.5) / F.lit(60.0)])
     return d.select("user_id", "day", round_numeric(imputed, 4).alias("view_imputed"),
                     round_numeric(dose, 4).alias("weighted_dose"))
 
@@ -377,5 +358,3 @@ def build_chain(spark, sf_dir):
     out = build(Sources.from_events(spark, sf_dir), ["vitalsign", "first_day_vitalsign"])
     return out["first_day_vitalsign"]
 
-
-_ = (ceil_hour, contains_any, Window)

@@ -3,8 +3,8 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from chartwise.operators.temporal import asof_within, contains_join
-from chartwise.operators.windows import carry_previous, lookback, segment_bounds, hourly_spine
+from chartwise.operators.matching import asof_within, contains_join
+from chartwise.operators.windows import carry_previous, hourly_spine, lookback, segment_intervals
 
 from .helpers import rows
 
@@ -38,7 +38,7 @@ def test_carry_previous_gap_and_null_key(spark):
     df = spark.createDataFrame(
         [(1, h(0), 3.0), (1, h(5), None), (1, h(11), None), (None, h(1), 4.0), (None, h(2), None)],
         "k long, t timestamp_ntz, v double")
-    out = carry_previous(df, "k", [F.col("t")], "t", ["v"], 6 * 3600)
+    out = carry_previous(df, "k", "t", ["v"], 6 * 3600)
     got = rows(out.select("k", "t", "prev_v"))
     assert ("1", str(h(5)), "3") in got          # 5 h old: carried
     assert ("1", str(h(11)), None) in got        # exactly 6 h: not carried
@@ -54,10 +54,10 @@ def test_lookback_strictly_earlier(spark):
 
 
 def test_segments_are_disjoint(spark):
-    iv = spark.createDataFrame([(1, h(0), h(3)), (1, h(1), h(2))],
-                               "k long, starttime timestamp_ntz, endtime timestamp_ntz")
-    seg = segment_bounds([iv], "k")
-    assert rows(seg) == [("1", str(h(0)), str(h(1))), ("1", str(h(1)), str(h(2))), ("1", str(h(2)), str(h(3)))]
+    cols = "k long, starttime timestamp_ntz, endtime timestamp_ntz, v int"
+    one, two = (spark.createDataFrame([(1, *x, 1)], cols) for x in ((h(0), h(3)), (h(1), h(2))))
+    seg = segment_intervals({"a": one, "b": two}, "k", "v")
+    assert rows(seg, ["k", "starttime", "endtime"]) == [("1", str(h(0)), str(h(1))), ("1", str(h(1)), str(h(2))), ("1", str(h(2)), str(h(3)))]
 
 
 def test_hourly_spine_empty_range(spark):
@@ -69,19 +69,6 @@ def test_hourly_spine_empty_range(spark):
     assert first["endtime"] == h(1)
 
 
-def test_match_window_left_prefers_matches_across_buckets(spark):
-    from chartwise.operators.temporal import match_window
-    a = spark.createDataFrame([(1, 10, h(30))], "k long, aid long, t timestamp_ntz")
-    b = spark.createDataFrame([(1, 7, h(29)), (1, 8, h(2))], "k long, bid long, bt timestamp_ntz")
-    out = match_window(a, b, "k", F.col("a.t"), F.col("b.bt"), 72 * 3600, 0, ["aid"],
-                       [F.col("b.bt"), F.col("b.bid")], how="left")
-    got = out.select("b.bid").collect()
-    assert [r[0] for r in got] == [8]
-    none = match_window(a, b.where("bid = 0"), "k", F.col("a.t"), F.col("b.bt"), 3600, 0, ["aid"],
-                        [F.col("b.bt")], how="left")
-    assert none.count() == 1
-
-
 def test_contains_join_bucketed_no_duplicates(spark):
     pts = spark.createDataFrame([(1, h(1)), (1, h(30)), (1, h(80)), (None, h(1))], "k long, t timestamp_ntz")
     iv = spark.createDataFrame([(1, h(0), h(50)), (1, h(29), h(31))],
@@ -91,19 +78,10 @@ def test_contains_join_bucketed_no_duplicates(spark):
     assert contains_join(pts, iv, "k", "t", how="left_anti").count() == 2
 
 
-def test_asof_bucketed_matches_running(spark):
-    left = spark.createDataFrame([(1, 1, h(4)), (1, 2, h(10)), (2, 3, h(1)), (1, 4, h(24) + timedelta(minutes=30))],
-                                 "k long, id long, t timestamp_ntz")
-    right = spark.createDataFrame([(1, h(0), 5.0, 1), (1, h(4), 7.0, 2), (1, h(4), 8.0, 3), (1, h(23), 9.0, 4),
-                                   (2, h(3), 1.0, 5)], "k long, rt timestamp_ntz, v double, rid long")
-    a = asof_within(left, right, "k", "t", "rt", 2 * 3600, ["v"], tiebreak=[F.col("rid")])
-    b = asof_within(left, right, "k", "t", "rt", 2 * 3600, ["v"], tiebreak=[F.col("rid")], left_id=["id"])
-    assert rows(a, ["id", "v"]) == rows(b, ["id", "v"])
-    assert dict((r["id"], r["v"]) for r in b.collect()) == {1: 8.0, 2: None, 3: None, 4: 9.0}
-
-
 def test_top1_agg_matches_row_number(spark):
-    from chartwise.operators.temporal import top1, top1_agg
+    from pyspark.sql import Window
+
+    from chartwise.operators.ordering import top1_agg
     df = spark.createDataFrame([(1, None, h(1), 1), (1, 5.0, h(2), 2), (1, 5.0, h(0), 3), (2, None, None, 4),
                                 (2, None, h(3), 5), (3, -1.0, h(9), 6)], "k long, v double, t timestamp_ntz, id long")
     cases = [
@@ -113,7 +91,7 @@ def test_top1_agg_matches_row_number(spark):
         ([("t", "desc", False), ("id", "asc", None)], [F.col("t").desc_nulls_first(), F.col("id")]),
     ]
     for spec, cols in cases:
-        assert rows(top1_agg(df, ["k"], spec)) == rows(top1(df, ["k"], cols)), spec
+        assert rows(top1_agg(df, ["k"], spec)) == rows(df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy(*cols))).where("n = 1").drop("n")), spec
 
 
 def test_bucketed_neighbours_and_episodes_match_windows(spark):
@@ -121,8 +99,7 @@ def test_bucketed_neighbours_and_episodes_match_windows(spark):
 
     from pyspark.sql import Window
 
-    from chartwise.operators.windows import (neighbours, running_sum, state_episodes,
-                                             state_episodes_bucketed)
+    from chartwise.operators.windows import neighbours, running_sum, state_episodes
     rnd = random.Random(7)
     data, t = [], {}
     for k in range(1, 4):
@@ -140,7 +117,21 @@ def test_bucketed_neighbours_and_episodes_match_windows(spark):
     ref_rs = df.select("k", "t", F.sum(F.when(F.col("s") == "a", 1).otherwise(0)).over(
         w.rangeBetween(Window.unboundedPreceding, Window.currentRow)).alias("n"))
     assert rows(rs.select("k", "t", "n")) == rows(ref_rs)
-    assert rows(state_episodes_bucketed(df, "k", "t", "s", 14)) == rows(state_episodes(df, "k", "t", "s", 14))
+    # episodes by hand: a run of equal states whose next row is less than 14 hour boundaries away
+    want = []
+    for k in range(1, 4):
+        own = sorted((t, s) for kk, t, s in data if kk == k)
+        hour = lambda x: int((x - T0).total_seconds() // 3600)
+        runs = []
+        for n, (t, s) in enumerate(own):
+            gap = n and hour(t) - hour(own[n - 1][0]) >= 14
+            if not n or gap or s != own[n - 1][1]:
+                runs.append([s, t, t, t])
+            after = own[n + 1][0] if n + 1 < len(own) else None
+            runs[-1][2] = t if after is None or hour(after) - hour(t) >= 14 else after
+            runs[-1][3] = t
+        want += [(str(k), str(a), str(e), s) for s, a, e, last in runs if a != last]
+    assert rows(state_episodes(df, "k", "t", "s", 14), ["k", "starttime", "endtime", "state"]) == sorted(want)
 
 
 def test_segment_intervals_null_boundary_and_overlaps(spark):
@@ -189,16 +180,6 @@ def test_text_event_window_spans_days(spark):
     assert rows(out, ["k", "starttime", "endtime"]) == [("1", str(h(0)), str(h(32)))]
 
 
-def test_previous_within_matches_carry_previous(spark):
-    from chartwise.operators.windows import previous_within
-
-    df = spark.createDataFrame([(k, h(t), float(t)) for k in (1, 2, None) for t in (0, 5, 11, 23, 25, 49, 200)],
-                               "k long, t timestamp_ntz, v double")
-    expected = carry_previous(df, "k", [F.col("t")], "t", ["v"], 6 * 3600)
-    assert rows(previous_within(df.where("k IS NOT NULL"), "k", "t", ["v"], 6 * 3600)) == rows(expected.where("k IS NOT NULL"))
-    assert previous_within(df, "k", "t", ["v"], 6 * 3600).where("k IS NULL AND prev_v IS NOT NULL").count() == 0
-
-
 def test_lookback_by_bucket_matches_one_window_a_key(spark):
     from pyspark.sql import Window
 
