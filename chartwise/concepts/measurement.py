@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import items as I
+from ..config import units as U
 from ..functions.numeric import round_numeric
 from ..operators.matching import asof_within
 from ..operators.ordering import top1_agg
 from ..operators.pivot import ItemSpec, pivot_items
+from ..operators.units import harmonise
 from ..operators.windows import carry_previous
 from ..plans.registry import concept
 
@@ -40,9 +42,7 @@ def vitalsign(chartevents: DataFrame) -> DataFrame:
     """Per (subject, stay, charttime) average of clipped vital signs."""
     v = F.col("valuenum")
     item = F.col("itemid")
-    temperature = round_numeric(F.avg(
-        F.when(item.isin(I.TEMP_F) & (v > 70) & (v < 120), (v - 32) / F.lit(1.8))
-        .when(item.isin(I.TEMP_C) & (v > 10) & (v < 50), v)), 2)
+    temperature = round_numeric(F.avg(harmonise(v, U.TEMPERATURE, item)), 2)
     specs = {
         "heart_rate": ItemSpec(I.HEART_RATE, agg="avg", lo=0, hi=300),
         "sbp": ItemSpec(I.SBP, agg="avg", lo=0, hi=400),
@@ -168,8 +168,7 @@ def bg(labevents: DataFrame, chartevents: DataFrame) -> DataFrame:
     specs = {
         "specimen": ItemSpec([I.BG_SPECIMEN], value="value"),
         **{name: ItemSpec([itemid], hi=hi, strict_hi=False) for name, (itemid, hi) in I.BG_NUMERIC.items()},
-        "fio2": F.max(F.when(item == I.BG_FIO2, F.when((v > 20) & (v <= 100), v)
-                             .when((v > 0.2) & (v <= 1.0), v * F.lit(100.0)))),
+        "fio2": ItemSpec([I.BG_FIO2], transform=lambda value: harmonise(value, U.FIO2_LAB)),
         "comments": ItemSpec([I.BG_COMMENTS], value="value"),
     }
     piv = pivot_items(labevents, LAB_KEYS, specs, extra_ids=[I.BG_FIO2],
@@ -177,8 +176,7 @@ def bg(labevents: DataFrame, chartevents: DataFrame) -> DataFrame:
     gas = top1_agg(piv.where(F.col("po2").isNotNull()), ["subject_id", "charttime"], [("specimen_id", "asc", None)])
     fio2 = (chartevents.where((item == I.CHART_FIO2) & (v > 0) & (v <= 100))
             .groupBy("subject_id", "charttime")
-            .agg(F.max(F.when((v > 0.2) & (v <= 1), v * F.lit(100.0)).when((v > 1) & (v < 20), None)
-                       .when((v >= 20) & (v <= 100), v)).alias("fio2_chartevents"))
+            .agg(F.max(harmonise(v, U.FIO2_CHART)).alias("fio2_chartevents"))
             .where(F.col("fio2_chartevents") > 0))
     x = asof_within(gas, fio2, "subject_id", "charttime", "charttime", 4 * 3600, ["fio2_chartevents"])
     po2, pco2 = F.col("po2"), F.col("pco2")
@@ -233,10 +231,11 @@ def height(chartevents: DataFrame) -> DataFrame:
     (subject, charttime); keeps 120 < h < 230.  Reproduces Q1: ids and time come
     from the cm side only, so inch-only rows carry NULL subject / stay / time."""
     v = F.col("valuenum")
+    cm_value = round_numeric(harmonise(v, U.HEIGHT, F.col("itemid")), 2).alias("height")
     cm = chartevents.where(v.isNotNull() & (F.col("itemid") == I.HEIGHT_CM)).select(
-        "subject_id", "stay_id", "charttime", round_numeric(v, 2).alias("height"))
+        "subject_id", "stay_id", "charttime", cm_value)
     inch = chartevents.where(v.isNotNull() & (F.col("itemid") == I.HEIGHT_IN)).select(
-        "subject_id", "stay_id", "charttime", round_numeric(v * F.lit(2.54), 2).alias("height"))
+        "subject_id", "stay_id", "charttime", cm_value)
     j = cm.alias("h1").join(inch.alias("h2"), (F.col("h1.subject_id") == F.col("h2.subject_id"))
                             & (F.col("h1.charttime") == F.col("h2.charttime")), "full")
     h = F.coalesce(F.col("h1.height"), F.col("h2.height"))

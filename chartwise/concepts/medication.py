@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from ..config import drugs as D
 from ..config import items as I
+from ..config import units as U
 from ..functions.numeric import round_numeric
 from ..functions.text import contains_any
 from ..operators.codes import match_keywords
 from ..operators.matching import contains_join
 from ..operators.scores import linear_dose
+from ..operators.units import harmonise
 from ..operators.windows import segment_intervals
 from ..plans.registry import concept
 
@@ -50,10 +52,8 @@ def milrinone(inputevents: DataFrame) -> DataFrame:
 @concept(group="medication")
 def norepinephrine(inputevents: DataFrame) -> DataFrame:
     """mg/kg/min -> mcg/kg/min unless the weight is the placeholder 1."""
-    mg = F.col("rateuom") == "mg/kg/min"
-    rate = (F.when(mg & (F.col("patientweight") == 1), F.col("rate"))
-            .when(mg, F.col("rate") * F.lit(1000.0))
-            .otherwise(F.col("rate")))
+    rate, unit = F.col("rate"), F.when(F.col("patientweight") == 1, F.lit(None)).otherwise(F.col("rateuom"))
+    rate = harmonise(rate, U.NOREPINEPHRINE, unit, unknown=rate)
     return _infusion(inputevents, I.NOREPINEPHRINE, rate)
 
 
@@ -68,7 +68,7 @@ def phenylephrine(inputevents: DataFrame) -> DataFrame:
 @concept(group="medication")
 def vasopressin(inputevents: DataFrame) -> DataFrame:
     """units/min -> units/hour."""
-    rate = F.when(F.col("rateuom") == "units/min", F.col("rate") * F.lit(60.0)).otherwise(F.col("rate"))
+    rate = harmonise(F.col("rate"), U.VASOPRESSIN, F.col("rateuom"), unknown=F.col("rate"))
     return _infusion(inputevents, I.VASOPRESSIN, rate)
 
 
@@ -80,6 +80,11 @@ def neuroblock(inputevents: DataFrame) -> DataFrame:
         "starttime", "endtime")
 
 
+def _drug_class(prescriptions: DataFrame, words, name: str) -> DataFrame:
+    x = match_keywords(prescriptions, "drug", words, "upper")
+    return x.select("subject_id", "hadm_id", F.col("drug").alias(name), "starttime", "stoptime")
+
+
 @concept(group="medication")
 def acei(prescriptions: DataFrame) -> DataFrame:
     """ACE inhibitor prescriptions."""

@@ -9,6 +9,7 @@ from ..config import items as I
 from ..functions.numeric import round_numeric
 from ..functions.time import boundary_diff, days, epoch_seconds, hours
 from ..operators.matching import contains_join
+from ..operators.scores import meld_score
 from ..operators.windows import align_times, boundary_hour_sums, lookback_axis, neighbours
 from ..plans.registry import concept
 
@@ -200,24 +201,6 @@ def meld(icustays: DataFrame, first_day_lab: DataFrame, first_day_rrt: DataFrame
         .join(first_day_lab.select("stay_id", "creatinine_max", "bilirubin_total_max", "inr_max",
                                    "sodium_min"), "stay_id", "left") \
         .join(first_day_rrt.select("stay_id", F.col("dialysis_present").alias("rrt")), "stay_id", "left")
-    cr, bili, inr, na = (F.col("creatinine_max"), F.col("bilirubin_total_max"), F.col("inr_max"),
-                         F.col("sodium_min"))
-    ln1 = F.lit(0.0)
-    sodium_score = (F.when(na.isNull(), F.lit(0.0)).when(na > 137, F.lit(0.0)).when(na < 125, F.lit(12.0))
-                    .otherwise(F.lit(137.0) - na))
-    cr_score = (F.when((F.col("rrt") == 1) | (cr > 4.0), F.lit(0.957) * F.log(F.lit(4.0)))
-                .when(cr < 1, F.lit(0.957) * ln1)
-                .otherwise(F.lit(0.957) * F.coalesce(F.log(cr), ln1)))
-    bili_score = F.when(bili < 1, F.lit(0.378) * ln1).otherwise(F.lit(0.378) * F.coalesce(F.log(bili), ln1))
-    inr_score = (F.when(inr < 1, F.lit(1.120) * ln1 + F.lit(0.643))
-                 .otherwise(F.lit(1.120) * F.coalesce(F.log(inr), ln1) + F.lit(0.643)))
-    x = x.select("*", sodium_score.alias("sodium_score"), cr_score.alias("cs"), bili_score.alias("bs"),
-                 inr_score.alias("is_"))
-    total = F.col("cs") + F.col("bs") + F.col("is_")
-    initial = F.when(total > 4, F.lit(40.0)).otherwise(
-        (F.round(total.cast("decimal(38,9)"), 1) * 10).cast("double"))
-    x = x.withColumn("meld_initial", initial)
-    m, s = F.col("meld_initial"), F.col("sodium_score")
-    meld_na = F.when(m > 11, m + F.lit(1.32) * s - F.lit(0.033) * m * s).otherwise(m)
-    return x.select("subject_id", "hadm_id", "stay_id", "meld_initial", meld_na.alias("meld"), "rrt",
+    initial, sodium = meld_score(F.col("creatinine_max"), F.col("bilirubin_total_max"), F.col("inr_max"), F.col("sodium_min"), F.col("rrt"))
+    return x.select("subject_id", "hadm_id", "stay_id", initial.alias("meld_initial"), sodium.alias("meld"), "rrt",
                     "creatinine_max", "bilirubin_total_max", "inr_max", "sodium_min")

@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 
 from ..config import items as I
 from ..config import treatment as T
-from ..functions.time import boundary_diff
+from ..config import units as U
 from ..operators.pivot import ItemSpec, pivot_items
 from ..operators.codes import map_labels, text_flag
 from ..operators.matching import contains_join
 from ..operators.ordering import top_n
 from ..operators.temporal import override_by_interval
+from ..operators.units import harmonise
 from ..operators.windows import align_times, state_episodes
 from ..plans.registry import concept
 
@@ -22,13 +23,9 @@ from ..plans.registry import concept
 def ventilator_setting(chartevents: DataFrame) -> DataFrame:
     """Ventilator settings per (subject, charttime); FiO2 fraction -> percent,
     PEEP outside [0, 100] -> NULL; value and stay_id must be present."""
-    v, item = F.col("valuenum"), F.col("itemid")
-    fio2 = F.when((v >= 0.20) & (v <= 1), v * F.lit(100.0)).when((v > 1) & (v < 20), None) \
-        .when((v >= 20) & (v <= 100), v)
-    peep = F.when(v > 100, None).when(v < 0, None).otherwise(v)
     specs = {name: ItemSpec([i]) for name, i in I.VENT_NUMERIC.items()}
-    specs["peep"] = ItemSpec(I.VENT_PEEP, transform=lambda _: peep)
-    specs["fio2"] = ItemSpec([I.VENT_FIO2], transform=lambda _: fio2)
+    specs["peep"] = ItemSpec(I.VENT_PEEP, transform=lambda v: harmonise(v, U.PEEP))
+    specs["fio2"] = ItemSpec([I.VENT_FIO2], transform=lambda v: harmonise(v, U.FIO2_VENTILATOR))
     specs["flow_rate"] = ItemSpec([I.VENT_FLOW_RATE])
     for name, i in I.VENT_TEXT.items():
         specs[name] = ItemSpec([i], value="value")

@@ -56,11 +56,6 @@ def match_keywords(rx: DataFrame, col: str, words, case: str = "upper",
     return rx.join(dictionary, list(keys), "left_semi")
 
 
-def _drug_class(prescriptions: DataFrame, words, name: str) -> DataFrame:
-    x = match_keywords(prescriptions, "drug", words, "upper")
-    return x.select("subject_id", "hadm_id", F.col("drug").alias(name), "starttime", "stoptime")
-
-
 def map_labels(col: Column, synonyms) -> Column:
     """Replace any synonym by its canonical label, else keep the value."""
     out = None

@@ -97,14 +97,18 @@ def override_by_interval(points: DataFrame, intervals: DataFrame, key: str, time
                     *[F.coalesce(F.col(f"i.{v}"), F.col(f"p.{v}")).alias(v) for v in values])
 
 
-def text_event_window(anchor: DataFrame, events: DataFrame, key: str, match: Column,
-                      lo: Column, hi: Column, before_seconds: int, after_seconds: int) -> DataFrame:
-    """Per key, [first matching event - before, last matching event + after],
-    over events in [lo, hi] of the anchor (``a``/``e`` aliases)."""
+def text_event_window(anchor: DataFrame, events: DataFrame, key: str, match: Column, lo: Column, hi: Column,
+                      before_seconds: int, after_seconds: int, closed: str = "both", clamp: bool = False) -> DataFrame:
+    """Per key, [first matching event - before, last matching event + after], over events in [lo, hi] of the anchor
+    (``a``/``e`` aliases); with ``clamp`` the result does not leave [lo, hi] of an anchor (one window an anchor then)."""
     e = events.withColumn("_bk", day_bucket(F.col("charttime"))).alias("e")
+    t = F.col("e.charttime")
     j = _by_day(anchor, lo, hi).alias("a").join(
-        e, (F.col(f"a.{key}") == F.col(f"e.{key}")) & (F.col("a._bk") == F.col("e._bk"))
-        & (F.col("e.charttime") >= lo) & (F.col("e.charttime") <= hi), "inner")
-    return j.where(match).groupBy(F.col(f"a.{key}").alias(key)).agg(
-        F.min(F.col("e.charttime") - F.make_dt_interval(secs=F.lit(before_seconds))).alias("starttime"),
-        F.max(F.col("e.charttime") + F.make_dt_interval(secs=F.lit(after_seconds))).alias("endtime"))
+        e, (F.col(f"a.{key}") == F.col(f"e.{key}")) & (F.col("a._bk") == F.col("e._bk")) & between_closed(t, lo, hi, closed), "inner")
+    bounds = [lo.alias("_lo"), hi.alias("_hi")] if clamp else []
+    found = j.where(match).groupBy(F.col(f"a.{key}").alias(key), *bounds).agg(
+        F.min(t - F.make_dt_interval(secs=F.lit(before_seconds))).alias("starttime"),
+        F.max(t + F.make_dt_interval(secs=F.lit(after_seconds))).alias("endtime"))
+    if not clamp:
+        return found
+    return found.select(key, F.greatest("starttime", "_lo").alias("starttime"), F.least("endtime", "_hi").alias("endtime"))

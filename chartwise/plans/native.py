@@ -34,6 +34,8 @@ PART_RULES = {
     "brand_1x": [(1, 7, "in", ["Brand#1"])],
     "type_a_to_m": [(1, 1, "between", ("A", "M"))],
 }
+QUANTITY = ([("<", 5, 4), ("<", 15, 2), ("<", 35, 0), ("<", 45, 1)], 3)
+DISCOUNT_TAX = [(0.03, [(0.04, 0), (None, 2)]), (0.07, [(0.02, 1), (0.06, 3), (None, 5)]), (None, [(0.04, 4), (None, 6)])]
 PROPS_PATTERN = '"k": 1'
 
 
@@ -237,16 +239,8 @@ def lineitem_ladders(spark, sf_dir):
         F.max(F.when(F.col("l_linestatus") == "O", 1).otherwise(0)).alias("open_line"))
     c = F.col
 
-    def qty_ladder(x):
-        return S.ladder([(x < 5, 4), (x < 15, 2), (x < 35, 0), (x < 45, 1)], x.isNull(), default=3)
-
-    o = o.withColumn("qty_score", S.worst_of(c("qty_min"), c("qty_max"), 25.0, qty_ladder(c("qty_min")),
-                                             qty_ladder(c("qty_max"))))
-    d, t = c("disc_max"), c("tax_max")
-    o = o.withColumn("disc_tax_score", F.when(d.isNull() | t.isNull(), None)
-                     .when(d < 0.03, F.when(t < 0.04, 0).otherwise(2))
-                     .when(d < 0.07, F.when(t < 0.02, 1).when(t < 0.06, 3).otherwise(5))
-                     .otherwise(F.when(t < 0.04, 4).otherwise(6)))
+    o = o.withColumn("qty_score", S.worst_of(c("qty_min"), c("qty_max"), 25.0, *(S.scale(c(q), *QUANTITY) for q in ("qty_min", "qty_max"))))
+    o = o.withColumn("disc_tax_score", S.grid_points(c("disc_max"), c("tax_max"), DISCOUNT_TAX))
     o = o.withColumn("status_weight", hierarchical_weight(c("open_line"), c("returned"), 1, 3))
     o = o.withColumn("total", S.total([c("qty_score"), c("disc_tax_score"), c("status_weight")]))
     return o.withColumn("prob", S.logistic(F.lit(-3.0) + F.lit(0.25) * c("total")))
