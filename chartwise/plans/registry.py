@@ -15,12 +15,16 @@ the raw event log.
 from __future__ import annotations
 
 import inspect
+import threading
 from collections.abc import Callable, Iterable
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from ..session import ensure_checkpoint_dir
+from ..sources import store
 
 
 @dataclass(frozen=True)
@@ -99,11 +103,14 @@ def dependencies(targets: Iterable[str]) -> list[str]:
     return order
 
 
-def build(sources, targets: Iterable[str] | None = None, sink: str | None = None,
-          materialize_shared: bool = True, mode: str = "overwrite") -> dict[str, DataFrame]:
-    """Derive ``targets`` (default: all) and optionally write each to ``sink/<name>``.
+def build(sources, targets: Iterable[str] | None = None, sink: str | None = None, materialize_shared: bool = True,
+          workers: int = 4, resume: str | None = None) -> dict[str, DataFrame]:
+    """Derive ``targets`` (default: all) and optionally write each to ``sink/<name>``; name -> DataFrame, read back if written.
 
-    Returns name -> DataFrame (read back from the sink when written).
+    A node is derived as soon as its inputs are there, up to ``workers`` nodes at a time (their jobs share
+    the cluster).  A written node lies under a hidden name until it is complete and is then renamed, so ``sink/<name>`` is
+    never half a table.  ``resume`` names a run: nodes that a run of this name has completed are read, not derived
+    again; without a name every node is derived.  When a node fails no further one is begun, those under way end, and the error is raised.
     """
     _load_all()
     targets = list(targets) if targets is not None else sorted(REGISTRY)
@@ -119,16 +126,35 @@ def build(sources, targets: Iterable[str] | None = None, sink: str | None = None
     spark = sources.spark
     if materialize_shared and sink is None:
         ensure_checkpoint_dir(spark)
+    for n in order:                 # base tables first: several nodes need each
+        for i in REGISTRY[n].inputs:
+            if i not in REGISTRY:
+                ctx.table(i)
+    planning = threading.Lock()
+
+    def derive(n: str) -> DataFrame:
+        path = sink and f"{sink.rstrip('/')}/{n}"
+        if path and resume and store.exists(spark, store.mark(path, resume)):
+            return spark.read.parquet(path)
+        with planning:
+            df = ctx.table(n)
+        if path:
+            store.replace(df, path, resume)
+            return spark.read.parquet(path)
+        return df.checkpoint(eager=True) if materialize_shared and consumers[n] >= 2 else df
+
+    waiting = {n: {i for i in REGISTRY[n].inputs if i in REGISTRY} for n in order}
     out: dict[str, DataFrame] = {}
-    for n in order:
-        df = ctx.table(n)
-        if sink is not None:
-            path = f"{sink.rstrip('/')}/{n}"
-            df.write.mode(mode).parquet(path)
-            df = spark.read.parquet(path)
-            ctx.pin(n, df)
-        elif materialize_shared and consumers[n] >= 2:
-            df = df.checkpoint(eager=True)
-            ctx.pin(n, df)
-        out[n] = df
+    with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
+        running: dict = {}
+        while len(out) < len(order):
+            for n in [n for n in order if n in waiting and waiting[n] <= out.keys()]:
+                del waiting[n]
+                running[pool.submit(inheritable_thread_target(spark)(derive), n)] = n
+            done, _ = wait(running, return_when=FIRST_COMPLETED)
+            for d in done:
+                n = running.pop(d)
+                out[n] = d.result()     # raises what the node raised
+                with planning:
+                    ctx.pin(n, out[n])
     return {n: out[n] for n in order if n in targets or sink is not None}

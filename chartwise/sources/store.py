@@ -28,7 +28,7 @@ _READS: dict = {}
 _WRITING: dict = {}
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -85,6 +85,27 @@ def _publish(spark: SparkSession, written: str, path: str) -> None:
         raise OSError(f"cannot publish {path}")
 
 
+def mark(path: str, run: str) -> str:
+    """The empty file, hidden from readers, that says a table is complete and of the run ``run``."""
+    return f"{path}/_run-{run}"
+
+
+def replace(df: DataFrame, path: str, run: str | None = None) -> None:
+    """Write ``df`` under a hidden name beside ``path`` and rename it there when complete, over what was there before."""
+    spark = df.sparkSession
+    folder, name = path.rsplit("/", 1)
+    written = f"{folder}/_{name}-{uuid.uuid4().hex}"
+    df.write.parquet(written)
+    jvm = spark._jvm
+    source, target = jvm.org.apache.hadoop.fs.Path(written), jvm.org.apache.hadoop.fs.Path(path)
+    fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    if run:
+        fs.create(jvm.org.apache.hadoop.fs.Path(mark(written, run))).close()
+    fs.delete(target, True)
+    if not fs.rename(source, target):
+        raise OSError(f"cannot publish {path}")
+
+
 def stored(spark: SparkSession, key: str, name: str, build: Callable[[], DataFrame],
            cluster_by: Sequence[str] = (), sort_by: Sequence[str] = (), partitions: int | None = None,
            store_path: str | None = None) -> DataFrame:
@@ -105,7 +126,7 @@ def stored(spark: SparkSession, key: str, name: str, build: Callable[[], DataFra
     if known is not None:
         return known
     with writing:                   # one writer per table; other tables go on
-        if not _exists(spark, f"{path}/_SUCCESS"):
+        if not exists(spark, f"{path}/_SUCCESS"):
             df = build()
             if cluster_by:
                 df = df.repartitionByRange(*([partitions] if partitions else []), *cluster_by)
