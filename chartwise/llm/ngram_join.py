@@ -6,15 +6,18 @@ smaller counts of each group, so a box of points bounds the overlap of all docum
 such boxes prune, and only pairs that survive are verified on the whole sets.
 
 Where trees are built: two documents that link share most of their n-grams, so they share some
-of their ``KEYS`` smallest hashes; documents that share one meet in that hash's tree.  An n-gram of a
-passage that many documents share (more than ``HOT`` holders) makes a tree only of documents that
-have fewer than ``LEAST`` other hashes among their smallest; the others must meet in small trees.  That loses links: other
-hashes include those that no other document has, so a document with a tail of its own beside a passage that is shared by more than
-``HOT`` different sets may be in no tree at all.  With u the tail's share of its n-grams (at most 1 - threshold for a link
-to the bare passage) the odds are P(Bin(KEYS, u) >= LEAST): 6e-5 at u = 0.15, 1e-3 at u = 0.2, and then all its links are lost
-(a set of up to ``KEYS`` n-grams has all of them as keys).  Small trees are one leaf and emit the few pairs whose bound allows a
-link; large trees verify in place and emit only links that join two parts, at most one a document.  A tree of more
-than ``TILE`` documents is cut into tiles, and pairs of tiles are tasks of their own.
+of their ``KEYS`` smallest hashes; documents that share one meet in that hash's tree.  A tree of up to ``HOT`` documents is one leaf and emits the
+few pairs whose bound allows a link.  An n-gram with more holders makes a large tree, of those documents that may meet a
+partner nowhere else: those with more than ``FEW`` hot hashes among their smallest, or whose hot hashes alone could make up a link.  The
+others need no large tree: of the ``KEYS`` smallest hashes of two linked documents together, a share of the threshold is in both and so a
+key of both, and at most ``FEW`` of those are hot, so one that is not makes them meet.  That all shared ones are hot has the odds P(Bin(KEYS, t) <= FEW):
+2e-13 at t = 0.85, 5e-11 at t = 0.8; that none is shared (1 - t)^KEYS, at most 2e-17.
+
+Large trees are searched in three rounds, so that a group of near copies costs in proportion to its size.  First each document is in the tree
+of its least hot hash only, cut in tiles of ``TILE`` documents that are searched one by one.  Then, in trees of several tiles, ``SCOUTS``
+of each component found so far are searched together.  Last, in every tree, the documents outside the component that is the
+tree's largest are searched against all of the tree, tile by tile, so no pair of different components is left out; a
+tree whose documents are all in one component is not searched.  A tree verifies in place and emits only links that join two of its parts.
 
 Equal sets are one node from the start (an aggregate), whatever the number of copies.  Links become
 components by rounds of joins.
@@ -30,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,8 +41,8 @@ from .common import hash_spans, mix, python_ready, row_steps, spans_of, stored,
 from .graph import components
 
 WORDS, PERCENT = 4, 85
-GROUPS, KEYS, LEAST, HOT = 32, 24, 12, 64
-LEAF, TILE, TILE_BYTES = 64, 3000, 64 << 20
+GROUPS, KEYS, FEW, HOT = 32, 24, 4, 64
+LEAF, TILE, TILE_BYTES, SCOUTS = 64, 3000, 64 << 20, 16
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -183,23 +186,26 @@ def _leaf_pairs(percent: int):
 
 
 def _large_tree(percent: int):
-    """One tree, or two tiles of one: links that join two of its parts, each pair looked at in the tree of its least shared key only."""
+    """One tile of a tree: links between rows that ``seek`` and all rows, of those that join two parts of it.  A pair is looked at in the
+    tree of its least shared key only."""
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        own, tile_a, tile_b = (k.as_py() for k in key)
-        table = table.sort_by([("rep", "ascending")])
-        ids, n, tile = (table.column(c).to_numpy() for c in ("rep", "n", "tile"))
+        own = key[0].as_py()
+        table = table.sort_by([("rep", "ascending"), ("seek", "descending")])
+        ids, n, seek, part = (table.column(c).to_numpy() for c in ("rep", "n", "seek", "part"))
+        once = np.concatenate([[True], ids[1:] != ids[:-1]])      # a row that seeks may be among those that are sought
+        ids, n, seek, part = ids[once], n[once], seek[once], np.unique(part[once], return_inverse=True)[1]
+        table = table.filter(pa.array(once))
         counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.int32).reshape(-1, GROUPS)
         hot = [set(k) for k in table.column("hot").to_pylist()]
         grams = [np.frombuffer(g, np.uint64) for g in table.column("grams").to_pylist()]
         words, place = np.unique(np.concatenate(grams), return_inverse=True)
         cuts = np.concatenate([[0], np.cumsum([len(g) for g in grams])])
         mark = np.zeros(len(words), bool)
-        part = np.arange(len(ids))                              # union by relabelling the smaller side
         tree = CountTree(n, counts)
         found = []
-        for x in np.argsort(-n, kind="stable"):
+        for x in np.flatnonzero(seek)[np.argsort(-n[seek], kind="stable")]:
             y = tree.near(int(n[x]), counts[x], percent)
-            y = y[(part[y] != part[x]) & ((tile[y] != tile[x]) if tile_a != tile_b else (y != x))]
+            y = y[part[y] != part[x]]
             y = y[[min(hot[x] & hot[j]) == own for j in y]] if len(y) else y
             if not len(y):
                 continue
@@ -209,7 +215,7 @@ def _large_tree(percent: int):
             for j in y[_can_link(n[x], n[y], overlap, percent)]:
                 if part[j] != part[x]:
                     found.append((min(ids[x], ids[j]), max(ids[x], ids[j])))
-                    part[part == part[j]] = part[x]
+                    part[part == part[j]] = part[x]             # union by relabelling
         return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
     return run
 
@@ -225,6 +231,61 @@ def _verify(percent: int):
     return run
 
 
+def _search(rows: DataFrame, by: list[str], percent: int) -> DataFrame:
+    return rows.select(*by, "rep", "n", "counts", "hot", "grams", "seek", "part").groupBy(*by).applyInArrow(_large_tree(percent), "a bigint, b bigint")
+
+
+def _tiles(count, size) -> Column:
+    """Tiles for so many rows with so many n-grams."""
+    return F.greatest(F.ceil(count / TILE), F.ceil(size * 8 / TILE_BYTES), F.lit(1)).cast("int")
+
+
+def _large_links(large: DataFrame, links: DataFrame, percent: int) -> DataFrame:
+    """``links`` and those of the large trees of ``large`` (rep, n, counts, hot, grams) that join its components."""
+    deal = lambda tiles: F.pmod(F.xxhash64("rep"), F.col(tiles)).cast("int")
+
+    def labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
+        label = components(links)
+        return rows.join(label.withColumnRenamed("node", "rep"), "rep", "left").withColumn("part", F.coalesce("component", "rep")).drop("component")
+
+    # first round: each document in one tree, each tile for itself
+    one = large.withColumn("key", F.array_min("hot"))
+    size = one.groupBy("key").agg(F.count("*").alias("m"), F.sum("n").alias("s")).where("m > 1").select("key", _tiles(F.col("m"), F.col("s")).alias("tiles"))
+    one = one.join(size, "key").select("key", "rep", "n", "counts", "hot", "grams", "tiles", F.lit(True).alias("seek"), F.col("rep").alias("part"))
+    near = stored(_search(one.withColumn("tile", deal("tiles")), ["key", "tile"], percent), "ngram-near")
+    links = stored(links.union(near).distinct(), "ngram-links")
+
+    # second round: some of each component of a tree with several tiles
+    narrow = large.select("rep", "n", "hot")
+    several = size.where("tiles > 1").select("key")
+    if several.limit(1).count():
+        some = labelled(narrow.select("rep", F.array_min("hot").alias("key")).join(several, "key", "left_semi"), links)
+        some = some.withColumn("slot", F.pmod(F.xxhash64("rep", F.lit(7)), F.lit(SCOUTS)))
+        some = some.groupBy("key", "part", "slot").agg(F.min("rep").alias("rep"))
+        count = some.groupBy("key").agg(F.count("*").alias("m")).select("key", _tiles(F.col("m"), F.lit(0)).alias("tiles"))
+        some = some.join(count, "key").join(large, "rep").select("key", "rep", "n", "counts", "hot", "grams", F.lit(True).alias("seek"), "part",
+                                                                 deal("tiles").alias("tile"))
+        links = stored(links.union(_search(some, ["key", "tile"], percent)).distinct(), "ngram-links")
+
+    # third round: whoever is not in a tree's largest component against the whole tree
+    placed = stored(labelled(narrow, links).select("rep", "n", "part", F.explode("hot").alias("key")), "ngram-placed")
+    parts = placed.groupBy("key", "part").agg(F.count("*").alias("m"), F.sum("n").alias("s"), F.min("n").alias("lo"), F.max("n").alias("hi"))
+    trees = parts.groupBy("key").agg(F.count("*").alias("parts"), F.sum("m").alias("m"), F.sum("s").alias("s"),
+                                     F.max_by("part", F.struct("m", "part")).alias("largest")).where("parts > 1")
+    rest = parts.join(trees.select("key", "largest"), "key").where("part != largest").groupBy("key").agg(
+        F.sum("m").alias("rm"), F.sum("s").alias("rs"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    plan = trees.join(rest, "key").select("key", "largest", "lo", "hi", _tiles(F.col("m"), F.col("s")).alias("tiles"),
+                                          _tiles(F.col("rm"), F.col("rs")).alias("seek_tiles"))
+    dealt = placed.join(plan, "key")
+    span = lambda tiles: F.explode(F.sequence(F.lit(0), F.col(tiles) - 1))
+    seekers = dealt.where("part != largest").select("key", "rep", "part", F.lit(True).alias("seek"), deal("seek_tiles").alias("seek_tile"), span("tiles").alias("tile"))
+    # a set that is too small or too large for all seekers has no link to one
+    sought = dealt.where(f"100 * n >= {percent} * lo and {percent} * n <= 100 * hi").select(
+        "key", "rep", "part", F.lit(False).alias("seek"), span("seek_tiles").alias("seek_tile"), deal("tiles").alias("tile"))
+    rows = seekers.unionByName(sought).join(large, "rep")
+    return stored(links.union(_search(rows, ["key", "seek_tile", "tile"], percent)).distinct(), "ngram-links")
+
+
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
                      percent: int = PERCENT) -> DataFrame:
     """Per row: id, n_shingles, component_id.  Two documents link when 100 * intersection >= percent * union."""
@@ -246,8 +307,8 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     used = stored(nodes.select(
         "rep", "n", "counts",
         F.expr(f"transform(filter(shared, s -> s.holders <= {HOT}), s -> s.key)").alias("cold"),
-        F.when(F.size("keys") - F.size("hot") < LEAST, F.col("hot")).otherwise(F.expr("cast(array() as array<bigint>)"))
-        .alias("hot")), "ngram-keys")
+        F.when((F.size("hot") > FEW) | (100 * F.size("hot") >= percent * F.size("keys")), F.col("hot"))
+        .otherwise(F.expr("cast(array() as array<bigint>)")).alias("hot")), "ngram-keys")
 
     small = used.select(F.explode("cold").alias("key"), "rep", "n", "counts").repartition("key").sortWithinPartitions(
         "key", "n", "rep")
@@ -260,17 +321,9 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                .join(grams.select(F.col("id").alias("b"), F.col("grams").alias("gb")), "b")
                .select("a", "b", "ga", "gb").mapInArrow(_verify(percent), "a bigint, b bigint"))
 
-    members = in_large.select(F.explode("hot").alias("key"), "rep", "n", "counts", "hot")
-    trees = members.groupBy("key").agg(F.count("*").alias("m"), F.sum("n").alias("grams_in")).where("m > 1").select(
-        "key", F.greatest(F.ceil(F.col("m") / TILE), F.ceil(F.col("grams_in") * 8 / TILE_BYTES)).cast("int").alias("tiles"))
-    dealt = (members.join(trees, "key").withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-             .select("key", F.least("tile", "other").alias("tile_a"), F.greatest("tile", "other").alias("tile_b"),
-                     "tile", "rep", "n", "counts", "hot")
-             .join(grams.select(F.col("id").alias("rep"), "grams"), "rep"))
-    inside = dealt.groupBy("key", "tile_a", "tile_b").applyInArrow(_large_tree(percent), "a bigint, b bigint")
-
-    part = components(stored(checked.union(inside).distinct(), "ngram-links"))
+    links = stored(checked, "ngram-links")
+    links = _large_links(stored(in_large.join(grams.select(F.col("id").alias("rep"), "grams"), "rep"), "ngram-large"), links, percent)
+    part = components(links)
     whole = reps.select(*same, "rep").join(part.withColumnRenamed("node", "rep"), "rep", "left").select(
         *same, F.coalesce("component", "rep").alias("component_id"))
     out = profile.select("id", *same).join(whole, same, "left")

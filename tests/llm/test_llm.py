@@ -60,12 +60,45 @@ def test_ngram_join_matches_all_pairs(spark, texts):
 
 def test_ngram_join_in_large_trees_and_tiles(spark, texts, monkeypatch):
     monkeypatch.setattr(ngram_join, "HOT", 2)
-    monkeypatch.setattr(ngram_join, "LEAST", 30)
+    monkeypatch.setattr(ngram_join, "FEW", 0)
     monkeypatch.setattr(ngram_join, "TILE", 4)
+    monkeypatch.setattr(ngram_join, "SCOUTS", 2)
     out = ngram_join.ngram_components(frame(spark, texts), percent=80, words=5)
     assert got(out, ["n_shingles", "component_id"]) == brute.jaccard_components(texts, 5, 80)
 
 
+def core_group(tails, seed):
+    """Documents of one core of 340 words, each with its own tail of so many words."""
+    rng = random.Random(seed)
+    core = " ".join(f"c{k}" for k in range(340))
+    return [(i, " ".join([core, *(f"t{i}x{k}x{rng.randrange(9)}" for k in range(n))])) for i, n in enumerate(tails)]
+
+
+def test_ngram_join_keeps_the_links_of_a_document_with_a_long_tail_beside_a_hot_core(spark):
+    """Half of the smallest hashes of the last document lie in a tail of its own: it meets the core in hot trees only."""
+    docs = core_group([0 if k % 2 else 6 for k in range(80)], 1)
+    rng = random.Random(2)
+    import pyarrow as pa
+
+    core = docs[1][1]
+    for trial in range(100_000):
+        tail = " ".join(f"w{trial}x{k}" for k in range(58))
+        sets = next(ngram_join.shingle_sets(pa.array([f"{core} {tail}"]), 4))
+        own = np.setdiff1d(sets, next(ngram_join.shingle_sets(pa.array([core]), 4)))
+        if np.isin(sets[:24], own).sum() >= 9:
+            break
+    docs.append((500, f"{core} {tail}"))
+    docs += [(600 + k, " ".join(f"o{k}x{rng.randrange(10 ** 6)}" for _ in range(50))) for k in range(20)]
+    assert got(ngram_join.ngram_components(frame(spark, docs)), ["n_shingles", "component_id"]) == brute.jaccard_components(docs, 4, 85)
+
+
+def test_ngram_join_of_a_large_group_with_the_default_constants(spark):
+    """250 different holders of a core, some near it and some not, two cores that share a passage."""
+    docs = core_group([(k * 7) % 90 for k in range(250)], 3)
+    docs += [(1000 + i, t.replace("c1", "d1").replace("c2", "d2")) for i, t in docs[:40]]
+    assert got(ngram_join.ngram_components(frame(spark, docs)), ["n_shingles", "component_id"]) == brute.jaccard_components(docs, 4, 85)
+
+
 def test_count_tree_never_loses_a_pair():
     rng = np.random.default_rng(1)
     sets = [rng.integers(0, 400, rng.integers(1, 200)) for _ in range(300)]
