@@ -3,8 +3,8 @@
 Base spans are found by three fixed patterns.  Further candidates (provider tokens, key blocks,
 mixed high-entropy strings) are only suspicious: what decides is who owns them.  Every
 candidate value, base or not, is hashed and aggregated over the whole corpus by distinct
-owners and repositories.  A value that several owners carry is a copied example; one that a single
-owner carries is live-looking.  Extra candidates join the result when live-looking; base spans
+owners and repositories.  A value that several owners or many repositories carry is a copied example; one of a single
+owner and few repositories is live-looking.  Extra candidates join the result when live-looking; base spans
 always stay, and ``n_live`` / ``n_example`` say how each was judged.
 
 Scale: one pass over the texts writes narrow rows (no texts); frequencies are two partially
@@ -45,6 +45,8 @@ EXTRA = {
     "mixed": re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"),
 }
 KINDS = ["assign", "access", "hex", *EXTRA]
+#: a live-looking value is carried by so many owners and repositories at most
+MAX_OWNERS, MAX_REPOSITORIES = 1, 8
 MIXED_BITS = 3.5          # least entropy of a "mixed" candidate, bits a character
 
 # Supersets that a linear-time matcher finds quickly; only texts that they hit are scanned in full
@@ -106,10 +108,11 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "doc_id",
-                 owner_col: str = "source", max_owners: int = 1) -> DataFrame:
+                 owner_col: str = "source", max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
     """Per row: the id and ``spans``, an array of (start, kind, end, owners, repositories, live).
 
-    A value is live-looking when at most ``max_owners`` distinct owners carry it.
+    A value is live-looking when at most ``max_owners`` distinct owners and ``max_repositories`` distinct repositories carry it:
+    what lies in more of either is an example that people copy.
     """
     python_ready(docs.sparkSession)
     narrow = docs.select(F.col(id_col).alias("id"), F.col(repo_col).cast("string").alias("repo"),
@@ -126,10 +129,12 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.count("*").alias("owners"))
     repos = found.groupBy("value", "repo").agg(F.lit(1).alias("x")).groupBy("value").agg(
         F.count("*").alias("repositories"))
-    judged = found.join(owners.join(repos, "value"), "value")
+    # a small table beside all spans, stored, so that a value that very many rows carry can be split
+    spread = stored(owners.join(repos, "value"), "secret-values")
+    judged = found.join(spread, "value")
     per_row = judged.groupBy("row").agg(F.sort_array(F.collect_list(F.struct(
         "start", "kind", "end", "owners", "repositories",
-        (F.col("owners") <= max_owners).alias("live")))).alias("spans"))
+        ((F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)).alias("live")))).alias("spans"))
     return (rows.select("id", "row").join(per_row, "row", "left")
             .select(F.col("id").alias(id_col),
                     F.expr("filter(coalesce(spans, array()), s -> s.kind < 3 or s.live)").alias("spans")))
