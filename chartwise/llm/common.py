@@ -18,22 +18,15 @@ BATCH_BYTES = 4 << 20
 #: rows and bytes of text that one vectorised step works on
 STEP_ROWS, STEP_BYTES = 256, 4 << 20
 
-_OWN_DIR: list[str] = []
-
-
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``, else the session's own
-    checkpoint folder; a scratch folder only where neither is set (tests)."""
+    checkpoint folder, else a folder of the warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named
-    if not _OWN_DIR:
-        _OWN_DIR.append("file://" + tempfile.mkdtemp(prefix="chartwise-llm-"))
-    return _OWN_DIR[0]
+    return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_chartwise"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -4,7 +4,8 @@ Documents are grouped by length; those that share it, by the hash of a prefix; t
 both, by the hash of the whole text.  Only members of a surviving group go on, so a text of a
 length of its own costs one count.  Each level is one partially aggregated ``groupBy`` (a group
 of any size reaches the shuffle as one row per task) and one equi-join of narrow key rows, which
-AQE may split when a length or a prefix is hot; texts are never shuffled.
+AQE may split when a length or a prefix is hot; ``exact_dedup`` shuffles no texts.  ``keep_last_copies`` does once, to drop the rows
+that go: its anti-join is a broadcast where the dropped keys are few enough for Spark's own threshold.
 
 Defined results: a null text counts as empty; texts are equal when identical after lower-casing
 A-Z only; of equal texts the row with the largest id stays (null ids rank lowest); rows that

@@ -131,10 +131,10 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     counts = usable.groupBy("flag").count().collect()          # one row a language
     each = max(1, sample // max(1, len(counts)))
     if counts:
-        # documents whose hash falls below the language's share; the bound holds by the final limit
+        # documents whose hash falls below the language's share; the bound holds by the final limit, in the order of the hash
         share = F.create_map(*[x for r in counts for x in (F.lit(r["flag"]), F.lit(each / r["count"]))])
         drawn = usable.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < share[F.col("flag")] * (1 << 20))
-        usable = drawn.select("id", "flag", "text").limit(2 * sample)
+        usable = drawn.select("id", "flag", "text").orderBy(F.xxhash64("id"), "id", F.xxhash64("text"), "flag").limit(2 * sample)
     model = spark.sparkContext.broadcast(fit_in_task(usable, train))
     fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
               T.StructField("ambiguous", T.BooleanType())]

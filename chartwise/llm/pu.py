@@ -60,7 +60,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str,
     """(id, flag, text) rows (flag 1: positive, 0: unlabelled) of a bounded sample off the held-out fold, and the class prior.
 
     Positives are documents all of whose labels are 1; the unlabelled are documents drawn without
-    regard to labels.  The prior is the labelled documents' share of positives.  Ids are drawn by
+    regard to labels; of rows that repeat an id the one with the least text is taken.  The prior is the labelled documents' share of positives.  Ids are drawn by
     hash, and they alone are broadcast, at most ``positives + unlabelled`` of them.
     """
     learn = F.coalesce(fold(F.col("id"), parts) != 0, F.lit(False))
@@ -73,8 +73,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str,
     short = usable.where(F.octet_length("text") <= TRAIN_BYTES).select("id")
     chosen = draw(marked.where("y = 1"), positives).select("id", F.lit(1).alias("flag")).unionAll(
         draw(short, unlabelled).select("id", F.lit(0).alias("flag")))
+    # one row an id: rows that repeat it, however many, add nothing
     sample = (usable.where(F.octet_length("text") <= TRAIN_BYTES).join(F.broadcast(chosen), "id")
-              .select("id", "flag", "text"))
+              .groupBy("id", "flag").agg(F.min("text").alias("text")))
     return sample, prior
 
 
