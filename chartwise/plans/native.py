@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import round_numeric
-from ..functions.time import days, hours, trunc_ntz
+from ..functions.time import days, epoch_seconds, hours, trunc_ntz
 from ..operators import matching as M
 from ..operators import ordering as O
 from ..operators import pivot as P
@@ -23,6 +23,7 @@ from ..operators import scores as S
 from ..operators import temporal as TJ
 from ..operators import windows as W
 from ..operators.codes import code_flags, hierarchical_weight, map_labels, match_keywords
+from ..operators.units import Unit, harmonise
 from ..sources.parquet import read_table
 
 NATIVE: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +37,11 @@ PART_RULES = {
 }
 QUANTITY = ([("<", 5, 4), ("<", 15, 2), ("<", 35, 0), ("<", 45, 1)], 3)
 DISCOUNT_TAX = [(0.03, [(0.04, 0), (None, 2)]), (0.07, [(0.02, 1), (0.06, 3), (None, 5)]), (None, [(0.04, 4), (None, 6)])]
+EVENT_UNITS = [Unit(0, 100, factor=100.0, closed="right", codes=("click",)), Unit(100, 200, factor=None, closed="neither", codes=("click",)),
+               Unit(200, 400, codes=("click",)), Unit(32, 212, shift=32, divisor=1.8, codes=("view",)), Unit(0, 60, factor=60.0, closed="left", codes=("error",)),
+               Unit(60, 3600, closed="left", codes=("error",))]
+WEEKDAY_QUARTER = [([1, 7], [0, 3], 0), ([1, 7], [1, 2], 4), ([2, 3, 4, 5, 6], [0], 1), ([2, 3, 4, 5, 6], [1], 3), ([2, 3, 4, 5], [2], 2), ([6], [2], 5),
+                   ([2, 3, 4, 5, 6], [3], None)]
 PROPS_PATTERN = '"k": 1'
 
 
@@ -343,6 +349,86 @@ def interval_override(spark, sf_dir):
     return TJ.override_by_interval(pts, iv, "user_id", "t", ["value"])
 
 
+@native("far_intervals")
+def far_intervals(spark, sf_dir):
+    """Events inside [start, end) per order, where one order in seven has no known end (the year 2999)."""
+    o = read_table(spark, sf_dir, "orders")
+    start = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval((F.col("o_orderkey") % 30).cast("int"))
+    end = F.when(F.col("o_orderkey") % 7 == 0, F.lit("2999-01-01").cast("timestamp_ntz")).otherwise(
+        start + F.make_dt_interval((F.col("o_orderkey") % 40).cast("int")))
+    iv = o.select("o_orderkey", F.col("o_custkey").alias("user_id"), start.alias("starttime"), end.alias("endtime"))
+    j = M.contains_join(events_minute(spark, sf_dir), iv, "user_id", "t", closed="left", how="inner")
+    return j.groupBy(F.col("i.o_orderkey").alias("o_orderkey")).agg(
+        F.count("*").alias("n_events"), F.min("p.t").alias("first_time"), F.max("p.value").alias("value_max"))
+
+
+@native("first_matches_open")
+def first_matches_open(spark, sf_dir):
+    """P07 with open sides and an order that does not begin with time: per purchase the user's first signup until then, the next
+    error from then on, and the dearest view within two days on either side."""
+    e = events_minute(spark, sf_dir)
+    pur = e.where(F.col("event_type") == "purchase").select("user_id", "event_id", "t")
+    b = e.select("user_id", F.col("event_id").alias("id"), F.col("t").alias("time"), "event_type", F.col("value").alias("price"))
+    at, bt, kind = epoch_seconds(F.col("t")), epoch_seconds(F.col("time")), F.col("event_type")
+    near = M.first_in_windows(pur, b, "user_id", ["event_id"], [
+        M.Look("signup", at, bt, None, 0, kind == "signup", block=86400), M.Look("error", at, bt, 0, None, kind == "error", block=86400)],
+        [("time", "asc", None), ("id", "asc", None)], ["id"])
+    return M.first_in_windows(near, b, "user_id", ["event_id"], [M.Look("view", at, bt, 2 * 86400, 2 * 86400, kind == "view")],
+                              [("price", "desc", None), ("id", "asc", None)], ["id"])
+
+
+@native("unit_values")
+def unit_values(spark, sf_dir):
+    """Event values in one unit by rules on type and range; -1 where the unit is unknown."""
+    e = read_table(spark, sf_dir, "events")
+    return e.select("event_id", harmonise(F.col("value"), EVENT_UNITS, F.col("event_type"), F.lit(-1.0)).alias("value_std"))
+
+
+@native("trailing_rows_max")
+def trailing_rows_max(spark, sf_dir):
+    """P10 over rows: the largest value of a user's last five events (this one included) and of the three before it."""
+    e = events_minute(spark, sf_dir).select("user_id", "event_id", "t", "value")
+    e = O.ordinal(e, "user_id", M.day_bucket(F.col("t")), [F.col("t"), F.col("event_id")], "n")
+    return W.lookback_axis(e, "user_id", F.col("n"), {"max_of_5": (F.max("value"), 4, True), "max_of_3_before": (F.max("value"), 3, False)}, 1000)
+
+
+@native("order_meld")
+def order_meld(spark, sf_dir):
+    """P35 on per-order numbers in the place of laboratory values."""
+    li = read_table(spark, sf_dir, "lineitem")
+    o = li.groupBy("l_orderkey").agg(
+        (F.max("l_tax") * F.lit(60.0)).alias("creatinine"), (F.max("l_discount") * F.lit(70.0)).alias("bilirubin"),
+        F.max(F.when(F.col("l_quantity") > 20, F.col("l_quantity") / F.lit(16.0))).alias("inr"),
+        (F.lit(115.0) + F.min("l_quantity")).alias("sodium"), F.max(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).alias("dialysis"))
+    initial, sodium = S.meld_score(*(F.col(c) for c in ("creatinine", "bilirubin", "inr", "sodium", "dialysis")))
+    return o.select("l_orderkey", initial.alias("meld_initial"), sodium.alias("meld"))
+
+
+@native("props_clamped_window")
+def props_clamped_window(spark, sf_dir):
+    """As ``props_pattern_window`` on any price text, inside (start, end] and clamped to the user's first day."""
+    e = events_minute(spark, sf_dir)
+    first = e.groupBy("user_id").agg(F.min("t").alias("first_time"))
+    return TJ.text_event_window(first, e.withColumn("charttime", F.col("t")), "user_id", F.col("e.event_type") == "click", F.col("a.first_time"),
+                                F.col("a.first_time") + days(1), 6 * 3600, 12 * 3600, closed="right", clamp=True)
+
+
+@native("weekday_quarter_points")
+def weekday_quarter_points(spark, sf_dir):
+    """P29 on value sets: points of weekday x quarter of the day, summed per user."""
+    e = events_minute(spark, sf_dir)
+    quarter = F.floor(F.hour("t") / 6).cast("int")
+    return e.groupBy("user_id").agg(F.sum(S.cell_points(F.dayofweek("t"), quarter, WEEKDAY_QUARTER, range(1, 8), range(4))).alias("points"),
+                                    F.count("*").alias("n"))
+
+
+@native("top_three_values")
+def top_three_values(spark, sf_dir):
+    """P25: the three dearest events per user with their rank, in two bounded phases."""
+    e = events_minute(spark, sf_dir).select("user_id", "event_id", "event_type", "value")
+    return O.top_n(e, ["user_id"], [F.col("value").desc_nulls_last(), F.col("event_id")], 3, "rank")
+
+
 @native("build_chain")
 def build_chain(spark, sf_dir):
     """Build chartevents -> vitalsign -> first_day_vitalsign through the

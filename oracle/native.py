@@ -275,3 +275,67 @@ SELECT u.user_id, u.t, coalesce(iv.value, u.value) AS value
 FROM u LEFT JOIN iv ON iv.user_id = u.user_id AND u.t BETWEEN iv.starttime AND iv.endtime"""
 
 SQL["build_chain"] = compose.concept_sql("first_day_vitalsign") if "first_day_vitalsign" in compose.CTE else ""
+
+SQL["far_intervals"] = f"""
+WITH e AS {E},
+iv AS (
+  SELECT o_orderkey, o_custkey, TIMESTAMP '2024-01-01' + to_days(CAST(o_orderkey % 30 AS INTEGER)) AS s,
+    CASE WHEN o_orderkey % 7 = 0 THEN TIMESTAMP '2999-01-01'
+         ELSE TIMESTAMP '2024-01-01' + to_days(CAST(o_orderkey % 30 + o_orderkey % 40 AS INTEGER)) END AS en
+  FROM orders)
+SELECT o_orderkey, count(*) AS n_events, min(t) AS first_time, max(value) AS value_max
+FROM iv JOIN e ON e.user_id = iv.o_custkey AND e.t >= s AND e.t < en GROUP BY o_orderkey"""
+
+SQL["first_matches_open"] = f"""
+WITH e AS {E}
+SELECT p.user_id, p.event_id, p.t,
+  (SELECT arg_min(x.event_id, (x.t, x.event_id)) FROM e x WHERE x.user_id = p.user_id AND x.event_type = 'signup' AND x.t <= p.t) AS signup_id,
+  (SELECT arg_min(x.event_id, (x.t, x.event_id)) FROM e x WHERE x.user_id = p.user_id AND x.event_type = 'error' AND x.t >= p.t) AS error_id,
+  (SELECT arg_min(x.event_id, (-x.value, x.event_id)) FROM e x WHERE x.user_id = p.user_id AND x.event_type = 'view'
+     AND x.t BETWEEN p.t - INTERVAL 2 DAY AND p.t + INTERVAL 2 DAY) AS view_id
+FROM e p WHERE p.event_type = 'purchase'"""
+
+SQL["unit_values"] = """
+SELECT event_id, CASE event_type
+    WHEN 'click' THEN CASE WHEN value > 0 AND value <= 100 THEN value * 100 WHEN value > 100 AND value < 200 THEN NULL
+                           WHEN value BETWEEN 200 AND 400 THEN value ELSE -1 END
+    WHEN 'view' THEN CASE WHEN value BETWEEN 32 AND 212 THEN (value - 32) / 1.8 ELSE -1 END
+    WHEN 'error' THEN CASE WHEN value >= 0 AND value < 60 THEN value * 60 WHEN value >= 60 AND value < 3600 THEN value ELSE -1 END
+    ELSE -1 END AS value_std
+FROM events"""
+
+SQL["trailing_rows_max"] = f"""
+SELECT user_id, event_id, t, value, row_number() OVER u AS n,
+  max(value) OVER (u ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS max_of_5,
+  max(value) OVER (u ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) AS max_of_3_before
+FROM {E} e WINDOW u AS (PARTITION BY user_id ORDER BY t, event_id)"""
+
+SQL["order_meld"] = """
+WITH o AS (
+  SELECT l_orderkey, max(l_tax) * 60.0::DOUBLE AS cr, max(l_discount) * 70.0::DOUBLE AS bili,
+    max(l_quantity / 16.0::DOUBLE) FILTER (WHERE l_quantity > 20) AS inr, 115.0::DOUBLE + min(l_quantity) AS na, bool_or(l_returnflag = 'R') AS rrt
+  FROM lineitem GROUP BY l_orderkey),
+terms AS (
+  SELECT *, 0.957::DOUBLE * if(rrt OR cr > 4, ln(4.0::DOUBLE), ln(greatest(coalesce(cr, 1), 1)))
+    + 0.378::DOUBLE * ln(greatest(coalesce(bili, 1), 1)) + (1.12::DOUBLE * ln(greatest(coalesce(inr, 1), 1)) + 0.643::DOUBLE) AS terms,
+    137 - least(greatest(coalesce(na, 137), 125), 137) AS lack
+  FROM o),
+first AS (SELECT *, if(terms > 4, 40, CAST(round(CAST(terms AS DECIMAL(38, 9)), 1) * 10 AS DOUBLE)) AS meld_initial FROM terms)
+SELECT l_orderkey, CAST(meld_initial AS DOUBLE) AS meld_initial,
+  CAST(if(meld_initial > 11, meld_initial + 1.32::DOUBLE * lack - 0.033::DOUBLE * meld_initial * lack, meld_initial) AS DOUBLE) AS meld FROM first"""
+
+SQL["props_clamped_window"] = f"""
+WITH e AS {E},
+d AS (SELECT user_id, min(t) AS lo, min(t) + INTERVAL 1 DAY AS hi FROM e GROUP BY user_id)
+SELECT user_id, greatest(min(e.t) - INTERVAL 6 HOUR, lo) AS starttime, least(max(e.t) + INTERVAL 12 HOUR, hi) AS endtime
+FROM d JOIN e USING (user_id) WHERE e.event_type = 'click' AND e.t > lo AND e.t <= hi GROUP BY user_id, lo, hi"""
+
+SQL["weekday_quarter_points"] = f"""
+WITH points(days, quarters, points) AS (VALUES ([0, 6], [0, 3], 0), ([0, 6], [1, 2], 4), ([1, 2, 3, 4, 5], [0], 1), ([1, 2, 3, 4, 5], [1], 3),
+  ([1, 2, 3, 4], [2], 2), ([5], [2], 5))
+SELECT user_id, CAST(sum(points) AS BIGINT) AS points, count(*) AS n
+FROM {E} e LEFT JOIN points ON list_contains(days, dayofweek(t)) AND list_contains(quarters, hour(t) // 6) GROUP BY user_id"""
+
+SQL["top_three_values"] = f"""
+SELECT user_id, event_id, event_type, value, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY value DESC NULLS LAST, event_id) AS rank FROM {E} e) WHERE rank <= 3"""

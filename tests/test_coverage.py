@@ -32,3 +32,12 @@ def test_dependency_order_is_topological():
 def test_bench_headline_queries_exist():
     import bench
     assert set(bench.HEADLINE) <= set(E.queries())
+
+
+def test_queries_are_listed_without_a_session():
+    """Modules make no Spark expression when they are imported."""
+    import subprocess
+    import sys
+    code = "import __spark_entry__ as e; print(len(e.queries()) >= len(e.oracle_sql()) > 90)"
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+    assert out.stdout.strip().endswith("True"), out.stderr[-500:]
