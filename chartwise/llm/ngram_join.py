@@ -11,7 +11,9 @@ few pairs whose bound allows a link.  An n-gram with more holders makes a large
 partner nowhere else: those with more than ``FEW`` hot hashes among their smallest, or whose hot hashes alone could make up a link.  The
 others need no large tree: of the ``KEYS`` smallest hashes of two linked documents together, a share of the threshold is in both and so a
 key of both, and at most ``FEW`` of those are hot, so one that is not makes them meet.  That all shared ones are hot has the odds P(Bin(KEYS, t) <= FEW):
-2e-13 at t = 0.85, 5e-11 at t = 0.8; that none is shared (1 - t)^KEYS, at most 2e-17.
+2e-13 at t = 0.85, 5e-11 at t = 0.8; that none is shared (1 - t)^KEYS, at most 2e-17.  A document is in the large trees of its ``TREES``
+smallest hashes, as a pair is looked at in the tree of its least shared one only: that it lies beyond them has the odds (1 - t)^TREES, 7e-14 and 7e-12.
+(Hashes have 56 bits.  A set of up to ``KEYS`` n-grams has all of them as keys, and no odds.)
 
 Large trees are searched in three rounds, so that a group of near copies costs in proportion to its size.  First each document is in the tree
 of its least hot hash only, cut in tiles of ``TILE`` documents that are searched one by one.  Then, in trees of several tiles, ``SCOUTS``
@@ -41,7 +43,7 @@ from .common import hash_spans, mix, python_ready, row_steps, spans_of, stored,
 from .graph import components
 
 WORDS, PERCENT = 4, 85
-GROUPS, KEYS, FEW, HOT = 32, 24, 4, 64
+GROUPS, KEYS, FEW, HOT, TREES = 32, 24, 4, 64, 16
 LEAF, TILE, TILE_BYTES, SCOUTS = 64, 3000, 64 << 20, 16
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -274,8 +276,9 @@ def _large_links(large: DataFrame, links: DataFrame, percent: int) -> DataFrame:
                                      F.max_by("part", F.struct("m", "part")).alias("largest")).where("parts > 1")
     rest = parts.join(trees.select("key", "largest"), "key").where("part != largest").groupBy("key").agg(
         F.sum("m").alias("rm"), F.sum("s").alias("rs"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    plan = trees.join(rest, "key").select("key", "largest", "lo", "hi", _tiles(F.col("m"), F.col("s")).alias("tiles"),
-                                          _tiles(F.col("rm"), F.col("rs")).alias("seek_tiles"))
+    # stored: the join with all rows then reads two shuffles, and a tree with very many rows can be split
+    plan = stored(trees.join(rest, "key").select("key", "largest", "lo", "hi", _tiles(F.col("m"), F.col("s")).alias("tiles"),
+                                          _tiles(F.col("rm"), F.col("rs")).alias("seek_tiles")), "ngram-plan")
     dealt = placed.join(plan, "key")
     span = lambda tiles: F.explode(F.sequence(F.lit(0), F.col(tiles) - 1))
     seekers = dealt.where("part != largest").select("key", "rep", "part", F.lit(True).alias("seek"), deal("seek_tiles").alias("seek_tile"), span("tiles").alias("tile"))
@@ -307,7 +310,8 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     used = stored(nodes.select(
         "rep", "n", "counts",
         F.expr(f"transform(filter(shared, s -> s.holders <= {HOT}), s -> s.key)").alias("cold"),
-        F.when((F.size("hot") > FEW) | (100 * F.size("hot") >= percent * F.size("keys")), F.col("hot"))
+        F.when((F.size("hot") > FEW) | (100 * F.size("hot") >= percent * F.size("keys")),
+               F.expr(f"filter(hot, k -> k <= coalesce(get(keys, {TREES - 1}), k))"))
         .otherwise(F.expr("cast(array() as array<bigint>)")).alias("hot")), "ngram-keys")
 
     small = used.select(F.explode("cold").alias("key"), "rep", "n", "counts").repartition("key").sortWithinPartitions(
