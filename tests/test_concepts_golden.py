@@ -110,13 +110,13 @@ def test_urine_output_irrigant_is_negative(spark):
     (dict(creatinine_max=1.2), {"renal": 1}),
 ])
 def test_sofa_ladders(spark, row, expected):
-    from chartwise.concepts.score import sofa_components
+    from chartwise.config import scores as S
+    from chartwise.operators.scores import points
     cols = ["pao2fio2ratio_vent", "pao2fio2ratio_novent", "platelet_min", "bilirubin_max", "meanbp_min",
             "gcs_min", "rate_dopamine", "rate_epinephrine", "rate_norepinephrine", "rate_dobutamine",
             "creatinine_max", "uo_24hr"]
     df = spark.createDataFrame([tuple(row.get(c) for c in cols)], ", ".join(f"{c} double" for c in cols))
-    comps = sofa_components(F.col)
-    got = df.select(*[v.alias(k) for k, v in comps.items()]).first().asDict()
+    got = df.select(*[points(c).alias(k) for k, c in {"respiration": S.SOFA_RESPIRATION, **S.SOFA}.items()]).first().asDict()
     for k, v in expected.items():
         assert got[k] == v, (k, got)
 
