@@ -77,7 +77,7 @@ def ancestors(day: Column) -> Column:
 
 def contains_join(points: DataFrame, intervals: DataFrame, on: str | Sequence[str],
                   time_col: str, start_col: str = "starttime", end_col: str = "endtime",
-                  closed: str = "both", how: str = "left") -> DataFrame:
+                  closed: str = "both", how: str = "left", short: bool = False) -> DataFrame:
     """Attach the interval(s) containing each point (``p``/``i`` aliases).
 
     An interval becomes the blocks of its dyadic cover (fewer than 60 for a thousand years), and the
@@ -85,15 +85,15 @@ def contains_join(points: DataFrame, intervals: DataFrame, on: str | Sequence[st
     block) of narrow rows, whose result has a row for each interval and each such day it touches.
     Points then join on (key, day) with the exact test, one bucket a point, so no match is met twice and a
     long series is spread over its days.  ``closed`` is both / left / right / neither.
+
+    ``short`` says that intervals are a few days long by their definition (a first day, a spine that has a row an hour anyway): each is then
+    sent to its days as they are, and the points are read once instead of twice.  The result is the same.
     """
     keys = _cols(on)
     p = points.withColumn("_bk", day_bucket(F.col(time_col)))
-    days = p.select(*[F.col(k).alias(f"_k{n}") for n, k in enumerate(keys)], F.col("_bk").alias("_day")).where(
-        F.col("_day").isNotNull()).distinct()
-    up = days.select("*", F.explode(ancestors(F.col("_day"))).alias("_b")).select("*", "_b.level", "_b.block").drop("_b")
-    cover = intervals.select(F.struct(*intervals.columns).alias("_iv"), *[F.col(k).alias(f"_k{n}") for n, k in enumerate(keys)], F.explode(
-        dyadic_cover(day_bucket(F.col(start_col)), day_bucket(F.col(end_col)))).alias("_b")).select("*", "_b.level", "_b.block").drop("_b")
-    touched = up.join(cover, [*[f"_k{n}" for n in range(len(keys))], "level", "block"]).select("_iv.*", F.col("_day").alias("_bk"))
+    first, last = day_bucket(F.col(start_col)), day_bucket(F.col(end_col))
+    touched = intervals.withColumn("_bk", F.explode(F.when(first <= last, F.sequence(first, last)))) if short else _touched(
+        p, intervals, keys, dyadic_cover(first, last))
     cond = F.col("p._bk") == F.col("i._bk")
     for k in keys:
         cond = cond & (F.col(f"p.{k}") == F.col(f"i.{k}"))
@@ -102,6 +102,16 @@ def contains_join(points: DataFrame, intervals: DataFrame, on: str | Sequence[st
     return j.drop(F.col("p._bk")) if how in ("left_semi", "left_anti") else j.drop(F.col("p._bk"), F.col("i._bk"))
 
 
+def _touched(p: DataFrame, intervals: DataFrame, keys: list[str], blocks: Column) -> DataFrame:
+    """Each interval once for each day ``_bk`` in its ``blocks`` on which its key has points."""
+    ks = [f"_k{n}" for n in range(len(keys))]
+    days = p.select(*[F.col(k).alias(n) for n, k in zip(ks, keys)], F.col("_bk").alias("_day")).where("_day is not null").distinct()
+    up = days.select("*", F.explode(ancestors(F.col("_day"))).alias("_b")).select("*", "_b.level", "_b.block").drop("_b")
+    cover = intervals.select(F.struct(*intervals.columns).alias("_iv"), *[F.col(k).alias(n) for n, k in zip(ks, keys)],
+                             F.explode(blocks).alias("_b")).select("*", "_b.level", "_b.block").drop("_b")
+    return up.join(cover, [*ks, "level", "block"]).select("_iv.*", F.col("_day").alias("_bk"))
+
+
 def asof_within(left: DataFrame, right: DataFrame, on: str | Sequence[str], left_time: str,
                 right_time: str, tolerance_seconds: int, values: Sequence[str],
                 tiebreak: Sequence[Column] = (), bucket_seconds: int = DAY) -> DataFrame:

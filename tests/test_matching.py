@@ -48,6 +48,9 @@ def test_contains_join_with_far_and_broken_intervals(spark):
             return (s <= t if closed in ("both", "left") else s < t) and (t <= e if closed in ("both", "right") else t < e)
         pairs = {(a[1], b[1]) for a in points for b in intervals if a[0] is not None and a[0] == b[0]
                  and None not in (a[2], b[2], b[3]) and inside(a[2], b[2], b[3])}
+        near = i.where("iid not in (800, 801, 805)")
+        for how in ("left", "inner", "left_semi", "left_anti"):
+            assert rows(M.contains_join(p, near, "k", "t", closed=closed, how=how, short=True)) == rows(M.contains_join(p, near, "k", "t", closed=closed, how=how))
         out = M.contains_join(p, i, "k", "t", closed=closed).select("p.pid", "i.iid").collect()
         assert len(out) == len(set(out)) and {(a, b) for a, b in out if b is not None} == pairs
         assert {a for a, b in out if b is None} == {a[1] for a in points} - {a for a, _ in pairs}
