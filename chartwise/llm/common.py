@@ -7,6 +7,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -29,15 +30,38 @@ def shared_dir(spark: SparkSession) -> str:
     return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_chartwise"
 
 
+#: paths of the tables that ``stored`` wrote, by application
+_STORED: dict[str, list[str]] = {}
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts the lineage, so that a
     lost executor costs a re-read and not a recomputation."""
     spark = df.sparkSession
     path = os.path.join(shared_dir(spark), "chartwise-llm", f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
+    _STORED.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def stored_for(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``stored`` writes inside are deleted at the end: for work whose result is written inside, too."""
+    paths = _STORED.setdefault(spark.sparkContext.applicationId, [])
+    first = len(paths)
+    try:
+        yield
+    finally:
+        for path in paths[first:]:
+            remove(spark, path)
+        del paths[first:]
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -512,3 +512,18 @@ def test_suffix_dedup_with_hot_cores(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "_shared_windows", all_hot)
     out = suffix_dedup.cut_repeats(frame(spark, rows))
     assert got(out, ["n_bytes", "n_removed", "n_spans", "kept_sha256"]) == brute.repeated_bytes(rows)
+
+
+def test_pipeline_run_leaves_its_last_stage_only(spark, tmp_path, monkeypatch):
+    import os
+
+    import corpus_pipeline as pipeline
+    from chartwise.llm import common
+
+    for module in (pipeline, common):
+        monkeypatch.setattr(module, "shared_dir", lambda s: f"file://{tmp_path}")
+    kept = common.stored(spark.range(3), "other")                           # a table of other work in this application stays
+    out = pipeline.run(spark, SF_SMALL)
+    assert out.count() > 0 and kept.count() == 3
+    assert [n for _, d, _ in os.walk(tmp_path / "corpus-pipeline") for n in d if n[:1].isdigit() and "-" in n] == ["5-best_fit_packing"]
+    assert os.listdir(tmp_path / "chartwise-llm") == [n for n in os.listdir(tmp_path / "chartwise-llm") if n.startswith("other-")]
