@@ -2,7 +2,8 @@
 
 ``STAGES`` are (name, function) pairs; a function takes (spark, docs, sf_dir) and returns the next stage's documents, with the
 columns of ``documents`` (the last one returns the packing).  ``run`` writes each stage's result as Parquet to the folder that
-all executors share and reads it again, so that a lost executor costs one stage's tasks at most.
+all executors share and reads it again, so that a lost executor costs one stage's tasks at most; a stage's input and the tables that it
+stored on its way are deleted when it is written.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from chartwise.llm import decontaminate, exact_dedup, ngram_join, packing, quality
-from chartwise.llm.common import read, shared_dir
+from chartwise.llm.common import read, remove, shared_dir, stored_for
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,10 +55,15 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows over ``documents``."""
     docs = read(spark, sf_dir, "documents")
     folder = os.path.join(shared_dir(spark), "corpus-pipeline", uuid.uuid4().hex)
+    before = None
     for k, (name, stage) in enumerate(STAGES):
         path = os.path.join(folder, f"{k + 1}-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with stored_for(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:                      # what the stage read is not needed again
+            remove(spark, before)
+        before = path
     return docs
 
 
