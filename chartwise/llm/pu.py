@@ -4,11 +4,16 @@ The risk of a scorer f under logistic loss l is estimated from positives P, unla
 class prior pi as  pi * E_P[l(f)] + max(0, E_U[l(-f)] - pi * E_P[l(-f)]).  The second term
 estimates the negatives' risk; once it turns negative the model has begun to memorise, and the
 step goes the other way.
+
+The class prior is estimated from P and U alone (no negative label is read): a scorer fitted to tell P from
+U on three quarters of the texts ranks the fourth, and the least ratio of U's to P's share above a score,
+taken where its confidence bound is least (best bin estimation), bounds the positives' share in U.
 """
 
 from __future__ import annotations
 
 import pickle
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -21,28 +26,34 @@ from .common import python_ready
 
 #: bounds of the training sample: documents, and bytes of a document that may be in it
 POSITIVES, UNLABELLED, TRAIN_BYTES = 3000, 6000, 1 << 16
+#: least and greatest class prior, and parts of the sample that are scored by a model of the others to estimate it
+PRIORS, PARTS = (0.01, 0.99), 4
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -35, 35)))
 
 
-def fit_nnpu(pos: np.ndarray, unl: np.ndarray, prior: float, steps: int = 400, rate: float = 0.05,
+def fit_nnpu(pos: np.ndarray, unl: np.ndarray, prior: float | None, steps: int = 400, rate: float = 0.05,
              decay: float = 3e-4) -> tuple[np.ndarray, float]:
-    """Weights and bias of the linear scorer with the least non-negative unbiased risk (Adam, full batch)."""
+    """Weights and bias of the linear scorer with the least non-negative unbiased risk (Adam, full batch).
+    Without a prior: of the scorer that tells P from U, both weighing half."""
     pos, unl = pos.astype(np.float32), unl.astype(np.float32)
-    w, b = np.zeros(pos.shape[1], np.float32), float(np.log(prior / (1 - prior)))
+    w, b = np.zeros(pos.shape[1], np.float32), 0.0 if prior is None else log_odds(prior)
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     for t in range(1, steps + 1):
         fp, fu = pos @ w + b, unl @ w + b
         sp, su = sigmoid(fp), sigmoid(fu)
-        negatives = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
         # derivatives by the scores: l(f) = log(1 + e^-f), l(-f) = log(1 + e^f)
-        dn_p, dn_u = -prior * sp / len(sp), su / len(su)
-        if negatives >= 0:
-            dp, du = prior * (sp - 1) / len(sp) + dn_p, dn_u
+        if prior is None:
+            dp, du = (sp - 1) / (2 * len(sp)), su / (2 * len(su))
         else:
-            dp, du = -dn_p, -dn_u
+            negatives = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
+            dn_p, dn_u = -prior * sp / len(sp), su / len(su)
+            if negatives >= 0:
+                dp, du = prior * (sp - 1) / len(sp) + dn_p, dn_u
+            else:
+                dp, du = -dn_p, -dn_u
         g = np.append(pos.T @ dp.astype(np.float32) + unl.T @ du.astype(np.float32) + decay * w, dp.sum() + du.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         step = rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
@@ -50,33 +61,63 @@ def fit_nnpu(pos: np.ndarray, unl: np.ndarray, prior: float, steps: int = 400, r
     return w, b
 
 
+def log_odds(prior: float) -> float:
+    return float(np.log(prior / (1 - prior)))
+
+
+def share_of_positives(pos: np.ndarray, unl: np.ndarray) -> float:
+    """The positives' share in U from held-out scores of P and U (best bin estimation, 90 % bound)."""
+    at = np.unique(pos)
+    above_p = 1 - np.searchsorted(np.sort(pos), at) / len(pos)
+    above_u = 1 - np.searchsorted(np.sort(unl), at) / len(unl)
+    slack = 1.01 * sum(np.sqrt(np.log(4 / 0.1) / (2 * len(x))) for x in (pos, unl))
+    best = np.argmin((above_u + slack) / above_p)
+    return float(above_u[best] / above_p[best])
+
+
+def estimate_prior(flags: np.ndarray, texts: pa.Array, train: Callable, score: Callable) -> float:
+    """The class prior by ``share_of_positives``, within ``PRIORS``.  Each of ``PARTS`` parts of the texts (equal texts
+    share a part) is scored by ``train(flags, texts, None)`` of the others.  A sample too small to have P and U in all parts
+    scores itself; without P the least prior holds, without U the middle."""
+    if not (flags == 1).any():
+        return PRIORS[0]
+    if not (flags == 0).any():
+        return 0.5
+    part = np.array([zlib.crc32(t.encode()) % PARTS for t in texts.to_pylist()])
+    if not all((flags[part == k] == y).any() for k in range(PARTS) for y in (0, 1)):
+        scores = score(train(flags, texts, None), texts)
+    else:
+        scores = np.zeros(len(flags))
+        for k in range(PARTS):
+            seen, left = pa.array(part != k), pa.array(part == k)
+            scores[part == k] = score(train(flags[part != k], texts.filter(seen), None), texts.filter(left))
+    return float(np.clip(share_of_positives(scores[flags == 1], scores[flags == 0]), *PRIORS))
+
+
 def fold(id_col: Column, parts: int) -> Column:
     """crc32 of the id as text, by which rows are held out; null for a null id."""
     return F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(parts))
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_col: str, parts: int,
-                    positives: int, unlabelled: int) -> tuple[DataFrame, float]:
-    """(id, flag, text) rows (flag 1: positive, 0: unlabelled) of a bounded sample off the held-out fold, and the class prior.
+                    positives: int, unlabelled: int) -> DataFrame:
+    """(id, flag, text) rows (flag 1: positive, 0: unlabelled) of a bounded sample off the held-out fold.
 
     Positives are documents all of whose labels are 1; the unlabelled are documents drawn without
-    regard to labels; of rows that repeat an id the one with the least text is taken.  The prior is the labelled documents' share of positives.  Ids are drawn by
+    regard to labels; of rows that repeat an id the one with the least text is taken.  Ids are drawn by
     hash, and they alone are broadcast, at most ``positives + unlabelled`` of them.
     """
     learn = F.coalesce(fold(F.col("id"), parts) != 0, F.lit(False))
     marked = (labels.select(F.col(id_col).alias("id"), F.col(label).alias("y")).where(learn & F.col("y").isNotNull())
               .groupBy("id").agg(F.min("y").alias("y")))
-    total = marked.agg(F.count("*").alias("n"), F.sum("y").alias("s")).first()
-    prior = min(max((total["s"] or 0) / max(total["n"], 1), 0.01), 0.99)
     usable = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(learn & F.col("text").isNotNull())
     draw = lambda df, n: df.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(n)
     short = usable.where(F.octet_length("text") <= TRAIN_BYTES).select("id")
     chosen = draw(marked.where("y = 1"), positives).select("id", F.lit(1).alias("flag")).unionAll(
         draw(short, unlabelled).select("id", F.lit(0).alias("flag")))
     # one row an id: rows that repeat it, however many, add nothing
-    sample = (usable.where(F.octet_length("text") <= TRAIN_BYTES).join(F.broadcast(chosen), "id")
-              .groupBy("id", "flag").agg(F.min("text").alias("text")))
-    return sample, prior
+    return (usable.where(F.octet_length("text") <= TRAIN_BYTES).join(F.broadcast(chosen), "id")
+            .groupBy("id", "flag").agg(F.min("text").alias("text")))
 
 
 def fit_in_task(sample: DataFrame, train: Callable[[list, pa.Array], object]):

@@ -1,19 +1,17 @@
 """Quality classifier by non-negative positive-unlabelled learning.
 
 Trusted positives and unlabelled web text, both bounded samples off the held-out fold, and the
-estimated class prior fit a linear scorer over the form of a text: frequencies of pairs of
+class prior estimated from these two fit a linear scorer over the form of a text: frequencies of pairs of
 character classes, and binned ratios of repetition, word and line length.  Every document is then scored
 from its whole text in one narrow map; the broadcast model is a few kB whatever the input.
 
 Defined results: null and empty texts have the features of an empty text and get its score; repeated rows
-get equal scores; an empty table gives no rows; without positives the score of all is the bias; label
+get equal scores; an empty table gives no rows; without positives all get the least prior; label
 rows that disagree make no positive; other columns are not read.
 """
 
 from __future__ import annotations
 
-from functools import partial
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,7 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import hash_spans, row_steps, spans_of, text_bytes
-from .pu import POSITIVES, UNLABELLED, fit_in_task, fit_nnpu, fold, sigmoid, training_sample, with_score
+from .pu import (POSITIVES, UNLABELLED, estimate_prior, fit_in_task, fit_nnpu, fold, log_odds, sigmoid, training_sample,
+                 with_score)
 
 THRESHOLD, FOLDS = 0.3, 5
 _CLASSES = 40
@@ -83,16 +82,21 @@ def features(texts: pa.Array):
         yield first, last, np.hstack([shape, hot])
 
 
-def train(flags: list[int], texts: pa.Array, prior: float) -> dict:
+def train(flags: list[int], texts: pa.Array) -> dict:
     flags = np.array(flags, int)
+    return train_with(flags, texts, estimate_prior(flags, texts, train_with, score))
+
+
+def train_with(flags: np.ndarray, texts: pa.Array, prior: float | None) -> dict:
+    """The model for a class prior; without one, that of P against U."""
     if not (flags == 1).any() or not (flags == 0).any():
-        return {"use": np.zeros(0, int), "w": np.zeros(0), "b": float(np.log(prior / (1 - prior)))}
+        return {"use": np.zeros(0, int), "w": np.zeros(0), "b": log_odds(prior), "prior": prior}
     x = np.vstack([m.astype(np.float32) for _, _, m in features(texts)])
     use = np.flatnonzero((x > 0).sum(axis=0) >= 5)
     scale = x[:, use].std(axis=0) + 1e-2
     x = x[:, use] / scale
     w, b = fit_nnpu(x[flags == 1], x[flags == 0], prior)
-    return {"use": use, "w": w / scale, "b": b}
+    return {"use": use, "w": w / scale, "b": b, "prior": prior}
 
 
 def score(model: dict, texts: pa.Array) -> np.ndarray:
@@ -104,8 +108,7 @@ def score(model: dict, texts: pa.Array) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text",
         folds: int = FOLDS, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> dict:
-    sample, prior = training_sample(docs, labels, label, id_col, text_col, folds, positives, unlabelled)
-    return fit_in_task(sample, partial(train, prior=prior))
+    return fit_in_task(training_sample(docs, labels, label, id_col, text_col, folds, positives, unlabelled), train)
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -1,20 +1,18 @@
 """Toxicity classifier by non-negative positive-unlabelled learning.
 
 Confirmed toxic examples and unlabelled text, both bounded samples off the held-out fold, fit a
-numpy classifier with the class-prior-corrected risk.  Features are the presence of hashed five-byte
+numpy classifier with the class-prior-corrected risk; the prior is estimated from these two.  Features are the presence of hashed five-byte
 pieces of words and of whole words; those whose frequency differs most between the two samples are kept
 (``FEATURES``).  A piece catches a slur inside a longer or inflected word.  Every document is scored
 from its whole text in one narrow map.
 
 Defined results: null and empty texts have no features and get the bias's score; repeated rows get equal scores;
-an empty table gives no rows; without positives all get the prior; label rows that disagree make no
+an empty table gives no rows; without positives all get the least prior; label rows that disagree make no
 positive; other columns are not read.
 """
 
 from __future__ import annotations
 
-from functools import partial
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,7 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import hash_spans, row_steps, spans_of, text_bytes
-from .pu import POSITIVES, UNLABELLED, fit_in_task, fit_nnpu, fold, sigmoid, training_sample, with_score
+from .pu import (POSITIVES, UNLABELLED, estimate_prior, fit_in_task, fit_nnpu, fold, log_odds, sigmoid, training_sample,
+                 with_score)
 
 THRESHOLD, FOLDS = 0.5, 5
 FEATURES, BITS, PIECE, LEAST_Z = 1024, 20, 5, 4.5
@@ -64,11 +63,15 @@ def pieces(texts: pa.Array):
             yield first, last, word_row, words.astype(np.int64)
 
 
-def train(flags: list[int], texts: pa.Array, prior: float, n_features: int = FEATURES) -> dict:
+def train(flags: list[int], texts: pa.Array) -> dict:
     flags = np.array(flags, int)
-    bias = float(np.log(prior / (1 - prior)))
+    return train_with(flags, texts, estimate_prior(flags, texts, train_with, score))
+
+
+def train_with(flags: np.ndarray, texts: pa.Array, prior: float | None, n_features: int = FEATURES) -> dict:
+    """The model for a class prior; without one, that of P against U."""
     if not (flags == 1).any() or not (flags == 0).any():
-        return {"buckets": np.zeros(0, int), "w": np.zeros(0), "b": bias}
+        return {"buckets": np.zeros(0, int), "w": np.zeros(0), "b": log_odds(prior), "prior": prior}
     have = np.zeros((2, 1 << BITS), np.int32)
     keys = []
     for first, last, row, bucket in pieces(texts):
@@ -91,7 +94,7 @@ def train(flags: list[int], texts: pa.Array, prior: float, n_features: int = FEA
         col = place[key & ((1 << BITS) - 1)]
         x[(key >> BITS)[col >= 0], col[col >= 0]] = 1
     w, b = fit_nnpu(x[flags == 1], x[flags == 0], prior)
-    return {"buckets": buckets, "w": w, "b": b}
+    return {"buckets": buckets, "w": w, "b": b, "prior": prior}
 
 
 def score(model: dict, texts: pa.Array) -> np.ndarray:
@@ -110,8 +113,8 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: s
              threshold: float = THRESHOLD, folds: int = FOLDS, positives: int = POSITIVES,
              unlabelled: int = UNLABELLED) -> DataFrame:
     """Per row: id, held_out, score, predicted."""
-    sample, prior = training_sample(docs, labels, label, id_col, text_col, folds, positives, unlabelled)
-    model = docs.sparkSession.sparkContext.broadcast(fit_in_task(sample, partial(train, prior=prior)))
+    sample = training_sample(docs, labels, label, id_col, text_col, folds, positives, unlabelled)
+    model = docs.sparkSession.sparkContext.broadcast(fit_in_task(sample, train))
     fields = [T.StructField("score", T.DoubleType())]
     scored = with_score(docs, text_col, lambda t: [pa.array(score(model.value, t))], fields, [id_col], False)
     return scored.select(

@@ -1,8 +1,10 @@
 """Held-out quality of the learned operators on the supplied tables, and the bounds of their samples."""
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from chartwise.llm import language, pu, queries, secrets
+from chartwise.llm import language, pu, quality, queries, secrets, toxicity
 from chartwise.llm.common import read
 
 from .test_llm import frame
@@ -31,15 +33,31 @@ def test_held_out_languages(spark):
     assert sum(r["lang"] == r["lang_pred"] for r in rows) >= 0.99 * len(rows)
 
 
+@pytest.mark.parametrize("share", [0.1, 0.5, 0.9])
+def test_the_prior_is_estimated_without_negatives(share):
+    rng = np.random.default_rng(5)
+    text = lambda y, k: f"{k} " + " ".join(rng.choice(["fine", "calm"] if y else ["vile", "foul"], 6)) + " of all"
+    rows = [(1, text(1, k)) for k in range(500)] + [(0, text(rng.random() < share, 1000 + k)) for k in range(2000)]
+    model = toxicity.train([f for f, _ in rows], pa.array([t for _, t in rows]))
+    assert abs(model["prior"] - share) < 0.05
+
+
+def test_priors_of_samples_without_positives_or_unlabelled():
+    few = pa.array(["a good text", "another text", ""])
+    assert toxicity.train([0, 0, 0], few)["prior"] == quality.train([0, 0, 0], few)["prior"] == pu.PRIORS[0]
+    assert toxicity.train([1, 1, 1], few)["prior"] == 0.5 and quality.train([], pa.array([], pa.string()))["prior"] == pu.PRIORS[0]
+    assert pu.PRIORS[0] <= quality.train([1, 0, 0], few)["prior"] <= pu.PRIORS[1]
+
+
 def labels(spark, n):
     return spark.createDataFrame([(k, k % 2, k % 2) for k in range(n)], "doc_id bigint, quality int, toxic int")
 
 
 def test_a_repeated_id_is_one_row_of_the_sample(spark):
     docs = [(k, f"text {k} {'good' if k % 2 else 'bad'}") for k in range(60)] + [(7, f"again {k % 50}") for k in range(400)]
-    sample, prior = pu.training_sample(frame(spark, docs), labels(spark, 60), "quality", "doc_id", "text", 5, 10, 20)
+    sample = pu.training_sample(frame(spark, docs), labels(spark, 60), "quality", "doc_id", "text", 5, 10, 20)
     rows = sample.collect()
-    assert len(rows) <= 30 and len({(r["id"], r["flag"]) for r in rows}) == len(rows) and 0 < prior < 1
+    assert len(rows) <= 30 and len({(r["id"], r["flag"]) for r in rows}) == len(rows)
     assert [r["text"] for r in rows if r["id"] == 7] in ([], ["again 0"], ["again 0"] * 2)
 
 
