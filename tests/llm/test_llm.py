@@ -147,6 +147,22 @@ def test_decontaminate(spark, shard_words):
     assert out == brute.contamination(contaminated(), ITEMS)
 
 
+def test_decontaminate_with_long_and_repeated_items(spark):
+    many = [(0, " ".join(f"w{k % 97}x{k}" for k in range(300))), (0, "another text under the id of the first one, which repeats it"), (0, None)]
+    many += [(7, f"seventh item number {k} has some words of its own here and there {k}") for k in range(30)] * 2
+    docs = [(1, " ".join(f"w{k % 97}x{k}" for k in range(40, 260)) + " tail"), (2, many[1][1]), (2, many[1][1]), (None, many[9][1]),
+            (3, " ".join(f"w{k % 97}x{k}" for k in [*range(100, 109), *range(200, 211)]))]
+    items = spark.createDataFrame(many, "item_id bigint, text string")
+    cut = decontaminate.shards(items, "item_id", "text", 10, 120)
+    sizes = [sum(len(r.text.split()) for r in part.collect()) for part in cut]
+    assert len(cut) > 3 and max(sizes) <= 120
+    found = decontaminate.find_contamination(frame(spark, docs), items, shard_words=120)
+    out = decontaminate.contamination_digests(found).collect()
+    want = brute.contamination([(k, t) for k, (_, t) in enumerate(docs)], many)
+    cols = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    assert sorted((repr(r.doc_id), *[r[c] for c in cols]) for r in out) == sorted((repr(docs[k][0]), *v) for k, v in want.items())
+
+
 def test_decontaminate_removes_spans(spark):
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     docs = frame(spark, contaminated())
