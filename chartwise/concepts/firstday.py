@@ -14,6 +14,7 @@ from ..functions.numeric import round_numeric
 from ..functions.time import days, hours
 from ..operators.temporal import agg_in_window
 from ..plans.registry import concept
+from .measurement import lab_panels
 
 STAY = ["subject_id", "stay_id"]
 
@@ -140,26 +141,15 @@ LAB_GROUPS = [
 
 
 @concept(group="firstday")
-def first_day_lab(icustays: DataFrame, complete_blood_count: DataFrame, chemistry: DataFrame,
-                  blood_differential: DataFrame, coagulation: DataFrame,
-                  enzyme: DataFrame) -> DataFrame:
+def first_day_lab(icustays: DataFrame, labevents: DataFrame) -> DataFrame:
     """Min / max of 43 labs from five panels in the first-day window (by
-    subject), one row per stay.  The panels are unioned (never joined to each
-    other), so rows cannot multiply, and one window join + one aggregate
-    replace five."""
-    panels = {"complete_blood_count": complete_blood_count, "chemistry": chemistry,
-              "blood_differential": blood_differential, "coagulation": coagulation,
-              "enzyme": enzyme}
+    subject), one row per stay.  All panels come of one pass over the lab events, as rows that
+    are never joined to each other, so none can multiply; one window join and one aggregate
+    follow (an output column only holds values of its own panel)."""
     start, end = _fd_window()
-    # one tagged union of the panels -> one window join and one aggregate (each
-    # output column only ever holds values of its own panel, so MIN/MAX are the
-    # same as five separate aggregations)
-    rows = None
+    rows = lab_panels(labevents, [name for name, _, _ in LAB_GROUPS])
     aggs = []
     for name, cols, rename in LAB_GROUPS:
-        sel = panels[name].select("subject_id", "charttime",
-                                  *[F.col(c).alias(f"{name}__{c}") for c in cols])
-        rows = sel if rows is None else rows.unionByName(sel, allowMissingColumns=True)
         for c in cols:
             n = rename.get(c, c)
             aggs += [F.min(f"e.{name}__{c}").alias(f"{n}_min"), F.max(f"e.{name}__{c}").alias(f"{n}_max")]

@@ -10,7 +10,7 @@ from ..config import units as U
 from ..functions.numeric import round_numeric
 from ..operators.matching import asof_within
 from ..operators.ordering import top1_agg
-from ..operators.pivot import ItemSpec, pivot_items
+from ..operators.pivot import ItemSpec, Panel, impute_from_ratio, pivot_items, pivot_panels
 from ..operators.units import harmonise
 from ..operators.windows import carry_previous
 from ..plans.registry import concept
@@ -27,14 +27,32 @@ def _lab_order(df: DataFrame, cols) -> DataFrame:
     return df.select("subject_id", "hadm_id", "charttime", "specimen_id", *cols)
 
 
-def _simple_lab(labevents: DataFrame, mapping: dict, positive: bool) -> DataFrame:
-    """Lab pivot by specimen: MAX per item, valuenum NOT NULL (and > 0)."""
+def _simple_panel(mapping: dict, positive: bool) -> Panel:
+    """MAX per item, valuenum NOT NULL (and > 0)."""
     pre = F.col("valuenum").isNotNull()
     if positive:
         pre = pre & (F.col("valuenum") > 0)
-    specs = {name: ItemSpec([itemid]) for name, itemid in mapping.items()}
-    out = pivot_items(labevents, LAB_KEYS, specs, extra_aggs=_lab_ids(), prefilter=pre)
-    return _lab_order(out, list(mapping))
+    return Panel({name: ItemSpec([itemid]) for name, itemid in mapping.items()}, pre)
+
+
+def _by_specimen(labevents: DataFrame, panel: Panel) -> DataFrame:
+    return pivot_items(labevents, LAB_KEYS, panel.specs, extra_aggs=_lab_ids(), prefilter=panel.prefilter, extra_ids=panel.extra_ids)
+
+
+def _simple_lab(labevents: DataFrame, mapping: dict, positive: bool) -> DataFrame:
+    return _lab_order(_by_specimen(labevents, _simple_panel(mapping, positive)), list(mapping))
+
+
+def lab_panels(labevents: DataFrame, names) -> DataFrame:
+    """The rows of the named lab concepts in one pass over the events: ``panel``, ``subject_id``, ``hadm_id``,
+    ``charttime``, ``specimen_id`` and ``<panel>__<column>``."""
+    known = {"complete_blood_count": _simple_panel(I.COMPLETE_BLOOD_COUNT, True), "enzyme": _simple_panel(I.ENZYME, True),
+             "coagulation": _simple_panel(I.COAGULATION, False), "chemistry": _chemistry_panel(),
+             "blood_differential": _differential_panel()}
+    x = pivot_panels(labevents, LAB_KEYS, {n: known[n] for n in names}, extra_aggs=_lab_ids())
+    if "blood_differential" in names:
+        x = x.withColumns({f"blood_differential__{n}": v for n, v in _differential_counts("blood_differential__").items()})
+    return x
 
 
 @concept(group="measurement")
@@ -61,15 +79,16 @@ def vitalsign(chartevents: DataFrame) -> DataFrame:
                        prefilter=F.col("stay_id").isNotNull(), extra_ids=I.TEMP_F + I.TEMP_C)
 
 
+def _chemistry_panel() -> Panel:
+    pre = F.col("valuenum").isNotNull() & (
+        (F.col("valuenum") > 0) | (F.col("itemid") == I.CHEMISTRY_ZERO_ALLOWED))
+    return Panel({name: ItemSpec([itemid], hi=hi, strict_hi=False) for name, (itemid, hi) in I.CHEMISTRY.items()}, pre)
+
+
 @concept(group="measurement")
 def chemistry(labevents: DataFrame) -> DataFrame:
     """Chemistry panel by specimen; > 0 except anion gap; per-item upper clips."""
-    pre = F.col("valuenum").isNotNull() & (
-        (F.col("valuenum") > 0) | (F.col("itemid") == I.CHEMISTRY_ZERO_ALLOWED))
-    specs = {name: ItemSpec([itemid], hi=hi, strict_hi=False)
-             for name, (itemid, hi) in I.CHEMISTRY.items()}
-    out = pivot_items(labevents, LAB_KEYS, specs, extra_aggs=_lab_ids(), prefilter=pre)
-    return _lab_order(out, list(I.CHEMISTRY))
+    return _lab_order(_by_specimen(labevents, _chemistry_panel()), list(I.CHEMISTRY))
 
 
 @concept(group="measurement")
@@ -126,10 +145,7 @@ def urine_output(outputevents: DataFrame) -> DataFrame:
             .groupBy("stay_id", "charttime").agg(F.sum(v).alias("urineoutput")))
 
 
-@concept(group="measurement")
-def blood_differential(labevents: DataFrame) -> DataFrame:
-    """C17: WBC differential by specimen; #/uL counts / 1000; missing absolute
-    counts imputed from percentages when WBC > 0 and the percentages sum > 0."""
+def _differential_panel() -> Panel:
     v, item = F.col("valuenum"), F.col("itemid")
     specs = {"wbc": ItemSpec(I.DIFF_WBC)}
     for name, (k_items, n_items) in I.DIFF_ABS.items():
@@ -143,16 +159,24 @@ def blood_differential(labevents: DataFrame) -> DataFrame:
         (F.max(F.when(item.isin(I.DIFF_WBC), v)) > 0)
         & (F.sum(F.when(item.isin(I.DIFF_IMPUTE_PCT_ITEMS), v)) > 0))
     extra = [i for k, n in I.DIFF_ABS.values() for i in k + n] + [I.DIFF_GRANULOCYTE_COUNT]
-    pre = v.isNotNull() & (v >= 0)
-    x = pivot_items(labevents, LAB_KEYS, specs, extra_aggs=_lab_ids(), prefilter=pre, extra_ids=extra)
-    abs_cols = []
+    return Panel(specs, v.isNotNull() & (v >= 0), extra)
+
+
+def _differential_counts(prefix: str = "") -> dict:
+    """Absolute counts by name: as measured, else imputed from the percentage where that is allowed."""
+    out = {}
     for name in I.DIFF_ABS:
-        pct = F.col(name.replace("_abs", ""))
-        imputed = F.when(F.col(name).isNull() & pct.isNotNull() & F.col("_impute"),
-                         pct * F.col("wbc") / F.lit(100)).otherwise(F.col(name))
-        abs_cols.append(round_numeric(imputed, 4).alias(name))
-    return x.select("subject_id", "hadm_id", "charttime", "specimen_id", "wbc", *abs_cols,
-                    *I.DIFF_PCT, *I.DIFF_OTHER)
+        c = {n: F.col(prefix + n) for n in (name, name.replace("_abs", ""), "wbc", "_impute")}
+        out[name] = round_numeric(impute_from_ratio(c["wbc"], c[name.replace("_abs", "")], c[name], c["_impute"]), 4)
+    return out
+
+
+@concept(group="measurement")
+def blood_differential(labevents: DataFrame) -> DataFrame:
+    """C17: WBC differential by specimen; #/uL counts / 1000; missing absolute
+    counts imputed from percentages when WBC > 0 and the percentages sum > 0."""
+    x = _by_specimen(labevents, _differential_panel())
+    return _lab_order(x, ["wbc", *[v.alias(n) for n, v in _differential_counts().items()], *I.DIFF_PCT, *I.DIFF_OTHER])
 
 
 @concept(group="measurement")

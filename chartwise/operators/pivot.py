@@ -85,6 +85,38 @@ def pivot_items(df: DataFrame, keys: Sequence[str], specs: Mapping[str, "ItemSpe
     return x.groupBy(*keys).agg(*extra_aggs, *aggs)
 
 
+@dataclass(frozen=True)
+class Panel:
+    """A pivot's items by name, its row filter, and items that only ready aggregate Columns read (``extra_ids``)."""
+
+    specs: Mapping[str, "ItemSpec | Column"]
+    prefilter: Column
+    extra_ids: Sequence[int] = ()
+
+    def ids(self) -> list[int]:
+        return sorted({i for s in self.specs.values() if isinstance(s, ItemSpec) for i in s.ids} | set(self.extra_ids))
+
+
+def pivot_panels(df: DataFrame, keys: Sequence[str], panels: Mapping[str, Panel], item_col: str = "itemid",
+                 extra_aggs: Sequence[Column] = (), tag: str = "panel") -> DataFrame:
+    """P01 for several panels in one scan and one shuffle: what ``pivot_items`` gives for each panel, as rows
+    marked by ``tag`` with the columns ``<panel>__<name>`` (null in other panels' rows).
+
+    A row is grouped once for each panel that has its item; ``extra_aggs`` see only that panel's rows.
+    """
+    own = {name: F.coalesce(F.col(item_col).isin(p.ids()) & p.prefilter, F.lit(False)) for name, p in panels.items()}
+    tags = F.array_compact(F.array(*[F.when(c, F.lit(name)) for name, c in own.items()]))
+    x = df.where(F.col(item_col).isin(sorted({i for p in panels.values() for i in p.ids()})))
+    x = x.select("*", F.explode(tags).alias(tag))
+    aggs = []
+    for name, p in panels.items():
+        for col, s in p.specs.items():
+            value = _AGGS[s.agg](item_value(s, item_col)) if isinstance(s, ItemSpec) else s
+            # other panels' rows form other groups, whose value is not this panel's
+            aggs.append(F.when(F.col(tag) == name, value).alias(f"{name}__{col}"))
+    return x.groupBy(*keys, tag).agg(*extra_aggs, *aggs)
+
+
 def impute_from_ratio(total: Column, pct: Column, absolute: Column, allowed: Column) -> Column:
     """absolute = pct * total / 100 when absolute is missing and ``allowed``."""
     return F.when(absolute.isNull() & allowed, pct * total / F.lit(100.0)).otherwise(absolute)

@@ -193,3 +193,21 @@ def test_lookback_by_bucket_matches_one_window_a_key(spark):
             expected = df.select("*", F.sum("v").over(w).alias("s"), F.min("v").over(w).alias("m"))
             out = lookback(df, "k", "t", {"s": F.sum("v"), "m": F.min("v")}, span, current)
             assert rows(out) == rows(expected), (span, current)
+
+
+def test_pivot_panels_in_one_pass(spark):
+    from chartwise.operators.pivot import ItemSpec, Panel, pivot_items, pivot_panels
+    rows = [(1, 10, 5.0, 100), (1, 11, -2.0, 101), (1, 12, 7.0, 102), (2, 11, 3.0, 103), (3, 12, None, 104), (4, 99, 1.0, 105), (None, 10, 4.0, 106)]
+    df = spark.createDataFrame(rows, "k int, itemid int, valuenum double, t int")
+    v = F.col("valuenum")
+    panels = {"a": Panel({"x": ItemSpec([10]), "y": ItemSpec([11])}, v > 0),
+              "b": Panel({"y": ItemSpec([11], lo=-5), "n": F.count(F.when(F.col("itemid") == 12, 1))}, v.isNotNull(), [12])}
+    last = F.max("t").alias("t")
+    got = pivot_panels(df, ["k"], panels, extra_aggs=[last])
+    for name, p in panels.items():
+        own = got.where(F.col("panel") == name).select("k", "t", *[F.col(f"{name}__{c}").alias(c) for c in p.specs])
+        want = pivot_items(df, ["k"], p.specs, extra_aggs=[last], prefilter=p.prefilter, extra_ids=p.extra_ids)
+        assert sorted(map(repr, own.collect())) == sorted(map(repr, want.select(own.columns).collect()))
+    other = got.where("panel = 'a'").select("b__y").collect()
+    assert [r[0] for r in other] == [None] * len(other)
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 1
