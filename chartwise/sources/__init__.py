@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import adapters
 from .parquet import read_table, SUPPLIED_TABLES
-from .store import partitions_for, source_key, stored
+from .store import clustered, source_key, stored
 
 BASE_TABLES = (
     "patients", "admissions", "diagnoses_icd", "labevents", "prescriptions",
@@ -23,6 +23,9 @@ BASE_TABLES = (
     "inputevents", "outputevents", "procedureevents", "d_items",
 )
 
+#: events of one write task: an event unfolds to some 33 charted and 30 laboratory rows
+EVENTS_A_PARTITION = 25_000
+
 
 class Sources:
     """Lazy, memoised mapping from logical base-table name to DataFrame."""
@@ -64,8 +67,12 @@ class Sources:
         """EHR-shaped adapter views over ``{sf_dir}/events.parquet``.
 
         With ``materialize`` (default) each view is written once per session to
-        the shared store (clustered by itemid, see :mod:`.store`) and read back,
-        as a deployment would hold its base tables.
+        the shared store (see :mod:`.store`) and read back, as a deployment would
+        hold its base tables.  The events are clustered by patient and time
+        before they are unfolded to item rows: the few narrow columns of an event
+        are shuffled and sorted, not its some thirty rows in each table, and the
+        rows of one patient and time lie together, so that a pivot's map-side
+        aggregate takes them up before its shuffle.
         """
         holder: dict[str, DataFrame] = {}
 
@@ -76,7 +83,8 @@ class Sources:
 
         def ev():
             if "ev" not in holder:
-                holder["ev"] = adapters.events_base(events())
+                base = adapters.events_base(events())
+                holder["ev"] = clustered(base, ("user_id", "t"), EVENTS_A_PARTITION) if materialize else base
             return holder["ev"]
 
         def users():
@@ -103,24 +111,9 @@ class Sources:
         }
         if materialize:
             key = source_key(spark, sf_dir, ["events.parquet"])
-            partitions = partitions_for(spark, sf_dir, ["events.parquet"])
             for name in list(factories):
-                cluster, order = _LAYOUT.get(name, ((), ()))
-                factories[name] = (lambda n=name, f=factories[name], c=cluster, o=order:
-                                   stored(spark, key, n, f, c, o, partitions))
+                factories[name] = lambda n=name, f=factories[name]: stored(spark, key, n, f)
         for name in SUPPLIED_TABLES:
             factories.setdefault(name, (lambda n=name: read_table(spark, sf_dir, n)))
         return cls(spark, factories)
 
-
-# physical layout of the stored views: (range-partition columns, sort columns).
-# Range partitioning on the full sort key keeps the global itemid order (row
-# groups prune on itemid) while the sampler splits a hot item - one item can
-# be a large share of all rows - across many partitions.
-_LAYOUT = {
-    "chartevents": (("itemid", "stay_id", "charttime"), ("itemid", "stay_id", "charttime")),
-    "labevents": (("itemid", "subject_id", "charttime"), ("itemid", "subject_id", "charttime")),
-    "outputevents": (("itemid", "stay_id", "charttime"), ("itemid", "stay_id", "charttime")),
-    "inputevents": (("itemid", "stay_id", "starttime"), ("itemid", "stay_id", "starttime")),
-    "procedureevents": (("itemid", "stay_id", "starttime"), ("itemid", "stay_id", "starttime")),
-}

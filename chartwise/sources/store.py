@@ -2,12 +2,11 @@
 
 Derived inputs (the adapter views) are written as parquet under the shared
 folder named by ``spark.checkpoint.dir`` and read back, so every concept
-scans a stored table instead of re-deriving it.  EAV tables are range
-partitioned and sorted by ``itemid`` (then entity and time): a concept's
-``itemid IN (...)`` filter is pushed to the scan and parquet row-group
-statistics skip the row groups of other items; the range partitioning uses the
-full sort key so one heavy item is split over many files and write tasks.  The
-location is keyed by the source files' identity and the code that derives the tables.
+scans a stored table instead of re-deriving it.  EAV tables are written without
+a shuffle of their own: their narrow source is range partitioned and sorted by
+entity and time (:func:`clustered`), so the items of one entity and time share a
+file and a scan task, and a busy entity is split by time.  The location is keyed
+by the source files' identity and the code that derives the tables.
 """
 
 from __future__ import annotations
@@ -22,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
 
-LAYOUT_VERSION = "2"
+LAYOUT_VERSION = "3"
 _LOCK = threading.Lock()
 _READS: dict = {}
 _WRITING: dict = {}
@@ -64,6 +63,13 @@ def partitions_for(spark: SparkSession, sf_dir: str, files: Sequence[str], bytes
     return n if n > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
 
 
+def clustered(df: DataFrame, by: Sequence[str], rows_each: int) -> DataFrame:
+    """``df`` range partitioned and sorted by ``by``, with ``rows_each`` rows a partition: their number follows the rows, which
+    are counted (bytes say little of rows, and AQE would join partitions by the bytes that they have before they are unfolded)."""
+    partitions = max(1, -(-df.count() // rows_each))
+    return df.repartitionByRange(partitions, *by).sortWithinPartitions(*by)
+
+
 def _code_version() -> str:
     """Hash of the modules that define the stored tables: new code never reads old tables."""
     here = Path(__file__).parent

@@ -28,3 +28,20 @@ def test_partitions_grow_with_the_data(spark):
     some = store.partitions_for(spark, "/root/testdata/sf0.001", ["events.parquet"], bytes_each=1000)
     more = store.partitions_for(spark, "/root/testdata/sf0.01", ["events.parquet"], bytes_each=1000)
     assert more > 5 * some
+
+
+def test_item_tables_are_written_without_a_shuffle_of_item_rows(spark, tmp_path):
+    """Events are clustered before they unfold: rows of one patient and time share a file, and files follow the rows."""
+    from pyspark.sql import functions as F
+
+    from chartwise.sources import Sources
+
+    at = F.timestamp_seconds(F.lit(1704067200) + (F.col("id") * 7919) % 2_000_000)
+    events = spark.range(60_000).select(
+        F.col("id").alias("event_id"), at.cast("timestamp_ntz").alias("ts"), ((F.col("id") * 31) % 97).alias("user_id"),
+        F.lit("view").alias("event_type"), F.lit(1.0).alias("value"), F.lit("").alias("props"))
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    labs = Sources.from_events(spark, str(tmp_path))["labevents"].select("subject_id", "charttime", F.input_file_name().alias("file"))
+    places = labs.groupBy("subject_id", "charttime").agg(F.countDistinct("file").alias("files"))
+    assert places.agg(F.max("files")).first()[0] == 1
+    assert labs.select("file").distinct().count() == 3      # of 25,000 events each
