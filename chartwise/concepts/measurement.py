@@ -10,7 +10,7 @@ from ..config import units as U
 from ..functions.numeric import round_numeric
 from ..operators.matching import asof_within
 from ..operators.ordering import top1_agg
-from ..operators.pivot import ItemSpec, Panel, impute_from_ratio, pivot_items, pivot_panels
+from ..operators.pivot import ItemSpec, Panel, impute_from_ratio, pivot_items, pivot_panels_together
 from ..operators.units import harmonise
 from ..operators.windows import carry_previous
 from ..plans.registry import concept
@@ -44,12 +44,12 @@ def _simple_lab(labevents: DataFrame, mapping: dict, positive: bool) -> DataFram
 
 
 def lab_panels(labevents: DataFrame, names) -> DataFrame:
-    """The rows of the named lab concepts in one pass over the events: ``panel``, ``subject_id``, ``hadm_id``,
-    ``charttime``, ``specimen_id`` and ``<panel>__<column>``."""
+    """The rows of the named lab concepts in one pass over the events: ``subject_id``, ``hadm_id``, ``charttime``, ``specimen_id``
+    and ``<panel>__<column>``; concepts that agree in a specimen's ids share its row."""
     known = {"complete_blood_count": _simple_panel(I.COMPLETE_BLOOD_COUNT, True), "enzyme": _simple_panel(I.ENZYME, True),
              "coagulation": _simple_panel(I.COAGULATION, False), "chemistry": _chemistry_panel(),
              "blood_differential": _differential_panel()}
-    x = pivot_panels(labevents, LAB_KEYS, {n: known[n] for n in names}, extra_aggs=_lab_ids())
+    x = pivot_panels_together(labevents, LAB_KEYS, {n: known[n] for n in names}, ["subject_id", "hadm_id", "charttime"])
     if "blood_differential" in names:
         x = x.withColumns({f"blood_differential__{n}": v for n, v in _differential_counts("blood_differential__").items()})
     return x
@@ -149,25 +149,20 @@ def _differential_panel() -> Panel:
     v, item = F.col("valuenum"), F.col("itemid")
     specs = {"wbc": ItemSpec(I.DIFF_WBC)}
     for name, (k_items, n_items) in I.DIFF_ABS.items():
-        expr = F.when(item.isin(k_items), v)
-        if n_items:
-            expr = expr.when(item.isin(n_items), v / F.lit(1000.0))
-        specs[name] = F.max(expr)
+        specs[name] = ItemSpec([*k_items, *n_items], value=F.when(item.isin(k_items), v).otherwise(v / F.lit(1000.0)) if n_items else v)
     for name, ids in {**I.DIFF_PCT, **I.DIFF_OTHER}.items():
         specs[name] = ItemSpec(ids)
-    specs["_impute"] = (
-        (F.max(F.when(item.isin(I.DIFF_WBC), v)) > 0)
-        & (F.sum(F.when(item.isin(I.DIFF_IMPUTE_PCT_ITEMS), v)) > 0))
-    extra = [i for k, n in I.DIFF_ABS.values() for i in k + n] + [I.DIFF_GRANULOCYTE_COUNT]
-    return Panel(specs, v.isNotNull() & (v >= 0), extra)
+    specs["_pct"] = ItemSpec(I.DIFF_IMPUTE_PCT_ITEMS, agg="sum")
+    return Panel(specs, v.isNotNull() & (v >= 0), [I.DIFF_GRANULOCYTE_COUNT])
 
 
 def _differential_counts(prefix: str = "") -> dict:
     """Absolute counts by name: as measured, else imputed from the percentage where that is allowed."""
     out = {}
     for name in I.DIFF_ABS:
-        c = {n: F.col(prefix + n) for n in (name, name.replace("_abs", ""), "wbc", "_impute")}
-        out[name] = round_numeric(impute_from_ratio(c["wbc"], c[name.replace("_abs", "")], c[name], c["_impute"]), 4)
+        c = {n: F.col(prefix + n) for n in (name, name.replace("_abs", ""), "wbc", "_pct")}
+        allowed = (c["wbc"] > 0) & (c["_pct"] > 0)
+        out[name] = round_numeric(impute_from_ratio(c["wbc"], c[name.replace("_abs", "")], c[name], allowed), 4)
     return out
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -117,6 +118,29 @@ def pivot_panels(df: DataFrame, keys: Sequence[str], panels: Mapping[str, Panel]
     return x.groupBy(*keys, tag).agg(*extra_aggs, *aggs)
 
 
+def pivot_panels_together(df: DataFrame, keys: Sequence[str], panels: Mapping[str, Panel], ids: Sequence[str],
+                          item_col: str = "itemid") -> DataFrame:
+    """P01 for several panels in one scan and one row a key: the columns ``<panel>__<name>`` and the greatest of each of ``ids``.
+
+    A key's panels share one aggregate, so its width is paid once a key, not once a panel.  ``ids`` are those of a panel's own rows; where
+    panels of a key differ in them, the key has a row for each distinct set, with NULL in the columns of the panels that have another.
+    Every spec must be an :class:`ItemSpec` (a ready aggregate cannot be kept to its panel's rows).
+    """
+    own = {name: F.col(item_col).isin(p.ids()) & p.prefilter for name, p in panels.items()}
+    x = df.where(reduce(lambda a, b: a | b, own.values()))
+    aggs = []
+    for name, p in panels.items():
+        aggs += [F.max(F.when(own[name], F.col(c))).alias(f"_{name}__{c}") for c in ids]
+        aggs.append(F.max(F.when(own[name], F.lit(True))).alias(f"_{name}"))
+        aggs += [_AGGS[s.agg](F.when(p.prefilter, item_value(s, item_col))).alias(f"{name}__{c}") for c, s in p.specs.items()]
+    x = x.groupBy(*keys).agg(*aggs)
+    held = {name: F.struct(*[F.col(f"_{name}__{c}").alias(c) for c in ids]) for name in panels}
+    x = x.withColumn("_of", F.explode(F.array_distinct(F.array_compact(F.array(*[F.when(F.col(f"_{n}"), held[n]) for n in panels])))))
+    x = x.withColumns({f"_{n}": held[n].eqNullSafe(F.col("_of")) for n in panels})       # compared once a panel, not once a column
+    return x.select(*[F.col(f"_of.{c}").alias(c) for c in ids], *keys, *[
+        F.when(F.col(f"_{n}"), F.col(f"{n}__{c}")).alias(f"{n}__{c}") for n, p in panels.items() for c in p.specs])
+
+
 def impute_from_ratio(total: Column, pct: Column, absolute: Column, allowed: Column) -> Column:
     """absolute = pct * total / 100 when absolute is missing and ``allowed``."""
     return F.when(absolute.isNull() & allowed, pct * total / F.lit(100.0)).otherwise(absolute)

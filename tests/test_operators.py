@@ -211,3 +211,32 @@ def test_pivot_panels_in_one_pass(spark):
     other = got.where("panel = 'a'").select("b__y").collect()
     assert [r[0] for r in other] == [None] * len(other)
     assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 1
+
+
+def test_panels_share_a_row_where_their_ids_agree(spark):
+    from chartwise.operators.pivot import ItemSpec, Panel, pivot_items, pivot_panels_together
+    rows = [(1, 10, 5.0, 100), (1, 11, -2.0, 100), (1, 12, 7.0, 100), (2, 11, 3.0, 103), (2, 12, 8.0, 107), (3, 12, None, 104), (4, 99, 1.0, 105),
+            (None, 10, 4.0, None), (None, 12, 4.0, 9)]
+    df = spark.createDataFrame(rows, "k int, itemid int, valuenum double, t int")
+    v = F.col("valuenum")
+    panels = {"a": Panel({"x": ItemSpec([10]), "y": ItemSpec([11])}, v > 0), "b": Panel({"z": ItemSpec([12], agg="sum")}, v.isNotNull(), [11])}
+    got = pivot_panels_together(df, ["k"], panels, ["t"])
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(
+        [(100, 1, 5.0, None, 7.0), (103, 2, None, 3.0, None), (107, 2, None, None, 8.0), (None, None, 4.0, None, None), (9, None, None, None, 4.0)], key=repr)
+    for name, p in panels.items():              # each panel's values are those of its own pivot
+        own = [f"{name}__{c}" for c in p.specs]
+        want = pivot_items(df, ["k"], p.specs, extra_aggs=[F.max("t").alias("t")], prefilter=p.prefilter, extra_ids=p.extra_ids)
+        some = F.coalesce(*own).isNotNull()
+        want = want.select("t", "k", *[F.col(c).alias(o) for c, o in zip(p.specs, own)])
+        assert sorted(map(repr, got.where(some).select("t", "k", *own).collect())) == sorted(map(repr, want.where(some).collect()))
+
+
+def test_lab_panels_give_one_row_a_specimen(spark):
+    from chartwise.concepts.measurement import lab_panels
+    types = "subject_id int, hadm_id int, specimen_id int, itemid int, charttime timestamp_ntz, valuenum double"
+    labs = spark.sql("select 1 subject_id, 2 hadm_id, s specimen_id, i itemid, timestamp_ntz'2150-01-01 05:00:00' charttime, 4.0D valuenum "
+                     "from values (7, 50912), (7, 50861), (7, 51237), (7, 51301), (8, 50912) as t(s, i)")
+    assert labs.columns == [c.split()[0] for c in types.split(", ")]
+    got = lab_panels(labs, ["complete_blood_count", "chemistry", "blood_differential", "coagulation", "enzyme"])
+    assert sorted((r.specimen_id, r.chemistry__creatinine, r.coagulation__inr, r.enzyme__alt) for r in got.collect()) == [
+        (7, 4.0, 4.0, 4.0), (8, 4.0, None, None)]
