@@ -185,14 +185,17 @@ def bg(labevents: DataFrame, chartevents: DataFrame) -> DataFrame:
     """
     v, item = F.col("valuenum"), F.col("itemid")
     specs = {
-        "specimen": ItemSpec([I.BG_SPECIMEN], value="value"),
         **{name: ItemSpec([itemid], hi=hi, strict_hi=False) for name, (itemid, hi) in I.BG_NUMERIC.items()},
         "fio2": ItemSpec([I.BG_FIO2], transform=lambda value: harmonise(value, U.FIO2_LAB)),
-        "comments": ItemSpec([I.BG_COMMENTS], value="value"),
     }
-    piv = pivot_items(labevents, LAB_KEYS, specs, extra_ids=[I.BG_FIO2],
-                      extra_aggs=_lab_ids() + [F.max("storetime").alias("storetime")])
-    gas = top1_agg(piv.where(F.col("po2").isNotNull()), ["subject_id", "charttime"], [("specimen_id", "asc", None)])
+    texts = {"specimen": ItemSpec([I.BG_SPECIMEN], value="value"), "comments": ItemSpec([I.BG_COMMENTS], value="value")}
+    # apart from the texts, whose maximum needs a sort, the many numeric rows are hashed
+    piv = pivot_items(labevents, LAB_KEYS, specs, extra_ids=[I.BG_FIO2], extra_aggs=_lab_ids()).where(F.col("po2").isNotNull()).alias("n")
+    said = pivot_items(labevents, LAB_KEYS, texts, extra_aggs=_lab_ids()).alias("t")
+    piv = piv.join(said, F.col("n.specimen_id").eqNullSafe(F.col("t.specimen_id")), "left").select(
+        "n.specimen_id", *[F.greatest(f"n.{c}", f"t.{c}").alias(c) for c in ("subject_id", "hadm_id", "charttime")],
+        *[f"n.{c}" for c in specs], *[f"t.{c}" for c in texts])
+    gas = top1_agg(piv, ["subject_id", "charttime"], [("specimen_id", "asc", None)])
     fio2 = (chartevents.where((item == I.CHART_FIO2) & (v > 0) & (v <= 100))
             .groupBy("subject_id", "charttime")
             .agg(F.max(harmonise(v, U.FIO2_CHART)).alias("fio2_chartevents"))

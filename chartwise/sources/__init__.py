@@ -23,6 +23,9 @@ BASE_TABLES = (
     "inputevents", "outputevents", "procedureevents", "d_items",
 )
 
+#: derived from the distinct patients; the others are narrow views of the events
+OF_PATIENTS = ("patients", "admissions", "icustays", "services", "diagnoses_icd")
+
 #: events of one write task: an event unfolds to some 33 charted and 30 laboratory rows
 EVENTS_A_PARTITION = 25_000
 
@@ -66,13 +69,14 @@ class Sources:
     def from_events(cls, spark: SparkSession, sf_dir: str, materialize: bool = True) -> "Sources":
         """EHR-shaped adapter views over ``{sf_dir}/events.parquet``.
 
-        With ``materialize`` (default) each view is written once per session to
-        the shared store (see :mod:`.store`) and read back, as a deployment would
-        hold its base tables.  The events are clustered by patient and time
-        before they are unfolded to item rows: the few narrow columns of an event
-        are shuffled and sorted, not its some thirty rows in each table, and the
-        rows of one patient and time lie together, so that a pivot's map-side
-        aggregate takes them up before its shuffle.
+        With ``materialize`` (default) the narrow events, clustered by patient and
+        time, and the tables of patients and stays are written once to the shared
+        store (see :mod:`.store`) and read back.  The views of the events are
+        unfolded from the stored ones in the scan of whatever reads them: a
+        filter on items drops the others' rows as they arise, and the some
+        thirty rows an event has in each item table are never written nor
+        read.  The rows of one patient and time come from one file, so that a pivot's
+        map-side aggregate takes them up before its shuffle.
         """
         holder: dict[str, DataFrame] = {}
 
@@ -84,7 +88,8 @@ class Sources:
         def ev():
             if "ev" not in holder:
                 base = adapters.events_base(events())
-                holder["ev"] = clustered(base, ("user_id", "t"), EVENTS_A_PARTITION) if materialize else base
+                holder["ev"] = stored(spark, key, "events_by_patient", lambda: clustered(
+                    base, ("user_id", "t"), EVENTS_A_PARTITION)) if materialize else base
             return holder["ev"]
 
         def users():
@@ -111,7 +116,7 @@ class Sources:
         }
         if materialize:
             key = source_key(spark, sf_dir, ["events.parquet"])
-            for name in list(factories):
+            for name in OF_PATIENTS:
                 factories[name] = lambda n=name, f=factories[name]: stored(spark, key, n, f)
         for name in SUPPLIED_TABLES:
             factories.setdefault(name, (lambda n=name: read_table(spark, sf_dir, n)))

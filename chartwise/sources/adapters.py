@@ -3,7 +3,7 @@
 Every table is a narrow, shuffle-free transformation of ``events`` (or of its
 distinct users), so its size grows linearly with the input:
 
-* per event, a filtered array literal of item specs is exploded (a Generate
+* per event, the array literal of its item specs is exploded (a Generate
   node, no join) -> chartevents / labevents / outputevents
 * per event, one element of a spec array is picked -> inputevents,
   procedureevents, prescriptions, microbiologyevents, poe
@@ -70,20 +70,19 @@ def events_base(events: DataFrame) -> DataFrame:
 _ITEM_TYPE = "array<struct<itemid:int,kind:string,lo:double,span:double,choices:array<string>>>"
 
 
-def _item_structs(items) -> Column:
-    """The item spec as ONE constant: a JSON literal parsed by ``from_json``,
-    which constant folding turns into a single array literal (a plan node of
-    constant size instead of ~600 expression nodes re-analysed per use)."""
-    doc = [{"itemid": i, "kind": kind, "lo": float(lo), "span": float(span), "choices": list(ch or [])}
-           for (i, kind, lo, span, ch) in items]
-    return F.from_json(F.lit(json.dumps(doc)), _ITEM_TYPE)
+def _kept_items(items, e: Column, modulus: int) -> Column:
+    """The items with ``(e + itemid) % modulus = 0``: one array for each remainder of ``e``, all in ONE constant (a JSON literal
+    parsed by ``from_json``, which constant folding turns into an array literal), so that no item is tested for
+    an event and the unfolding stays in generated code."""
+    doc = [[{"itemid": i, "kind": kind, "lo": float(lo), "span": float(span), "choices": list(ch or [])}
+            for (i, kind, lo, span, ch) in items if (r + i) % modulus == 0] for r in range(modulus)]
+    return F.element_at(F.from_json(F.lit(json.dumps(doc)), f"array<{_ITEM_TYPE}>"), (F.pmod(e, F.lit(modulus)) + 1).cast("int"))
 
 
 def _eav(ev: DataFrame, items, modulus: int) -> DataFrame:
     """Explode the items kept for each event and derive value / valuenum."""
     e = F.col("event_id")
-    kept = F.filter(_item_structs(items), lambda s: (e + s["itemid"]) % modulus == 0)
-    x = ev.select("*", F.explode(kept).alias("it"))
+    x = ev.select("*", F.explode(_kept_items(items, e, modulus)).alias("it"))
     itemid = F.col("it.itemid")
     kind = F.col("it.kind")
     h = (e * 37 + itemid * 11) % 1000

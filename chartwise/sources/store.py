@@ -1,9 +1,9 @@
 """Materialise derived base tables once, laid out for predicate pushdown.
 
-Derived inputs (the adapter views) are written as parquet under the shared
+Derived inputs are written as parquet under the shared
 folder named by ``spark.checkpoint.dir`` and read back, so every concept
-scans a stored table instead of re-deriving it.  EAV tables are written without
-a shuffle of their own: their narrow source is range partitioned and sorted by
+scans a stored table instead of shuffling for it.  EAV tables are not written: their
+narrow source is, and they unfold from its scan.  It is range partitioned and sorted by
 entity and time (:func:`clustered`), so the items of one entity and time share a
 file and a scan task, and a busy entity is split by time.  The location is keyed
 by the source files' identity and the code that derives the tables.
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
 
-LAYOUT_VERSION = "3"
+LAYOUT_VERSION = "4"
 _LOCK = threading.Lock()
 _READS: dict = {}
 _WRITING: dict = {}

@@ -252,3 +252,20 @@ def test_map_labels_without_synonyms(spark):
     from chartwise.concepts.treatment import map_labels
 
     assert spark.range(1).select(map_labels(F.lit("a"), [])).first()[0] == "a"
+
+
+def test_bg_hashes_its_numbers_and_keeps_ids_of_text_rows(spark):
+    """The greatest id of a specimen may stand in its text rows; a specimen without a number has one too."""
+    from chartwise.concepts.measurement import bg
+
+    t = datetime(2150, 1, 1, 1)
+    lab = [(1, 5, 10, 50821, t, t, None, 90.0), (1, 7, 10, 52033, t, t, "ART.", None), (1, 9, 10, 50807, t, t, "x", None),
+           (2, 5, None, 50821, t, t, None, 80.0), (2, 5, None, 52033, t, t, "VEN.", None),
+           (3, 5, 11, 50820, t, t, None, 7.0), (3, 5, 11, 52033, t, t, "ART.", None), (4, 5, 12, 50821, t, t, None, 70.0)]
+    labs = spark.createDataFrame(lab, "subject_id long, hadm_id long, specimen_id long, itemid int, charttime timestamp_ntz, "
+                                      "storetime timestamp_ntz, value string, valuenum double")
+    charted = spark.createDataFrame([], "subject_id long, charttime timestamp_ntz, itemid int, valuenum double")
+    out = bg(labs, charted)
+    got = sorted(tuple(r) for r in out.select("subject_id", "hadm_id", "specimen", "po2").collect())
+    assert got == [(1, 9, "ART.", 90.0), (2, 5, "VEN.", 80.0), (4, 5, None, 70.0)]
+    assert "HashAggregate(keys=[specimen_id" in out._jdf.queryExecution().executedPlan().toString()
