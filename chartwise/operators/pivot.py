@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -127,7 +126,9 @@ def pivot_panels_together(df: DataFrame, keys: Sequence[str], panels: Mapping[st
     Every spec must be an :class:`ItemSpec` (a ready aggregate cannot be kept to its panel's rows).
     """
     own = {name: F.col(item_col).isin(p.ids()) & p.prefilter for name, p in panels.items()}
-    x = df.where(reduce(lambda a, b: a | b, own.values()))
+    # by the items alone: a key without a row that its panel keeps has no ids and goes with them below, and a filter that repeats the panels'
+    # conditions on a derived value makes the scan's generated code too long to be compiled
+    x = df.where(F.col(item_col).isin(sorted({i for p in panels.values() for i in p.ids()})))
     aggs = []
     for name, p in panels.items():
         aggs += [F.max(F.when(own[name], F.col(c))).alias(f"_{name}__{c}") for c in ids]
@@ -135,7 +136,7 @@ def pivot_panels_together(df: DataFrame, keys: Sequence[str], panels: Mapping[st
         aggs += [_AGGS[s.agg](F.when(p.prefilter, item_value(s, item_col))).alias(f"{name}__{c}") for c, s in p.specs.items()]
     x = x.groupBy(*keys).agg(*aggs)
     held = {name: F.struct(*[F.col(f"_{name}__{c}").alias(c) for c in ids]) for name in panels}
-    x = x.withColumn("_of", F.explode(F.array_distinct(F.array_compact(F.array(*[F.when(F.col(f"_{n}"), held[n]) for n in panels])))))
+    x = x.withColumn("_of", F.explode(F.array_distinct(F.array(*[F.when(F.col(f"_{n}"), held[n]) for n in panels])))).where("_of is not null")
     x = x.withColumns({f"_{n}": held[n].eqNullSafe(F.col("_of")) for n in panels})       # compared once a panel, not once a column
     return x.select(*[F.col(f"_of.{c}").alias(c) for c in ids], *keys, *[
         F.when(F.col(f"_{n}"), F.col(f"{n}__{c}")).alias(f"{n}__{c}") for n, p in panels.items() for c in p.specs])

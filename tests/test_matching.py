@@ -166,3 +166,29 @@ def test_segments_take_one_join_and_two_scans_a_source(spark, tmp_path):
         frames[name] = spark.read.parquet(f"{tmp_path}/{name}")
     plan = segment_intervals(frames, "k", "v")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") == 1 and plan.count("Relation [") == 14
+
+
+def test_contains_join_within_windows_reads_points_once(spark, tmp_path):
+    """Intervals of any length, broken ones too, meet points of known windows; the rows are those of the general way."""
+    p = [(k, h(t), n) for n, (k, t) in enumerate([(1, 1), (1, 30), (1, 49), (2, 5), (2, 80), (None, 3)])]
+    i = [(1, h(-9000), h(40), "long"), (1, h(20), h(20), "point"), (1, None, h(60), "open"), (1, h(50), h(10), "turned"),
+         (2, h(0), h(5), "touch"), (2, h(70), h(900_000), "far"), (3, h(0), h(9), "other"), (None, h(0), h(9), "null")]
+    points = spark.createDataFrame(p, "k long, t timestamp_ntz, pid long")
+    points.write.parquet(str(tmp_path / "p"))
+    points = spark.read.parquet(str(tmp_path / "p"))
+    intervals = spark.createDataFrame(i, "k long, starttime timestamp_ntz, endtime timestamp_ntz, iid string")
+    windows = spark.createDataFrame([(1, h(0), h(49)), (1, h(0), h(49)), (1, None, h(9)), (2, h(2), h(90)), (None, h(0), h(9))],
+                                    "k long, a timestamp_ntz, z timestamp_ntz")
+    for how, cols in (("left", ["p.pid", "i.iid"]), ("left_semi", ["p.pid"])):
+        plain = rows(M.contains_join(points, intervals, "k", "t", how=how).select(*cols))
+        assert rows(M.contains_join(points, intervals, "k", "t", how=how, within=(windows, "a", "z")).select(*cols)) == plain
+        assert rows(M.contains_join(points, intervals, "k", "t", how=how, times=points.unionByName(points).select("k", "t")).select(*cols)) == plain
+    plan = M.contains_join(points, intervals, "k", "t", within=(windows, "a", "z"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+
+
+def test_a_short_interval_is_covered_by_its_days(spark):
+    got = spark.range(1).select(M._blocks(F.lit(5).cast("long"), F.lit(9).cast("long")).alias("few"), M._blocks(F.lit(9), F.lit(5)).alias("none"),
+                                M._blocks(F.lit(5).cast("long"), F.lit(99_999).cast("long")).alias("many")).first()
+    assert [tuple(b) for b in got["few"]] == [(0, d) for d in range(5, 10)] and got["none"] is None
+    assert [tuple(b) for b in got["many"]] == cover(spark, 5, 99_999)
