@@ -118,10 +118,10 @@ def antibiotic(prescriptions: DataFrame, icustays: DataFrame) -> DataFrame:
             & ~route.isin(D.ANTIBIOTIC_EXCLUDED_ROUTES)
             & ~contains_any(F.lower(route), D.ANTIBIOTIC_EXCLUDED_ROUTE_WORDS)
             & ~contains_any(drug, D.ANTIBIOTIC_EXCLUDED_DRUG_WORDS))
-    abx = match_keywords(prescriptions, "drug", D.ANTIBIOTIC, "lower", keep, keys=("drug", "route"))
+    abx = match_keywords(prescriptions, "drug", D.ANTIBIOTIC, "lower", keep, keys=("drug", "route"), filter_cols=("drug_type",))
     ie = icustays.select("hadm_id", "stay_id", F.col("intime").alias("starttime"),
                          F.col("outtime").alias("endtime"))
-    j = contains_join(abx, ie, "hadm_id", "starttime", closed="left", how="left")
+    j = contains_join(abx, ie, "hadm_id", "starttime", closed="left", how="left", short=True)
     return j.select(F.col("p.subject_id").alias("subject_id"), F.col("p.hadm_id").alias("hadm_id"),
                     F.col("i.stay_id").alias("stay_id"), F.col("p.drug").alias("antibiotic"),
                     F.col("p.route").alias("route"), F.col("p.starttime").alias("starttime"),

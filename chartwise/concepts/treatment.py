@@ -163,7 +163,7 @@ def code_status(chartevents: DataFrame, poe: DataFrame, poe_detail: DataFrame,
     od = orders.join(poe_detail.select("poe_id", "field_value"), "poe_id", "inner")
     od = contains_join(od, icustays.select("hadm_id", "stay_id", F.col("intime").alias("starttime"),
                                            F.col("outtime").alias("endtime")),
-                       "hadm_id", "ordertime", closed="both", how="left")
+                       "hadm_id", "ordertime", closed="both", how="left", short=True)
     fv = F.col("p.field_value")
 
     def pflag(values):

@@ -240,3 +240,18 @@ def test_lab_panels_give_one_row_a_specimen(spark):
     got = lab_panels(labs, ["complete_blood_count", "chemistry", "blood_differential", "coagulation", "enzyme"])
     assert sorted((r.specimen_id, r.chemistry__creatinine, r.coagulation__inr, r.enzyme__alt) for r in got.collect()) == [
         (7, 4.0, 4.0, 4.0), (8, 4.0, None, None)]
+
+
+def test_keywords_are_looked_for_once_a_distinct_value(spark, tmp_path):
+    """The optimiser neither tests every row before the grouping nor copies the test to the other side of the join."""
+    from chartwise.operators.codes import match_keywords
+
+    data = [("Aspirin 5", "PO", "MAIN"), ("Aspirin 5", "PO", "BASE"), ("Aspirin 5", None, "MAIN"), ("aspirin cream", "PO", "MAIN"),
+            ("Other", "PO", "MAIN"), (None, "PO", "MAIN"), ("aspirin b", "PO", "BASE"), ("aspirin c", "PO", None)]
+    spark.createDataFrame(data, "drug string, route string, drug_type string").write.parquet(str(tmp_path / "rx"))
+    rx = spark.read.parquet(str(tmp_path / "rx"))
+    keep = (F.col("drug_type") != "BASE") & ~F.lower("drug").rlike("cream")
+    out = match_keywords(rx, "drug", ["aspirin"], "lower", keep, keys=("drug", "route"), filter_cols=("drug_type",))
+    assert sorted(map(tuple, out.collect())) == [("Aspirin 5", "PO", "BASE"), ("Aspirin 5", "PO", "MAIN")]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("rlike") == 2 and plan.lower().index("rlike") < plan.index("Aggregate [drug", plan.index("Aggregate [drug") + 1)
